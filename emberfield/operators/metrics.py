@@ -129,7 +129,7 @@ def regression_metrics(df: DataFrame, pairs: dict[str, tuple[str, str]]) -> Data
     err = F.col("a") - F.col("p")
     stats = [
         F.avg(F.abs(err)).alias("mae"), F.sqrt(F.avg(err * err)).alias("rmse"),
-        (F.avg(F.abs(err / (F.abs(F.col("a")) + F.lit(1e-8)))) * 100).alias("mape"),
+        (F.avg(F.abs(err / (F.col("a") + F.lit(1e-8)))) * 100).alias("mape"),
     ]
     # per feature first; the overall row then needs no second pass over the data
     return errors.rollup("feature").agg(*stats).select(
@@ -191,9 +191,9 @@ def evaluation_summary(df: DataFrame, split: str, label: str, prob: str, thresho
 
 def loss_terms(
     df: DataFrame, label: str, logit: str, alpha: float = 0.85, gamma: float = 2.0,
-    tversky: tuple[float, float, float] = (0.3, 0.7, 1.0),
+    tversky: tuple[float, float, float] = (0.3, 0.7, 1e-6),
 ) -> DataFrame:
-    """Focal loss, Tversky loss and squared error of raw scores over valid cells."""
+    """Focal and Tversky loss of raw scores (logits), and their squared error, over valid cells."""
     y, z = F.col(label).cast("double"), F.col(logit)
     prob = 1 / (1 + F.exp(-z))
     bce = F.greatest(z, F.lit(0.0)) - z * y + F.log1p(F.exp(-F.abs(z)))
@@ -204,5 +204,5 @@ def loss_terms(
     return df.agg(
         F.avg(weight * bce).alias("focal"),
         (1 - (tp + smooth) / (tp + a * fp + b * fn + smooth)).alias("tversky"),
-        F.avg((prob - y) * (prob - y)).alias("mse"),
+        F.avg((z - y) * (z - y)).alias("mse"),
     )

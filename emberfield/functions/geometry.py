@@ -13,8 +13,17 @@ POINT = "struct<x:double,y:double>"
 RINGS = f"array<array<{POINT}>>"
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and use it several times in ``body`` (a one-element transform)."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def edges(ring: Column) -> Column:
     """Consecutive point pairs of a closed ring as {x1,y1,x2,y2}."""
+    return let(ring, _edges)
+
+
+def _edges(ring: Column) -> Column:
     n = F.size(ring)
     head = F.slice(ring, F.lit(1), F.greatest(n - 1, F.lit(0)))
     tail = F.slice(ring, F.lit(2), F.greatest(n - 1, F.lit(0)))
@@ -95,12 +104,14 @@ def centroid(rings: Column) -> Column:
     def cross(e: Column) -> Column:
         return e["x1"] * e["y2"] - e["x2"] * e["y1"]
 
-    es = all_edges(rings)
-    six_a = signed_area(rings) * 6
-    return F.struct(
-        (_sum(F.transform(es, lambda e: (e["x1"] + e["x2"]) * cross(e))) / six_a).alias("x"),
-        (_sum(F.transform(es, lambda e: (e["y1"] + e["y2"]) * cross(e))) / six_a).alias("y"),
-    )
+    def of(es: Column) -> Column:
+        three_a = _sum(F.transform(es, cross)) * 3
+        return F.struct(
+            (_sum(F.transform(es, lambda e: (e["x1"] + e["x2"]) * cross(e))) / three_a).alias("x"),
+            (_sum(F.transform(es, lambda e: (e["y1"] + e["y2"]) * cross(e))) / three_a).alias("y"),
+        )
+
+    return let(all_edges(rings), of)
 
 
 def map_points(rings: Column, fn) -> Column:
@@ -136,8 +147,10 @@ def _clip_half(ring: Column, axis: str, limit: Column, keep_above: bool) -> Colu
             .otherwise(F.array().cast(f"array<{POINT}>"))
         )
 
-    pts = F.flatten(F.transform(edges(ring), step))
-    return F.when(F.size(pts) > 0, F.concat(pts, F.slice(pts, 1, 1))).otherwise(pts)
+    def close(pts: Column) -> Column:
+        return F.when(F.size(pts) > 0, F.concat(pts, F.slice(pts, 1, 1))).otherwise(pts)
+
+    return let(F.flatten(F.transform(edges(ring), step)), close)
 
 
 def clip_to_box(rings: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:

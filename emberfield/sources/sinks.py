@@ -123,8 +123,17 @@ def insert_ignore_time(batch: DataFrame, path: str) -> dict[str, int]:
 
 
 def replace_table(df: DataFrame, path: str) -> None:
-    """Create or replace: the rows are materialised before the old files go."""
-    durable(df).write.mode("overwrite").parquet(path)
+    """Create or replace: a complete copy is written beside the table, then takes its place."""
+    spark = df.sparkSession
+    staged = f"{path.rstrip('/')}.staged-{uuid.uuid4().hex}"
+    df.write.parquet(staged)
+    jvm = spark.sparkContext._jvm
+    old, new = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(staged)
+    fs = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(old):
+        fs.delete(old, True)
+    if not fs.rename(new, old):
+        raise OSError(f"could not put {staged} in place of {path}")
 
 
 def truncate_and_load(df: DataFrame, path: str) -> None:

@@ -85,8 +85,23 @@ def _sum(arr: Column) -> Column:
     return F.aggregate(arr, F.lit(0.0), lambda acc, v: acc + v)
 
 
+def _local(rings: Column) -> Column:
+    """{edges, x, y}: edges relative to the first vertex, so that large coordinates do not cancel."""
+    first = F.get(F.get(rings, F.lit(0)), F.lit(0))
+    return let(first, lambda o: F.struct(
+        all_edges(F.transform(rings, lambda ring: F.transform(ring, lambda p: F.struct(
+            (p["x"] - o["x"]).alias("x"), (p["y"] - o["y"]).alias("y")
+        )))).alias("edges"),
+        o["x"].alias("x"), o["y"].alias("y"),
+    ))
+
+
+def _cross(e: Column) -> Column:
+    return e["x1"] * e["y2"] - e["x2"] * e["y1"]
+
+
 def signed_area(rings: Column) -> Column:
-    return _sum(F.transform(all_edges(rings), lambda e: e["x1"] * e["y2"] - e["x2"] * e["y1"])) / 2
+    return let(_local(rings), lambda r: _sum(F.transform(r["edges"], _cross)) / 2)
 
 
 def area(rings: Column) -> Column:
@@ -101,17 +116,15 @@ def perimeter(rings: Column) -> Column:
 
 
 def centroid(rings: Column) -> Column:
-    def cross(e: Column) -> Column:
-        return e["x1"] * e["y2"] - e["x2"] * e["y1"]
-
-    def of(es: Column) -> Column:
-        three_a = _sum(F.transform(es, cross)) * 3
+    def of(r: Column) -> Column:
+        es = r["edges"]
+        three_a = _sum(F.transform(es, _cross)) * 3
         return F.struct(
-            (_sum(F.transform(es, lambda e: (e["x1"] + e["x2"]) * cross(e))) / three_a).alias("x"),
-            (_sum(F.transform(es, lambda e: (e["y1"] + e["y2"]) * cross(e))) / three_a).alias("y"),
+            (r["x"] + _sum(F.transform(es, lambda e: (e["x1"] + e["x2"]) * _cross(e))) / three_a).alias("x"),
+            (r["y"] + _sum(F.transform(es, lambda e: (e["y1"] + e["y2"]) * _cross(e))) / three_a).alias("y"),
         )
 
-    return let(all_edges(rings), of)
+    return let(_local(rings), of)
 
 
 def map_points(rings: Column, fn) -> Column:

@@ -57,7 +57,7 @@ class Tables:
             F.when(F.col("o_orderstatus") == "F", "Bushfire").when(F.col("o_orderstatus") == "P", "Planned Burn")
             .otherwise("Unknown").alias("fire_type"),
             lat_of(key, c % 100).alias("lat"), lon_of(key, c % 100).alias("lon"),
-            (F.lit(0.01) + (key % 4) * F.lit(0.01)).alias("half"),
+            (F.lit(0.01037) + (key % 4) * F.lit(0.01)).alias("half"),
         )
         return o.withColumns({
             "season": time.season(F.col("ignition_date")), "size_class": fire.size_class(F.col("area_ha")),

@@ -233,11 +233,11 @@ def detections_within_fires(t: Tables):
         t.hot.select("event_id", "lat", "lon"), t.fire_shapes.select("rings"), "lon", "lat", "rings", SIZE, "left_semi").distinct()
 
 
-@query("centroid_in_cell", "SELECT fire_id, floor((lon-140.0)/0.1)::BIGINT AS cell_x, floor((lat-(-40.0))/0.1)::BIGINT AS cell_y FROM fires", "fires")
+@query("centroid_in_cell", "SELECT fire_id, floor((round(lon,9)-140.0)/0.1)::BIGINT AS cell_x, floor((round(lat,9)+40.0)/0.1)::BIGINT AS cell_y FROM fires", "fires")
 def centroid_in_cell(t: Tables):
     shapes = t.fire_shapes.select("fire_id", "rings")
-    # the centroid of a symmetric diamond is exact only up to rounding: nudge to the 1e-9 grid before binning
     out = polygons.centroid_in_cell(shapes, "rings", 0.1, (140.0, -40.0))
+    # a centroid is exact only up to rounding, so both engines bin it at nine decimals
     x, y = F.round("centroid_x", 9), F.round("centroid_y", 9)
     return out.select("fire_id", F.floor((x - F.lit(140.0)) / F.lit(0.1)).alias("cell_x"), F.floor((y + F.lit(40.0)) / F.lit(0.1)).alias("cell_y"))
 

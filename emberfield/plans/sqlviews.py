@@ -50,7 +50,7 @@ VIEWS = {
         o_totalprice / pow(10.0::DOUBLE, 2 + o_orderkey % 4) AS area_ha,
         CASE o_orderstatus WHEN 'F' THEN 'Bushfire' WHEN 'P' THEN 'Planned Burn' ELSE 'Unknown' END AS fire_type,
         {_lat('o_orderkey', 'o_custkey % 100')} AS lat, {_lon('o_orderkey', 'o_custkey % 100')} AS lon,
-        0.01::DOUBLE + (o_orderkey % 4) * 0.01::DOUBLE AS half FROM orders""",
+        0.01037::DOUBLE + (o_orderkey % 4) * 0.01::DOUBLE AS half FROM orders""",
     "fires": f"SELECT *, {season('ignition_date')} AS season, {SIZE_CLASS.format(a='area_ha')} AS size_class FROM fires0",
     "fire_det": """SELECT l_orderkey AS fire_id, o_orderdate AS ignition_date,
         o_orderdate + to_days(((l_partkey*7 + l_linenumber*3) % 14 - 2 + CASE WHEN l_partkey % 50 = 0 THEN 200 ELSE 0 END)::INT)
@@ -107,7 +107,8 @@ def with_views(names: str, body: str) -> str:
     """``body`` preceded by the named views; a body may start with its own ``, name AS (...)`` list."""
     views = _closure(names.split())
     if not views:
-        return body.strip()
+        text = body.strip()
+        return "WITH " + text[1:].strip() if text.startswith(",") else text
     head = "WITH " + ",\n".join(f"{n} AS ({VIEWS[n]})" for n in views)
     body = body.strip()
     return head + ("\n" if not body.startswith(",") else "") + body

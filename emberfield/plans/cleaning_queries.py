@@ -34,22 +34,15 @@ def clean_firms_history(t: Tables):
 
 
 @query("clean_fire_events", """
-SELECT DISTINCT cell_x AS latitude, cell_y AS longitude, acq_date AS event_date, CASE WHEN k % 10 = 0 THEN 0 ELSE k END::INT AS confidence_score,
- 'NASA FIRMS' AS source_system, conf FROM (SELECT *, CASE WHEN k % 10 = 0 THEN 'h' || (k // 50)::VARCHAR ELSE k::VARCHAR END AS conf FROM hot)
-WHERE bright_t31 IS NOT NULL""", "hot")
+SELECT latitude, longitude, acq_date AS event_date, coalesce(try_cast(conf AS DOUBLE), 0)::INT AS confidence_score, 'NASA FIRMS' AS source_system
+FROM (SELECT DISTINCT cell_x AS latitude, cell_y AS longitude, acq_date,
+      CASE WHEN k % 10 = 0 THEN 'h' || (k // 50)::VARCHAR ELSE k::VARCHAR END AS conf FROM hot WHERE bright_t31 IS NOT NULL)""", "hot")
 def clean_fire_events(t: Tables):
     k = F.col("k")
     conf = F.when(k % 10 == 0, F.concat(F.lit("h"), F.floor(k / 50).cast("string"))).otherwise(k.cast("string"))
     src = t.hot.select(F.when(F.col("bright_t31").isNotNull(), F.col("cell_x")).alias("latitude"), F.col("cell_y").alias("longitude"),
                        F.col("acq_date").cast("string").alias("acq_date"), conf.alias("confidence"))
-    out = cleaning.clean_fire_events(src.withColumn("confidence", F.col("confidence")))
-    # the raw confidence is kept beside the cleaned rows through their distinct keys
-    raw = src.dropna().distinct().select("latitude", "longitude", F.col("acq_date").cast("date").alias("event_date"),
-                                         F.col("confidence").alias("conf"))
-    n = F.coalesce(F.col("conf").try_cast("double"), F.lit(0.0)).cast("int")
-    keyed = raw.withColumn("confidence_score", n)
-    kept = out.select("latitude", "longitude", "event_date", "confidence_score", "source_system").distinct()
-    return keyed.join(kept, ["latitude", "longitude", "event_date", "confidence_score"])
+    return cleaning.clean_fire_events(src).drop(*cleaning.NULL_KEYS)
 
 
 @query("clean_weather", """

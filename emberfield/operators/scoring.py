@@ -6,13 +6,14 @@ from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from emberfield.functions import fire
 
 
 def score_table(df: DataFrame, scorer: Callable, sequence: str, output: str = "fire_probability") -> DataFrame:
     """Apply a caller's model to batches: ``scorer`` maps a list of sequences to lists of probabilities."""
-    schema = df.schema.add(output, "array<double>")
+    schema = StructType([*df.schema.fields, StructField(output, ArrayType(DoubleType()))])
 
     def run(batches: Iterator) -> Iterator:
         for batch in batches:

@@ -104,12 +104,12 @@ def detection_count_status(t: Tables):
 
 UNIFIED = _WINDOW + """
 , u0 AS (SELECT f.fire_id, ignition_date, area_ha, season, size_class, fire_type, lat, lon, half, peak_frp, cumulative_frp, coalesce(dc,0) AS viirs_detection_count,
-   CASE WHEN extinguish_date < ignition_date THEN ignition_date + INTERVAL 6 HOUR ELSE extinguish_date END AS e,
+   CASE WHEN extinguish_date < ignition_date THEN ignition_date + INTERVAL 6 HOUR ELSE extinguish_date END AS fend,
    CASE WHEN dc IS NOT NULL THEN 'detected' WHEN size_class IN ('small','medium') THEN 'imputed_same_day' WHEN size_class IN ('large','mega')
    THEN 'coverage_gap' ELSE 'never_detected' END AS detection_status
    FROM fires f LEFT JOIN frp USING (fire_id) LEFT JOIN ext USING (fire_id)),
-uni AS (SELECT *, CASE WHEN detection_status = 'imputed_same_day' THEN ignition_date + INTERVAL 6 HOUR ELSE e END AS extinguish_date,
-   CASE WHEN detection_status = 'imputed_same_day' THEN 0.25::DOUBLE ELSE round(epoch(e - ignition_date)/86400.0,2) END AS duration_days FROM u0)"""
+uni AS (SELECT *, CASE WHEN detection_status = 'imputed_same_day' THEN ignition_date + INTERVAL 6 HOUR ELSE fend END AS extinguish_date,
+   CASE WHEN detection_status = 'imputed_same_day' THEN 0.25::DOUBLE ELSE round(epoch(fend - ignition_date)/86400.0,2) END AS duration_days FROM u0)"""
 
 
 @query("unify_fires", UNIFIED + """

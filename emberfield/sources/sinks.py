@@ -12,7 +12,7 @@ import uuid
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType, _parse_datatype_string
+from pyspark.sql.types import LongType, StructField, StructType, _parse_datatype_string
 
 from emberfield import schemas
 from emberfield.functions import geometry
@@ -90,7 +90,7 @@ def append_new_by_key(batch: DataFrame, path: str, keys: list[str], order: list[
 def insert_new_incidents(batch: DataFrame, path: str, locate=None) -> dict[str, int]:
     """Append incidents whose id is unknown; ``locate`` adds ``location_id`` to the new ones only."""
     spark = batch.sparkSession
-    schema = batch.schema if "location_id" in batch.columns else StructType(batch.schema.fields).add("location_id", "bigint")
+    schema = batch.schema if "location_id" in batch.columns else StructType([*batch.schema.fields, StructField("location_id", LongType())])
     fresh = durable(new_by_key(batch, read_table(spark, path, schema), ["id"], ["updated"]))
     located = locate(fresh) if locate else fresh.withColumn("location_id", F.lit(None).cast("bigint"))
     located = durable(located.select(*schema.names))

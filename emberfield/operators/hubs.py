@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from emberfield.functions import geometry, grid, time
 from emberfield.operators.ordering import number_rows
+from emberfield.session import sized_broadcast
 
 CELL = ["lat_idx", "lon_idx"]
 
@@ -82,8 +83,8 @@ def align_observation(
     hours = times.select("time_id", F.col("datetime_record").alias("_hour"))
     return (
         inside.withColumn("_hour", time.floor_hour(F.col(ts)))
-        .join(locations.select("location_id", *CELL), CELL)
-        .join(hours, "_hour")
+        .join(sized_broadcast(locations.select("location_id", *CELL)), CELL)
+        .join(sized_broadcast(hours), "_hour")
         .select(id_col, "location_id", "time_id", *keep)
     )
 
@@ -94,7 +95,8 @@ def align_static(
     size: float = 0.1, box: grid.Box = grid.STATE_BOX,
 ) -> DataFrame:
     inside = with_cell(df.where(grid.in_bounds(F.col(lat), F.col(lon), box)), lat, lon, size)
-    return inside.join(locations.select("location_id", *CELL), CELL).select(id_col, "location_id", *keep)
+    cells = sized_broadcast(locations.select("location_id", *CELL))
+    return inside.join(cells, CELL).select(id_col, "location_id", *keep)
 
 
 def get_or_create_locations(
@@ -197,7 +199,7 @@ def grid_row_col(df: DataFrame, lat: str, lon: str) -> DataFrame:
     valid = df.where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
     rows = number_rows(valid.select(lat).distinct(), [lat], "row", start=0)
     cols = number_rows(valid.select(lon).distinct(), [lon], "col", start=0)
-    return valid.join(rows, lat).join(cols, lon)
+    return valid.join(sized_broadcast(rows), lat).join(sized_broadcast(cols), lon)
 
 
 def snapped_center(lat: Column, lon: Column, size: float = 0.05) -> tuple[Column, Column]:

@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from emberfield.functions import geometry
 
 
+_LONG_OUTLINE = 64
+
+
 def _bucket(v: Column, size: float) -> Column:
     return F.floor(v / F.lit(size)).cast("bigint")
 
@@ -33,7 +36,12 @@ def polygon_cells(polys: DataFrame, rings: str, size: float) -> DataFrame:
     # a hair of margin keeps points that rounding puts just across a bucket line
     e = F.lit(size * 1e-9)
     touched = cells.where(geometry.intersects_box(r, x0 - e, y0 - e, x0 + s + e, y0 + s + e))
-    return touched.withColumn("inside", geometry.covers_box(r, x0 - e, y0 - e, x0 + s + e, y0 + s + e))
+    # a long outline is cut to its surroundings (one bucket each way keeps the cut off the bucket itself)
+    local = F.when(
+        F.size(F.flatten(r)) > _LONG_OUTLINE, geometry.clip_to_box(r, x0 - s, y0 - s, x0 + s * 2, y0 + s * 2)
+    ).otherwise(r)
+    inside = geometry.covers_box(r, x0 - e, y0 - e, x0 + s + e, y0 + s + e)
+    return touched.withColumns({"inside": inside, rings: local})
 
 
 def with_bucket(points: DataFrame, x: str, y: str, size: float) -> DataFrame:

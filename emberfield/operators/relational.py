@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from emberfield.functions import grid, time
 from emberfield.operators import nearest
 from emberfield.operators.quality import require_no_rows
+from emberfield.session import sized_broadcast
 
 
 def incidents_with_hubs(incidents: DataFrame, locations: DataFrame, times: DataFrame) -> DataFrame:
@@ -15,14 +16,15 @@ def incidents_with_hubs(incidents: DataFrame, locations: DataFrame, times: DataF
     loc = locations.select("location_id", "grid_latitude", "grid_longitude", "region_name")
     hour = times.select("time_id", "datetime_record", "season")
     base = incidents.drop("datetime_record", "season")
-    return base.join(loc, "location_id").join(hour, "time_id")
+    return base.join(sized_broadcast(loc), "location_id").join(sized_broadcast(hour), "time_id")
 
 
 def risk_inputs(weather: DataFrame, locations: DataFrame, times: DataFrame, features: list[str]) -> DataFrame:
     """Model features with hub columns; ordering by location and time is left to the reader."""
     loc = locations.select("location_id", "grid_latitude", "grid_longitude", "grid_row", "grid_col", "region_name")
     hour = times.select("time_id", "datetime_record")
-    return weather.select("location_id", "time_id", *features).join(loc, "location_id").join(hour, "time_id")
+    rows = weather.select("location_id", "time_id", *features)
+    return rows.join(sized_broadcast(loc), "location_id").join(sized_broadcast(hour), "time_id")
 
 
 def fire_event_full(

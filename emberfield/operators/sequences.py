@@ -14,6 +14,7 @@ from pyspark.sql.window import Window
 from emberfield.functions import grid
 from emberfield.operators.ordering import number_rows
 from emberfield.operators.quality import require_no_rows
+from emberfield.session import sized_broadcast
 
 _BLOCK = 100_000
 
@@ -178,7 +179,7 @@ def materialize_samples(
 
 def label_grid(detections: DataFrame, times: DataFrame, height: int, width: int) -> tuple[DataFrame, DataFrame]:
     """Burning cells (t_idx, row, col) on the time axis, and counts of what fell outside it."""
-    joined = detections.join(times, "datetime", "left")
+    joined = detections.join(sized_broadcast(times), "datetime", "left")
     on_axis = F.col("t_idx").isNotNull()
     in_grid = F.col("cell_y").between(0, height - 1) & F.col("cell_x").between(0, width - 1)
     placed = joined.where(on_axis & in_grid).select(
@@ -203,7 +204,10 @@ def tensor_long(
     valid = df.where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
     rows = number_rows(valid.select(lat).distinct(), [lat], "row", start=0)
     cols = number_rows(valid.select(lon).distinct(), [lon], "col", start=0)
-    keyed = valid.withColumn("datetime", F.col(ts)).join(times, "datetime").join(rows, lat).join(cols, lon)
+    keyed = (
+        valid.withColumn("datetime", F.col(ts)).join(sized_broadcast(times), "datetime")
+        .join(sized_broadcast(rows), lat).join(sized_broadcast(cols), lon)
+    )
     last = F.max_by(F.struct(*features), F.struct(*order))
     return keyed.groupBy("t_idx", "row", "col").agg(last.alias("f")).select("t_idx", "row", "col", "f.*")
 

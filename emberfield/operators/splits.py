@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from emberfield.functions import time
 from emberfield.operators.ordering import number_rows
+from emberfield.session import sized_broadcast
 
 # Validation starts, training period ends, test starts.
 SPLIT_DATES = ("2021-01-01", "2021-06-30", "2021-07-01")
@@ -29,7 +30,7 @@ def time_split_ratio(df: DataFrame, ts: str, train_val: float = 0.9, train: floa
     named = axis.withColumn("_n", total).withColumn("_tv", F.floor(F.col("_n") * F.lit(train_val)))
     named = named.withColumn("_tr", F.floor(F.col("_tv") * F.lit(train)))
     split = F.when(F.col("t_idx") < F.col("_tr"), "train").when(F.col("t_idx") < F.col("_tv"), "val").otherwise("test")
-    return df.join(named.select(ts, "t_idx", split.alias("split")), ts)
+    return df.join(sized_broadcast(named.select(ts, "t_idx", split.alias("split"))), ts)
 
 
 def sequence_split_ratio(samples: DataFrame, order: list[str], train_val: float = 0.9, train: float = 0.85) -> DataFrame:
@@ -65,7 +66,7 @@ def stratified_split(
     ranked = number_rows(named, [label, *[f"_h{i}" for i in range(len(rank))], *key], "_i", start=0)
     groups = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
     starts = ranked.groupBy(label).agg(F.min("_i").alias("_s"))
-    sized = ranked.join(groups.join(starts, label), label)
+    sized = ranked.join(sized_broadcast(groups.join(starts, label)), label)
     val = (F.col("_i") - F.col("_s")) < F.floor(F.col("_n") * F.lit(fraction))
     return sized.withColumn("split", F.when(val, "val").otherwise("train")).drop(
         "_i", "_n", "_s", *[f"_h{i}" for i in range(len(rank))]

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def get_session(app: str = "emberfield", cores: int | str = "*", memory: str = "12g") -> SparkSession:
@@ -50,6 +51,14 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def sized_broadcast(df: DataFrame, rows: int = 200_000) -> DataFrame:
+    """Broadcast ``df`` if counting shows it is small, else leave the join to Spark's shuffle.
+
+    Counting stops one row past the limit, so the check stays cheap on a large table.
+    """
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """Fresh path under the shared folder for a table written by a job or stream."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

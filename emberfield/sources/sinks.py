@@ -57,9 +57,14 @@ def write_geojson(df: DataFrame, rings: str, path: str, csv_path: str | None = N
         write_csv(df.drop(rings), csv_path)
 
 
-def new_by_key(batch: DataFrame, target: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
+def new_by_key(
+    batch: DataFrame, target: DataFrame, keys: list[str], order: list[str] | None = None, within: str | None = None
+) -> DataFrame:
     """Rows of ``batch`` that an insert ignoring conflicts on ``keys`` would add.
 
+    ``within`` names a key column (e.g. the date) whose range in the batch limits the
+    part of the target that is read; on a partitioned table it prunes partitions.
+
     Copies inside the batch collapse to the first by ``order``; a row with a NULL key
     part never conflicts, as in an SQL unique constraint.
     """
@@ -75,15 +80,26 @@ def new_by_key(batch: DataFrame, target: DataFrame, keys: list[str], order: list
         )
     else:
         keyed = keyed.distinct()
-    return keyed.join(target.select(*keys), keys, "left_anti").select(*batch.columns).unionByName(batch.where(null_key))
+    seen = target.select(*keys)
+    if within:
+        span = batch.agg(F.struct(F.min(within).alias("lo"), F.max(within).alias("hi"))).scalar()
+        seen = seen.where((F.col(within) >= span.getField("lo")) & (F.col(within) <= span.getField("hi")))
+    return keyed.join(seen, keys, "left_anti").select(*batch.columns).unionByName(batch.where(null_key))
+
 
+def append_new_by_key(
+    batch: DataFrame, path: str, keys: list[str], order: list[str] | None = None, partition: str | None = None
+) -> dict[str, int]:
+    """Idempotent append; returns rows fetched, inserted and skipped.
 
-def append_new_by_key(batch: DataFrame, path: str, keys: list[str], order: list[str] | None = None) -> dict[str, int]:
-    """Idempotent append; returns rows fetched, inserted and skipped."""
+    With ``partition`` (a key column) the table is partitioned by it and only the
+    partitions in the batch's range are compared.
+    """
     spark = batch.sparkSession
-    fresh = durable(new_by_key(batch, read_table(spark, path, batch.schema), keys, order))
+    fresh = durable(new_by_key(batch, read_table(spark, path, batch.schema), keys, order, partition))
     fetched, inserted = batch.count(), fresh.count()
-    fresh.write.mode("append").parquet(path)
+    writer = fresh.write.mode("append")
+    (writer.partitionBy(partition) if partition else writer).parquet(path)
     return {"fetched": fetched, "inserted": inserted, "skipped": fetched - inserted}
 
 

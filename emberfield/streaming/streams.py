@@ -69,9 +69,9 @@ def hotspot_stream(
         if delay_days is not None:
             newest = batch.agg(F.max("acq_datetime")).scalar()
             dated = batch.withColumn("_late", F.col("acq_datetime") < time.plus_days(newest, -delay_days))
-            sinks.append_new_by_key(dated.where("_late").drop("_late"), late_table, HOTSPOT_KEY)
+            sinks.append_new_by_key(dated.where("_late").drop("_late"), late_table, HOTSPOT_KEY, partition="acq_date")
             fresh = dated.where(~F.col("_late")).drop("_late")
-        run.finish(["stream"], sinks.append_new_by_key(fresh, table, HOTSPOT_KEY))
+        run.finish(["stream"], sinks.append_new_by_key(fresh, table, HOTSPOT_KEY, partition="acq_date"))
 
     return _run(gridded, checkpoint, each)
 

@@ -36,40 +36,52 @@ def all_edges(rings: Column) -> Column:
     return F.flatten(F.transform(rings, edges))
 
 
-def contains_point(rings: Column, x: Column, y: Column) -> Column:
-    """Ray casting to the right of the point."""
+def edges_contain(edge_list: Column, x: Column, y: Column) -> Column:
+    """Ray casting to the right of the point over a flat edge array."""
     crossing = F.filter(
-        all_edges(rings),
+        edge_list,
         lambda e: ((e["y1"] > y) != (e["y2"] > y))
         & (x < (e["x2"] - e["x1"]) * (y - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"]),
     )
     return F.coalesce(F.size(crossing) % 2 == 1, F.lit(False))
 
 
+def contains_point(rings: Column, x: Column, y: Column) -> Column:
+    return edges_contain(all_edges(rings), x, y)
+
+
 def _edge_hits_box(e: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
-    """Segment against closed box: bounding boxes overlap and the corners are not all on one side."""
+    """Segment against closed box: the extents overlap and the box does not lie on one side of the line."""
     overlap = (
         (F.greatest(e["x1"], e["x2"]) >= x0) & (F.least(e["x1"], e["x2"]) <= x1)
         & (F.greatest(e["y1"], e["y2"]) >= y0) & (F.least(e["y1"], e["y2"]) <= y1)
     )
+    dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
+    # distance of the box centre from the line against the reach of the box across it (both doubled)
+    off = F.abs(dx * (y0 + y1 - e["y1"] * 2) - dy * (x0 + x1 - e["x1"] * 2))
+    return overlap & (off <= (x1 - x0) * F.abs(dy) + (y1 - y0) * F.abs(dx))
 
-    def side(cx: Column, cy: Column) -> Column:
-        return (e["x2"] - e["x1"]) * (cy - e["y1"]) - (e["y2"] - e["y1"]) * (cx - e["x1"])
 
-    corners = [side(x0, y0), side(x1, y0), side(x1, y1), side(x0, y1)]
-    return overlap & (F.least(*corners) <= 0) & (F.greatest(*corners) >= 0)
+def edges_touch_box(edge_list: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
+    return F.coalesce(F.exists(edge_list, lambda e: _edge_hits_box(e, x0, y0, x1, y1)), F.lit(False))
 
 
-def intersects_box(rings: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
+def edges_intersect_box(edge_list: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
     """True if the polygon and the closed box share a point."""
-    touches = F.exists(all_edges(rings), lambda e: _edge_hits_box(e, x0, y0, x1, y1))
-    return F.coalesce(touches, F.lit(False)) | contains_point(rings, (x0 + x1) / 2, (y0 + y1) / 2)
+    return edges_touch_box(edge_list, x0, y0, x1, y1) | edges_contain(edge_list, (x0 + x1) / 2, (y0 + y1) / 2)
 
 
-def covers_box(rings: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
-    """True if the whole box lies inside the polygon (no edge touches it)."""
-    touches = F.exists(all_edges(rings), lambda e: _edge_hits_box(e, x0, y0, x1, y1))
-    return ~F.coalesce(touches, F.lit(False)) & contains_point(rings, (x0 + x1) / 2, (y0 + y1) / 2)
+def intersects_box(rings: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
+    return edges_intersect_box(all_edges(rings), x0, y0, x1, y1)
+
+
+def edges_beside_box(edge_list: Column, x0: Column, y0: Column, y1: Column) -> Column:
+    """The edges a ray to the right from inside the box could cross, or that touch the box."""
+    return F.filter(
+        edge_list,
+        lambda e: (F.greatest(e["y1"], e["y2"]) >= y0) & (F.least(e["y1"], e["y2"]) <= y1)
+        & (F.greatest(e["x1"], e["x2"]) >= x0),
+    )
 
 
 def bounds(rings: Column) -> Column:

@@ -11,37 +11,57 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emberfield.functions import geometry
-
-
-_LONG_OUTLINE = 64
+from emberfield.session import shuffle_partitions
 
 
 def _bucket(v: Column, size: float) -> Column:
     return F.floor(v / F.lit(size)).cast("bigint")
 
 
-def _bounding_cells(polys: DataFrame, bounds: str, size: float) -> DataFrame:
-    b = F.col(bounds)
-    return polys.select(
+def _prepared(polys: DataFrame, rings: str) -> DataFrame:
+    """Add the flat edge array ``_e`` and the bounds ``_b``, both computed once per polygon.
+
+    Polygons are spread evenly first: the tests that follow are bound by the processor,
+    and an input split may hold a few large outlines or very many small ones.
+    """
+    even = polys.repartition(shuffle_partitions(polys.sparkSession))
+    return even.withColumns({"_e": geometry.all_edges(F.col(rings)), "_b": geometry.bounds(F.col(rings))})
+
+
+def _bounding_cells(prepared: DataFrame, size: float) -> DataFrame:
+    b = F.col("_b")
+    return prepared.select(
         "*", F.explode(F.sequence(_bucket(b["x0"], size), _bucket(b["x1"], size))).alias("bx")
     ).select("*", F.explode(F.sequence(_bucket(b["y0"], size), _bucket(b["y1"], size))).alias("by"))
 
 
 def polygon_cells(polys: DataFrame, rings: str, size: float) -> DataFrame:
-    """Add ``bx``, ``by`` for every bucket the polygon touches and ``inside`` if it covers it."""
-    r = F.col(rings)
+    """A row per bucket the polygon touches: ``bx``, ``by``, ``inside`` if it covers the bucket.
+
+    ``_e`` keeps only the edges that matter for points of the bucket, so a long outline
+    is not repeated in full for every bucket; the rings themselves are dropped.
+    """
     s = F.lit(size)
-    cells = _bounding_cells(polys.withColumn("_b", geometry.bounds(r)), "_b", size).drop("_b")
-    x0, y0 = F.col("bx") * s, F.col("by") * s
-    # a hair of margin keeps points that rounding puts just across a bucket line
-    e = F.lit(size * 1e-9)
-    touched = cells.where(geometry.intersects_box(r, x0 - e, y0 - e, x0 + s + e, y0 + s + e))
-    # a long outline is cut to its surroundings (one bucket each way keeps the cut off the bucket itself)
-    local = F.when(
-        F.size(F.flatten(r)) > _LONG_OUTLINE, geometry.clip_to_box(r, x0 - s, y0 - s, x0 + s * 2, y0 + s * 2)
-    ).otherwise(r)
-    inside = geometry.covers_box(r, x0 - e, y0 - e, x0 + s + e, y0 + s + e)
-    return touched.withColumns({"inside": inside, rings: local})
+    e = F.lit(size * 1e-9)  # a hair of margin keeps points that rounding puts just across a bucket line
+    cells = _bounding_cells(_prepared(polys, rings).drop(rings), size)
+    cells = cells.withColumns({
+        "_x0": F.col("bx") * s - e, "_y0": F.col("by") * s - e,
+        "_x1": F.col("bx") * s + s + e, "_y1": F.col("by") * s + s + e,
+    })
+    x0, y0, x1, y1 = (F.col(c) for c in ("_x0", "_y0", "_x1", "_y1"))
+
+    def test(edges: Column) -> Column:
+        return F.struct(
+            edges.alias("e"), geometry.edges_touch_box(edges, x0, y0, x1, y1).alias("touch"),
+            geometry.edges_contain(edges, (x0 + x1) / 2, (y0 + y1) / 2).alias("mid"),
+        )
+
+    # an explode keeps the optimizer from evaluating the tests once per use
+    tested = geometry.let(geometry.edges_beside_box(F.col("_e"), x0, y0, y1), test)
+    hits = F.filter(F.array(tested), lambda c: c["touch"] | c["mid"])
+    return cells.select("*", F.explode(hits).alias("_c")).withColumns({
+        "_e": F.col("_c.e"), "inside": ~F.col("_c.touch")
+    }).drop("_c", "_x0", "_y0", "_x1", "_y1")
 
 
 def with_bucket(points: DataFrame, x: str, y: str, size: float) -> DataFrame:
@@ -55,8 +75,10 @@ def points_in_polygons(
     cells = polygon_cells(polys, rings, size)
     pts = with_bucket(points, x, y, size)
     p, c = pts.alias("p"), cells.alias("c")
-    on = (F.col("p.bx") == F.col("c.bx")) & (F.col("p.by") == F.col("c.by")) & (
-        F.col("c.inside") | geometry.contains_point(F.col(f"c.{rings}"), F.col(f"p.{x}"), F.col(f"p.{y}"))
+    px, py, b = F.col(f"p.{x}"), F.col(f"p.{y}"), F.col("c._b")
+    in_bounds = (px >= b["x0"]) & (px <= b["x1"]) & (py >= b["y0"]) & (py <= b["y1"])
+    on = (F.col("p.bx") == F.col("c.bx")) & (F.col("p.by") == F.col("c.by")) & in_bounds & (
+        F.col("c.inside") | geometry.edges_contain(F.col("c._e"), px, py)
     )
     joined = p.join(c, on, how)
     if how == "left_semi":
@@ -74,16 +96,17 @@ def boxes_intersect_polygons(
     w, s, e, n = box_cols
     b = boxes.select("*", F.explode(F.sequence(_bucket(F.col(w), size), _bucket(F.col(e), size))).alias("bx"))
     b = b.select("*", F.explode(F.sequence(_bucket(F.col(s), size), _bucket(F.col(n), size))).alias("by"))
-    cells = _bounding_cells(polys.withColumn("_pb", geometry.bounds(F.col(rings))), "_pb", size)
+    cells = _bounding_cells(_prepared(polys, rings).drop(rings), size)
     left, right = b.alias("b"), cells.alias("c")
     on = (F.col("b.bx") == F.col("c.bx")) & (F.col("b.by") == F.col("c.by"))
-    hit = geometry.intersects_box(
-        F.col(f"c.{rings}"), F.col(f"b.{w}"), F.col(f"b.{s}"), F.col(f"b.{e}"), F.col(f"b.{n}")
-    )
+    pb = F.col("c._b")
+    x0, y0, x1, y1 = (F.col(f"b.{c}") for c in (w, s, e, n))
+    overlap = (pb["x0"] <= x1) & (pb["x1"] >= x0) & (pb["y0"] <= y1) & (pb["y1"] >= y0)
+    hit = overlap & geometry.edges_intersect_box(F.col("c._e"), x0, y0, x1, y1)
     if how == "left_semi":
         return left.join(right, on & hit, "left_semi").drop("bx", "by").distinct()
-    first = (F.col("b.bx") == F.greatest(_bucket(F.col(f"b.{w}"), size), _bucket(F.col("c._pb.x0"), size))) & (
-        F.col("b.by") == F.greatest(_bucket(F.col(f"b.{s}"), size), _bucket(F.col("c._pb.y0"), size))
+    first = (F.col("b.bx") == F.greatest(_bucket(F.col(f"b.{w}"), size), _bucket(pb["x0"], size))) & (
+        F.col("b.by") == F.greatest(_bucket(F.col(f"b.{s}"), size), _bucket(pb["y0"], size))
     )
     keep = [F.col(f"c.{c}") for c in polys.columns if c != rings]
     return left.join(right, on & first & hit).select("b.*", *keep).drop("bx", "by")
@@ -96,7 +119,7 @@ def centroid_in_cell(df: DataFrame, rings: str, size: float, origin: tuple[float
         "centroid_x": F.col("_c.x"), "centroid_y": F.col("_c.y"),
         "cell_x": _bucket(F.col("_c.x") - F.lit(origin[0]), size),
         "cell_y": _bucket(F.col("_c.y") - F.lit(origin[1]), size),
-    }).drop("_c")
+    }).drop("_c", "_x0", "_y0", "_x1", "_y1")
 
 
 def clip_cells(
@@ -108,12 +131,13 @@ def clip_cells(
     """
     w, s, e, n = box_cols
     x0, y0, x1, y1 = (F.col(f"b.{c}") for c in box_cols)
-    pieces = polygon_cells(boundary.select(rings), rings, size).select("bx", "by", "inside", rings).alias("c")
+    shapes = boundary.select(F.col(rings).alias("_shape"), rings)
+    pieces = polygon_cells(shapes, rings, size).select("bx", "by", "inside", "_shape").alias("c")
     b = with_bucket(
         cells.withColumns({"_mx": (F.col(w) + F.col(e)) / 2, "_my": (F.col(s) + F.col(n)) / 2}), "_mx", "_my", size
     ).alias("b")
     joined = b.join(pieces, (F.col("b.bx") == F.col("c.bx")) & (F.col("b.by") == F.col("c.by")))
-    cut = geometry.clip_to_box(F.col(f"c.{rings}"), x0, y0, x1, y1)
+    cut = geometry.clip_to_box(F.col("c._shape"), x0, y0, x1, y1)
     full = F.array(F.array(
         *[F.struct(px.alias("x"), py.alias("y")) for px, py in ((x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0))]
     ))

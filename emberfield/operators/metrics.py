@@ -189,6 +189,14 @@ def evaluation_summary(df: DataFrame, split: str, label: str, prob: str, thresho
     })
 
 
+def auc_gap(summary: DataFrame, split: str, first: str, second: str, limit: float = 0.02) -> DataFrame:
+    """Difference of the ROC areas of two splits and whether it stays below the limit."""
+    def area(name: str) -> Column:
+        return F.max(F.when(F.col(split) == name, F.col("roc_auc")))
+
+    return summary.agg(F.abs(area(first) - area(second)).alias("auc_gap")).withColumn("stable", F.col("auc_gap") < limit)
+
+
 def loss_terms(
     df: DataFrame, label: str, logit: str, alpha: float = 0.85, gamma: float = 2.0,
     tversky: tuple[float, float, float] = (0.3, 0.7, 1e-6),

@@ -283,6 +283,14 @@ def replace_then_append(t: Tables):
     return t.spark.read.parquet(path).groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("sort_for_export", """
+SELECT row_number() OVER (ORDER BY ignition_date, fire_id) AS position, fire_id, ignition_date FROM fires""", "fires")
+def sort_for_export(t: Tables):
+    """The export order, made visible as a position."""
+    rows = sinks.sort_for_export(t.fires.select("fire_id", "ignition_date"), "fires")
+    return ordering.number_rows(rows, sinks.EXPORT_ORDER["fires"], "position")
+
+
 @query("project_to_target", "SELECT event_id, NULL::INTEGER AS weather_id, frp FROM hot", "hot")
 def project_to_target(t: Tables):
     return sinks.project_to_target(t.hot, ["event_id", "weather_id", "frp"]).withColumn("weather_id", F.col("weather_id").cast("int"))

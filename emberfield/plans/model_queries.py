@@ -425,6 +425,16 @@ def evaluation_summary(t: Tables):
     return rounded(metrics.evaluation_summary(t.pred, "daynight", "y", "p"), "roc_auc", "precision", "recall", "f1", "false_alarm_rate")
 
 
+@query("auc_gap", """
+, s AS (SELECT daynight, p, count(*) AS n, sum(y) AS pos FROM pred GROUP BY 1,2),
+c AS (SELECT *, sum(pos) OVER (PARTITION BY daynight ORDER BY p DESC) AS cp, sum(n) OVER (PARTITION BY daynight) AS tn, sum(pos) OVER (PARTITION BY daynight) AS tp FROM s),
+a AS (SELECT daynight, sum((n-pos)*(cp-pos/2.0::DOUBLE)/tp/(tn-tp)) AS auc FROM c GROUP BY 1),
+g AS (SELECT abs(max(auc)-min(auc)) AS g FROM a) SELECT round(g,6) AS auc_gap, g < 0.02 AS stable FROM g""", "pred")
+def auc_gap(t: Tables):
+    summary = metrics.evaluation_summary(t.pred, "daynight", "y", "p")
+    return rounded(metrics.auc_gap(summary, "daynight", "D", "N"), "auc_gap")
+
+
 @query("loss_terms", """
 , z AS (SELECT y::DOUBLE AS y, p*4-2 AS z, 1/(1+exp(-(p*4-2))) AS q FROM pred),
 t AS (SELECT *, greatest(z,0)-z*y+ln(1+exp(-abs(z))) AS bce, q*y+(1-q)*(1-y) AS pt FROM z)

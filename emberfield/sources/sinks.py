@@ -152,6 +152,18 @@ def replace_table(df: DataFrame, path: str) -> None:
         raise OSError(f"could not put {staged} in place of {path}")
 
 
+# Sort order of each exported table.
+EXPORT_ORDER = {
+    "detections": ["acq_date", "acq_time"], "cells": ["acq_date", "daynight", "satellite"], "passes": ["pass_datetime"],
+    "fires": ["ignition_date", "fire_id"], "daily_detections": ["datetime"],
+}
+
+
+def sort_for_export(df: DataFrame, kind: str) -> DataFrame:
+    """Globally sorted rows (range-partitioned by Spark) in the order of the named export."""
+    return df.orderBy(*EXPORT_ORDER[kind])
+
+
 def truncate_and_load(df: DataFrame, path: str) -> None:
     replace_table(df, path)
 

@@ -129,15 +129,20 @@ def detections_daily_cell(detections: DataFrame, maxima: list[str], firsts: list
     return out.withColumn("datetime", F.col("date").cast(time.NTZ)).drop("date")
 
 
+def _cents(c: Column) -> Column:
+    """Two decimals; rounding to six first removes the noise of the order of summation."""
+    return F.round(F.round(c, 6), 2)
+
+
 def cell_fire_stats(pairs: DataFrame, cell: str = "cell_id") -> DataFrame:
     """Statistics per cell over its (fire, cell) pairs; areas are whole-fire areas per touched cell."""
     status = F.col("detection_status")
     stats = pairs.where(F.col(cell).isNotNull()).groupBy(cell).agg(
         F.countDistinct("fire_id").alias("fire_count"),
-        F.round(F.coalesce(F.sum("area_ha"), F.lit(0.0)), 2).alias("total_area_burned_ha"),
-        F.round(F.max("peak_frp"), 2).alias("max_peak_frp"),
-        F.round(F.coalesce(F.sum("cumulative_frp"), F.lit(0.0)), 2).alias("total_cumulative_frp"),
-        F.round(F.avg("duration_days"), 2).alias("avg_duration_days"),
+        _cents(F.coalesce(F.sum("area_ha"), F.lit(0.0))).alias("total_area_burned_ha"),
+        _cents(F.max("peak_frp")).alias("max_peak_frp"),
+        _cents(F.coalesce(F.sum("cumulative_frp"), F.lit(0.0))).alias("total_cumulative_frp"),
+        _cents(F.avg("duration_days")).alias("avg_duration_days"),
         F.count_if(status == "detected").alias("fires_detected"),
         F.count_if(status.isin("imputed_same_day", "coverage_gap")).alias("fires_undetected"),
         F.coalesce(F.mode("season", True), F.lit("Unknown")).alias("dominant_season"),

@@ -132,8 +132,8 @@ def impute_undetected(t: Tables):
 
 _PAIRS = UNIFIED + CELLS_SQL.replace("WITH", "") + f"""
 , pr AS (SELECT f.*, x::VARCHAR || '_' || y::VARCHAR AS cell_id FROM cb, uni f WHERE {_HIT}),
-st AS (SELECT cell_id, count(DISTINCT fire_id) AS fire_count, round(sum(area_ha),2) AS total_area_burned_ha, round(max(peak_frp),2) AS max_peak_frp,
-   round(coalesce(sum(cumulative_frp),0),2) AS total_cumulative_frp, round(avg(duration_days),2) AS avg_duration_days,
+st AS (SELECT cell_id, count(DISTINCT fire_id) AS fire_count, round(round(sum(area_ha),6),2) AS total_area_burned_ha, round(max(peak_frp),2) AS max_peak_frp,
+   round(round(coalesce(sum(cumulative_frp),0),6),2) AS total_cumulative_frp, round(round(avg(duration_days),6),2) AS avg_duration_days,
    count(*) FILTER (detection_status = 'detected') AS fires_detected, count(*) FILTER (detection_status IN ('imputed_same_day','coverage_gap')) AS fires_undetected
    FROM pr GROUP BY 1),
 ds AS (SELECT cell_id, season AS dominant_season, row_number() OVER (PARTITION BY cell_id ORDER BY count(*) DESC, season) AS rn FROM pr GROUP BY 1,2),

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from emberfield import schemas
 from emberfield.functions import grid, time
 from emberfield.operators import cleaning
 from emberfield.operators.relational import incident_locations
@@ -128,8 +127,3 @@ def weather_current_stream(payloads: DataFrame, table: str, checkpoint: str) ->
 
     return _run(valid, checkpoint, each)
 
-
-__all__ = [
-    "file_stream", "incident_stream", "hotspot_stream", "env_12h_stream", "refresh_on_change", "risk_snapshot_stream",
-    "weather_current_stream", "schemas",
-]

@@ -84,28 +84,41 @@ def id_bounds(sizes: DataFrame, target: int) -> np.ndarray:
     return np.unique(np.array([r[0] for r in ranged.mapInArrow(cut, "id long").collect()], np.int64))
 
 
-def by_id_range(docs: DataFrame, id_col: str, bounds: np.ndarray) -> DataFrame:
-    """Rows packed as (chunk int, rows binary), chunks ascending with the id; null ids are left out."""
-    shared = docs.sparkSession.sparkContext.broadcast(bounds)
-
+def _packed(docs: DataFrame, chunk_of: Callable[[pa.RecordBatch], np.ndarray], drop: int = 0) -> DataFrame:
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
                 continue
-            ids = b.column(b.schema.get_field_index(id_col)).to_numpy()
-            chunk = np.maximum(np.searchsorted(shared.value, ids, "right") - 1, 0)
+            chunk = chunk_of(b)
             order = np.argsort(chunk, kind="stable")
-            cuts = np.flatnonzero(np.diff(chunk[order])) + 1
-            groups = np.split(order, cuts)
+            groups = np.split(order, np.flatnonzero(np.diff(chunk[order])) + 1)
+            rows = b.select(b.schema.names[drop:])
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([int(chunk[g[0]]) for g in groups], pa.int32()),
-                    pa.array([encode_rows(b.take(pa.array(g))) for g in groups], pa.binary()),
+                    pa.array([encode_rows(rows.take(pa.array(g))) for g in groups], pa.binary()),
                 ],
                 ["chunk", "rows"],
             )
 
-    return docs.where(F.col(id_col).isNotNull()).mapInArrow(split, "chunk int, rows binary")
+    return docs.mapInArrow(split, "chunk int, rows binary")
+
+
+def by_id_range(docs: DataFrame, id_col: str, bounds: np.ndarray) -> DataFrame:
+    """Rows packed as (chunk int, rows binary), chunks ascending with the id; null ids are left out."""
+    shared = docs.sparkSession.sparkContext.broadcast(bounds)
+
+    def chunk_of(b: pa.RecordBatch) -> np.ndarray:
+        ids = b.column(b.schema.get_field_index(id_col)).to_numpy()
+        return np.maximum(np.searchsorted(shared.value, ids, "right") - 1, 0)
+
+    return _packed(docs.where(F.col(id_col).isNotNull()), chunk_of)
+
+
+def by_hash(docs: DataFrame, key, chunks: int) -> DataFrame:
+    """Rows packed as (chunk int, rows binary), dealt to ``chunks`` chunks by a hash of ``key``."""
+    dealt = docs.select(F.pmod(F.xxhash64(key), F.lit(chunks)).cast("int").alias("_chunk"), *docs.columns)
+    return _packed(dealt, lambda b: b.column(0).to_numpy(), drop=1)
 
 
 def bucket_count(spark: SparkSession, total_bytes: int, per_bucket: int) -> int:
@@ -121,47 +134,69 @@ def to_buckets(hashes: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarr
             yield b, part
 
 
-def hash_entries(chunks: DataFrame, sets_of: Callable[[pa.Table], np.ndarray], buckets: int) -> DataFrame:
-    """(bucket, chunk, hashes): the sorted distinct hashes ``sets_of`` finds in each chunk's rows."""
+def hash_entries(chunks: DataFrame, hashes_of: Callable[[pa.Table], np.ndarray], buckets: int) -> DataFrame:
+    """(bucket, chunk, hashes, counts): the distinct hashes found in each chunk's rows, ascending, with their counts there."""
 
     def emit(key, table):
         chunk = key[0].as_py()
-        hashes = np.unique(sets_of(decode_rows(table["rows"].to_pylist())))
-        parts = list(to_buckets(hashes, buckets))
+        hashes, counts = np.unique(hashes_of(decode_rows(table["rows"].to_pylist())), return_counts=True)
+        counts = np.minimum(counts, np.iinfo(np.uint32).max).astype(np.uint32)
+        parts, at = [], 0
+        for b, part in to_buckets(hashes, buckets):
+            parts.append((b, pack_sorted(part), pack(counts[at : at + len(part)])))
+            at += len(part)
         return pa.table({
-            "bucket": pa.array([b for b, _ in parts], pa.int32()),
+            "bucket": pa.array([p[0] for p in parts], pa.int32()),
             "chunk": pa.array([chunk] * len(parts), pa.int32()),
-            "hashes": pa.array([pack_sorted(p) for _, p in parts], pa.binary()),
+            "hashes": pa.array([p[1] for p in parts], pa.binary()),
+            "counts": pa.array([p[2] for p in parts], pa.binary()),
         })
 
-    return chunks.groupBy("chunk").applyInArrow(emit, "bucket int, chunk int, hashes binary")
+    return chunks.groupBy("chunk").applyInArrow(emit, "bucket int, chunk int, hashes binary, counts binary")
 
 
-def answers(entries: DataFrame, choose: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
-    """(chunk, hashes): per bucket, the entries ``choose`` marks, sent back to their chunk.
+Choice = Callable[[np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
-    ``choose`` gets the bucket's hashes in ascending order and, for equal hashes,
-    their chunks in ascending order, and returns a boolean array.
+
+def answers(entries: DataFrame, choose: Choice) -> DataFrame:
+    """(chunk, hashes, counts): per bucket, the entries ``choose`` marks, sent back to their chunk.
+
+    ``choose`` gets the bucket's hashes in ascending order, for equal hashes their
+    chunks in ascending order, and the counts; it returns a boolean array and the
+    counts to send.
     """
 
     def reduce(table):
         parts = [unpack_sorted(x) for x in table["hashes"].to_pylist()]
         chunks = np.repeat(table["chunk"].to_numpy().astype(np.int32), [len(p) for p in parts])
+        counts = np.concatenate([unpack(x, np.uint32) for x in table["counts"].to_pylist()])
         hashes = np.concatenate(parts)
         del parts
         order = np.lexsort((chunks, hashes))
-        hashes, chunks = hashes[order], chunks[order]
-        keep = choose(hashes, chunks)
-        hashes, chunks = hashes[keep], chunks[keep]
-        order = np.lexsort((hashes, chunks))
-        hashes, chunks = hashes[order], chunks[order]
+        hashes, chunks, counts = hashes[order], chunks[order], counts[order]
+        keep, counts = choose(hashes, chunks, counts)
+        hashes, chunks, counts = hashes[keep], chunks[keep], counts[keep].astype(np.uint32)
+        order = np.argsort(chunks, kind="stable")
+        hashes, chunks, counts = hashes[order], chunks[order], counts[order]
         found, starts = np.unique(chunks, return_index=True)
+        split = lambda x: np.split(x, starts[1:]) if len(found) else []
         return pa.table({
             "chunk": pa.array(found, pa.int32()),
-            "hashes": pa.array([pack_sorted(p) for p in np.split(hashes, starts[1:])] if len(found) else [], pa.binary()),
+            "hashes": pa.array([pack_sorted(p) for p in split(hashes)], pa.binary()),
+            "counts": pa.array([pack(p) for p in split(counts)], pa.binary()),
         })
 
-    return entries.groupBy("bucket").applyInArrow(reduce, "chunk int, hashes binary")
+    return entries.groupBy("bucket").applyInArrow(reduce, "chunk int, hashes binary, counts binary")
+
+
+def merged_counts(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and counts of all answers to one chunk, ascending by hash."""
+    if not table.num_rows:
+        return np.empty(0, np.uint64), np.empty(0, np.uint32)
+    hashes = np.concatenate([unpack_sorted(b) for b in table["hashes"].to_pylist()])
+    counts = np.concatenate([unpack(b, np.uint32) for b in table["counts"].to_pylist()])
+    order = np.argsort(hashes)
+    return hashes[order], counts[order]
 
 
 def merged(blobs: list[bytes]) -> np.ndarray:

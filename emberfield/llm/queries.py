@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberfield.llm import substrings
+from emberfield.llm import jaccard, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -63,3 +63,30 @@ WITH w AS (
 SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id
 """
+
+
+@query
+def op6_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.similar_groups(table(spark, folder, "documents"))
+
+
+# all linked pairs through the inverted index of 5-word shingles, then the smallest reachable id
+SQL["op6_ngram_jaccard"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS a
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, md5(array_to_string(a[i:i + 4], ' ')) AS g
+  FROM (SELECT doc_id, a, unnest(range(1, greatest(len(a) - 4, 1) + 1)) AS i FROM w WHERE len(a) > 0)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), links AS (
+  SELECT x.doc_id AS a, y.doc_id AS b
+  FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id JOIN n nx ON nx.doc_id = x.doc_id JOIN n ny ON ny.doc_id = y.doc_id
+  GROUP BY x.doc_id, y.doc_id, nx.n, ny.n HAVING 100 * count(*) >= 80 * (nx.n + ny.n - count(*))
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b
+)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, r.c AS component_id
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) r ON r.a = d.doc_id
+"""

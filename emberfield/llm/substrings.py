@@ -95,8 +95,8 @@ def remove_repeated(
 
     entries = hash_entries(chunks, lambda rows: _hashed(rows[text_col].to_pylist(), size)[1], buckets)
 
-    def seen_before(hashes: np.ndarray, chunk: np.ndarray) -> np.ndarray:
-        return np.concatenate([[False], hashes[1:] == hashes[:-1]]) if len(hashes) else np.zeros(0, bool)
+    def seen_before(hashes, chunk, counts):
+        return np.append(False, hashes[1:] == hashes[:-1])[: len(hashes)], counts
 
     replies = answers(entries, seen_before)
 

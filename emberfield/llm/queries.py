@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberfield.llm import jaccard, packing, substrings
+from emberfield.llm import jaccard, packing, substrings, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -96,3 +96,8 @@ FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN (SELECT a, min(b) AS c
 def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     packed = packing.pack_documents(table(spark, folder, "documents"), ids_out=False)
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query
+def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, folder, "documents"))

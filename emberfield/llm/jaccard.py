@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emberfield.llm.blocks import among, answers, bucket_count, by_hash, decode_rows, hash_entries, merged, merged_counts, saved
+from emberfield.llm.blocks import among, answers, bucket_count, by_hash, decode_rows, hash_entries, merged, merged_counts, pack, saved, unpack
 from emberfield.llm.components import components
 from emberfield.llm.words import Windows, WordHashes, split_words
 
@@ -119,7 +119,32 @@ def _root(up: list[int], i: int) -> int:
     return i
 
 
-def _unit_links(ids: list[int], sizes: np.ndarray, grams: list[np.ndarray], freqs: list[np.ndarray], groups: list[int], percent: int) -> list[tuple[int, int]]:
+def _coded(grams: list[np.ndarray], freqs: list[np.ndarray]) -> list[np.ndarray]:
+    """Dense codes in the global order, frequency first; ascending within each set."""
+    gram, freq = np.concatenate(grams), np.concatenate(freqs)
+    order = np.lexsort((gram, freq))
+    new = np.append(True, (gram[order][1:] != gram[order][:-1]) | (freq[order][1:] != freq[order][:-1]))
+    code = np.empty(len(gram), np.uint32)
+    code[order] = np.cumsum(new) - 1
+    return np.split(code, np.cumsum([len(g) for g in grams])[:-1])
+
+
+def _probe_links(ids: list[int], sizes: np.ndarray, seqs: list[np.ndarray], codes: int, groups: list, percent: int) -> list[tuple[int, int]]:
+    """One link from each probe (null group) to the sets of the tree, if it has any."""
+    inside = [i for i, g in enumerate(groups) if g is not None]
+    if not inside:
+        return []
+    tree = PrefixTree([seqs[i] for i in inside], sizes[inside], codes, percent)
+    found = []
+    for i, g in enumerate(groups):
+        if g is None:
+            hits = tree.linked(seqs[i], int(sizes[i]))
+            if len(hits):
+                found.append((ids[i], ids[inside[int(hits[0])]]))
+    return found
+
+
+def _unit_links(ids: list[int], sizes: np.ndarray, seqs: list[np.ndarray], codes: int, groups: list, percent: int) -> list[tuple[int, int]]:
     """Links that join the unit's sets into their groups; sets of one given group count as joined.
 
     A link between two groups has an end outside the largest one, so probing every
@@ -131,13 +156,7 @@ def _unit_links(ids: list[int], sizes: np.ndarray, grams: list[np.ndarray], freq
         up[i] = by_group.setdefault(g, i)
     if len(by_group) < 2:
         return []
-    gram, freq = np.concatenate(grams), np.concatenate(freqs)
-    order = np.lexsort((gram, freq))
-    new = np.append(True, (gram[order][1:] != gram[order][:-1]) | (freq[order][1:] != freq[order][:-1]))
-    code = np.empty(len(gram), np.uint32)
-    code[order] = np.cumsum(new) - 1
-    seqs = np.split(code, np.cumsum([len(g) for g in grams])[:-1])
-    tree = PrefixTree(seqs, sizes, int(code.max()) + 1 if len(code) else 0, percent)
+    tree = PrefixTree(seqs, sizes, codes, percent)
     found, probed = [], set()
     while True:
         roots = [_root(up, i) for i in range(len(ids))]
@@ -170,9 +189,10 @@ def _join_units(units: DataFrame, percent: int) -> DataFrame:
             if len(rows) < 2:
                 return []
             ids, n, label, grams, freqs = zip(*rows, strict=True)
-            return _unit_links(
-                list(ids), np.array(n, np.int64), [np.frombuffer(g, np.uint64) for g in grams], [np.frombuffer(f, np.uint32) for f in freqs], list(label), percent
-            )
+            seqs = _coded([unpack(g) for g in grams], [unpack(f, np.uint32) for f in freqs])
+            codes = 1 + max(int(s[-1]) for s in seqs)
+            links = _probe_links if None in label else _unit_links
+            return links(list(ids), np.array(n, np.int64), seqs, codes, list(label), percent)
 
         def out(edges):
             return pa.RecordBatch.from_arrays([pa.array([e[0] for e in edges], pa.int64()), pa.array([e[1] for e in edges], pa.int64())], ["a", "b"])
@@ -207,21 +227,46 @@ def _first_wave(sets: DataFrame, block: int) -> DataFrame:
     return dealt.join(sets.drop("prefix"), "id").withColumn("label", F.col("id"))
 
 
-def _second_wave(sets: DataFrame, labels: DataFrame, block: int) -> DataFrame:
-    """Units by every prefix gram whose sets are not one group yet: all sets outside the group's largest label against all."""
-    posted = saved(
-        sets.select("id", F.explode("prefix").alias("t"))
-        .join(labels.select(F.col("node").alias("id"), "component"), "id", "left")
-        .select("t", "id", F.coalesce("component", "id").alias("label")),
-        "postings",
+def _met_groups(sets: DataFrame, posted: DataFrame, few: DataFrame, percent: int, unit_bytes: int) -> DataFrame:
+    """Units of one group as the tree and the sets of smaller groups that may link with it as probes.
+
+    A set probes a group if they meet at as many prefix grams as a link needs at
+    least. Group and probes are dealt into blocks of about ``unit_bytes``; every block of probes meets every block of the group.
+    """
+    here = posted.join(few.select("t"), "t", "left_semi")
+    labels = here.groupBy("t", "label", "members").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    larger = labels.select("t", F.col("label").alias("to"), F.col("members").alias("to_members"), "low", "high")
+    met = (
+        here.join(larger, "t")
+        .where(F.struct("members", "label") < F.struct("to_members", "to"))
+        .groupBy("id", "to")
+        .agg(F.count(F.lit(1)).alias("meets"), F.first("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
     )
-    per_label = posted.groupBy("t", "label").agg(F.count(F.lit(1)).alias("c"))
-    mixed = saved(
-        per_label.groupBy("t").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("labels"), F.max(F.struct("c", "label")).alias("top")).where("labels > 1")
-        .select("t", "c", F.col("top.label").alias("main"), F.col("top.c").alias("c_main")),
-        "mixed",
+    part = F.lit(percent)
+    low = F.greatest("low", F.ceil(F.col("n") * part / 100))
+    high = F.least("high", F.floor(F.col("n") * 100 / part))
+
+    def least(n):
+        both = F.ceil((F.col("n") + n) * part / (100 + part))
+        return both - F.greatest(F.ceil(F.col("n") * part / 100), F.ceil(n * part / 100)) + 1
+
+    met = saved(met.where((low <= high) & (F.col("meets") >= F.least(least(low), least(high)))).select("id", "to"), "met")
+    weight = F.octet_length("grams") + 100
+    probes = met.join(sets.select("id", weight.alias("w")), "id").groupBy("to").agg(F.sum("w").alias("w_out"))
+    group = posted.select("id", F.col("label").alias("to")).distinct().join(met.select("to").distinct(), "to", "left_semi")
+    inside = group.join(sets.select("id", weight.alias("w")), "id").groupBy("to").agg(F.sum("w").alias("w_in"))
+    blocks = saved(
+        inside.join(probes, "to").select("to", F.ceil(F.col("w_in") / unit_bytes).cast("int").alias("k_in"), F.ceil(F.col("w_out") / unit_bytes).cast("int").alias("k_out")), "blocks"
     )
-    member = posted.join(mixed, "t")
+    mine = lambda k: F.pmod(F.xxhash64("id"), F.col(k)).cast("int")
+    tree = group.join(blocks, "to").select("id", F.col("to").alias("t"), mine("k_in").alias("i"), F.explode(F.sequence(F.lit(0), F.col("k_out") - 1)).alias("j"), F.col("to").alias("label"))
+    probe = met.join(blocks, "to").select("id", F.col("to").alias("t"), F.explode(F.sequence(F.lit(0), F.col("k_in") - 1)).alias("i"), mine("k_out").alias("j"), F.lit(None).cast("long").alias("label"))
+    return tree.unionByName(probe).join(sets.drop("prefix"), "id")
+
+
+def _mixed_blocks(sets: DataFrame, posted: DataFrame, many: DataFrame, block: int) -> DataFrame:
+    """Units of grams that sets of many groups share: all sets outside the gram's largest group against all, in blocks."""
+    member = posted.join(many, "t")
     inside = F.col("label") == F.col("main")
     k_in = F.ceil(F.col("c_main") / F.lit(block)).cast("int")
     k_out = F.ceil((F.col("c") - F.col("c_main")) / F.lit(block)).cast("int")
@@ -241,6 +286,26 @@ def _second_wave(sets: DataFrame, labels: DataFrame, block: int) -> DataFrame:
     return dealt.join(sets.drop("prefix"), "id")
 
 
+def _second_wave(sets: DataFrame, labels: DataFrame, percent: int, block: int, unit_bytes: int, few_labels: int) -> DataFrame:
+    """All links between the groups of the first wave, or enough of them to join what is linked."""
+    sized = saved(labels.join(labels.groupBy("component").agg(F.count(F.lit(1)).alias("members")), "component"), "sized")
+    posted = saved(
+        sets.select("id", "n", F.explode("prefix").alias("t"))
+        .join(sized.withColumnRenamed("node", "id"), "id", "left")
+        .select("t", "id", "n", F.coalesce("component", "id").alias("label"), F.coalesce("members", F.lit(1)).alias("members")),
+        "postings",
+    )
+    mixed = saved(
+        posted.groupBy("t", "label").agg(F.count(F.lit(1)).alias("c"))
+        .groupBy("t").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("labels"), F.max(F.struct("c", "label")).alias("top")).where("labels > 1")
+        .select("t", "c", "labels", F.col("top.label").alias("main"), F.col("top.c").alias("c_main")),
+        "mixed",
+    )
+    few, many = F.col("labels") <= few_labels, F.col("labels") > few_labels
+    met = _met_groups(sets, posted, mixed.where(few), percent, unit_bytes)
+    return _join_units(met, percent).unionByName(_join_units(_mixed_blocks(sets, posted, mixed.where(many), block), percent))
+
+
 def similar_groups(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -250,6 +315,8 @@ def similar_groups(
     chunk_bytes: int = 16 << 20,
     bucket_words: int = 2_000_000,
     block: int = 256,
+    unit_bytes: int = 4 << 20,
+    few_labels: int = 64,
 ) -> DataFrame:
     """Groups of texts whose sets of word n-grams are linked by Jaccard similarity.
 
@@ -262,7 +329,9 @@ def similar_groups(
        linked sets share a gram of their prefixes, the first n - required + 1 grams.
     4. Sets sharing a prefix gram meet in a unit of bounded size. There they form a
        prefix tree that is probed with the sets not yet joined to the rest. First by
-       the rarest gram only, then by every prefix gram whose sets are not one group.
+       the rarest gram only. Then each group found is probed with the sets of smaller
+       groups that share enough prefix grams with it; prefix grams that more than
+       ``few_labels`` groups share are joined in blocks instead.
     5. The links found join all groups; links inside a joined group are not listed.
 
     Returns (id, n_shingles, component_id): one row per input row; the component is
@@ -334,7 +403,7 @@ def similar_groups(
             freq = counts[np.searchsorted(hashes, mine)]
             by = np.lexsort((mine, freq))
             mine, freq = mine[by], freq[by]
-            for name, value in zip(out, (i, n, mine.tobytes(), freq.tobytes(), mine[: len(mine) - need + 1].view(np.int64)), strict=True):
+            for name, value in zip(out, (i, n, pack(mine), pack(freq), mine[: len(mine) - need + 1].view(np.int64)), strict=True):
                 out[name].append(value)
         kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()))
         return pa.table({name: pa.array(out[name], kind) for name, kind in zip(out, kinds, strict=True)})
@@ -343,7 +412,7 @@ def similar_groups(
 
     first = saved(_join_units(_first_wave(sets, block), percent), "links")
     labels = saved(components(first), "labels")
-    second = _join_units(_second_wave(sets, labels, block), percent)
+    second = saved(_second_wave(sets, labels, percent, block, unit_bytes, few_labels), "links")
     links = labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(second)
     final = components(links)
     groups = saved(

@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberfield.llm import jaccard, packing, substrings, token_counts
+from emberfield.llm import jaccard, packing, sharding, substrings, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -101,3 +101,34 @@ def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, folder, "documents"))
+
+
+@query
+def op3_histogram_shards(spark: SparkSession, folder: str) -> DataFrame:
+    text = F.coalesce("text", F.lit("")).cast("binary")
+    docs = table(spark, folder, "documents").select(
+        "doc_id", F.crc32(text).alias("text_crc32"), F.octet_length(text).alias("_bytes"), F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long").alias("_group")
+    )
+    dealt = sharding.shard_by_bytes(docs, F.col("_group"), F.col("doc_id"), F.col("_bytes") + 8)
+    return dealt.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+# groups of equal texts that hold up to 2 % of a shard go where they start, larger ones are cut between rows;
+# crc32 is written out, a byte at a time through the table of its polynomial
+SQL["op3_histogram_shards"] = r"""
+WITH crc AS (
+  SELECT list_transform(range(256), lambda x: list_reduce([x, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS steps
+), k AS (
+  SELECT doc_id, coalesce(text, '') AS t, strlen(coalesce(text, '')) + 8 AS size, ('0x' || substr(md5(coalesce(text, '')), 1, 15))::BIGINT AS g FROM documents
+), c AS (
+  SELECT *, sum(size) OVER (ORDER BY g, doc_id) - size AS before, sum(size) OVER (PARTITION BY g) AS of_group, sum(size) OVER () AS total FROM k
+), placed AS (
+  SELECT *, (floor(CASE WHEN of_group <= floor(0.02 * total / 24) THEN min(before) OVER (PARTITION BY g) ELSE before END * 24 / total))::INT AS shard FROM c
+)
+SELECT doc_id, size::BIGINT AS size, xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode(t)), '..'), lambda h: ('0x' || h)::BIGINT)),
+    lambda v, b: xor(v >> 8, steps[(xor(v, b) & 255) + 1]))) AS text_crc32,
+  'bytes' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY g, doc_id) - 1 AS slot, NULL::INT AS grown_shard
+FROM placed, crc
+"""

@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberfield.llm import jaccard, packing, sharding, substrings, token_counts
+from emberfield.llm import jaccard, language, packing, sharding, substrings, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -132,3 +132,11 @@ SELECT doc_id, size::BIGINT AS size, xor(4294967295, list_reduce(
   'bytes' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY g, doc_id) - 1 AS slot, NULL::INT AS grown_shard
 FROM placed, crc
 """
+
+
+@query
+def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    model = language.train(docs.where(~language.held_out()))
+    found = language.predict(docs.select("doc_id", "text"), model, keep_text=False)
+    return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")

@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberfield.llm import jaccard, language, packing, sharding, substrings, token_counts
+from emberfield.llm import jaccard, language, packing, quality, sharding, substrings, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -140,3 +140,9 @@ def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
     model = language.train(docs.where(~language.held_out()))
     found = language.predict(docs.select("doc_id", "text"), model, keep_text=False)
     return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    judged = quality.quality_rules(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return judged.select("doc_id", *quality.BASE, "base_failed", "kept", "quality")

@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberfield.llm import jaccard, language, packing, quality, sharding, substrings, token_counts
+from emberfield.llm import decontaminate, jaccard, language, packing, quality, sharding, substrings, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -146,3 +146,10 @@ def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
 def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality.quality_rules(table(spark, folder, "documents"), table(spark, folder, "labels"))
     return judged.select("doc_id", *quality.BASE, "base_failed", "kept", "quality")
+
+
+@query
+def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = decontaminate.find_leaks(docs, table(spark, folder, "benchmark"), keep_text=False)
+    return found.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.item_id", "leak.distance", "leak.budget", "leak.stop")

@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberfield.llm import chat, decontaminate, jaccard, language, packing, quality, sharding, substrings, token_counts
+from emberfield.llm import chat, decontaminate, jaccard, language, licences, packing, quality, sharding, substrings, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -178,3 +178,10 @@ SELECT conv_id, count(*) AS n_turns,
   sum(24 + length(replace(replace(replace(role, '\', '\\'), '<|', '<\|'), chr(10), '\n')) + length(replace(replace(text, '\', '\\'), '<|', '<\|')))::BIGINT AS formatted_chars
 FROM t GROUP BY conv_id
 """
+
+
+@query
+def op2_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "source", "text")
+    path = F.concat_ws("/", F.coalesce("source", F.lit("unknown")), F.floor(F.col("doc_id") / 1000).cast("string"), F.col("doc_id").cast("string"))
+    return licences.scan_licences(docs, path, F.col("text")).select("doc_id", "path", "licence", "similarity", "origin", "from_directory")

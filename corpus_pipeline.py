@@ -3,13 +3,70 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-STAGES: list = []
+from emberfield.llm import decontaminate, jaccard, language, packing, substrings
+from emberfield.llm.blocks import saved
+from emberfield.llm.queries import python_path
+
+#: Least probability of the predicted language for a document to stay.
+LEAST_SCORE = 0.5
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is clear; those without a letter or with an unclear language go. A missing ``lang`` is filled in."""
+    python_path(spark)
+    model = language.train(docs.where(~language.held_out()))
+    found = language.predict(docs, model).where((F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LEAST_SCORE))
+    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of similar texts, once; documents without an id stay."""
+    python_path(spark)
+    groups = jaccard.similar_groups(docs)
+    stay = groups.where("doc_id = component_id").select("doc_id").distinct()
+    known = docs.where("doc_id is not null").join(stay, "doc_id", "left_semi").withColumn("_text", F.xxhash64("text"))
+    return known.dropDuplicates(["doc_id", "_text"]).select(docs.columns).unionByName(docs.where("doc_id is null"))
+
+
+def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages a document with a smaller id has too; a text of which nothing is left goes."""
+    python_path(spark)
+    cut = substrings.remove_repeated(docs).where("n_removed = 0 or n_removed < n_words")
+    changed = F.col("n_removed") > 0
+    return cut.withColumn("text", F.when(changed, F.col("kept_text")).otherwise(F.col("text"))).withColumn(
+        "n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    ).select(docs.columns)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item within its error budget."""
+    python_path(spark)
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.find_leaks(docs, items).where(F.size("leaks") == 0).select(docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Places of all pieces in training sequences; see ``packing.pack_documents``."""
+    python_path(spark)
+    return packing.pack_documents(docs, ids_out=False)
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("ngram_jaccard", drop_near_duplicates),
+    ("substring_dedup", remove_repeats),
+    ("decontamination", drop_leaks),
+    ("best_fit_packing", pack),
+]
+#: SQL can't express the trained model, the edit distance and the exchanges; the tests hold each stage against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on the documents table; what a stage returns is written and read again for the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = saved(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

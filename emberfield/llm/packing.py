@@ -183,7 +183,7 @@ def pack_lengths(items: DataFrame, capacity: int = 1024, block: int = 8192) -> D
     Items of full length are sequences of their own. The others are dealt by a
     hash to blocks of about ``block`` items; each block is filled best-fit and improved by
     exchanges. What lies in underfull bins is dealt anew to fewer blocks, as long as that
-    at least halves it, until one block is left.
+    takes a tenth of it at least, until one block is left.
     """
     full = items.where(F.col("length") == capacity).select("row", (-1 - F.col("row")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     done, rest = [full], items.where(F.col("length") < capacity).select("row", "length")
@@ -194,7 +194,7 @@ def pack_lengths(items: DataFrame, capacity: int = 1024, block: int = 8192) -> D
         packed = saved(dealt.groupBy("_block").applyInArrow(_filler(capacity, turn << 56), "row long, length long, sequence_id long, offset long, full boolean"), "packed")
         rest = packed.where("not full").select("row", "length")
         left = rest.count() if blocks > 1 else 0
-        last = left > count // 2 or not left
+        last = left > 0.9 * count or not left
         done.append((packed if last else packed.where("full")).select("row", "sequence_id", "offset"))
         count, turn = (0 if last else left), turn + 1
     out = done[0]

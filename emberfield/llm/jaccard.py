@@ -35,6 +35,10 @@ def _gram_sets(texts: list[str | None], size: int) -> list[np.ndarray]:
     return sets
 
 
+def _signed(value: int) -> int:
+    return value - (1 << 64) if value >> 63 else value
+
+
 def _joined(sets: list[np.ndarray]) -> np.ndarray:
     return np.concatenate(sets) if sets else np.empty(0, np.uint64)
 
@@ -324,7 +328,7 @@ def similar_groups(
 
     1. Count in how many texts each n-gram occurs. A text of n grams can only link
        if at least percent % of its grams occur elsewhere; most texts end here.
-    2. Equal sets become one set, held by the smallest id.
+    2. Equal sets become one set, named by its hash.
     3. Grams are ordered by their frequency among the sets left, rarest first. Two
        linked sets share a gram of their prefixes, the first n - required + 1 grams.
     4. Sets sharing a prefix gram meet in a unit of bounded size. There they form a
@@ -338,7 +342,8 @@ def similar_groups(
     the smallest id reachable. Words are lower-cased in A-Z only; a text with
     fewer than ``size`` words is one gram; null, empty or blank texts have none and link with nothing.
     Rows with a null id get a null component and link with nothing. Repeated rows
-    are all returned. Other columns are ignored, whatever their names.
+    are all returned, and rows with one id but different texts are judged each by its own
+    text. Other columns are ignored, whatever their names.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
@@ -366,15 +371,15 @@ def similar_groups(
             mine = s[shared[at : at + len(s)]]
             at += len(s)
             candidate = known and len(s) and len(mine) >= _required(len(s), percent)
-            prints.append(xxhash.xxh3_128_digest(s.tobytes()) if candidate else None)
+            prints.append(_signed(xxhash.xxh3_64_intdigest(s.tobytes())) if candidate else None)
             grams.append(mine.tobytes() if candidate else None)
-        return pa.table({"id": rows["id"], "n": pa.array([len(s) for s in sets], pa.int64()), "print": pa.array(prints, pa.binary()), "grams": pa.array(grams, pa.binary())})
+        return pa.table({"id": rows["id"], "n": pa.array([len(s) for s in sets], pa.int64()), "print": pa.array(prints, pa.int64()), "grams": pa.array(grams, pa.binary())})
 
-    screened = saved(chunks.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(screen, "id long, n long, print binary, grams binary"), "screened")
+    screened = saved(chunks.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(screen, "id long, n long, print long, grams binary"), "screened")
     candidates = screened.where("print is not null")
-    classes = saved(candidates.groupBy("print").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies")), "classes")
-    held = candidates.select("id", "n", "grams", "print").join(classes.select("print", F.col("rep").alias("id")), ["print", "id"], "left_semi")
-    held = saved(held.dropDuplicates(["id"]).select("id", "n", "grams"), "held")
+    held = saved(candidates.groupBy("print").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("grams").alias("grams")), "held")
+    classes = held.select("print", "rep")
+    held = held.select(F.col("print").alias("id"), "n", "grams")
 
     gram_bytes = held.agg(F.sum(F.octet_length("grams"))).first()[0] or 0
     packed = by_hash(held, F.col("id"), max(1, -(-gram_bytes // chunk_bytes)))
@@ -414,10 +419,9 @@ def similar_groups(
     labels = saved(components(first), "labels")
     second = saved(_second_wave(sets, labels, percent, block, unit_bytes, few_labels), "links")
     links = labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(second)
-    final = components(links)
-    groups = saved(
-        classes.join(final.select(F.col("node").alias("rep"), "component"), "rep", "left").select("print", F.coalesce("component", "rep").alias("component")), "groups"
-    )
+    named = saved(classes.join(components(links).withColumnRenamed("node", "print"), "print", "left").select("print", "rep", F.coalesce("component", "print").alias("c")), "named")
+    smallest = named.groupBy("c").agg(F.min("rep").alias("component"))
+    groups = saved(named.join(smallest, "c").select("print", "component"), "groups")
     return screened.select("id", "n", "print").join(groups, "print", "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id")
     )

@@ -1,4 +1,4 @@
-"""Token ids of texts, by pre-token where that gives the library's own result."""
+"""Token ids of whole texts."""
 
 from __future__ import annotations
 
@@ -7,42 +7,42 @@ import re
 
 import numpy as np
 import public_tokenizers
-import regex
 import tiktoken
 from tokenizers import Tokenizer
 
-# Outside these ranges the Unicode tables of the libraries may classify a character differently.
+# Outside these ranges the Unicode tables of the two libraries may classify a character differently.
 _PLAIN = re.compile("[\u0000-ɏͰ-՗‐-⁞₠-₿]*")
 
 
-class ByteBpe(dict):
-    """Ids of a byte-level BPE, as little-endian unsigned 32-bit bytes per pre-token.
+def _is_latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
-    Merges never cross pre-tokens, so a text's ids are those of its pre-tokens in
-    order. Ids already worked out are kept, up to ``limit`` pre-tokens. A text with a special string or a character
-    outside the plain ranges goes through the tokenizers library as a whole.
+
+class ByteBpe:
+    """Ids of a byte-level BPE as the tokenizers library gives them, as little-endian unsigned 32-bit bytes.
+
+    The same vocabulary in tiktoken gives the same ids several times faster. A text with a
+    special string, or with a character outside the plain ranges, goes through the tokenizers library itself.
     """
 
-    def __init__(self, name: str = "byte_bpe_50k", limit: int = 250_000):
-        super().__init__()
-        self.limit, self.name = limit, name
+    def __init__(self, name: str = "byte_bpe_50k"):
+        self.name = name
         with open(public_tokenizers.path(f"{name}.tiktoken"), "rb") as f:
             ranks = {base64.b64decode(t): int(r) for t, r in map(bytes.split, f)}
-        self._bpe = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self._split = regex.compile(public_tokenizers.PATTERN).findall
+        self._fast = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self._library: Tokenizer | None = None
 
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= self.limit:
-            self.clear()
-        value = self[piece] = np.array(self._bpe.encode_ordinary(piece), "<u4").tobytes()
-        return value
-
     def ids(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if "<|endoftext|>" in text or not _PLAIN.fullmatch(text):
+        if "<|endoftext|>" not in text and (_is_latin(text) or _PLAIN.fullmatch(text)):
+            found = self._fast.encode_ordinary(text)
+        else:
             if self._library is None:
                 self._library = Tokenizer.from_file(public_tokenizers.path(f"{self.name}.json"))
-            return np.array(self._library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        return b"".join(map(self.__getitem__, self._split(text)))
+            found = self._library.encode(text, add_special_tokens=False).ids
+        return np.array(found, "<u4").tobytes()

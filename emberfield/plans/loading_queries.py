@@ -5,6 +5,8 @@ Each query writes below a fresh folder of the shared directory and reads the res
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from emberfield import schemas
@@ -51,18 +53,53 @@ def read_firms_multi(t: Tables):
 
 @query("read_combined_satellites", """
 SELECT satellite, CASE WHEN satellite = 'click' THEN CASE WHEN k <= 30 THEN 'l' WHEN k >= 70 THEN 'h' ELSE 'n' END ELSE band END AS confidence, count(*) AS n
-FROM hot WHERE satellite IN ('view','signup','click') GROUP BY 1,2""", "hot")
+FROM hot GROUP BY 1,2""", "hot")
 def read_combined_satellites(t: Tables):
     base = scratch_path(t.spark, "combined")
     rows = _archive_rows(t)
-    for name in ("view", "signup"):
-        sinks.write_csv(rows.where(F.col("satellite") == name).drop("k"), f"{base}/{name}")
+    kinds = {"view": ["view", "purchase"], "signup": ["signup", "error"]}
+    for name, satellites in kinds.items():
+        sinks.write_csv(rows.where(F.col("satellite").isin(satellites)).drop("k"), f"{base}/{name}")
     modis = rows.where("satellite = 'click'").withColumn("confidence", F.col("k").cast("string")).drop("k")
     sinks.write_csv(modis, f"{base}/click")
     out = readers.read_combined_satellites(t.spark, f"{base}/view", f"{base}/signup", f"{base}/click")
     return out.groupBy("satellite", "confidence").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("read_firms_daily", "SELECT acq_date, satellite, count(*) AS n FROM hot WHERE acq_date >= DATE '2024-01-03' AND acq_date <= DATE '2024-01-20' GROUP BY 1,2", "hot")
+def read_firms_daily(t: Tables):
+    """One file per day of the year; the last day asked for has none and is passed over."""
+    base = scratch_path(t.spark, "daily")
+    rows = _archive_rows(t).drop("k")
+    for day in range(1, 21):
+        sinks.write_csv(rows.where(F.col("acq_date") == F.lit(dt.date(2024, 1, day))), f"{base}/2024/{day:03d}.csv")
+    return readers.read_firms_daily(t.spark, base, 2024, 3, 21).groupBy("acq_date", "satellite").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("read_year_chunks", "SELECT year(o_orderdate)::INT AS year, count(*) AS n, sum(o_orderkey)::BIGINT AS keys FROM orders GROUP BY 1")
+def read_year_chunks(t: Tables):
+    """One unpacked archive per year in several chunks, and one full-year file beside a partial one."""
+    base = scratch_path(t.spark, "years")
+    schema, out = "o_orderkey BIGINT", None
+    first, last = t.table("orders").agg(F.min(F.year("o_orderdate")), F.max(F.year("o_orderdate"))).first()
+    for year in range(first, last + 1):
+        mine = t.table("orders").where(F.year("o_orderdate") == year).select("o_orderkey")
+        for part in range(2):
+            sinks.write_csv(mine.where(F.col("o_orderkey") % 2 == part), f"{base}/{year}/chunk{part}.csv")
+        chunks = readers.read_year_chunks(t.spark, f"{base}/{year}", schema)
+        out = chunks.withColumn("year", F.lit(year)) if out is None else out.unionByName(chunks.withColumn("year", F.lit(year)))
+    return out.groupBy("year").agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys"))
+
+
+@query("read_year_file", "SELECT o_orderpriority, count(*) AS n FROM orders WHERE year(o_orderdate) = 1995 GROUP BY 1")
+def read_year_file(t: Tables):
+    base = scratch_path(t.spark, "year-file")
+    rows = t.table("orders").where(F.year("o_orderdate") == 1995).select("o_orderpriority")
+    for name in ("env_1995", "jan_1995", "era5land_1995"):
+        sinks.write_csv(rows, f"{base}/{name}.csv")
+    return readers.read_year_file(t.spark, base, 1995, "o_orderpriority STRING").groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("read_env_exports", """
 SELECT l_suppkey::VARCHAR AS grid_id, l_shipdate AS datetime FROM lineitem WHERE l_shipdate <= TIMESTAMP '2000-07-31' AND l_linenumber <> 3 GROUP BY 1,2""")
 def read_env_exports(t: Tables):
@@ -118,7 +155,7 @@ _INC = """
 def read_geojson_features(t: Tables):
     path = scratch_path(t.spark, "geojson")
     _incident_payload(t).select("value").write.text(path)
-    rows = readers.flatten_features(t.spark.read.json(path, schema=schemas.INCIDENT_FEATURES))
+    rows = readers.read_geojson_features(t.spark, path, lines=True)
     return rounded(rows.withColumn("created", F.col("created").cast(time.NTZ)), "latitude", "longitude").select("id", "created", "latitude", "longitude")
 
 
@@ -135,7 +172,7 @@ def read_ascii_table(t: Tables):
 def read_json_records(t: Tables):
     path = scratch_path(t.spark, "json")
     sinks.write_json(t.table("customer").select("c_custkey", "c_name"), path)
-    return t.spark.read.schema("c_custkey BIGINT, c_name STRING").json(path)
+    return readers.read_json_records(t.spark, path, "c_custkey BIGINT, c_name STRING", lines=True)
 
 
 def _hourly(t: Tables):
@@ -237,23 +274,27 @@ def append_new_by_key(t: Tables):
 def _upserted(t: Tables):
     target = t.registry.select("location_id", F.round("grid_latitude", 1).alias("grid_latitude"), F.round("grid_longitude", 1).alias("grid_longitude"), "region_name")
     known = target.groupBy("grid_latitude", "grid_longitude").agg(F.min("location_id").alias("location_id"), F.min("region_name").alias("region_name"))
-    batch = t.hot.select(F.round("lat", 1).alias("grid_latitude"), F.round("lon", 1).alias("grid_longitude"), F.col("satellite").alias("region_name"), "event_id")
+    region = F.when(F.col("event_id") % 4 > 0, F.col("satellite"))
+    batch = t.hot.select(F.round("lat", 1).alias("grid_latitude"), F.round("lon", 1).alias("grid_longitude"), region.alias("region_name"), "event_id")
     return sinks.upsert_location(known.select("location_id", "grid_latitude", "grid_longitude", "region_name"), batch, "event_id")
 
 
 @query("upsert_location", """
 , k AS (SELECT round(grid_latitude,1) AS la, round(grid_longitude,1) AS lo, min(location_id) AS location_id, min(region_name) AS r FROM registry GROUP BY 1,2),
-b AS (SELECT round(lat,1) AS la, round(lon,1) AS lo, arg_max(satellite, event_id) AS r FROM hot GROUP BY 1,2)
-SELECT coalesce(k.la,b.la) AS grid_latitude, coalesce(k.lo,b.lo) AS grid_longitude, location_id, coalesce(b.r,k.r) AS region_name FROM k FULL JOIN b ON k.la = b.la AND k.lo = b.lo""", "hot registry")
+b AS (SELECT round(lat,1) AS la, round(lon,1) AS lo, arg_max(event_id, event_id) AS e, arg_max({'s': CASE WHEN event_id % 4 > 0 THEN satellite END}, event_id).s AS r FROM hot GROUP BY 1,2)
+SELECT coalesce(k.la,b.la) AS grid_latitude, coalesce(k.lo,b.lo) AS grid_longitude, location_id, CASE WHEN e IS NOT NULL THEN b.r ELSE k.r END AS region_name FROM k FULL JOIN b ON k.la = b.la AND k.lo = b.lo""", "hot registry")
 def upsert_location(t: Tables):
+    """The last value wins, also where it is NULL."""
     return _upserted(t)
 
 
 @query("upsert_time", """
-SELECT date_trunc('hour', ts) AS datetime_record, arg_max(satellite, event_id) AS season FROM hot GROUP BY 1""", "hot")
+, b AS (SELECT date_trunc('hour', ts) AS h, arg_max(satellite, event_id) AS s FROM hot WHERE event_id % 3 = 0 GROUP BY 1)
+SELECT datetime_record, coalesce(b.s, season) AS season FROM tim LEFT JOIN b ON b.h = datetime_record""", "tim")
 def upsert_time(t: Tables):
+    """A batch of a third of the events: hours that only the others have keep their season."""
     times = t.hubs[1].select("datetime_record", "season")
-    batch = t.hot.select(time.floor_hour(F.col("ts")).alias("datetime_record"), F.col("satellite").alias("season"), "event_id")
+    batch = t.hot.where("event_id % 3 = 0").select(time.floor_hour(F.col("ts")).alias("datetime_record"), F.col("satellite").alias("season"), "event_id")
     return sinks.upsert_time(times, batch, "event_id")
 
 
@@ -286,9 +327,11 @@ def replace_then_append(t: Tables):
 @query("sort_for_export", """
 SELECT row_number() OVER (ORDER BY ignition_date, fire_id) AS position, fire_id, ignition_date FROM fires""", "fires")
 def sort_for_export(t: Tables):
-    """The export order, made visible as a position."""
-    rows = sinks.sort_for_export(t.fires.select("fire_id", "ignition_date"), "fires")
-    return ordering.number_rows(rows, sinks.EXPORT_ORDER["fires"], "position")
+    """Positions in the exported files, as written: file by file, line by line."""
+    path = scratch_path(t.spark, "export")
+    sinks.sort_for_export(t.fires.select("fire_id", "ignition_date"), "fires").write.parquet(path)
+    back = t.spark.read.parquet(path).select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    return ordering.number_rows(back, ["_file", "_row"], "position").select("position", "fire_id", "ignition_date")
 
 
 @query("project_to_target", "SELECT event_id, NULL::INTEGER AS weather_id, frp FROM hot", "hot")
@@ -366,24 +409,31 @@ def _event_stream(t: Tables):
 
 @query("env_12h_stream", """
 , w AS (SELECT event_type, time_bucket(INTERVAL 12 HOUR, ts, TIMESTAMP '2000-01-01') AS s, avg(value) AS v FROM events GROUP BY 1,2)
-SELECT event_type, s AS interval_start, s + INTERVAL 12 HOUR AS interval_end, round(v,6) AS value FROM w WHERE s + INTERVAL 12 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""")
+SELECT event_type, s AS interval_start, s + INTERVAL 12 HOUR AS interval_end, round(v + 1e-9,6) AS value FROM w WHERE s + INTERVAL 12 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""")
 def env_12h_stream(t: Tables):
-    table, cp = scratch_path(t.spark, "stream-12h"), scratch_path(t.spark, "cp-12h")
-    streams.env_12h_stream(_event_stream(t), ["event_type"], "ts", ["value"], table, cp).awaitTermination()
-    return rounded(t.spark.read.parquet(table), "value")
+    """Three files in three batches, each holding rows of all days, so later ones bring late rows."""
+    src, table, cp = (scratch_path(t.spark, n) for n in ("events-12h", "stream-12h", "cp-12h"))
+    t.table("events").withColumn("part", F.col("event_id") % 3).repartition("part").write.partitionBy("part").parquet(src)
+    stream = streams.file_stream(t.spark, src + "/part=*", "parquet", EVENTS, maxFilesPerTrigger=1)
+    streams.env_12h_stream(stream, ["event_type"], "ts", ["value"], table, cp).awaitTermination()
+    means = t.spark.read.parquet(table).drop("day")
+    return rounded(means.withColumn("value", F.col("value") + 1e-9), "value")  # sums in another order must not flip a tie
 
 
 @query("hotspot_stream", """
-SELECT satellite, count(*) AS n FROM (SELECT DISTINCT round(lat,6), round(lon,6), acq_date, acq_time, satellite FROM hot) GROUP BY 1""", "hot")
+SELECT satellite, acq_date < DATE '2024-01-05' AS late, count(*) AS n FROM (SELECT DISTINCT round(lat,6), round(lon,6), acq_date, acq_time, satellite FROM hot) GROUP BY 1,2""", "hot")
 def hotspot_stream(t: Tables):
+    """Several files and batches against one reference time; older rows are in the late table."""
     src = scratch_path(t.spark, "hotspot-files")
     rows = _archive_rows(t).drop("k", "brightness", "bright_t31").withColumns({"latitude": F.round("latitude", 6), "longitude": F.round("longitude", 6)})
-    sinks.write_csv(rows, src)
+    sinks.write_csv(rows.repartition(3, "satellite"), src)
     table, late, log, cp = (scratch_path(t.spark, n) for n in ("hotspots", "late", "hotspot-log", "cp-hot"))
     schema = ", ".join(f"{c} STRING" for c in rows.columns)
-    stream = streams.file_stream(t.spark, src, "csv", schema, header="true")
-    streams.hotspot_stream(stream, table, late, log, cp).awaitTermination()
-    return t.spark.read.parquet(table).groupBy("satellite").agg(F.count(F.lit(1)).alias("n"))
+    stream = streams.file_stream(t.spark, src, "csv", schema, header="true", maxFilesPerTrigger=1)
+    streams.hotspot_stream(stream, table, late, log, cp, delay_days=10, reference=dt.datetime(2024, 1, 15)).awaitTermination()
+    keys = ["satellite", "late"]
+    both = t.spark.read.parquet(table).withColumn("late", F.lit(False)).select(*keys).unionByName(t.spark.read.parquet(late).withColumn("late", F.lit(True)).select(*keys))
+    return both.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("incident_stream", _INC + """
@@ -391,9 +441,9 @@ def hotspot_stream(t: Tables):
 SELECT count(*) AS n, count(DISTINCT id) AS ids, count(latitude) AS located FROM kept""", "hot")
 def incident_stream(t: Tables):
     src = scratch_path(t.spark, "incident-files")
-    _incident_payload(t).select("value").write.text(src)
+    _incident_payload(t).orderBy(F.desc("event_id")).select("value").coalesce(3).write.text(src)  # newest first
     table, cp = scratch_path(t.spark, "incidents"), scratch_path(t.spark, "cp-inc")
-    stream = streams.file_stream(t.spark, src, "json", schemas.INCIDENT_FEATURES)
+    stream = streams.file_stream(t.spark, src, "json", schemas.INCIDENT_FEATURES, maxFilesPerTrigger=1)
     streams.incident_stream(stream, t.registry, table, cp).awaitTermination()
     return t.spark.read.parquet(table).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("id").alias("ids"), F.count("latitude").alias("located"))
 
@@ -408,8 +458,8 @@ def refresh_on_change(t: Tables):
         kept = recent_rows(t.hot, "ts", F.lit("2024-01-31").cast(time.NTZ), days=7)
         return kept.groupBy("acq_date").agg(F.count(F.lit(1)).alias("n"))
 
-    streams.refresh_on_change(_event_stream(t), recompute, table, cp).awaitTermination()
-    return t.spark.read.parquet(table)
+    streams.refresh_on_change(_event_stream(t), recompute, table, cp, "acq_date", F.to_date("ts")).awaitTermination()
+    return t.spark.read.parquet(table).select("acq_date", "n")
 
 
 @query("risk_snapshot_stream", _SNAP, "hot")

@@ -24,12 +24,20 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def _previous(path: str) -> str:
+    return f"{path.rstrip('/')}.previous"
+
+
 def read_table(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
-    """The table, or an empty one of the same schema before the first load."""
+    """The table, or an empty one of the same schema before the first load.
+
+    If a replacement broke off between its two renames, the table is still there under its other name.
+    """
     st = schema if isinstance(schema, StructType) else _parse_datatype_string(schema)
-    if not table_exists(spark, path):
-        return spark.createDataFrame([], st)
-    return spark.read.schema(st).parquet(path)
+    for place in (path, _previous(path)):
+        if table_exists(spark, place):
+            return spark.read.schema(st).parquet(place)
+    return spark.createDataFrame([], st)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -57,13 +65,23 @@ def write_geojson(df: DataFrame, rings: str, path: str, csv_path: str | None = N
         write_csv(df.drop(rings), csv_path)
 
 
+def present_values(batch: DataFrame, column: str, most: int = 1000) -> Column:
+    """Filter for the partitions a batch touches: its values, or their range if there are more than ``most``."""
+    values = [r[0] for r in batch.select(column).distinct().limit(most + 1).collect()]
+    known = [v for v in values if v is not None]
+    if len(values) <= most:
+        return F.col(column).isin(known) if known else F.lit(False)
+    low, high = batch.agg(F.min(column), F.max(column)).first()
+    return F.col(column).between(low, high)
+
+
 def new_by_key(
     batch: DataFrame, target: DataFrame, keys: list[str], order: list[str] | None = None, within: str | None = None
 ) -> DataFrame:
     """Rows of ``batch`` that an insert ignoring conflicts on ``keys`` would add.
 
-    ``within`` names a key column (e.g. the date) whose range in the batch limits the
-    part of the target that is read; on a partitioned table it prunes partitions.
+    ``within`` names a key column (e.g. the date) whose values in the batch limit the
+    part of the target that is read; on a partitioned table they prune partitions.
 
     Copies inside the batch collapse to the first by ``order``; a row with a NULL key
     part never conflicts, as in an SQL unique constraint.
@@ -72,19 +90,19 @@ def new_by_key(
     for k in keys:
         null_key = null_key | F.col(k).isNull()
     rest = [c for c in batch.columns if c not in keys]
-    keyed = batch.where(~null_key)
+    # a number of its own keeps every row with a NULL key apart
+    apart = batch.withColumn("_apart", F.when(null_key, F.monotonically_increasing_id()))
     if rest:
         first = F.min_by(F.struct(*rest), F.struct(*(order or rest)))
-        keyed = keyed.groupBy(*keys).agg(first.alias("_r")).select(
+        keyed = apart.groupBy(*keys, "_apart").agg(first.alias("_r")).select(
             *[F.col(c) if c in keys else F.col(f"_r.{c}") for c in batch.columns]
         )
     else:
-        keyed = keyed.distinct()
+        keyed = apart.distinct().drop("_apart")
     seen = target.select(*keys)
     if within:
-        span = batch.agg(F.struct(F.min(within).alias("lo"), F.max(within).alias("hi"))).scalar()
-        seen = seen.where((F.col(within) >= span.getField("lo")) & (F.col(within) <= span.getField("hi")))
-    return keyed.join(seen, keys, "left_anti").select(*batch.columns).unionByName(batch.where(null_key))
+        seen = seen.where(present_values(batch, within))
+    return keyed.join(seen, keys, "left_anti").select(*batch.columns)
 
 
 def append_new_by_key(
@@ -93,25 +111,39 @@ def append_new_by_key(
     """Idempotent append; returns rows fetched, inserted and skipped.
 
     With ``partition`` (a key column) the table is partitioned by it and only the
-    partitions in the batch's range are compared.
+    partitions the batch touches are compared. The batch is computed once.
     """
-    spark = batch.sparkSession
-    fresh = durable(new_by_key(batch, read_table(spark, path, batch.schema), keys, order, partition))
-    fetched, inserted = batch.count(), fresh.count()
-    writer = fresh.write.mode("append")
-    (writer.partitionBy(partition) if partition else writer).parquet(path)
+    batch = batch.persist()
+    try:
+        fetched = batch.count()
+        target = read_table(batch.sparkSession, path, batch.schema)
+        if partition:
+            target = target.where(present_values(batch, partition))
+        fresh = durable(new_by_key(batch, target, keys, order))
+        inserted = fresh.count()
+        writer = fresh.write.mode("append")
+        (writer.partitionBy(partition) if partition else writer).parquet(path)
+    finally:
+        batch.unpersist()
     return {"fetched": fetched, "inserted": inserted, "skipped": fetched - inserted}
 
 
 def insert_new_incidents(batch: DataFrame, path: str, locate=None) -> dict[str, int]:
-    """Append incidents whose id is unknown; ``locate`` adds ``location_id`` to the new ones only."""
+    """Append incidents whose id is unknown; ``locate`` adds ``location_id`` to the new ones only.
+
+    Ids alone decide, whatever their dates, so the ids of the whole table are compared.
+    """
     spark = batch.sparkSession
     schema = batch.schema if "location_id" in batch.columns else StructType([*batch.schema.fields, StructField("location_id", LongType())])
-    fresh = durable(new_by_key(batch, read_table(spark, path, schema), ["id"], ["updated"]))
+    batch = batch.persist()
+    try:
+        fetched = batch.count()
+        fresh = durable(new_by_key(batch, read_table(spark, path, schema), ["id"], ["updated"]))
+    finally:
+        batch.unpersist()
     located = locate(fresh) if locate else fresh.withColumn("location_id", F.lit(None).cast("bigint"))
     located = durable(located.select(*schema.names))
-    fetched, inserted = batch.count(), located.count()
-    matched = located.where(F.col("location_id").isNotNull()).count()
+    inserted, matched = located.agg(F.count(F.lit(1)), F.count("location_id")).first()
     located.write.mode("append").parquet(path)
     return {
         "fetched": fetched, "skipped": fetched - inserted, "inserted": inserted, "matched": matched,
@@ -119,11 +151,24 @@ def insert_new_incidents(batch: DataFrame, path: str, locate=None) -> dict[str,
     }
 
 
+def _key(df: DataFrame, name: str) -> Column:
+    """A join key; coordinates are compared as whole millionths."""
+    return F.round(F.col(name) * 1_000_000).cast("bigint") if df.schema[name].dataType.typeName() == "double" else F.col(name)
+
+
 def upsert(target: DataFrame, batch: DataFrame, keys: list[str], value: str, order: str) -> DataFrame:
-    """Target with ``value`` replaced by the batch's last row per key, new keys added."""
-    last = batch.groupBy(*keys).agg(F.max_by(value, order).alias("_new"))
-    joined = target.join(last, keys, "full_outer")
-    return joined.withColumn(value, F.coalesce("_new", value)).select(*target.columns)
+    """Target with ``value`` replaced by the batch's last row per key, also by a NULL, and new keys added."""
+    parts = [f"_k{i}" for i in range(len(keys))]
+    last = batch.select(*[_key(batch, k).alias(p) for k, p in zip(keys, parts, strict=True)], *keys, value, order).groupBy(*parts).agg(
+        F.max_by(F.struct(*keys, value), order).alias("_new")
+    )
+    joined = target.withColumns({p: _key(target, k) for k, p in zip(keys, parts, strict=True)}).join(last, parts, "full_outer")
+    new = F.col("_new")
+    return joined.select(*[
+        F.when(new.isNotNull(), new[value]).otherwise(F.col(c)).alias(c) if c == value
+        else F.coalesce(F.col(c), new[c]).alias(c) if c in keys else F.col(c)
+        for c in target.columns
+    ])
 
 
 def upsert_location(target: DataFrame, batch: DataFrame, order: str) -> DataFrame:
@@ -139,17 +184,31 @@ def insert_ignore_time(batch: DataFrame, path: str) -> dict[str, int]:
 
 
 def replace_table(df: DataFrame, path: str) -> None:
-    """Create or replace: a complete copy is written beside the table, then takes its place."""
+    """Create or replace: a complete copy is written beside the table, then takes its place.
+
+    The old table is moved aside before and deleted after, so at every moment
+    ``read_table`` finds one whole table.
+    """
     spark = df.sparkSession
     staged = f"{path.rstrip('/')}.staged-{uuid.uuid4().hex}"
     df.write.parquet(staged)
     jvm = spark.sparkContext._jvm
-    old, new = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(staged)
+    old, new, aside = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, staged, _previous(path)))
     fs = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if fs.exists(old):
-        fs.delete(old, True)
+        if fs.exists(aside):
+            fs.delete(aside, True)
+        if not fs.rename(old, aside):
+            raise OSError(f"could not move {path} aside")
     if not fs.rename(new, old):
         raise OSError(f"could not put {staged} in place of {path}")
+    if fs.exists(aside):
+        fs.delete(aside, True)
+
+
+def replace_partitions(df: DataFrame, path: str, partition: str) -> None:
+    """Replace the partitions that ``df`` holds rows of, and no others."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
 
 
 # Sort order of each exported table.
@@ -236,13 +295,20 @@ def valid_collection(payload: Column) -> Column:
     return F.when(F.coalesce(ok, F.lit(False)), parsed)
 
 
-def latest_snapshot(payloads: DataFrame, payload: str, order: list[str]) -> DataFrame:
-    """Features of the newest valid payload; nothing valid gives an empty collection."""
-    valid = payloads.withColumn("_c", valid_collection(F.col(payload))).where(F.col("_c").isNotNull())
-    newest = valid.agg(F.max_by("_c", F.struct(*order)).alias("c"))
-    return newest.select(F.explode("c.features").alias("f")).select(
-        F.col("f.geometry").alias("geometry"), F.col("f.properties.risk_factor").alias("risk_factor")
-    )
+def latest_snapshot(payloads: DataFrame, payload: str, order: list[str], keep_order: bool = False) -> DataFrame:
+    """Features of the newest valid payload; nothing valid gives an empty collection.
+
+    Only the order keys of valid payloads are compared; the newest one alone is taken apart.
+    With ``keep_order`` its order key is returned as ``payload_order``.
+    """
+    key = F.struct(*order)
+    valid = valid_collection(F.col(payload))
+    newest = payloads.agg(F.max(F.when(valid.isNotNull(), key)).alias("k")).scalar()
+    best = payloads.where(key == newest).withColumn("_c", valid).where(F.col("_c").isNotNull())
+    one = best.agg(F.max(payload).alias(payload), F.first(key).alias("k"))
+    features = one.select(F.explode(valid_collection(F.col(payload))["features"]).alias("f"), "k")
+    kept = [F.col("k").alias("payload_order")] if keep_order else []
+    return features.select(F.col("f.geometry").alias("geometry"), F.col("f.properties.risk_factor").alias("risk_factor"), *kept)
 
 
 def read_snapshot(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from emberfield.functions import grid, time
 from emberfield.operators import cleaning
 from emberfield.operators.relational import incident_locations
+from emberfield.session import durable
 from emberfield.sources import readers, sinks
 
 
@@ -29,30 +31,38 @@ def _run(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], No
     )
 
 
-def incident_stream(
-    features: DataFrame, registry: DataFrame, table: str, checkpoint: str, delay: str = "30 days"
-) -> StreamingQuery:
-    """Incident feed files: fire incidents, once per id, with the nearest registry cell, appended."""
+def incident_stream(features: DataFrame, registry: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
+    """Incident feed files: fire incidents, once per id, with the nearest registry cell, appended.
+
+    Ids are compared with all stored ones, so an incident is loaded however old it is.
+    """
     incidents = cleaning.fire_incident_filter(readers.flatten_features(features))
-    unique = incidents.withWatermark("updated", delay).dropDuplicatesWithinWatermark(["id"])
 
     def each(batch: DataFrame, _: int) -> None:
         sinks.insert_new_incidents(batch, table, locate=lambda fresh: incident_locations(fresh, registry).drop("km"))
 
-    return _run(unique, checkpoint, each)
+    return _run(incidents, checkpoint, each)
 
 
 HOTSPOT_KEY = ["latitude", "longitude", "acq_date", "acq_time", "satellite"]
 
 
 def hotspot_stream(
-    hotspots: DataFrame, table: str, late_table: str, log_path: str, checkpoint: str, delay_days: int | None = None
+    hotspots: DataFrame,
+    table: str,
+    late_table: str,
+    log_path: str,
+    checkpoint: str,
+    delay_days: int | None = None,
+    reference: dt.datetime | None = None,
 ) -> StreamingQuery:
     """Hotspot files: gridded, tagged with a region and appended once per key, each batch logged.
 
-    With ``delay_days`` rows older than that before the newest row of their batch go to
-    the late table instead.
+    With ``delay_days`` rows older than that before ``reference`` go to the late table
+    instead; one given time makes the same rows late however the files fall into batches.
     """
+    if delay_days is not None and reference is None:
+        raise ValueError("delay_days needs a reference time")
     typed = readers.typed_hotspots(hotspots)
     lat, lon = F.col("latitude"), F.col("longitude")
     gridded = typed.withColumns({
@@ -66,64 +76,98 @@ def hotspot_stream(
         run.start(["stream"])
         fresh = batch
         if delay_days is not None:
-            newest = batch.agg(F.max("acq_datetime")).scalar()
-            dated = batch.withColumn("_late", F.col("acq_datetime") < time.plus_days(newest, -delay_days))
-            sinks.append_new_by_key(dated.where("_late").drop("_late"), late_table, HOTSPOT_KEY, partition="acq_date")
-            fresh = dated.where(~F.col("_late")).drop("_late")
+            late = F.coalesce(F.col("acq_datetime") < F.lit(reference - dt.timedelta(days=delay_days)).cast(time.NTZ), F.lit(False))
+            sinks.append_new_by_key(batch.where(late), late_table, HOTSPOT_KEY, partition="acq_date")
+            fresh = batch.where(~late)
         run.finish(["stream"], sinks.append_new_by_key(fresh, table, HOTSPOT_KEY, partition="acq_date"))
 
     return _run(gridded, checkpoint, each)
 
 
 def env_12h_stream(
-    rows: DataFrame, keys: list[str], ts: str, values: list[str], table: str, checkpoint: str, delay: str = "1 hour"
+    rows: DataFrame, keys: list[str], ts: str, values: list[str], table: str, checkpoint: str, delay: dt.timedelta = dt.timedelta(hours=1)
 ) -> StreamingQuery:
-    """Half-day means as tumbling event-time windows, each written once when it is complete."""
-    stamped = rows.withColumn("_ts", F.col(ts).cast("timestamp")).withWatermark("_ts", delay)
-    means = stamped.groupBy(*keys, F.window("_ts", "12 hours")).agg(*[F.avg(v).alias(v) for v in values])
-    out = means.select(
-        *keys, F.col("window.start").cast(time.NTZ).alias("interval_start"),
-        F.col("window.end").cast(time.NTZ).alias("interval_end"), *values,
-    )
-    return (
-        out.writeStream.format("parquet").outputMode("append").option("path", table)
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    )
+    """Half-day means, written when complete and written again when late rows come.
 
+    Each batch stores its sums and counts per key and half day, under its own number, so a
+    replay replaces them. A half day is complete once a row ``delay`` past its end has been
+    seen. The days a batch touches, and those that complete by it, are made again from
+    all stored sums, so no row is lost however late it is. ``table`` is partitioned by ``day``.
+    """
+    sums = f"{table.rstrip('/')}-sums"
+    span = F.window(F.col(ts).cast("timestamp"), "12 hours")
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        part = batch.groupBy(*keys, span.alias("_w")).agg(
+            F.max(ts).alias("last"), *[F.sum(v).alias(f"sum_{v}") for v in values], *[F.count(v).alias(f"n_{v}") for v in values]
+        ).select(
+            "*", F.col("_w.start").cast(time.NTZ).alias("interval_start"), F.col("_w.end").cast(time.NTZ).alias("interval_end")
+        ).drop("_w").withColumns({"day": F.to_date("interval_start"), "batch": F.lit(batch_id)})
+        (part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch", "day").parquet(sums))
+        stored = spark.read.schema(part.schema).parquet(sums)
+        seen = stored.groupBy((F.col("batch") == batch_id).alias("now")).agg(F.max("last").alias("last")).collect()
+        newest = max((r["last"] for r in seen if r["last"]), default=None)
+        if newest is None:
+            return
+        before = max((r["last"] for r in seen if r["last"] and not r["now"]), default=None)
+        touched = [r[0] for r in stored.where(F.col("batch") == batch_id).select("day").distinct().collect()]
+        due = F.col("day").isin(touched)
+        if before is not None:
+            due = due | F.col("day").between((before - delay - dt.timedelta(hours=12)).date(), newest.date())
+        whole = stored.where(due & (F.col("interval_end") <= F.lit(newest - delay).cast(time.NTZ))).groupBy(*keys, "interval_start", "interval_end", "day").agg(
+            *[(F.sum(f"sum_{v}") / F.sum(f"n_{v}")).alias(v) for v in values]
+        )
+        sinks.replace_partitions(whole.select(*keys, "interval_start", "interval_end", *values, "day"), table, "day")
+
+    return _run(rows, checkpoint, each)
+
+
+def refresh_on_change(
+    events: DataFrame, recompute: Callable[[SparkSession], DataFrame], table: str, checkpoint: str, partition: str | None = None, of_event: Column | None = None
+) -> StreamingQuery:
+    """New events renew the extract produced by ``recompute``.
 
-def refresh_on_change(events: DataFrame, recompute: Callable[[SparkSession], DataFrame], table: str, checkpoint: str) -> StreamingQuery:
-    """Any new event rewrites the extract produced by ``recompute``."""
+    With ``partition``, a column of the extract, only the partitions named by ``of_event``
+    of the new events are made again; the filter reaches the inputs of ``recompute``.
+    """
     def each(batch: DataFrame, _: int) -> None:
-        if batch.limit(1).count():
-            sinks.replace_table(recompute(batch.sparkSession), table)
+        if partition is None:
+            if batch.limit(1).count():
+                sinks.replace_table(recompute(batch.sparkSession), table)
+            return
+        touched = sinks.present_values(batch.select(of_event.alias(partition)), partition)
+        sinks.replace_partitions(recompute(batch.sparkSession).where(touched), table, partition)
 
     return _run(events, checkpoint, each)
 
 
 def risk_snapshot_stream(payloads: DataFrame, payload: str, order: list[str], table: str, checkpoint: str) -> StreamingQuery:
-    """Keep only the newest valid risk collection; a batch without one leaves it as it is."""
+    """Keep only the newest valid risk collection seen so far; a batch without a newer one leaves it as it is."""
     def each(batch: DataFrame, _: int) -> None:
-        snapshot = sinks.latest_snapshot(batch, payload, order)
-        if snapshot.limit(1).count():
+        snapshot = durable(sinks.latest_snapshot(batch, payload, order, keep_order=True))
+        new = snapshot.select("payload_order").first()
+        stored = sinks.read_table(batch.sparkSession, table, snapshot.schema).select("payload_order").first()
+        if new and (stored is None or tuple(new[0]) >= tuple(stored[0])):
             sinks.replace_table(snapshot, table)
 
     return _run(payloads, checkpoint, each)
 
 
 def weather_current_stream(payloads: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
-    """Current weather per location with the hour key; impossible readings are dropped."""
+    """Current weather per location with the hour key, in partitions by day; impossible readings are dropped."""
     values = ["temperature_2m", "relative_humidity_2m", "wind_speed_10m"]
     rows = readers.unpivot_hourly_payload(payloads, values)
     keyed = rows.select(
         F.concat_ws("_", F.col("latitude").cast("string"), F.col("longitude").cast("string")).alias("location_id"),
-        time.hour_id(F.col("time")).alias("time_id"), "latitude", "longitude",
+        time.hour_id(F.col("time")).alias("time_id"), F.floor(time.hour_id(F.col("time")) / 100).cast("int").alias("day"), "latitude", "longitude",
         F.col("temperature_2m").alias("temperature_c"), F.col("wind_speed_10m").alias("wind_speed_kmh"),
         F.col("relative_humidity_2m").alias("relative_humidity"),
     )
     valid = cleaning.validate_weather(keyed)
 
     def each(batch: DataFrame, _: int) -> None:
-        sinks.append_new_by_key(batch, table, ["location_id", "time_id"])
+        sinks.append_new_by_key(batch, table, ["location_id", "time_id", "day"], partition="day")
 
     return _run(valid, checkpoint, each)
 

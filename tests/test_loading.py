@@ -103,35 +103,119 @@ def test_snapshot_ignores_invalid_payloads(spark):
     assert sinks.read_snapshot(spark, "/tmp/emberfield-absent", "risk_factor INT").count() == 0
 
 
+def test_upsert_with_null_and_unequal_doubles(spark):
+    target = spark.createDataFrame([(0.3, 2.0, "old"), (3.0, 4.0, "kept")], "grid_latitude double, grid_longitude double, region_name string")
+    batch = spark.createDataFrame([(0.1 + 0.2, 2.0, None, 1)], "grid_latitude double, grid_longitude double, region_name string, n int")
+    out = {r.grid_latitude: r.region_name for r in sinks.upsert_location(target, batch, "n").collect()}
+    assert out == {0.3: None, 3.0: "kept"}
+
+
+def test_broken_off_replacement_leaves_the_table(spark, tmp_path):
+    path = tmp_path / "t"
+    sinks.append(spark.range(3), str(path))
+    path.rename(str(path) + ".previous")  # as after the first of the two renames
+    assert sinks.read_table(spark, str(path), "id bigint").count() == 3
+    sinks.replace_table(spark.range(5), str(path))
+    assert sinks.read_table(spark, str(path), "id bigint").count() == 5 and not (tmp_path / "t.previous").exists()
+
+
+def test_append_reads_only_the_partitions_it_touches(spark, tmp_path):
+    path = str(tmp_path / "days")
+    days = spark.createDataFrame([(i, dt.date(2024, 1, 1 + i % 20)) for i in range(40)], "k int, day date")
+    sinks.append_new_by_key(days, path, ["k", "day"], partition="day")
+    batch = spark.createDataFrame([(1, dt.date(2024, 1, 2)), (100, dt.date(2024, 1, 20))], "k int, day date")
+    plan = sinks.read_table(spark, path, batch.schema).where(sinks.present_values(batch, "day"))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [day#" in plan and "IN (2024-01-02,2024-01-20)" in plan.replace("in (", "IN (") or "InSet" in plan
+    assert sinks.append_new_by_key(batch, path, ["k", "day"], partition="day") == {"fetched": 2, "inserted": 1, "skipped": 1}
+
+
+def _stream_two(spark, src, schema, fmt="csv", **options):
+    return streams.file_stream(spark, str(src), fmt, schema, maxFilesPerTrigger=1, **options)
+
+
+def _in_order(src, *texts, suffix="csv"):
+    import os
+
+    src.mkdir()
+    for i, text in enumerate(texts):
+        f = src / f"{i}.{suffix}"
+        f.write_text(text)
+        os.utime(f, (1_700_000_000 + i, 1_700_000_000 + i))
+
+
 def test_hotspot_stream_replay_and_late_rows(spark, tmp_path):
     src, paths = tmp_path / "in", [str(tmp_path / n) for n in ("table", "late", "log")]
-    src.mkdir()
     head = "latitude,longitude,acq_date,acq_time,satellite,frp"
-    (src / "a.csv").write_text(f"{head}\n-37.81,144.96,2024-01-10,130,N,5\n-37.81,144.96,2024-01-10,130,N,5\n-37.5,148.2,2024-01-01,10,N,1\n")
+    row = "-37.81,144.96,2024-01-10,130,N,5"
+    # the old row comes in a batch of its own, where nothing is newer
+    _in_order(src, f"{head}\n{row}\n{row}\n", f"{head}\n-37.5,148.2,2024-01-01,10,N,1\n")
+    schema = ", ".join(f"{c} STRING" for c in head.split(","))
     for checkpoint in ("c1", "c2"):  # a second run without memory of the first must add nothing
-        stream = streams.file_stream(spark, str(src), "csv", ", ".join(f"{c} STRING" for c in head.split(",")), header="true")
-        streams.hotspot_stream(stream, *paths, str(tmp_path / checkpoint), delay_days=3).awaitTermination()
+        streams.hotspot_stream(
+            _stream_two(spark, src, schema, header="true"), *paths, str(tmp_path / checkpoint), delay_days=3, reference=dt.datetime(2024, 1, 10)
+        ).awaitTermination()
     table = spark.read.parquet(paths[0]).collect()
     assert [r.region_name for r in table] == ["Melbourne Metro"] and spark.read.parquet(paths[1]).count() == 1
+    with pytest.raises(ValueError):
+        streams.hotspot_stream(_stream_two(spark, src, schema), *paths, str(tmp_path / "c3"), delay_days=3)
 
 
-def test_incident_stream_equals_batch(spark, tmp_path):
-    feats = [
-        ("1", "Incident", "Fire", "2024-01-01T00:00:00Z", [145.0, -37.0]), ("1", "Incident", "Fire", "2024-01-01T00:00:00Z", [145.0, -37.0]),
-        ("2", "Incident", "Flood", "2024-01-01T00:00:00Z", [145.0, -37.0]), ("3", "warning", "Fire", "2024-01-01T00:00:00Z", [145.0, -37.0]),
-        ("4", "INCIDENT", "Bushfire", "2024-01-02T00:00:00Z", [10.0, 10.0])]
-    doc = {"type": "FeatureCollection", "features": [
+def _feature_doc(feats):
+    return json.dumps({"type": "FeatureCollection", "features": [
         {"type": "Feature", "geometry": {"type": "Point", "coordinates": at}, "properties": {"id": i, "feedType": f, "category1": c, "created": u, "updated": u}}
-        for i, f, c, u, at in feats]}
-    src = tmp_path / "in"
-    src.mkdir()
-    (src / "a.json").write_text(json.dumps(doc))
+        for i, f, c, u, at in feats]})
+
+
+def test_incident_stream_keeps_old_incidents_of_later_batches(spark, tmp_path):
+    here = [145.0, -37.0]
+    new = [
+        ("1", "Incident", "Fire", "2024-06-01T00:00:00Z", here), ("1", "Incident", "Fire", "2024-06-01T00:00:00Z", here),
+        ("2", "Incident", "Flood", "2024-06-01T00:00:00Z", here), ("3", "warning", "Fire", "2024-06-01T00:00:00Z", here)]
+    old = [("4", "INCIDENT", "Bushfire", "2024-01-02T00:00:00Z", [10.0, 10.0]), ("1", "Incident", "Fire", "2024-01-01T00:00:00Z", here)]
+    _in_order(tmp_path / "in", _feature_doc(new), _feature_doc(old), suffix="json")
     registry = spark.createDataFrame([(7, -37.001, 145.001)], "location_id long, grid_latitude double, grid_longitude double")
-    stream = streams.file_stream(spark, str(src), "json", schemas.INCIDENT_FEATURES)
+    stream = _stream_two(spark, tmp_path / "in", schemas.INCIDENT_FEATURES, "json")
     streams.incident_stream(stream, registry, str(tmp_path / "t"), str(tmp_path / "c")).awaitTermination()
     assert {r.id: r.location_id for r in spark.read.parquet(str(tmp_path / "t")).collect()} == {"1": 7, "4": None}
 
 
+def test_half_day_means_take_late_rows(spark, tmp_path):
+    head = "k,ts,v"
+    _in_order(
+        tmp_path / "in", f"{head}\na,2024-01-01 01:00:00,1\na,2024-01-02 13:30:00,5\n",
+        f"{head}\na,2024-01-01 02:00:00,3\nb,2023-12-01 00:00:00,9\n", f"{head}\na,2024-01-03 01:00:00,7\n")
+    table = str(tmp_path / "means")
+    stream = _stream_two(spark, tmp_path / "in", "k STRING, ts TIMESTAMP_NTZ, v DOUBLE", header="true")
+    streams.env_12h_stream(stream, ["k"], "ts", ["v"], table, str(tmp_path / "c")).awaitTermination()
+    got = {(r.k, str(r.interval_start)): r.v for r in spark.read.parquet(table).collect()}
+    assert got == {("a", "2024-01-01 00:00:00"): 2.0, ("b", "2023-12-01 00:00:00"): 9.0, ("a", "2024-01-02 12:00:00"): 5.0}
+
+
+def test_snapshot_is_not_replaced_by_an_older_one(spark, tmp_path):
+    src = tmp_path / "in"
+    _in_order(src, json.dumps({"n": 2, "payload": _collection(4)}), json.dumps({"n": 1, "payload": _collection(2)}), suffix="json")
+    stream = _stream_two(spark, src, "n INT, payload STRING", "json")
+    streams.risk_snapshot_stream(stream, "payload", ["n"], str(tmp_path / "t"), str(tmp_path / "c")).awaitTermination()
+    assert [r.risk_factor for r in spark.read.parquet(str(tmp_path / "t")).collect()] == [4]
+
+
+def test_only_touched_days_are_made_again(spark, tmp_path):
+    _in_order(tmp_path / "in", "day\n2024-01-02\n")
+    table = str(tmp_path / "t")
+    full = lambda s, n: s.createDataFrame([(dt.date(2024, 1, 1), n), (dt.date(2024, 1, 2), n)], "day date, n int")
+    sinks.replace_partitions(full(spark, 1), table, "day")
+    stream = _stream_two(spark, tmp_path / "in", "day DATE", header="true")
+    streams.refresh_on_change(stream, lambda s: full(s, 2), table, str(tmp_path / "c"), "day", F.col("day")).awaitTermination()
+    assert {r.day.day: r.n for r in spark.read.parquet(table).collect()} == {1: 1, 2: 2}
+
+
+def test_ascii_lines_follow_file_order(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("K V\n" + "".join(f"a{i} 1\n" for i in range(50)))
+    (tmp_path / "b.txt").write_text("".join(f"b{i} 1\n" for i in range(9000)))  # larger, so that Spark reads it first
+    rows = readers.read_ascii_table(spark, str(tmp_path), ["K", "V"]).orderBy("line").collect()
+    assert [r.K for r in rows] == [f"a{i}" for i in range(50)] + [f"b{i}" for i in range(9000)]
+
+
 def test_nest_refuses_large_groups(spark):
     df = spark.range(20).select(F.lit(1).alias("k"), F.col("id"))
     assert narratives.nest(df, "k", [F.col("id")], F.col("id"), "ids").first().ids == list(range(20))

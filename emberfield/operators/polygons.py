@@ -1,8 +1,12 @@
 """Joins between points, grid cells and polygons.
 
-Polygons are exploded to the fixed-size cells that really touch them (bounded by the
-area of the grid), points carry one cell key each, and candidate pairs come only from
-equal keys. A cell wholly inside a polygon needs no exact test.
+A polygon is taken apart into its edges before anything else, so one outline of
+many edges is spread like many small ones. Each edge goes to the square buckets it
+touches and to the bucket rows whose lower line it crosses. From these crossings
+every bucket knows whether its lower right corner is inside; any other place in it
+is then settled by the edges of that bucket alone: walk from the corner up to the
+place's height, then left to the place, and count the edges crossed on the way.
+Candidate pairs come only from equal bucket keys.
 """
 
 from __future__ import annotations
@@ -11,57 +15,92 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emberfield.functions import geometry
-from emberfield.session import shuffle_partitions
+
+_MARGIN = 0.9272952e-9  # of a bucket: puts corners where coordinates of data do not lie
 
 
 def _bucket(v: Column, size: float) -> Column:
     return F.floor(v / F.lit(size)).cast("bigint")
 
 
-def _prepared(polys: DataFrame, rings: str) -> DataFrame:
-    """Add the flat edge array ``_e`` and the bounds ``_b``, both computed once per polygon.
+def _margin(size: float) -> Column:
+    return F.lit(size * _MARGIN)
 
-    Polygons are spread evenly first: the tests that follow are bound by the processor,
-    and an input split may hold a few large outlines or very many small ones.
-    """
-    even = polys.repartition(shuffle_partitions(polys.sparkSession))
-    return even.withColumns({"_e": geometry.all_edges(F.col(rings)), "_b": geometry.bounds(F.col(rings))})
+
+def _corner(bx: Column, by: Column, size: float) -> tuple[Column, Column]:
+    """Lower right corner of a bucket, a hair outside it."""
+    return (bx + 1) * F.lit(size) + _margin(size), by * F.lit(size) - _margin(size)
 
 
-def _bounding_cells(prepared: DataFrame, size: float) -> DataFrame:
-    b = F.col("_b")
-    return prepared.select(
-        "*", F.explode(F.sequence(_bucket(b["x0"], size), _bucket(b["x1"], size))).alias("bx")
-    ).select("*", F.explode(F.sequence(_bucket(b["y0"], size), _bucket(b["y1"], size))).alias("by"))
+def _edge_table(polys: DataFrame, rings: str) -> DataFrame:
+    """One row per edge: ``_pid`` of its polygon, the polygon's other columns ``_attrs``, its bounds ``_b`` and the edge ``_e``."""
+    others = [c for c in polys.columns if c != rings]
+    attrs = F.struct(*others) if others else F.struct(F.lit(0).alias("_none"))
+    whole = polys.select(F.monotonically_increasing_id().alias("_pid"), attrs.alias("_attrs"), geometry.bounds(F.col(rings)).alias("_b"), F.col(rings).alias("_r"))
+    return whole.select("_pid", "_attrs", "_b", F.explode(geometry.all_edges(F.col("_r"))).alias("_e"))
+
+
+def _local_edges(edges: DataFrame, size: float) -> DataFrame:
+    """Each edge in the buckets it touches, a margin included."""
+    e, m = F.col("_e"), _margin(size) * 2
+    cols = edges.select("*", F.explode(F.sequence(_bucket(F.least(e["x1"], e["x2"]) - m, size), _bucket(F.greatest(e["x1"], e["x2"]) + m, size))).alias("bx"))
+    # heights of the edge within the bucket column
+    x0, x1 = F.col("bx") * F.lit(size) - m, (F.col("bx") + 1) * F.lit(size) + m
+    dx = e["x2"] - e["x1"]
+    at = lambda x: F.when(dx == 0, e["y1"]).otherwise(e["y1"] + F.try_divide(F.least(F.greatest(x, F.least(e["x1"], e["x2"])), F.greatest(e["x1"], e["x2"])) - e["x1"], dx) * (e["y2"] - e["y1"]))
+    ya = F.when(dx == 0, F.least(e["y1"], e["y2"])).otherwise(F.least(at(x0), at(x1)))
+    yb = F.when(dx == 0, F.greatest(e["y1"], e["y2"])).otherwise(F.greatest(at(x0), at(x1)))
+    return cols.select("*", F.explode(F.sequence(_bucket(ya - m, size), _bucket(yb + m, size))).alias("by"))
+
+
+def _inner_buckets(edges: DataFrame, size: float) -> DataFrame:
+    """Buckets whose corner is inside, row by row from the places where the outline crosses the row's lower line."""
+    e, m = F.col("_e"), _margin(size)
+    low, high = F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"])
+    rows = edges.select("*", F.explode(F.sequence(_bucket(low + m, size), _bucket(high + m, size) + 1)).alias("by"))
+    y = F.col("by") * F.lit(size) - m
+    crossed = rows.where((e["y1"] > y) != (e["y2"] > y)).select(
+        "_pid", "_attrs", "_b", "by", (F.try_divide((e["x2"] - e["x1"]) * (y - e["y1"]), e["y2"] - e["y1"]) + e["x1"]).alias("_x")
+    )
+    line = crossed.groupBy("_pid", "by").agg(F.sort_array(F.collect_list("_x")).alias("_xs"), F.first("_attrs").alias("_attrs"), F.first("_b").alias("_b"))
+    pairs = line.select("*", F.explode(F.sequence(F.lit(0), F.floor(F.size("_xs") / 2).cast("int") - 1)).alias("_i"))
+    span = pairs.select("*", F.get("_xs", F.col("_i") * 2).alias("_x0"), F.get("_xs", F.col("_i") * 2 + 1).alias("_x1"))
+    cells = span.select("*", F.explode(F.sequence(_bucket(F.col("_x0"), size) - 2, _bucket(F.col("_x1"), size) + 1)).alias("bx"))
+    right, _ = _corner(F.col("bx"), F.col("by"), size)
+    return cells.where((right >= F.col("_x0")) & (right < F.col("_x1")))
 
 
 def polygon_cells(polys: DataFrame, rings: str, size: float) -> DataFrame:
-    """A row per bucket the polygon touches: ``bx``, ``by``, ``inside`` if it covers the bucket.
+    """A row per bucket the polygon touches or covers, with its columns except ``rings``.
 
-    ``_e`` keeps only the edges that matter for points of the bucket, so a long outline
-    is not repeated in full for every bucket; the rings themselves are dropped.
+    ``bx``, ``by``; ``_e`` the edges that touch the bucket; ``_in`` whether its lower right
+    corner is inside; ``inside`` if the polygon covers the whole bucket; ``_b`` the polygon's bounds.
     """
-    s = F.lit(size)
-    e = F.lit(size * 1e-9)  # a hair of margin keeps points that rounding puts just across a bucket line
-    cells = _bounding_cells(_prepared(polys, rings).drop(rings), size)
-    cells = cells.withColumns({
-        "_x0": F.col("bx") * s - e, "_y0": F.col("by") * s - e,
-        "_x1": F.col("bx") * s + s + e, "_y1": F.col("by") * s + s + e,
-    })
-    x0, y0, x1, y1 = (F.col(c) for c in ("_x0", "_y0", "_x1", "_y1"))
-
-    def test(edges: Column) -> Column:
-        return F.struct(
-            edges.alias("e"), geometry.edges_touch_box(edges, x0, y0, x1, y1).alias("touch"),
-            geometry.edges_contain(edges, (x0 + x1) / 2, (y0 + y1) / 2).alias("mid"),
-        )
+    edges = _edge_table(polys, rings)
+    keys = ["_pid", "bx", "by", "_attrs", "_b"]
+    touched = _local_edges(edges, size).select(*keys, F.col("_e"), F.lit(False).alias("_in"))
+    covered = _inner_buckets(edges, size).select(*keys, F.lit(None).cast(touched.schema["_e"].dataType).alias("_e"), F.lit(True).alias("_in"))
+    cells = touched.unionByName(covered).groupBy("_pid", "bx", "by").agg(
+        F.collect_list("_e").alias("_e"), F.max("_in").alias("_in"), F.first("_attrs").alias("_attrs"), F.first("_b").alias("_b")
+    )
+    others = [c for c in polys.columns if c != rings]
+    return cells.select(*[F.col(f"_attrs.{c}").alias(c) for c in others], "_pid", "bx", "by", "_e", "_in", (F.col("_in") & (F.size("_e") == 0)).alias("inside"), "_b")
+
 
-    # an explode keeps the optimizer from evaluating the tests once per use
-    tested = geometry.let(geometry.edges_beside_box(F.col("_e"), x0, y0, y1), test)
-    hits = F.filter(F.array(tested), lambda c: c["touch"] | c["mid"])
-    return cells.select("*", F.explode(hits).alias("_c")).withColumns({
-        "_e": F.col("_c.e"), "inside": ~F.col("_c.touch")
-    }).drop("_c", "_x0", "_y0", "_x1", "_y1")
+def _contains(cell: str, px: Column, py: Column, size: float) -> Column:
+    """Whether a place of the bucket is inside, from the bucket's corner and edges."""
+    edges = F.col(f"{cell}._e")
+    cx, cy = _corner(F.col(f"{cell}.bx"), F.col(f"{cell}.by"), size)
+
+    def crossed(e: Column) -> Column:
+        x = F.try_divide((e["x2"] - e["x1"]) * (py - e["y1"]), e["y2"] - e["y1"]) + e["x1"]
+        y = F.try_divide((e["y2"] - e["y1"]) * (cx - e["x1"]), e["x2"] - e["x1"]) + e["y1"]
+        left = ((e["y1"] > py) != (e["y2"] > py)) & (x > px) & (x <= cx)
+        up = ((e["x1"] > cx) != (e["x2"] > cx)) & (y > cy) & (y <= py)
+        return F.when(left, 1).otherwise(0) + F.when(up, 1).otherwise(0)
+
+    count = F.aggregate(edges, F.lit(0), lambda acc, e: acc + crossed(e))
+    return F.when(F.size(edges) == 0, F.col(f"{cell}._in")).otherwise((F.col(f"{cell}._in").cast("int") + count) % 2 == 1)
 
 
 def with_bucket(points: DataFrame, x: str, y: str, size: float) -> DataFrame:
@@ -77,9 +116,7 @@ def points_in_polygons(
     p, c = pts.alias("p"), cells.alias("c")
     px, py, b = F.col(f"p.{x}"), F.col(f"p.{y}"), F.col("c._b")
     in_bounds = (px >= b["x0"]) & (px <= b["x1"]) & (py >= b["y0"]) & (py <= b["y1"])
-    on = (F.col("p.bx") == F.col("c.bx")) & (F.col("p.by") == F.col("c.by")) & in_bounds & (
-        F.col("c.inside") | geometry.edges_contain(F.col("c._e"), px, py)
-    )
+    on = (F.col("p.bx") == F.col("c.bx")) & (F.col("p.by") == F.col("c.by")) & in_bounds & _contains("c", px, py, size)
     joined = p.join(c, on, how)
     if how == "left_semi":
         return joined.drop("bx", "by")
@@ -91,25 +128,26 @@ def boxes_intersect_polygons(
 ) -> DataFrame:
     """Boxes (west, south, east, north) against polygons, sharing at least one point.
 
-    Every pair is found once: in the south-west bucket of the overlap of both bounding boxes.
+    A pair meets in every bucket where an edge crosses the box, and where the box's
+    centre lies; it is returned once. Equal boxes stay separate rows.
     """
     w, s, e, n = box_cols
-    b = boxes.select("*", F.explode(F.sequence(_bucket(F.col(w), size), _bucket(F.col(e), size))).alias("bx"))
-    b = b.select("*", F.explode(F.sequence(_bucket(F.col(s), size), _bucket(F.col(n), size))).alias("by"))
-    cells = _bounding_cells(_prepared(polys, rings).drop(rings), size)
-    left, right = b.alias("b"), cells.alias("c")
-    on = (F.col("b.bx") == F.col("c.bx")) & (F.col("b.by") == F.col("c.by"))
+    b = boxes.select(F.monotonically_increasing_id().alias("_bid"), F.struct(*boxes.columns).alias("_box"))
+    x0, y0, x1, y1 = (F.col(f"_box.{c}") for c in box_cols)
+    b = b.select("*", F.explode(F.sequence(_bucket(x0, size), _bucket(x1, size))).alias("bx"))
+    b = b.select("*", F.explode(F.sequence(_bucket(y0, size), _bucket(y1, size))).alias("by")).alias("b")
+    c = polygon_cells(polys, rings, size).alias("c")
+    mx, my = (x0 + x1) / 2, (y0 + y1) / 2
     pb = F.col("c._b")
-    x0, y0, x1, y1 = (F.col(f"b.{c}") for c in (w, s, e, n))
     overlap = (pb["x0"] <= x1) & (pb["x1"] >= x0) & (pb["y0"] <= y1) & (pb["y1"] >= y0)
-    hit = overlap & geometry.edges_intersect_box(F.col("c._e"), x0, y0, x1, y1)
+    centre = (_bucket(mx, size) == F.col("b.bx")) & (_bucket(my, size) == F.col("b.by")) & _contains("c", mx, my, size)
+    hit = overlap & (centre | geometry.edges_touch_box(F.col("c._e"), x0, y0, x1, y1))
+    found = b.join(c, (F.col("b.bx") == F.col("c.bx")) & (F.col("b.by") == F.col("c.by")) & hit)
     if how == "left_semi":
-        return left.join(right, on & hit, "left_semi").drop("bx", "by").distinct()
-    first = (F.col("b.bx") == F.greatest(_bucket(F.col(f"b.{w}"), size), _bucket(pb["x0"], size))) & (
-        F.col("b.by") == F.greatest(_bucket(F.col(f"b.{s}"), size), _bucket(pb["y0"], size))
-    )
-    keep = [F.col(f"c.{c}") for c in polys.columns if c != rings]
-    return left.join(right, on & first & hit).select("b.*", *keep).drop("bx", "by")
+        return found.groupBy("b._bid").agg(F.first("b._box").alias("_box")).select("_box.*")
+    others = [x for x in polys.columns if x != rings]
+    one = found.groupBy("b._bid", "c._pid").agg(F.first("b._box").alias("_box"), F.first(F.struct(F.lit(0).alias("_none"), *[F.col(f"c.{x}") for x in others])).alias("_p"))
+    return one.select("_box.*", *[F.col(f"_p.{x}") for x in others])
 
 
 def centroid_in_cell(df: DataFrame, rings: str, size: float, origin: tuple[float, float] = (0.0, 0.0)) -> DataFrame:
@@ -119,7 +157,24 @@ def centroid_in_cell(df: DataFrame, rings: str, size: float, origin: tuple[float
         "centroid_x": F.col("_c.x"), "centroid_y": F.col("_c.y"),
         "cell_x": _bucket(F.col("_c.x") - F.lit(origin[0]), size),
         "cell_y": _bucket(F.col("_c.y") - F.lit(origin[1]), size),
-    }).drop("_c", "_x0", "_y0", "_x1", "_y1")
+    }).drop("_c")
+
+
+def _cut_edges(edges: DataFrame, size: float) -> DataFrame:
+    """Each edge cut at the bucket lines: pieces x1, y1, x2, y2 that each lie in one bucket."""
+    e = F.col("_e")
+    dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
+
+    def cuts(a: Column, b: Column, d: Column) -> Column:
+        lines = F.sequence(_bucket(F.least(a, b), size) + 1, _bucket(F.greatest(a, b), size) + 1)
+        inside = F.filter(lines, lambda k: (k * F.lit(size) > F.least(a, b)) & (k * F.lit(size) < F.greatest(a, b)))
+        return F.transform(inside, lambda k: F.try_divide(k * F.lit(size) - a, d))
+
+    places = F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0.0), F.lit(1.0)), cuts(e["x1"], e["x2"], dx), cuts(e["y1"], e["y2"], dy))))
+    at = edges.select("_e", places.alias("_t")).select("_e", "_t", F.explode(F.sequence(F.lit(0), F.size("_t") - 2)).alias("_i"))
+    t0, t1 = F.get("_t", F.col("_i")), F.get("_t", F.col("_i") + 1)
+    pieces = at.select(*[(e[f"{c}1"] + t * d).alias(f"{c}{k}") for k, t in ((1, t0), (2, t1)) for c, d in (("x", dx), ("y", dy))])
+    return pieces.withColumns({"bx": _bucket((F.col("x1") + F.col("x2")) / 2, size), "by": _bucket((F.col("y1") + F.col("y2")) / 2, size)})
 
 
 def clip_cells(
@@ -127,26 +182,60 @@ def clip_cells(
 ) -> DataFrame:
     """Cells cut to the boundary: clipped area and centroid; cells outside are dropped.
 
-    ``boundary`` pieces must not overlap. Only cells on the boundary are clipped.
+    ``boundary`` pieces must not overlap; outer rings run one way and holes the other. Cells and
+    buckets of side ``size`` need not be aligned. Area and first moments are sums
+    over the pieces of edges that lie in a cell below its top, plus the stretches of its top
+    that are inside: the cell's upper right corner tells where that starts, and each
+    edge that crosses the top changes it. So every edge counts where it is, and no
+    outline is held as a whole.
     """
-    w, s, e, n = box_cols
-    x0, y0, x1, y1 = (F.col(f"b.{c}") for c in box_cols)
-    shapes = boundary.select(F.col(rings).alias("_shape"), rings)
-    pieces = polygon_cells(shapes, rings, size).select("bx", "by", "inside", "_shape").alias("c")
-    b = with_bucket(
-        cells.withColumns({"_mx": (F.col(w) + F.col(e)) / 2, "_my": (F.col(s) + F.col(n)) / 2}), "_mx", "_my", size
-    ).alias("b")
-    joined = b.join(pieces, (F.col("b.bx") == F.col("c.bx")) & (F.col("b.by") == F.col("c.by")))
-    cut = geometry.clip_to_box(F.col("c._shape"), x0, y0, x1, y1)
-    full = F.array(F.array(
-        *[F.struct(px.alias("x"), py.alias("y")) for px, py in ((x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0))]
-    ))
-    out = joined.select("b.*", F.when(F.col("c.inside"), full).otherwise(cut).alias("_cut"))
-    out = out.withColumn("_a", geometry.area(F.col("_cut"))).where(F.col("_a") > 0)
-    out = out.withColumn("_c", geometry.centroid(F.col("_cut")))
-    keys = cells.columns
-    return out.groupBy(*keys).agg(
-        F.sum("_a").alias("clipped_area"),
-        (F.sum(F.col("_c.x") * F.col("_a")) / F.sum("_a")).alias("centroid_x"),
-        (F.sum(F.col("_c.y") * F.col("_a")) / F.sum("_a")).alias("centroid_y"),
+    edges = _edge_table(boundary, rings)
+    area2 = lambda e: e["x1"] * e["y2"] - e["x2"] * e["y1"]
+    turn = edges.groupBy("_pid").agg(F.signum(F.sum(area2(F.col("_e")))).alias("_turn"))  # one row per boundary piece
+    oriented = edges.join(turn, "_pid").withColumn("_e", F.when(F.col("_turn") < 0, F.struct(
+        F.col("_e.x2").alias("x1"), F.col("_e.y2").alias("y1"), F.col("_e.x1").alias("x2"), F.col("_e.y1").alias("y2"))).otherwise(F.col("_e")))
+    pieces = _cut_edges(oriented, size)
+    boxes = cells.select(F.monotonically_increasing_id().alias("_cid"), F.struct(*cells.columns).alias("_cell"))
+    x0, y0, x1, y1 = (F.col(f"_cell.{c}") for c in box_cols)
+    spread = boxes.select("*", F.explode(F.sequence(_bucket(x0, size), _bucket(x1, size))).alias("bx"))
+    spread = spread.select("*", F.explode(F.sequence(_bucket(y0, size), _bucket(y1, size))).alias("by"))
+    met = spread.join(pieces, ["bx", "by"])
+    dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
+    # stretch of the piece within the cell, as parameters from 0 to 1; a piece on the cell's left line counts, on its right line not
+    def between(a: Column, d: Column, low: Column, high: Column) -> tuple[Column, Column]:
+        first, second = F.try_divide(low - a, d), F.try_divide(high - a, d)
+        inside = (a >= low) & (a < high)
+        none, all_of = (F.lit(1.0), F.lit(0.0)), (F.lit(0.0), F.lit(1.0))
+        return (
+            F.when(d == 0, F.when(inside, all_of[0]).otherwise(none[0])).otherwise(F.least(first, second)),
+            F.when(d == 0, F.when(inside, all_of[1]).otherwise(none[1])).otherwise(F.greatest(first, second)),
+        )
+
+    tx, ty = between(F.col("x1"), dx, x0, x1), between(F.col("y1"), dy, y0, y1)
+    t0, t1 = F.greatest(F.lit(0.0), tx[0], ty[0]), F.least(F.lit(1.0), tx[1], ty[1])
+    has = t1 > t0
+    xa, xb = F.col("x1") + t0 * dx, F.col("x1") + t1 * dx
+    ya, yb = F.col("y1") + t0 * dy - y0, F.col("y1") + t1 * dy - y0
+    run = xb - xa
+    crosses = (F.col("y1") > y1) != (F.col("y2") > y1)
+    xc = F.col("x1") + F.try_divide(y1 - F.col("y1"), dy) * dx
+    top = crosses & (xc > x0) & (xc <= x1)
+    sign = F.when(dy > 0, 1.0).otherwise(-1.0)
+    zero = F.lit(0.0)
+    sums = met.groupBy("_cid").agg(
+        F.sum(F.when(has, -run * (ya + yb) / 2).otherwise(zero)).alias("a"),
+        F.sum(F.when(has, -run * ((xa * 2 + xb) * ya + (xa + xb * 2) * yb) / 6).otherwise(zero)).alias("mx"),
+        F.sum(F.when(has, -run * (ya * ya + ya * yb + yb * yb) / 6).otherwise(zero)).alias("my"),
+        F.sum(F.when(top, sign * (xc - x0)).otherwise(zero)).alias("w"),
+        F.sum(F.when(top, sign * (xc * xc - x0 * x0) / 2).otherwise(zero)).alias("wx"),
     )
+    corner = points_in_polygons(boxes.select("_cid", x1.alias("_px"), y1.alias("_py")), boundary.select(rings), "_px", "_py", rings, size, "left_semi").select("_cid").distinct()
+    joined = boxes.join(sums, "_cid", "left").join(corner.withColumn("_in", F.lit(1.0)), "_cid", "left")
+    known = {c: F.coalesce(F.col(c), zero) for c in ("a", "mx", "my", "w", "wx")}
+    start = F.coalesce("_in", zero)
+    h = y1 - y0
+    width = start * (x1 - x0) + known["w"]
+    first = start * (x1 * x1 - x0 * x0) / 2 + known["wx"]
+    out = joined.select("_cell", (known["a"] + h * width).alias("_a"), (known["mx"] + h * first).alias("_mx"), (known["my"] + h * h / 2 * width + y0 * (known["a"] + h * width)).alias("_my"), (h * (x1 - x0)).alias("_full"))
+    # what rounding leaves of a cell outside is no area
+    return out.where(F.col("_a") > F.col("_full") * 1e-12).select("_cell.*", F.col("_a").alias("clipped_area"), (F.col("_mx") / F.col("_a")).alias("centroid_x"), (F.col("_my") / F.col("_a")).alias("centroid_y"))

@@ -106,6 +106,79 @@ def test_clip_cells(spark):
     assert abs(out[(0.0, 0.0)].clipped_area - 0.25) < 1e-9 and abs(out[(0.0, 0.0)].centroid_x - 0.75) < 1e-9
 
 
+def _star(n, cx, cy, low, high, seed):
+    """A closed outline of n edges around a centre, its radius jumping between low and high."""
+    rng = np.random.default_rng(seed)
+    angle = np.linspace(0, 2 * np.pi, n, endpoint=False)
+    radius = rng.uniform(low, high, n)
+    ring = [{"x": float(cx + r * np.cos(a)), "y": float(cy + r * np.sin(a))} for a, r in zip(angle, radius)]
+    return [*ring, ring[0]]
+
+
+def _inside(ring, x, y):
+    xs, ys = np.array([p["x"] for p in ring]), np.array([p["y"] for p in ring])
+    x1, y1, x2, y2 = xs[:-1], ys[:-1], xs[1:], ys[1:]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.array([(((y1 > b) != (y2 > b)) & (a < (x2 - x1) * (b - y1) / (y2 - y1) + x1)).sum() % 2 == 1 for a, b in zip(x, y)])
+
+
+def test_large_outline_beside_small_ones(spark):
+    rings = [_star(20_000, 5, 5, 2.0, 3.0, 1)] + [_star(7, i % 10, i // 10, 0.1, 0.4, i) for i in range(100)]
+    polys = spark.createDataFrame([(i, [r]) for i, r in enumerate(rings)], f"pid int, rings {geometry.RINGS}")
+    rng = np.random.default_rng(5)
+    xy = np.r_[rng.uniform(0, 10, (1500, 2)), rng.integers(0, 40, (200, 2)) * 0.25]  # also on bucket corners
+    points = spark.createDataFrame(pd.DataFrame({"id": np.arange(len(xy)), "x": xy[:, 0], "y": xy[:, 1]}))
+    got = {(r.id, r.pid) for r in polygons.points_in_polygons(points, polys, "x", "y", "rings", 0.25).select("id", "pid").collect()}
+    want = {(int(i), k) for k, r in enumerate(rings) for i in np.flatnonzero(_inside(r, xy[:, 0], xy[:, 1]))}
+    assert got == want
+    widest = polygons.polygon_cells(polys.where("pid = 0"), "rings", 0.25).agg(F.max(F.size("_e")).alias("m")).first().m
+    assert widest < 2000  # no bucket holds the outline
+
+
+def _clipped(ring, w, s, e, n):
+    pts = [(p["x"], p["y"]) for p in ring[:-1]]
+    for axis, limit, sign in ((0, w, 1), (0, e, -1), (1, s, 1), (1, n, -1)):
+        out = []
+        for a, b in zip(pts, pts[1:] + pts[:1]):
+            ia, ib = sign * (a[axis] - limit) >= 0, sign * (b[axis] - limit) >= 0
+            if ia != ib:
+                t = (limit - a[axis]) / (b[axis] - a[axis])
+                out.append((a[0] + t * (b[0] - a[0]), a[1] + t * (b[1] - a[1])))
+            if ib:
+                out.append(b)
+        pts = out
+        if not pts:
+            return 0.0, None
+    x, y = np.array(pts).T
+    cross = x * np.roll(y, -1) - np.roll(x, -1) * y
+    area = cross.sum() / 2
+    if abs(area) < 1e-12:
+        return 0.0, None
+    return abs(area), (((x + np.roll(x, -1)) * cross).sum() / 6 / area, ((y + np.roll(y, -1)) * cross).sum() / 6 / area)
+
+
+@pytest.mark.parametrize("shift,turn", [(0.0, 1), (0.13, 1), (0.13, -1)])
+def test_clip_cells_not_aligned_with_buckets(spark, shift, turn):
+    ring = _star(60, 2.0, 2.0, 0.8, 1.9, 3)[::turn]
+    boundary = spark.createDataFrame([([ring],)], f"rings {geometry.RINGS}")
+    boxes = [(x * 0.4 + shift, y * 0.3 + shift, x * 0.4 + 0.4 + shift, y * 0.3 + 0.3 + shift) for x in range(-1, 11) for y in range(-1, 14)]
+    cells = spark.createDataFrame(boxes, "w double, s double, e double, n double")
+    got = {(r.w, r.s): r for r in polygons.clip_cells(cells, boundary, ("w", "s", "e", "n"), "rings", 0.25).collect()}
+    for box in boxes:
+        area, at = _clipped(ring, *box)
+        r = got.get(box[:2])
+        assert abs((r.clipped_area if r else 0.0) - area) < 1e-9
+        if area > 1e-6:
+            assert abs(r.centroid_x - at[0]) < 1e-6 and abs(r.centroid_y - at[1]) < 1e-6
+
+
+def test_equal_boxes_stay_separate(spark):
+    ring = [{"x": float(x), "y": float(y)} for x, y in ((0, 0), (3, 0), (3, 3), (0, 3), (0, 0))]
+    polys = spark.createDataFrame([([ring],)], f"rings {geometry.RINGS}")
+    boxes = spark.createDataFrame([(1.0, 1.0, 2.0, 2.0)] * 2 + [(5.0, 5.0, 6.0, 6.0), (-1.0, -1.0, 9.0, 9.0)], "w double, s double, e double, n double")
+    assert polygons.boxes_intersect_polygons(boxes, polys, ("w", "s", "e", "n"), "rings", 0.5, "left_semi").count() == 3
+
+
 def test_projections(spark):
     df = spark.createDataFrame([(-37.0, 145.0), (-37.8136, 144.9631)], "lat double, lon double")
     vx, vy = grid.vicgrid(F.col("lat"), F.col("lon"))

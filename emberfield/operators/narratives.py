@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from emberfield.functions.text import SEVERITY_RANK, severity_rank
 from emberfield.operators.ordering import number_rows
-from emberfield.operators.quality import QualityError
 
 
 def _severity_name(rank: Column) -> Column:
@@ -53,14 +52,34 @@ def cluster_members(members: DataFrame, posts: DataFrame) -> DataFrame:
     )
 
 
-def nest(rows: DataFrame, key: str, order: list[Column], value: Column, name: str, limit: int = 100_000) -> DataFrame:
+def narrative_items(members: DataFrame, posts: DataFrame, claims: DataFrame, facts: DataFrame) -> DataFrame:
+    """Posts, key claims and matched facts of each narrative, one per row with its position.
+
+    Posts come by time, claims by id, facts newest first. This is the form for
+    narratives of any size: a list is never held in one task.
+    """
+    p = members.select("cluster_id", "post_id").join(posts.select("post_id", "ts"), "post_id")
+    none = F.lit(None)
+    newest = -F.unix_micros(F.col("timestamp").cast("timestamp"))
+    parts = [
+        p.select(F.col("cluster_id").alias("narrative_id"), F.lit("post").alias("kind"), F.unix_micros(F.col("ts").cast("timestamp")).alias("_o"), F.col("post_id").cast("bigint").alias("item_id"),
+                 none.cast("string").alias("source"), F.col("ts").alias("timestamp"), none.cast("string").alias("content")),
+        claims.select(F.col("narrative_cluster_id").alias("narrative_id"), F.lit("claim").alias("kind"), F.lit(0).cast("bigint").alias("_o"), F.col("id").cast("bigint").alias("item_id"),
+                      none.cast("string").alias("source"), none.cast("timestamp_ntz").alias("timestamp"), "content"),
+        facts.select(F.col("narrative_cluster_id").alias("narrative_id"), F.lit("fact").alias("kind"), newest.alias("_o"), F.col("id").cast("bigint").alias("item_id"), "source", "timestamp", "content"),
+    ]
+    numbered = number_rows(parts[0].unionByName(parts[1]).unionByName(parts[2]), ["narrative_id", "kind", "_o", "item_id"], "_i")
+    first = numbered.groupBy("narrative_id", "kind").agg(F.min("_i").alias("_first"))
+    return numbered.join(first, ["narrative_id", "kind"]).select(
+        "narrative_id", "kind", (F.col("_i") - F.col("_first") + 1).alias("position"), "item_id", "source", "timestamp", "content"
+    )
+
+
+def nest(rows: DataFrame, key: str, order: list[Column], value: Column, name: str) -> DataFrame:
     """Array of ``value`` per key in ``order`` for display; NULL where a key has no rows.
 
-    An array lives in one task, so a key above ``limit`` rows is refused: use the long form.
+    An array lives in one task; ``narrative_items`` is the form without that bound.
     """
-    biggest = rows.groupBy(key).count().agg(F.max("count").alias("n")).first()["n"] or 0
-    if biggest > limit:
-        raise QualityError(f"{name}: a group of {biggest} rows is too large for an array")
     item = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)], value.alias("v"))
     return rows.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(item)), lambda s: s["v"]).alias(name))
 
@@ -68,7 +87,7 @@ def nest(rows: DataFrame, key: str, order: list[Column], value: Column, name: st
 def narrative_display(
     objects: DataFrame, members: DataFrame, posts: DataFrame, claims: DataFrame, facts: DataFrame
 ) -> DataFrame:
-    """Narrative objects with the nested lists of the display view."""
+    """Narrative objects with the nested lists of the display view; ``narrative_items`` has them in long form."""
     linked = members.join(posts.select("post_id", "ts"), "post_id")
     ids = nest(linked, "cluster_id", [F.col("ts"), F.col("post_id")], F.col("post_id"), "post_ids")
     kc = nest(claims, "narrative_cluster_id", [F.col("id")], F.col("content"), "key_claims")

@@ -44,11 +44,13 @@ def sequence_split_ratio(samples: DataFrame, order: list[str], train_val: float
     return out.withColumn("split", split).drop("_i", "_n", "_tv")
 
 
-def negative_subsample(df: DataFrame, label: str, key: list[str], ratio: int = 20, seed: int = 42) -> DataFrame:
-    """All positives and exactly ``ratio`` negatives per positive, chosen by hashed key."""
+def negative_subsample(
+    df: DataFrame, label: str, key: list[str], ratio: int = 20, seed: int = 42, order: list[Column] | None = None
+) -> DataFrame:
+    """All positives and exactly ``ratio`` negatives per positive, the first by ``order``, else by hashed key."""
     positives = df.where(F.col(label) == 1)
     wanted = positives.agg(F.count(F.lit(1)) * ratio).scalar()
-    shuffled = df.where(F.col(label) == 0).withColumn("_h", F.xxhash64(F.lit(seed), *key))
+    shuffled = df.where(F.col(label) == 0).withColumn("_h", F.struct(*order) if order else F.xxhash64(F.lit(seed), *key))
     ranked = number_rows(shuffled, ["_h", *key], "_i")
     return positives.unionByName(ranked.withColumn("_w", wanted).where(F.col("_i") <= F.col("_w")).drop("_h", "_i", "_w"))
 

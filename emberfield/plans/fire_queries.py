@@ -286,13 +286,14 @@ def gridded_satellite_table(t: Tables):
 
 @query("combine_satellites", """
 SELECT satellite, CASE WHEN satellite = 'click' THEN CASE WHEN k <= 30 THEN 'l' WHEN k >= 70 THEN 'h' ELSE 'n' END ELSE band END AS confidence, count(*) AS n
-FROM hot WHERE satellite IN ('view','signup','click') GROUP BY 1,2""", "hot")
+FROM hot GROUP BY 1,2""", "hot")
 def combine_satellites(t: Tables):
-    def product(name: str):
-        return t.hot.where(F.col("satellite") == name).select("satellite", F.col("band").alias("confidence"))
+    """All five kinds of events as three archives."""
+    def product(*names: str):
+        return t.hot.where(F.col("satellite").isin(*names)).select("satellite", F.col("band").alias("confidence"))
 
     modis = t.hot.where("satellite = 'click'").select("satellite", F.col("k").alias("confidence"))
-    return satellite.combine_satellites([product("view"), product("signup")], modis).groupBy("satellite", "confidence").agg(
+    return satellite.combine_satellites([product("view", "purchase"), product("signup", "error")], modis).groupBy("satellite", "confidence").agg(
         F.count(F.lit(1)).alias("n"))
 
 

@@ -91,18 +91,19 @@ def fire_events_full(t: Tables):
 
 
 @query("link_fire_to_weather", f"""
-, fx AS (SELECT event_id, acq_date, lat, lon FROM hot WHERE event_id % 2 = 0),
-wx AS (SELECT event_id AS weather_id, acq_date, lat, lon FROM hot WHERE event_id % 2 = 1 AND day(acq_date) % 7 <> 0),
+, fx AS (SELECT event_id, CASE WHEN event_id % 14 = 0 THEN acq_date + 400 ELSE acq_date END AS acq_date, lat, lon FROM hot WHERE event_id % 2 = 0),
+wx AS (SELECT event_id AS weather_id, acq_date, lat, lon FROM hot WHERE event_id % 2 = 1),
 rk AS (SELECT event_id, weather_id, row_number() OVER (PARTITION BY event_id ORDER BY {euclid('f.lat','f.lon','w.lat','w.lon')}, weather_id) AS rn
        FROM fx f JOIN wx w USING (acq_date))
 SELECT event_id, CASE WHEN event_id % 10 = 0 THEN -1 ELSE weather_id END AS weather_id
 FROM fx LEFT JOIN (SELECT * FROM rk WHERE rn = 1) USING (event_id)""", "hot")
 def link_fire_to_weather(t: Tables):
+    """All readings; some fires are dated outside their days and stay unlinked."""
     i = F.col("event_id")
     linked = F.when(i % 10 == 0, F.lit(-1)).cast("bigint")
     base = t.hot.select("event_id", F.col("lat").alias("latitude"), F.col("lon").alias("longitude"), F.col("acq_date").alias("d"))
-    events = base.where(i % 2 == 0).select("event_id", "latitude", "longitude", F.col("d").alias("event_date"), linked.alias("weather_id"))
-    weather = base.where((i % 2 == 1) & (F.dayofmonth("d") % 7 != 0)).select(
+    events = base.where(i % 2 == 0).select("event_id", "latitude", "longitude", F.when(i % 14 == 0, F.date_add("d", 400)).otherwise(F.col("d")).alias("event_date"), linked.alias("weather_id"))
+    weather = base.where(i % 2 == 1).select(
         i.alias("weather_id"), "latitude", "longitude", F.col("d").alias("datetime_record"))
     return relational.link_fire_to_weather(events, weather).select("event_id", "weather_id")
 
@@ -187,13 +188,23 @@ def clip_points(t: Tables):
     return kept.select("event_id", "acq_date", "acq_time")
 
 
-@query("clip_cells")
+# the boundary is |u| + |v| <= half around its centre: between the places where a cell's lines meet it, top and bottom are straight
+@query("clip_cells", f"""
+, c AS (SELECT DISTINCT floor(lon/0.25)::BIGINT AS x, floor(lat/0.25)::BIGINT AS y FROM hot),
+r AS (SELECT x, y, f.lon AS cx, f.lat AS cy, f.half AS r, x*0.25::DOUBLE - f.lon AS u0, (x+1)*0.25::DOUBLE - f.lon AS u1, y*0.25::DOUBLE - f.lat AS v0, (y+1)*0.25::DOUBLE - f.lat AS v1 FROM c, {_BOUND} f),
+k AS (SELECT DISTINCT x, y, least(greatest(unnest([u0, u1, 0, r, -r, r-abs(v0), abs(v0)-r, r-abs(v1), abs(v1)-r]), u0), u1) AS a FROM r),
+s AS (SELECT x, y, a, lead(a) OVER (PARTITION BY x, y ORDER BY a) AS b FROM k),
+t AS (SELECT s.*, cx, cy, least(v1, r-abs(a)) AS ta, greatest(v0, abs(a)-r) AS ba, least(v1, r-abs(b)) AS tb, greatest(v0, abs(b)-r) AS bb FROM s JOIN r USING (x, y) WHERE b > a),
+m AS (SELECT x, y, cx, cy, sum((b-a)*(ta-ba+tb-bb)/2) AS area, sum((b-a)*((ta-ba)*(2*a+b)+(tb-bb)*(a+2*b))/6) AS mu,
+  sum((b-a)*(ta*ta+ta*tb+tb*tb-ba*ba-ba*bb-bb*bb)/6) AS mv FROM t WHERE ta-ba+tb-bb > 0 GROUP BY ALL)
+SELECT x, y, round(area,6) AS clipped_area, round(cx+mu/area,6) AS centroid_x, round(cy+mv/area,6) AS centroid_y FROM m WHERE area > 1e-9""", "hot")
 def clip_cells(t: Tables):
-    """Cells holding detections cut to the boundary; areas are checked in the tests."""
+    """Cells holding detections cut to the boundary; the buckets of the join are not aligned with them."""
     s = 0.25
     cells = t.hot.select(F.floor(F.col("lon") / s).alias("x"), F.floor(F.col("lat") / s).alias("y")).distinct().select(
         "x", "y", (F.col("x") * s).alias("w"), (F.col("y") * s).alias("s"), ((F.col("x") + 1) * s).alias("e"), ((F.col("y") + 1) * s).alias("n"))
-    return polygons.clip_cells(cells, _boundary(t), ("w", "s", "e", "n"), "rings", s).select("x", "y", "clipped_area", "centroid_x", "centroid_y")
+    out = polygons.clip_cells(cells, _boundary(t), ("w", "s", "e", "n"), "rings", 0.4).where("clipped_area > 1e-9")
+    return rounded(out, "clipped_area", "centroid_x", "centroid_y").select("x", "y", "clipped_area", "centroid_x", "centroid_y")
 
 
 def cells_of(t: Tables):
@@ -276,10 +287,10 @@ def merge_grids(t: Tables):
 
 
 def _geo_cache(t: Tables):
-    """Cached lookups for a part of the address texts; every fifth is a known miss."""
+    """Cached lookups for all address texts; every fifth is a known miss."""
     k, n = F.col("c_custkey"), F.col("c_nationkey")
     road, town = (k % 40).cast("string"), n.cast("string")
-    base = t.table("customer").where(k % 3 != 0).select(
+    base = t.table("customer").select(
         F.when(k % 2 == 0, F.concat(F.lit("Road "), road, F.lit(", Town "), town, F.lit(", VIC, Australia")))
         .otherwise(F.concat(F.lit("Road "), road, F.lit(", Town "), town, F.lit(", Victoria, Australia"))).alias("query"), k.alias("k"))
     best = base.groupBy("query").agg(F.min("k").alias("k"))
@@ -292,7 +303,7 @@ def _geo_cache(t: Tables):
 _GEO_SQL = """
 , c0 AS (SELECT CASE WHEN c_custkey % 2 = 0 THEN 'Road '||(c_custkey%40)::VARCHAR||', Town '||c_nationkey::VARCHAR||', VIC, Australia'
          ELSE 'Road '||(c_custkey%40)::VARCHAR||', Town '||c_nationkey::VARCHAR||', Victoria, Australia' END AS query, min(c_custkey) AS k
-         FROM customer WHERE c_custkey % 3 <> 0 GROUP BY 1),
+         FROM customer GROUP BY 1),
 c AS (SELECT query, -37.0::DOUBLE - k/1000.0::DOUBLE AS la, 145.0::DOUBLE + k/1000.0::DOUBLE AS lo, 'Place '||k::VARCHAR AS dn FROM c0 WHERE k % 5 <> 0),
 q AS (SELECT _id, facility_address||', '||suburb||', VIC, Australia' AS q1, facility_address||', '||suburb||', Victoria, Australia' AS q2,
       facility_name||', '||suburb||', VIC, Australia' AS q3, facility_address||', '||suburb||', '||lga||', Victoria, Australia' AS q4, latitude, longitude FROM facility),
@@ -353,19 +364,15 @@ def suburb_reference(t: Tables):
 # -- interpolation ----------------------------------------------------------
 
 @query("interpolate_nearest", f"""
-, s AS (SELECT event_id, acq_date, lat, lon, frp, brightness FROM hot),
-c AS (SELECT acq_date, location_id, grid_latitude, grid_longitude FROM registry JOIN (SELECT DISTINCT acq_date FROM hot) d
-      ON location_id % 31 = day(acq_date)),
-rk AS (SELECT c.acq_date, location_id, frp, brightness, row_number() OVER (PARTITION BY c.acq_date, location_id ORDER BY
-       {euclid('grid_latitude','grid_longitude','lat','lon')}, event_id) AS rn FROM c JOIN s USING (acq_date))
-SELECT acq_date, location_id, frp, brightness FROM rk WHERE rn = 1""", "hot registry")
+, s AS (SELECT event_id, lat, lon, frp, brightness FROM hot WHERE acq_date = (SELECT max(acq_date) FROM hot)),
+rk AS (SELECT location_id, frp, brightness, row_number() OVER (PARTITION BY location_id ORDER BY
+       {euclid('grid_latitude','grid_longitude','lat','lon')}, event_id) AS rn FROM registry, s)
+SELECT location_id, frp, brightness FROM rk WHERE rn = 1""", "hot registry")
 def interpolate_nearest(t: Tables):
-    """Every registry cell takes the nearest detection of one calendar day (its id picks the day)."""
-    days = t.hot.select("acq_date").distinct().select("acq_date", F.dayofmonth("acq_date").alias("dom"))
-    cells = t.registry.select("location_id", "grid_latitude", "grid_longitude", (F.col("location_id") % 31).alias("dom")).join(days, "dom").drop("dom")
-    out = interpolation.nearest_to_grid(t.hot, cells, ("lat", "lon"), ("grid_latitude", "grid_longitude"), ["frp", "brightness"],
-                                        "event_id", by=["acq_date"])
-    return out.select("acq_date", "location_id", "frp", "brightness")
+    """Every registry cell at one time, the newest day: its nearest detection."""
+    newest = t.hot.where(F.col("acq_date") == t.hot.agg(F.max("acq_date")).scalar())
+    out = interpolation.nearest_to_grid(newest, t.registry, ("lat", "lon"), ("grid_latitude", "grid_longitude"), ["frp", "brightness"], "event_id")
+    return out.select("location_id", "frp", "brightness")
 
 
 @query("interpolate_idw", f"""

@@ -91,12 +91,10 @@ def lookback_samples(t: Tables):
 @query("materialize_samples", """
 , r AS (SELECT *, row_number() OVER (PARTITION BY cell ORDER BY ts) - 1 AS idx,
   sum(quantity) OVER (PARTITION BY cell ORDER BY ts ROWS BETWEEN 60 PRECEDING AND 1 PRECEDING) AS sx, lag(price, 60) OVER (PARTITION BY cell ORDER BY ts) AS oldest FROM obs)
-SELECT cell, idx AS anchor, is_burning, sx AS sum_x, oldest AS oldest_price FROM r WHERE idx >= 60 AND quantity = 50""", "obs")
+SELECT cell, idx AS anchor, is_burning, sx AS sum_x, oldest AS oldest_price FROM r WHERE idx >= 60""", "obs")
 def materialize_samples(t: Tables):
-    """Sequences of the anchors whose own reading is at the top of the scale."""
-    anchors = sequences.lookback_index(t.obs.withColumn("top", F.col("quantity") == 50), "cell", "ts", "top", 60).where("top")
-    labels = sequences.lookback_index(t.obs, "cell", "ts", "is_burning", 60)
-    chosen = labels.join(anchors.select("cell", "idx"), ["cell", "idx"], "left_semi")
+    """The sequence of every anchor that has a whole window before it."""
+    chosen = sequences.lookback_index(t.obs, "cell", "ts", "is_burning", 60)
     s = sequences.materialize_samples(chosen, t.obs, "cell", "ts", FEATURES, "is_burning", 60)
     total = F.aggregate(F.transform("x", lambda o: o[0]), F.lit(0.0), lambda a, v: a + v)
     return s.select("cell", F.col("anchor").cast("bigint").alias("anchor"), "is_burning", total.alias("sum_x"),
@@ -216,11 +214,12 @@ def sequence_split_ratio(t: Tables):
 
 
 @query("negative_subsample", """
-, p AS (SELECT count(*) FILTER (k = 99) AS pos, count(*) FILTER (k <> 99) AS neg FROM hot)
-SELECT 1 AS label, pos AS n FROM p UNION ALL SELECT 0, least(neg, 20*pos) FROM p""", "hot")
+, p AS (SELECT event_id, CASE WHEN k = 99 THEN 1 ELSE 0 END AS label, event_id*7919 % 1000003 AS h FROM hot),
+r AS (SELECT *, row_number() OVER (ORDER BY h, event_id) AS rn FROM p WHERE label = 0)
+SELECT event_id, label FROM p WHERE label = 1 UNION ALL SELECT event_id, label FROM r WHERE rn <= 20 * (SELECT sum(label) FROM p)""", "hot")
 def negative_subsample(t: Tables):
     src = t.hot.select("event_id", F.when(F.col("k") == 99, 1).otherwise(0).alias("label"))
-    return splits.negative_subsample(src, "label", ["event_id"]).groupBy("label").agg(F.countDistinct("event_id").alias("n"))
+    return splits.negative_subsample(src, "label", ["event_id"], order=[F.col("event_id") * 7919 % 1000003]).select("event_id", "label")
 
 
 @query("stratified_split", """
@@ -318,8 +317,8 @@ def first_horizon_factor(t: Tables):
 SELECT cell, round(sum(quantity)/60/100,6) AS p1, round(sum(discount)/60,6) AS p2 FROM r WHERE rn <= 60 GROUP BY 1 HAVING count(*) = 60""", "obs")
 def score_table(t: Tables):
     """A caller's scorer on batches of sequences: here the means of two features."""
-    def scorer(sequences_):
-        return [[sum(s[0] for s in seq) / len(seq) / 100, sum(s[1] for s in seq) / len(seq)] for seq in sequences_]
+    def scorer(block):
+        return block.mean(axis=1) / [100, 1]
 
     seq = sequences.last_n_sequence(t.obs, "cell", "ts", ["quantity", "discount"], 60).select("cell", "observations")
     out = scoring.score_table(seq, scorer, "observations")
@@ -445,10 +444,21 @@ def loss_terms(t: Tables):
     return rounded(metrics.loss_terms(src, "y", "z"), "focal", "tversky", "mse")
 
 
-@query("baseline_scorer")
+@query("baseline_scorer", """
+, d AS (SELECT *, CASE WHEN ts < TIMESTAMP '1998-01-01' THEN 'train' ELSE 'test' END AS split, quantity % 10 <> 0 AS known FROM obs)
+SELECT cell, ts, is_burning, split, known AS scored, CASE WHEN known THEN true END AS is_probability, true AS split_ranks_better_than_chance FROM d""", "obs")
 def baseline_scorer(t: Tables):
-    """Class-weighted logistic regression on the series, scored on all rows (no SQL form)."""
-    w = splits.class_weights(t.obs, "is_burning").first()["pos_weight"]
-    src = t.obs.withColumn("price", F.col("price") / 1000.0)
-    model = scoring.train_baseline(src, FEATURES, "is_burning", w)
-    return scoring.apply_baseline(model, src).select("cell", "ts", "is_burning", r6("p").alias("p"))
+    """Class-weighted logistic regression, trained on the earlier years and scored on all rows.
+
+    A row without a feature keeps its place with a NULL score. The test years' ranking must not be worse than chance.
+    """
+    price = F.when(F.col("quantity") % 10 != 0, F.col("price") / 1000.0)
+    split = F.when(F.col("ts") < F.lit("1998-01-01").cast(time.NTZ), "train").otherwise("test")
+    src = t.obs.withColumns({"price": price, "split": split})
+    train = src.where("split = 'train'")
+    w = splits.class_weights(train, "is_burning").first()["pos_weight"]
+    scored = scoring.apply_baseline(scoring.train_baseline(train, FEATURES, "is_burning", w), src)
+    ranks = scored.where("p is not null").groupBy("split").agg(
+        (F.avg(F.when(F.col("is_burning") == 1, F.col("p"))) >= F.avg(F.when(F.col("is_burning") == 0, F.col("p"))) - 0.01).alias("split_ranks_better_than_chance"))
+    return scored.join(ranks, "split").select(
+        "cell", "ts", "is_burning", "split", F.col("p").isNotNull().alias("scored"), F.col("p").between(0, 1).alias("is_probability"), "split_ranks_better_than_chance")

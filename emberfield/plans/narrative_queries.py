@@ -41,15 +41,28 @@ mf AS (SELECT conv_id, string_agg(left(text,10), '|' ORDER BY turn DESC) AS matc
 SELECT narrative_id, severity, post_ids, key_claims, matched_facts FROM ob LEFT JOIN ids ON ids.cluster_id = narrative_id LEFT JOIN kc ON kc.conv_id = narrative_id
 LEFT JOIN mf ON mf.conv_id = narrative_id""", _V)
 def narrative_display(t: Tables):
+    claims, facts = _claims_and_facts(t)
+    out = narratives.narrative_display(_objects(t), t.members, t.posts, claims, facts)
+    return out.select("narrative_id", "severity", F.array_join(F.col("post_ids").cast("array<string>"), ",").alias("post_ids"),
+                      F.array_join("key_claims", "|").alias("key_claims"),
+                      F.array_join(F.transform("matched_facts", lambda f: f["content"]), "|").alias("matched_facts"))
+
+
+def _claims_and_facts(t: Tables):
     conv = t.table("conversations")
     claims = conv.where("role = 'user'").select(F.col("conv_id").alias("narrative_cluster_id"), F.col("turn").alias("id"), F.left("text", F.lit(20)).alias("content"))
     stamp = F.lit("2024-01-01").cast(time.NTZ) + F.make_dt_interval(F.lit(0), F.lit(0), F.col("turn").cast("int"))
     facts = conv.where("role = 'assistant'").select(F.col("conv_id").alias("narrative_cluster_id"), F.col("turn").alias("id"), F.col("role").alias("source"),
                                                      stamp.alias("timestamp"), F.left("text", F.lit(10)).alias("content"))
-    out = narratives.narrative_display(_objects(t), t.members, t.posts, claims, facts)
-    return out.select("narrative_id", "severity", F.array_join(F.col("post_ids").cast("array<string>"), ",").alias("post_ids"),
-                      F.array_join("key_claims", "|").alias("key_claims"),
-                      F.array_join(F.transform("matched_facts", lambda f: f["content"]), "|").alias("matched_facts"))
+    return claims, facts
+
+
+@query("narrative_items", """
+SELECT cluster_id AS narrative_id, 'post' AS kind, row_number() OVER (PARTITION BY cluster_id ORDER BY ts, post_id) AS position, post_id AS item_id, NULL::VARCHAR AS content FROM members JOIN posts USING (post_id)
+UNION ALL SELECT conv_id, 'claim', row_number() OVER (PARTITION BY conv_id ORDER BY turn), turn, left(text,20) FROM conversations WHERE role = 'user'
+UNION ALL SELECT conv_id, 'fact', row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC), turn, left(text,10) FROM conversations WHERE role = 'assistant'""", _V)
+def narrative_items(t: Tables):
+    return narratives.narrative_items(t.members, t.posts, *_claims_and_facts(t)).select("narrative_id", "kind", "position", "item_id", "content")
 
 
 @query("active_incident_objects", """

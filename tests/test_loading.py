@@ -216,11 +216,16 @@ def test_ascii_lines_follow_file_order(spark, tmp_path):
     assert [r.K for r in rows] == [f"a{i}" for i in range(50)] + [f"b{i}" for i in range(9000)]
 
 
-def test_nest_refuses_large_groups(spark):
+def test_lists_have_no_limit_and_a_long_form(spark):
     df = spark.range(20).select(F.lit(1).alias("k"), F.col("id"))
     assert narratives.nest(df, "k", [F.col("id")], F.col("id"), "ids").first().ids == list(range(20))
-    with pytest.raises(quality.QualityError):
-        narratives.nest(df, "k", [F.col("id")], F.col("id"), "ids", limit=10)
+    posts = spark.range(5).select(F.col("id").alias("post_id"), (F.lit("2024-01-01").cast("timestamp_ntz")).alias("ts"))
+    members = posts.select(F.lit(7).alias("cluster_id"), "post_id")
+    claims = spark.createDataFrame([(7, 2, "b"), (7, 1, "a"), (8, 1, "c")], "narrative_cluster_id int, id int, content string")
+    facts = spark.createDataFrame([(7, 1, "s", dt.datetime(2024, 1, 1), "old"), (7, 2, "s", dt.datetime(2024, 1, 2), "new")], "narrative_cluster_id int, id int, source string, timestamp timestamp_ntz, content string")
+    rows = narratives.narrative_items(members, posts, claims, facts).collect()
+    at = {(r.narrative_id, r.kind, r.position): r.content or r.item_id for r in rows}
+    assert len(rows) == 10 and at[7, "claim", 1] == "a" and at[7, "fact", 1] == "new" and at[7, "post", 5] == 4 and at[8, "claim", 1] == "c"
 
 
 def test_gates_raise(spark):

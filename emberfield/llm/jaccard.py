@@ -316,8 +316,8 @@ def similar_groups(
     text_col: str = "text",
     size: int = 5,
     percent: int = 80,
-    chunk_bytes: int = 16 << 20,
-    bucket_words: int = 2_000_000,
+    chunk_bytes: int = 8 << 20,
+    bucket_words: int = 1_000_000,
     block: int = 256,
     unit_bytes: int = 4 << 20,
     few_labels: int = 64,

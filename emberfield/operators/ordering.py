@@ -3,8 +3,9 @@
 Rows are range-partitioned on the full order key, so even one key holding a
 third of the table is split over many tasks, then written once to reliable
 storage: both the rows and the per-partition totals are read from that copy and
-therefore agree on the boundaries. Only the per-partition totals (one row per
-shuffle partition) are ever broadcast.
+therefore agree on the boundaries, and the totals read only their own columns. The
+number of ranges follows the size of the input files. Only the per-partition totals
+(one row per range) are ever broadcast.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from emberfield.session import durable, shuffle_partitions
+from emberfield.session import data_partitions, durable
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 
@@ -24,9 +25,8 @@ def _columns(order: list) -> list[Column]:
 
 def _ranged(df: DataFrame, order: list) -> DataFrame:
     cols = _columns(order)
-    n = shuffle_partitions(df.sparkSession)
     return durable(
-        df.repartitionByRange(n, *cols)
+        df.repartitionByRange(data_partitions(df), *cols)
         .sortWithinPartitions(*cols)
         .withColumn("_slot", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright("_slot", _ROW_BITS))

@@ -14,11 +14,43 @@ from pyspark.sql.window import Window
 from emberfield.functions import grid
 from emberfield.operators.ordering import number_rows
 from emberfield.operators.quality import require_no_rows
-from emberfield.session import sized_broadcast
+from emberfield.session import durable, sized_broadcast
 
 _BLOCK = 100_000
 
 
+def _carried(summary: DataFrame, groups: list[str], cols: list[str], span: int = 1000) -> DataFrame:
+    """Per block the last known value before it (``_cb_``) and the first known after it (``_ca_``).
+
+    Blocks are taken ``span`` at a time: the blocks of a span in one window, then the spans
+    in one of their own. Either holds at most ``span`` rows for a series of a hundred billion.
+    """
+    spans = summary.withColumn("_span", F.floor(F.col("_block") / span))
+
+    def chained(rows: DataFrame, keys: list[str], step: str) -> DataFrame:
+        chain = Window.partitionBy(*keys).orderBy(step)
+        before, after = chain.rowsBetween(Window.unboundedPreceding, -1), chain.rowsBetween(1, Window.unboundedFollowing)
+        return rows.select(
+            "*",
+            *[F.last(f"_last_{c}", ignorenulls=True).over(before).alias(f"_b_{c}") for c in cols],
+            *[F.first(f"_first_{c}", ignorenulls=True).over(after).alias(f"_a_{c}") for c in cols],
+        )
+
+    inside = chained(spans, [*groups, "_span"], "_block")
+    whole = spans.groupBy(*groups, "_span").agg(
+        *[F.max(f"_last_{c}").alias(f"_last_{c}") for c in cols], *[F.min(f"_first_{c}").alias(f"_first_{c}") for c in cols]
+    )
+    outside = chained(whole, groups, "_span").select(
+        *[F.col(k).alias(f"_s_{k}") for k in [*groups, "_span"]], *[F.col(f"_{x}_{c}").alias(f"_o{x}_{c}") for c in cols for x in "ba"]
+    )
+    on = F.lit(True)
+    for k in [*groups, "_span"]:
+        on = on & F.col(k).eqNullSafe(F.col(f"_s_{k}"))
+    return inside.join(outside, on).select(
+        *groups, "_block", *[F.coalesce(f"_{x}_{c}", f"_o{x}_{c}").alias(f"_c{x}_{c}") for c in cols for x in "ba"]
+    )
+
+
 def interpolate_time_series(
     df: DataFrame, time_col: str, cols: list[str], group_cols: list[str] | None = None,
     direction: str = "forward", tie: list[str] | None = None, block: int = _BLOCK,
@@ -47,14 +79,7 @@ def interpolate_time_series(
     summary = pos.groupBy(*groups, "_block").agg(
         *[F.max(known(c)).alias(f"_last_{c}") for c in cols], *[F.min(known(c)).alias(f"_first_{c}") for c in cols]
     )
-    chain = Window.partitionBy(*groups).orderBy("_block")
-    before = chain.rowsBetween(Window.unboundedPreceding, -1)
-    after = chain.rowsBetween(1, Window.unboundedFollowing)
-    carry = summary.select(
-        *groups, "_block",
-        *[F.last(f"_last_{c}", ignorenulls=True).over(before).alias(f"_cb_{c}") for c in cols],
-        *[F.first(f"_first_{c}", ignorenulls=True).over(after).alias(f"_ca_{c}") for c in cols],
-    )
+    carry = _carried(durable(summary), groups, cols)
     keys = [*groups, "_block"]
     renamed = carry.withColumnsRenamed({k: f"_k_{k}" for k in keys})
     on = F.lit(True)

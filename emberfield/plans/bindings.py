@@ -160,11 +160,10 @@ class Tables:
     def hubs(self) -> tuple[DataFrame, DataFrame]:
         """Location and time hubs of the detections."""
         from emberfield.operators import hubs
-        from emberfield.session import durable
 
         src = self.hot.select("event_id", F.col("lat").alias("original_latitude"), F.col("lon").alias("original_longitude"),
                               F.col("ts").alias("datetime_record"))
-        return durable(hubs.location_registry([src])), durable(hubs.time_registry([src]))
+        return hubs.location_registry([src]), hubs.time_registry([src])
 
 
 def diamond(x: Column, y: Column, h: Column) -> Column:

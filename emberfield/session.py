@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -29,8 +31,9 @@ def get_session(app: str = "emberfield", cores: int | str = "*", memory: str = "
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the cluster's ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a folder of its own; on a cluster a
-    machine-local folder would be lost together with its executor.
+    Only a local master may fall back to a folder of its own, made once for the
+    session and removed when the driver ends; on a cluster a machine-local folder
+    would be lost together with its executor.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -40,23 +43,39 @@ def shared_dir(spark: SparkSession) -> str:
         return current
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    return tempfile.mkdtemp(prefix="emberfield-")
+    own = tempfile.mkdtemp(prefix="emberfield-")
+    atexit.register(shutil.rmtree, own, ignore_errors=True)
+    spark.conf.set("spark.checkpoint.dir", own)
+    return own
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Write ``df`` to reliable storage and cut its lineage."""
+    """Write ``df`` to the shared folder as Parquet and read it from there.
+
+    Lineage is cut, lost executors lose nothing, and later steps read only the columns they use.
+    """
     spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    if any(f.dataType.typeName() == "void" for f in df.schema.fields):  # Parquet has no such type
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(shared_dir(spark))
+        return df.checkpoint(eager=True)
+    path = scratch_path(spark, "table")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
-def sized_broadcast(df: DataFrame, rows: int = 200_000) -> DataFrame:
-    """Broadcast ``df`` if counting shows it is small, else leave the join to Spark's shuffle.
+def fits_broadcast(df: DataFrame, rows: int, size: int = 64 << 20) -> bool:
+    """Whether counting shows at most ``rows`` rows and, at the schema's width, ``size`` bytes.
 
     Counting stops one row past the limit, so the check stays cheap on a large table.
     """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    most = min(rows, size // max(1, df._jdf.schema().defaultSize()))
+    return df.limit(most + 1).count() <= most
+
+
+def sized_broadcast(df: DataFrame, rows: int = 200_000) -> DataFrame:
+    """Broadcast ``df`` if counting shows it is small, else leave the join to Spark's shuffle."""
+    return F.broadcast(df) if fits_broadcast(df, rows) else df
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -66,3 +85,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def data_partitions(df: DataFrame, per_task: int = 64 << 20) -> int:
+    """Partitions for all of ``df``: about ``per_task`` bytes of its input files each, the session's number at least."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    read = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return max(shuffle_partitions(df.sparkSession), min(read // per_task, 100_000))

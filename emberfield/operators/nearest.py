@@ -5,8 +5,9 @@ grid cells, each with the tight bounds and the number of targets below it. Every
 query point walks down from one root cell: a cell is dropped only when its lower
 distance bound exceeds the bound already guaranteed by another cell, so the result
 is the true nearest target while each point carries only a handful of candidate
-cells. Nothing pairs a whole group with a whole group: a crowded place on either
-side costs depth, not pairs. The depth is taken from the data.
+cells. Each cell ends where it holds few targets; only crowded ones are divided
+further, as deep as it takes until their distinct coordinates separate. So nothing
+pairs a whole group with a whole group, and a crowded place costs depth only there.
 
 All joins are equi-joins on a cell key. The tree is written once, its levels counted,
 and only levels counted to be small are broadcast; larger ones are shuffled. While
@@ -25,7 +26,8 @@ from pyspark.sql.window import Window
 from emberfield.functions import grid
 from emberfield.session import durable
 
-_SIZES = [16.0, 4.0, 1.0, 0.25, 0.0625, 0.015625, 0.00390625, 0.0009765625, 0.000244140625]
+_SIZES = [16.0 / 4.0**level for level in range(26)]  # the last is about the spacing of doubles at these coordinates
+_FIRST_LEVELS = 9  # built for all targets; below, only crowded cells are divided
 _LEAF_TARGETS = 64
 _ROOT_CELLS = 32
 _BROADCAST_ROWS = 200_000
@@ -114,7 +116,7 @@ HAVERSINE_KM = haversine_metric(grid.EARTH_KM)
 HAVERSINE_M = haversine_metric(6371000.0)
 
 
-_FINEST = len(_SIZES) - 1
+_DEEPEST = len(_SIZES) - 1
 
 
 def _key(prefix: str, level: int) -> list[Column]:
@@ -125,11 +127,14 @@ def _key(prefix: str, level: int) -> list[Column]:
     ]
 
 
-def _tree(targets: DataFrame, by: list[str], metric: Metric) -> DataFrame:
-    """Occupied cells of every level with tight bounds and target counts, written once."""
+def _at_levels(levels: range) -> Column:
+    return F.explode(F.array(*[F.struct(F.lit(i).alias("level"), *_key("k", i)) for i in levels])).alias("at")
+
+
+def _cells(targets: DataFrame, by: list[str], metric: Metric, levels: range) -> DataFrame:
+    """Occupied cells of some levels with tight bounds and target counts, written once."""
     axes = {a: fn(F.col("lat"), F.col("lon")) for a, fn in metric.axes.items()}
-    levels = F.array(*[F.struct(F.lit(i).alias("level"), *_key("k", i)) for i in range(len(_SIZES))])
-    rows = targets.select(*by, F.explode(levels).alias("at"), *[v.alias(f"_{a}") for a, v in axes.items()])
+    rows = targets.select(*by, _at_levels(levels), *[v.alias(f"_{a}") for a, v in axes.items()])
     names, bounds = [], []
     for a in axes:
         names += [f"{a}_lo", f"{a}_hi"]
@@ -138,14 +143,51 @@ def _tree(targets: DataFrame, by: list[str], metric: Metric) -> DataFrame:
     return durable(cells.select(*by, "level", "ky", "kx", "n", F.struct(*names).alias("cell")))
 
 
-def _plan(tree: DataFrame) -> tuple[int, int, dict[int, int]]:
-    """First level worth visiting, leaf level, and the cell count per level (one row per level)."""
-    rows = tree.groupBy("level").agg(F.count(F.lit(1)).alias("cells"), F.max("n").alias("worst")).collect()
-    cells = {r["level"]: r["cells"] for r in rows}
-    fits = [r["level"] for r in rows if r["worst"] <= _LEAF_TARGETS]
-    leaf = min(fits) if fits else _FINEST
-    small = [lv for lv, n in cells.items() if n <= _ROOT_CELLS and lv <= leaf]
-    return (max(small) if small else 0), leaf, cells
+@dataclass(frozen=True)
+class _Tree:
+    """Root cells and, below them, the cells of crowded parents only; row counts by level."""
+
+    roots: DataFrame
+    below: DataFrame
+    start: int
+    deepest: int
+    cells: dict[int, int]
+    leaves: dict[int, int]
+    targets: int
+
+    def step(self, by: list[str], level: int) -> tuple[DataFrame, int]:
+        """What each cell above ``level`` becomes there: its parts, or itself if it is not crowded."""
+        own = [F.col("level").alias("clv"), F.col("ky").alias("cy"), F.col("kx").alias("cx")]
+        rest = ["level", "ky", "kx", "n", "leaf", "cell"]
+        parent = [(F.col("level") - 1).alias("clv"), F.floor(F.col("ky") / 4).alias("cy"), F.floor(F.col("kx") / 4).alias("cx")]
+        parts = self.below.where(F.col("level") == level).select(*by, *parent, *rest)
+        kept = self.roots.unionByName(self.below).where((F.col("level") < level) & F.col("leaf")).select(*by, *own, *rest)
+        return parts.unionByName(kept), self.cells.get(level, 0) + sum(n for lv, n in self.leaves.items() if lv < level)
+
+
+def _tree(targets: DataFrame, by: list[str], metric: Metric) -> _Tree:
+    whole = _cells(targets, by, metric, range(_FIRST_LEVELS))
+    last, rows, newest = _FIRST_LEVELS - 1, targets, whole
+    while last < _DEEPEST:
+        crowded = newest.where((F.col("level") == last) & (F.col("n") > _LEAF_TARGETS)).select(*by, "ky", "kx")
+        if not crowded.limit(1).count():
+            break
+        rows = durable(rows.select("*", *_key("k", last)).join(crowded, [*by, "ky", "kx"], "left_semi").drop("ky", "kx"))
+        levels = range(last + 1, min(last + 5, _DEEPEST + 1))
+        newest = _cells(rows, by, metric, levels)
+        whole, last = whole.unionByName(newest), levels[-1]
+    per_level = {r["level"]: r["cells"] for r in whole.groupBy("level").agg(F.count(F.lit(1)).alias("cells")).collect()}
+    start = max((lv for lv, n in per_level.items() if n <= _ROOT_CELLS and lv < _FIRST_LEVELS), default=0)  # levels that hold all targets
+    marked = whole.withColumn("leaf", (F.col("n") <= _LEAF_TARGETS) | (F.col("level") == _DEEPEST))
+    up = [*by, "level", "py", "px"]
+    above = whole.where(F.col("n") > _LEAF_TARGETS).select(*by, (F.col("level") + 1).alias("level"), F.col("ky").alias("py"), F.col("kx").alias("px"))
+    below = marked.where(F.col("level") > start).withColumns({"py": F.floor(F.col("ky") / 4), "px": F.floor(F.col("kx") / 4)})
+    below = durable(below.join(above, up, "left_semi").drop("py", "px"))
+    roots = marked.where(F.col("level") == start)
+    counts = roots.unionByName(below).groupBy("level").agg(F.count(F.lit(1)).alias("c"), F.count_if("leaf").alias("l"), F.sum("n").alias("n")).collect()
+    cells, leaves = {r["level"]: r["c"] for r in counts}, {r["level"]: r["l"] for r in counts}
+    total = sum(r["n"] for r in counts if r["level"] == start)
+    return _Tree(roots, below, start, max(cells, default=start), cells, leaves, total)
 
 
 def _sized(df: DataFrame, rows: int) -> DataFrame:
@@ -187,24 +229,14 @@ def nearest_join(
 
     tgt = durable(tgt)
     tree = _tree(tgt, by, metric)
-    start, leaf, cells = _plan(tree)
     p = {"lat": F.col("plat"), "lon": F.col("plon")}
     same_point = Window.partitionBy(*here)
-    walk = pts
-    for level in range(start, leaf + 1):
-        step = tree.where(F.col("level") == level)
-        if level > start:
-            parent = [F.floor(F.col("ky") / 4).alias("cy"), F.floor(F.col("kx") / 4).alias("cx")]
-            step = step.select(*by, *parent, "ky", "kx", "n", "cell")
-            walk = walk.join(_sized(step, cells[level]), [*by, "cy", "cx"])
-        elif by:
-            walk = walk.join(_sized(step.select(*by, "ky", "kx", "n", "cell"), cells[level]), by)
-        else:
-            # a few dozen cells at most: every point starts from the same short array
-            roots = step.agg(F.collect_list(F.struct("ky", "kx", "n", "cell"))).scalar()
-            walk = walk.select("*", F.explode(roots).alias("c")).select(*here, "c.*")
+    at = ["clv", "cy", "cx"]
+
+    def pruned(walk: DataFrame) -> DataFrame:
+        """Cells that can still hold one of the k nearest; ``busy`` points have cells to divide among them."""
         joined = walk.select(
-            *here, F.col("ky").alias("cy"), F.col("kx").alias("cx"), "n",
+            *here, F.col("level").alias("clv"), F.col("ky").alias("cy"), F.col("kx").alias("cx"), "n", "leaf",
             metric.low(p, F.col("cell")).alias("low"),
             metric.high(p, F.col("cell")).alias("high"),
         )
@@ -212,14 +244,36 @@ def nearest_join(
             limit = F.min("high").over(same_point)
         else:
             # bound of the k-th nearest: cells sorted by upper bound until k targets are covered
-            nearer = same_point.orderBy("high", "cy", "cx").rowsBetween(Window.unboundedPreceding, 0)
+            nearer = same_point.orderBy("high", *at).rowsBetween(Window.unboundedPreceding, 0)
             joined = joined.withColumn("_cum", F.sum("n").over(nearer))
             kth = F.min(F.when(F.col("_cum") >= k, F.col("high"))).over(same_point)
             limit = F.coalesce(kth, F.max("high").over(same_point))
-        walk = joined.withColumn("_limit", limit).where(F.col("low") <= F.col("_limit")).select(*here, "cy", "cx")
-    leaves = tgt.select(*by, *_key("c", leaf), F.struct("lat", "lon").alias("t"), "id")
-    total = cells.get(leaf, 0) * _LEAF_TARGETS
-    ranked = walk.join(_sized(leaves, total if leaf < _FINEST else _BROADCAST_ROWS + 1), [*by, "cy", "cx"]).select(
+        return joined.withColumn("_limit", limit).where(F.col("low") <= F.col("_limit")).select(*here, *at, "leaf")
+
+    roots = tree.roots.select(*by, "level", "ky", "kx", "n", "leaf", "cell")
+    if by:
+        walk = pruned(pts.join(_sized(roots, tree.cells.get(tree.start, 0)), by))
+    else:
+        # a few dozen cells at most: every point starts from the same short array
+        first = roots.agg(F.collect_list(F.struct(*roots.columns))).scalar()
+        walk = pruned(pts.select("*", F.explode(first).alias("c")).select(*here, "c.*"))
+    done = None
+    for level in range(tree.start + 1, tree.deepest + 1):
+        step, rows = tree.step(by, level)
+        walk = pruned(walk.drop("leaf").join(_sized(step, rows), [*by, *at]))
+        if level >= _FIRST_LEVELS - 1 and level < tree.deepest and (level - _FIRST_LEVELS + 1) % 4 == 0:
+            # points with nothing left to divide stay here, whatever the depth elsewhere
+            walk = durable(walk.withColumn("busy", F.max(~F.col("leaf")).over(same_point)))
+            stay = walk.where(~F.col("busy")).drop("busy")
+            done = stay if done is None else done.unionByName(stay)
+            walk = walk.where("busy").drop("busy")
+    walk = walk if done is None else walk.unionByName(done)
+    leaf_cells = tree.roots.unionByName(tree.below).where("leaf").select(*by, "level", "ky", "kx")
+    placed = tgt.select(*by, _at_levels(range(tree.start, tree.deepest + 1)), "lat", "lon", "id").select(*by, "at.*", "lat", "lon", "id")
+    leaves = placed.join(_sized(leaf_cells, sum(tree.leaves.values())), [*by, "level", "ky", "kx"], "left_semi").select(
+        *by, F.col("level").alias("clv"), F.col("ky").alias("cy"), F.col("kx").alias("cx"), F.struct("lat", "lon").alias("t"), "id"
+    )
+    ranked = walk.join(_sized(leaves, tree.targets), [*by, *at]).select(
         *here, F.struct(metric.exact(p, F.col("t")).alias("d"), F.col("id")).alias("m")
     )
     if k == 1:

@@ -36,6 +36,19 @@ def test_nearest_matches_brute_force(spark, k):
     assert np.allclose(got, want, atol=0)
 
 
+def test_a_third_of_the_targets_in_ten_metres(spark):
+    rng = np.random.default_rng(9)
+    here = np.array([-37.0, 145.0])
+    crowd = here + rng.integers(0, 10_000, (3000, 2)) * 1e-8  # below the smallest cell of the first levels
+    t = pd.DataFrame(np.r_[crowd, rng.uniform([-39, 141], [-34, 150], (6000, 2))], columns=["grid_latitude", "grid_longitude"])
+    t["location_id"] = np.arange(len(t))
+    p = pd.DataFrame(np.r_[here + rng.integers(0, 20_000, (400, 2)) * 1e-8, rng.uniform([-39, 141], [-34, 150], (800, 2))], columns=["plat", "plon"])
+    out = nearest.nearest_join(spark.createDataFrame(p), spark.createDataFrame(t), ("plat", "plon"), ("grid_latitude", "grid_longitude"), "location_id").toPandas()
+    dy, dx = _deltas(p, t)
+    best = pd.Series(np.sqrt(dy**2 + dx**2).min(axis=1), index=pd.MultiIndex.from_frame(p))
+    assert len(out) == len(best) and all(abs(r.distance - best[(r.plat, r.plon)]) < 1e-13 for r in out.itertuples())
+
+
 def test_nearest_by_great_circle_and_groups(spark):
     p, t, sp, st = _cloud(spark, 2)
     sp = sp.withColumn("day", (F.col("plat") * 1000).cast("int") % 3)

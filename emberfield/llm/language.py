@@ -11,7 +11,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from emberfield.llm.blocks import saved
 
@@ -24,7 +23,7 @@ def letter_words(text: str | None) -> list[str]:
     if not text:
         return []
     found = _WORD.findall(text.lower())
-    return found if text.isascii() else [w for w in found if any(c.isalpha() for c in w)]
+    return found if text.isascii() else [w for w in found if w.isalpha() or any(c.isalpha() for c in w)]
 
 
 def word_counts(labelled: DataFrame) -> DataFrame:
@@ -32,9 +31,10 @@ def word_counts(labelled: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(seen: dict[str, Counter]) -> pa.RecordBatch:
-            rows = [(lang, w, n) for lang, c in seen.items() for w, n in c.items()]
-            cols = zip(*rows, strict=True) if rows else [[]] * 3
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.string(), pa.int64()), strict=True)], ["lang", "word", "n"])
+            langs = [lang for lang, c in seen.items() for _ in range(len(c))]
+            words = [w for c in seen.values() for w in c]
+            counts = [n for c in seen.values() for n in c.values()]
+            return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(words, pa.string()), pa.array(counts, pa.int64())], ["lang", "word", "n"])
 
         seen: dict[str, Counter] = {}
         for b in batches:
@@ -55,55 +55,64 @@ class LanguageModel:
     langs: list[str]
     words: dict[str, int]
     grams: list[dict[str, int]]  # longest first
-    scores: np.ndarray  # one row per entry, one column per language
-    unseen: np.ndarray  # for a word of which not even one character is known
+    scores: np.ndarray  # one row per entry, one column per language; the last for a word of which not even one character is known
 
-    def row(self, word: str) -> np.ndarray:
-        """Score of one word: its own frequencies, else the mean over the longest n-grams known of it."""
+    def rows(self, word: str) -> list[int]:
+        """Rows whose mean scores a word: its own, else those of the longest n-grams known of it."""
         at = self.words.get(word)
         if at is not None:
-            return self.scores[at]
+            return [at]
         padded = f" {word} "
         for known, size in zip(self.grams, range(len(self.grams), 0, -1), strict=True):
             rows = [r for i in range(len(padded) - size + 1) if (r := known.get(padded[i : i + size])) is not None]
             if rows:
-                return self.scores[rows].mean(axis=0)
-        return self.unseen
+                return rows
+        return [len(self.scores) - 1]
 
 
-def train(labelled: DataFrame, max_words: int = 40_000, max_grams: int = 20_000, max_length: int = 4) -> LanguageModel:
+def train(labelled: DataFrame, max_words: int = 30_000, max_grams: int = 10_000, max_length: int = 4) -> LanguageModel:
     """Count words and their n-grams over all labelled rows (text, lang; null langs are left out).
 
     The model keeps, per language, the ``max_words`` most frequent words and the ``max_grams``
-    most frequent n-grams of each length up to ``max_length`` (ties by text): these bound what is
-    broadcast; rarer words fall back to n-grams. The counts themselves cover all rows.
+    most frequent n-grams of each length up to ``max_length``, equally frequent ones all or none: these
+    bound what is broadcast; rarer words fall back to n-grams. The counts themselves cover all rows.
     """
     counts = saved(word_counts(labelled.where("lang is not null")), "words")
     totals = dict(counts.groupBy("lang").agg(F.sum("n")).orderBy("lang").collect())
     langs = list(totals)
     k = len(langs)
 
-    def best(df: DataFrame, key: str, limit: int) -> list:
-        w = Window.partitionBy("lang").orderBy(F.desc("n"), key)
-        top = df.withColumn("r", F.row_number().over(w)).where(F.col("r") <= limit).select(key).distinct()
-        return df.join(top, key, "left_semi").select("lang", key, "n").collect()  # at most limit * languages**2 rows
+    def best(df: DataFrame, key: str, limit: int) -> tuple[list, list, np.ndarray]:
+        least: dict[str, int] = {}
+        kept: Counter = Counter()
+        how_often = df.groupBy("lang", "n").count().collect()  # one row per distinct count
+        for lang, n, keys in sorted(how_often, key=lambda r: (r[0], -r[1])):
+            if lang not in least or kept[lang] + keys <= limit:
+                kept[lang] += keys
+                least[lang] = n if kept[lang] <= limit else n + 1
+            else:
+                kept[lang] = limit + 1  # no rarer ones
+        floor = F.create_map(*[F.lit(x) for pair in least.items() for x in pair])
+        top = df.where(F.col("n") >= floor[F.col("lang")]).select(key).distinct()
+        rows = df.join(top, key, "left_semi").select("lang", key, "n").toArrow()  # at most limit * languages**2 rows
+        return rows["lang"].to_pylist(), rows[key].to_pylist(), rows["n"].to_numpy()
 
     number = {lang: i for i, lang in enumerate(langs)}
     blocks: list[np.ndarray] = []
 
-    def scored(rows: list, sums: np.ndarray, first: int) -> dict[str, int]:
+    def scored(rows: tuple[list, list, np.ndarray], sums: dict[str, int], first: int) -> dict[str, int]:
         """Log of the smoothed frequency of each entry in each language."""
         index: dict[str, int] = {}
-        for _, key, _ in rows:
-            index.setdefault(key, first + len(index))
+        at = np.array([index.setdefault(key, len(index)) for key in rows[1]], np.int64)
         n = np.full((len(index), k), 0.5)
-        for lang, key, count in rows:
-            n[index[key] - first, number[lang]] += count
-        blocks.append(np.log(n / (sums + 0.5 * len(index))))
-        return index
-
-    word_rows = best(counts, "word", max_words) if k else []
-    words = scored(word_rows, np.array([max(1, totals[lang]) for lang in langs], float), 0)
+        np.add.at(n, (at, np.array([number[lang] for lang in rows[0]], np.int64)), rows[2])
+        whole = np.array([max(1, sums.get(lang, 0)) for lang in langs], float)
+        blocks.append(np.log(n / (whole + 0.5 * len(index))).astype(np.float32))
+        return {key: first + i for key, i in index.items()}
+
+    if not k:
+        return LanguageModel([], {}, [], np.empty((0, 0), np.float32))
+    words = scored(best(counts, "word", max_words), totals, 0)
     grams, first = [], len(words)
     padded = F.concat(F.lit(" "), F.col("word"), F.lit(" "))
     for size in range(max_length, 0, -1):
@@ -111,33 +120,39 @@ def train(labelled: DataFrame, max_words: int = 40_000, max_grams: int = 20_000,
         exploded = counts.where(F.length("word") + 2 >= size).select("lang", "n", F.explode(spots).alias("gram"))
         per_gram = saved(exploded.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
         sums = dict(per_gram.groupBy("lang").agg(F.sum("n")).collect())
-        known = scored(best(per_gram, "gram", max_grams) if k else [], np.array([max(1, sums.get(lang, 0)) for lang in langs], float), first)
+        known = scored(best(per_gram, "gram", max_grams), sums, first)
         grams.append(known)
         first += len(known)
-    scores = np.concatenate(blocks) if blocks else np.empty((0, k))
-    return LanguageModel(langs, words, grams, scores.astype(np.float32), np.zeros(k, np.float32))
+    return LanguageModel(langs, words, grams, np.concatenate([*blocks, np.zeros((1, k), np.float32)]))
 
 
-class _Scores(dict):
-    """Row number of each word met, its scores worked out once; emptied when it outgrows the limit."""
+class _Scores:
+    """Scores of each word met, worked out once; emptied when they outgrow the limit."""
 
     def __init__(self, model: LanguageModel, limit: int = 200_000):
-        super().__init__()
         self.model, self.limit = model, limit
+        self.at: dict[str, int] = {}
         self.table = np.empty((limit, len(model.langs)), np.float32)
 
-    def __missing__(self, word: str) -> int:
-        n = self[word] = len(self)
-        self.table[n] = self.model.row(word)
-        return n
+    def _learn(self, words: list[str]) -> None:
+        rows = [self.model.rows(w) for w in words]
+        lengths = np.fromiter(map(len, rows), np.int64, len(rows))
+        flat = np.fromiter((r for of_word in rows for r in of_word), np.int64, int(lengths.sum()))
+        first = len(self.at)
+        sums = np.add.reduceat(self.model.scores[flat], np.cumsum(lengths) - lengths, axis=0)
+        self.table[first : first + len(words)] = sums / lengths[:, None]
+        self.at.update(zip(words, range(first, first + len(words)), strict=True))
 
     def total(self, words: list[str]) -> np.ndarray:
         sums = np.zeros(len(self.model.langs))
         for i in range(0, len(words), 50_000):
-            if len(self) + 50_000 > self.limit:
-                self.clear()
             part = words[i : i + 50_000]
-            sums += self.table[np.fromiter(map(self.__getitem__, part), np.int64, len(part))].sum(axis=0, dtype=np.float64)
+            if len(self.at) + 50_000 > self.limit:
+                self.at.clear()
+            new = set(part).difference(self.at)
+            if new:
+                self._learn(list(new))
+            sums += self.table[np.fromiter(map(self.at.__getitem__, part), np.int64, len(part))].sum(axis=0, dtype=np.float64)
         return sums
 
 

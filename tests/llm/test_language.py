@@ -5,7 +5,7 @@ from collections import Counter
 import numpy as np
 from helpers import SCHEMA, documents, table
 
-from emberfield.llm.language import LanguageModel, held_out, identify, letter_words, predict, train, word_counts
+from emberfield.llm.language import LanguageModel, _Scores, held_out, identify, letter_words, predict, train, word_counts
 
 SYLLABLES = {"en": "the ing th er on and sh ble".split(), "de": "ei sch ung lich ß ä er".split(), "fr": "eau é tre ou ai ê".split()}
 
@@ -43,13 +43,20 @@ def test_word_counts_and_scores_against_plain_counting(spark):
     for i, lang in enumerate(model.langs):
         total = sum(n for (x, _), n in want.items() if x == lang)
         for w in list(vocabulary)[:50]:
-            assert abs(model.row(w)[i] - np.log((want[lang, w] + 0.5) / (total + 0.5 * len(vocabulary)))) < 1e-4
+            assert abs(model.scores[model.words[w]][i] - np.log((want[lang, w] + 0.5) / (total + 0.5 * len(vocabulary)))) < 1e-4
 
 
 def test_falls_back_to_shorter_grams():
-    model = LanguageModel(["a", "b"], {"known": 0}, [{"abc": 1}, {"xy": 2}, {"q": 3}], np.arange(8, dtype=np.float32).reshape(4, 2), np.zeros(2, np.float32))
-    assert model.row("known").tolist() == [0, 1] and model.row("zabcz").tolist() == [2, 3]
-    assert model.row("zxyz").tolist() == [4, 5] and model.row("zqz").tolist() == [6, 7] and model.row("zz").tolist() == [0, 0]
+    model = LanguageModel(["a", "b"], {"known": 0}, [{"abc": 1, "bcd": 2}, {"xy": 3}, {"q": 4}], np.arange(12, dtype=np.float32).reshape(6, 2))
+    assert [model.rows(w) for w in ("known", "zabcz", "abcdz", "zxyz", "zqz", "zz")] == [[0], [1], [1, 2], [3], [4], [5]]
+    assert _Scores(model).total(["abcdz", "zz", "abcdz"]).tolist() == [2 * 3 + 10, 2 * 4 + 11]
+
+
+def test_frequent_entries_are_kept_and_ties_all_or_none(spark):
+    rows = [("aa aa aa bb bb cc dd", "x"), ("ee ee ff", "y")]
+    model = train(spark.createDataFrame(rows, "text string, lang string"), max_words=3, max_grams=2)
+    assert set(model.words) == {"aa", "bb", "ee", "ff"}  # cc and dd would make four of x
+    assert all(len(known) <= 4 for known in model.grams)
 
 
 def test_without_training_rows_all_are_undetermined(spark):

@@ -174,12 +174,15 @@ def fit_forest(
 
 
 def train_quality(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", sample: int = 20_000) -> Forest | None:
-    """Fit on at most ``sample`` labelled documents, those with the smallest hash of the id; None without labels of both kinds.
+    """Fit on at most ``sample`` labelled documents, those with the smallest hashes of the id; None without labels of both kinds.
 
     Null labels are left out; a document labelled both ways counts as good.
     """
     marked = labels.where(F.col(label_col).isNotNull()).groupBy(id_col).agg(F.max(label_col).cast("double").alias("_label"))
-    known = stats.join(marked, id_col).orderBy(F.xxhash64(id_col), id_col).limit(sample).select(*BASE, *EXTRA, "_label").toPandas()
+    labelled = saved(stats.join(marked, id_col).withColumn("_hash", F.pmod(F.xxhash64(id_col), F.lit(1 << 30))), "labelled")
+    share = min(1.0, 1.1 * sample / max(1, labelled.count()))  # so that each task offers its share only
+    offered = labelled.where(F.col("_hash") < int(share * (1 << 30)) + 1)
+    known = offered.orderBy("_hash", id_col).limit(sample).select(*BASE, *EXTRA, "_label").toPandas()
     y = known["_label"].to_numpy()
     if len(np.unique(y)) < 2:
         return None

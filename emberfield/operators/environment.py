@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from emberfield.functions import fire, time
 from emberfield.operators.ordering import exact_quantiles, previous_row
-from emberfield.operators.quality import coverage_equal, require_no_rows, shared_metadata_equal, unique_keys
+from emberfield.operators.quality import QualityError
+from emberfield.session import durable
 
 
 def env_12h_mean(
@@ -80,23 +81,39 @@ def merge_one_to_one(
     left: DataFrame, right: DataFrame, keys: list[str], shared: list[str],
     prefixes: tuple[str, str] = ("era5_", "era5land_"), check: bool = True,
 ) -> DataFrame:
-    """Inner one-to-one merge: keys unique and equal on both sides, shared metadata equal.
+    """One-to-one merge: keys unique and equal on both sides, shared metadata equal.
 
-    Other columns get the prefix of their side; the shared ones are kept once.
+    Other columns get the prefix of their side; the shared ones are kept once. Both sides
+    meet once per key; the stored result tells every violation in one row, and a
+    ``QualityError`` names them. Without ``check`` keys of one side only are left out.
     """
-    if check:
-        for side in (left, right):
-            unique_keys(side, keys, strict=True)
-        coverage_equal(left, right, keys)
-        counts = shared_metadata_equal(left, right, keys, shared)
-        require_no_rows(counts.where(" OR ".join(f"{c} > 0" for c in counts.columns)), "shared metadata differs")
-
-    def side(df: DataFrame, prefix: str, with_shared: bool) -> DataFrame:
+    def packed(df: DataFrame, prefix: str) -> Column:
         own = [c for c in df.columns if c not in keys and c not in shared]
-        kept = [F.col(c) for c in shared] if with_shared else []
-        return df.select(*keys, *kept, *[F.col(c).alias(prefix + c) for c in own])
+        return F.struct(F.lit(True).alias("_here"), *shared, *[F.col(c).alias(prefix + c) for c in own])
 
-    return side(left, prefixes[0], True).join(side(right, prefixes[1], False), keys)
+    sides = [df.select(*keys, packed(df, prefix).alias("_s")) for df, prefix in zip((left, right), prefixes, strict=True)]
+    kinds = [df.schema["_s"].dataType for df in sides]
+    both = sides[0].select(*keys, F.col("_s").alias("_l"), F.lit(None).cast(kinds[1]).alias("_r")).unionByName(
+        sides[1].select(*keys, F.lit(None).cast(kinds[0]).alias("_l"), F.col("_s").alias("_r"))
+    )
+    per_key = both.groupBy(*keys).agg(
+        F.count("_l").alias("_nl"), F.count("_r").alias("_nr"), F.first("_l", ignorenulls=True).alias("_l"), F.first("_r", ignorenulls=True).alias("_r")
+    )
+    if check:
+        per_key = durable(per_key)
+        matched = (F.col("_nl") > 0) & (F.col("_nr") > 0)
+        found = per_key.agg(
+            F.count_if(F.col("_nl") > 1).alias("keys repeated on the left"), F.count_if(F.col("_nr") > 1).alias("keys repeated on the right"),
+            F.count_if(F.col("_nr") == 0).alias("keys on the left only"), F.count_if(F.col("_nl") == 0).alias("keys on the right only"),
+            *[F.count_if(matched & ~F.col(f"_l.{c}").eqNullSafe(F.col(f"_r.{c}"))).alias(f"{c} differs") for c in shared],
+        ).first().asDict()
+        wrong = [f"{what}: {n}" for what, n in found.items() if n]
+        if wrong:
+            raise QualityError("no one-to-one merge, " + "; ".join(wrong))
+    own = lambda df, p, side: [F.col(f"{side}.{p}{c}").alias(p + c) for c in df.columns if c not in keys and c not in shared]
+    return per_key.where((F.col("_nl") > 0) & (F.col("_nr") > 0)).select(
+        *keys, *[F.col(f"_l.{c}").alias(c) for c in shared], *own(left, prefixes[0], "_l"), *own(right, prefixes[1], "_r")
+    )
 
 
 def enso_table(df: DataFrame, order: list[str]) -> DataFrame:

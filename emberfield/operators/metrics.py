@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emberfield.operators.ordering import running_sums
-from emberfield.operators.quality import require_no_rows
+from emberfield.operators.quality import QualityError, require_no_rows
+from emberfield.session import durable
 
 EPS = 1e-12
 
@@ -64,16 +65,17 @@ def ranking_metrics(curve: DataFrame) -> DataFrame:
 def compute_metrics(df: DataFrame, label: str, prob: str, threshold: float, beta: float = 2.0) -> DataFrame:
     """One row with counts, calibration, thresholded and ranking metrics."""
     b2 = beta**2
-    actual = F.when(F.col(label) >= 0.5, 1.0).otherwise(0.0)
-    pred, pos = F.col(prob) >= threshold, F.col(label) >= 0.5
-    n = F.count(F.lit(1))
-    base = df.agg(
-        n.alias("n_cells"), F.count_if(pos).alias("n_positive"),
-        F.count_if(pred & pos).alias("tp"), F.count_if(pred & ~pos).alias("fp"),
-        F.count_if(~pred & pos).alias("fn"), F.count_if(~pred & ~pos).alias("tn"),
-        F.avg((F.col(prob) - actual) * (F.col(prob) - actual)).alias("brier"),
+    # every count and the squared error come from the table of distinct scores
+    curve = score_curve(df, label, prob)
+    over = F.col("score") >= threshold
+    neg = F.col("n") - F.col("pos")
+    base = curve.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_cells"), F.coalesce(F.sum("pos"), F.lit(0)).alias("n_positive"),
+        F.coalesce(F.sum(F.when(over, F.col("pos"))), F.lit(0)).alias("tp"), F.coalesce(F.sum(F.when(over, neg)), F.lit(0)).alias("fp"),
+        F.coalesce(F.sum(F.when(~over, F.col("pos"))), F.lit(0)).alias("fn"), F.coalesce(F.sum(F.when(~over, neg)), F.lit(0)).alias("tn"),
+        (F.sum(F.col("pos") * F.pow(F.col("score") - 1, 2) + neg * F.col("score") * F.col("score")) / F.sum("n")).alias("brier"),
     )
-    rank = ranking_metrics(score_curve(df, label, prob)).select(F.struct("*")).scalar()
+    rank = ranking_metrics(curve).select(F.struct("*")).scalar()
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
     out = base.withColumn("_r", rank).withColumns({
         "threshold": F.lit(float(threshold)), "beta": F.lit(float(beta)),
@@ -112,12 +114,17 @@ def find_best_threshold(df: DataFrame, label: str, prob: str, beta: float = 2.0)
 
 
 def flatten_valid(predictions: DataFrame, labels: DataFrame, mask: DataFrame, keys: list[str], cell: list[str]) -> DataFrame:
-    """Label and probability of the valid cells; both tables must cover the same keys."""
-    valid_p = predictions.join(mask, cell, "left_semi")
-    valid_y = labels.join(mask, cell, "left_semi")
-    require_no_rows(valid_p.join(valid_y, keys, "left_anti"), "shape mismatch: prediction without label")
-    require_no_rows(valid_y.join(valid_p, keys, "left_anti"), "shape mismatch: label without prediction")
-    return valid_p.join(valid_y, keys)
+    """Label and probability of the valid cells; both tables must cover the same keys.
+
+    Both meet once in a full join, whose stored result is checked and returned.
+    """
+    valid_p = predictions.join(mask, cell, "left_semi").withColumn("_p", F.lit(True))
+    valid_y = labels.join(mask, cell, "left_semi").withColumn("_y", F.lit(True))
+    both = durable(valid_p.join(valid_y, keys, "full_outer"))
+    no_label, no_prediction = both.agg(F.count_if(F.col("_y").isNull()), F.count_if(F.col("_p").isNull())).first()
+    if no_label or no_prediction:
+        raise QualityError(f"shape mismatch: {no_label} predictions without label, {no_prediction} labels without prediction")
+    return both.drop("_p", "_y")
 
 
 def regression_metrics(df: DataFrame, pairs: dict[str, tuple[str, str]]) -> DataFrame:

@@ -194,22 +194,28 @@ def grid_ids_multi_geometry(df: DataFrame, grid_id: str, geometry_id: str) -> Da
 
 
 def grid_alignment_summary(left: DataFrame, right: DataFrame, geometry_id: str, grid_id: str, ts: str) -> DataFrame:
-    """Named checks of two exports of the same grid, one row each."""
-    def one(name: str, df: DataFrame, passed: Column) -> DataFrame:
-        return df.select(F.lit(name).alias("check"), passed.alias("passed"))
+    """Named checks of two exports of the same grid, one row each.
 
-    def equal(name: str, keys: list[str]) -> DataFrame:
-        return one(name, coverage_diff(left, right, keys), F.col("equal"))
-
-    def single(name: str, df: DataFrame) -> DataFrame:
-        n = grid_ids_multi_geometry(df, grid_id, geometry_id).agg(F.count(F.lit(1)).alias("n"))
-        return one(name, n, F.col("n") == 0)
-
-    return (
-        equal("same_geometries", [geometry_id]).unionByName(equal("same_times", [ts]))
-        .unionByName(equal("same_geometry_times", [geometry_id, ts]))
-        .unionByName(single("left_grid_id_unique", left)).unionByName(single("right_grid_id_unique", right))
+    Both exports are read once: each row counts for its geometry, its time, both together,
+    and its grid id, and every check is a count over these keys.
+    """
+    side = lambda df, n: df.select(F.lit(n).alias("_side"), F.col(geometry_id).alias("_g"), F.col(grid_id).alias("_i"), F.col(ts).alias("_t"))
+    text = lambda *c: F.to_json(F.struct(*c), {"ignoreNullFields": "false"})
+    kinds = [("same_geometries", text("_g"), F.lit(None)), ("same_times", text("_t"), F.lit(None)), ("same_geometry_times", text("_g", "_t"), F.lit(None)), ("grid_id", text("_i"), text("_g"))]
+    keys = F.array(*[F.struct(F.lit(k).alias("check"), key.alias("key"), value.cast("string").alias("value")) for k, key, value in kinds])
+    rows = side(left, "left").unionByName(side(right, "right")).select("_side", F.explode(keys).alias("k")).select("_side", "k.*")
+    per_key = rows.groupBy("check", "key").agg(
+        F.count_if(F.col("_side") == "left").alias("l"), F.count_if(F.col("_side") == "right").alias("r"),
+        *[f(F.when(F.col("_side") == s, F.col("value"))).alias(f"{n}_{s}") for s in ("left", "right") for n, f in (("min", F.min), ("max", F.max))],
+    )
+    several = lambda s: F.count_if(F.col(f"min_{s}") < F.col(f"max_{s}")) == 0
+    done = per_key.groupBy("check").agg(
+        (F.count_if((F.col("l") == 0) | (F.col("r") == 0)) == 0).alias("equal"), several("left").alias("left"), several("right").alias("right")
     )
+    named = F.when(F.col("check") == "grid_id", F.array(
+        F.struct(F.lit("left_grid_id_unique").alias("check"), F.col("left").alias("passed")), F.struct(F.lit("right_grid_id_unique").alias("check"), F.col("right").alias("passed"))
+    )).otherwise(F.array(F.struct("check", F.col("equal").alias("passed"))))
+    return done.select(F.explode(named).alias("c")).select("c.*")
 
 
 def temporal_structure(df: DataFrame, ts: str, expected_per_year: int, hours: list[int]) -> DataFrame:

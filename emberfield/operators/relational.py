@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from emberfield.functions import grid, time
 from emberfield.operators import nearest
-from emberfield.operators.quality import require_no_rows
-from emberfield.session import sized_broadcast
+from emberfield.operators.quality import QualityError
+from emberfield.session import durable, sized_broadcast
 
 
 def incidents_with_hubs(incidents: DataFrame, locations: DataFrame, times: DataFrame) -> DataFrame:
@@ -31,7 +31,11 @@ def fire_event_full(
     incidents: DataFrame, locations: DataFrame, times: DataFrame, weather: DataFrame, vegetation: DataFrame,
     topography: DataFrame, assets: DataFrame,
 ) -> DataFrame:
-    """Left joins of every spoke; several matches fan out, as in the consolidated view."""
+    """Left joins of every spoke; several matches fan out, as in the consolidated view.
+
+    Where spokes hold many rows per key, reduce them with ``one_per_key`` first: the output
+    grows with the product of their rows.
+    """
     def spoke(df: DataFrame, id_col: str, name: str, keys: list[str]) -> DataFrame:
         return df.select(
             *keys, id_col,
@@ -51,6 +55,12 @@ def fire_event_full(
     )
 
 
+def one_per_key(spoke: DataFrame, keys: list[str], id_col: str) -> DataFrame:
+    """The row with the lowest id of each key, so that a join on the keys cannot multiply rows."""
+    rest = [c for c in spoke.columns if c not in keys]
+    return spoke.groupBy(*keys).agg(F.min_by(F.struct(*rest), id_col).alias("_r")).select(*keys, "_r.*")
+
+
 def fire_events_full(events: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """Fact rows with each dimension by its foreign key: ``dims`` maps key column to table."""
     out = events
@@ -188,17 +198,23 @@ def geocode_summary(df: DataFrame) -> DataFrame:
 def feature_forecast_join(features: DataFrame, forecasts: DataFrame) -> DataFrame:
     """Original features with their forecast by id, by position where the id is unknown.
 
-    Both sides carry ``position``; a feature with neither raises.
+    Both sides carry ``position``; a feature with neither raises, and so does an id or
+    position that two forecasts share. The joined rows are stored once and checked there.
     """
-    by_id = forecasts.where(F.col("id").isNotNull()).select("id", F.col("forecast").alias("_f_id"))
-    by_pos = forecasts.select("position", F.col("forecast").alias("_f_pos"))
+    def single(key: str, name: str) -> DataFrame:
+        known = forecasts.where(F.col(key).isNotNull()).groupBy(key)
+        return known.agg(F.struct(F.first("forecast").alias("v"), F.count(F.lit(1)).alias("n")).alias(name))
+
     fallback_id = F.coalesce("id", F.col("position").cast("string"))
-    joined = (
-        features.withColumn("id", fallback_id).join(by_id, "id", "left").join(by_pos, "position", "left")
-        .withColumn("forecast", F.coalesce("_f_id", "_f_pos")).drop("_f_id", "_f_pos")
+    joined = durable(
+        features.withColumn("id", fallback_id).join(single("id", "_by_id"), "id", "left").join(single("position", "_by_pos"), "position", "left")
+        .withColumn("forecast", F.coalesce("_by_id.v", "_by_pos.v"))
+        .withColumn("_shared", F.when(F.col("_by_id.v").isNotNull(), F.col("_by_id.n")).otherwise(F.col("_by_pos.n")) > 1)
     )
-    require_no_rows(joined.where(F.col("forecast").isNull()), "forecast missing for a feature")
-    return joined
+    missing, several = joined.agg(F.count_if(F.col("forecast").isNull()), F.count_if("_shared")).first()
+    if missing or several:
+        raise QualityError(f"{missing} features without a forecast, {several} with more than one")
+    return joined.drop("_by_id", "_by_pos", "_shared")
 
 
 def suburb_reference(suburbs: DataFrame, registry: DataFrame) -> DataFrame:
@@ -213,12 +229,3 @@ def suburb_reference(suburbs: DataFrame, registry: DataFrame) -> DataFrame:
         metric=nearest.HAVERSINE_KM, out=("location_id", "distance_km"),
     )
     return nearest.attach_nearest(typed, found, ["latitude", "longitude"])
-
-
-def with_hub_keys(df: DataFrame, ts: str) -> DataFrame:
-    """Hour-level integer key used by the live weather feed."""
-    return df.withColumn("time_id", time.hour_id(F.col(ts)))
-
-
-def same_cell(lat: Column, lon: Column, size: float = 0.1) -> Column:
-    return F.struct(grid.cell_index(lat, size).alias("y"), grid.cell_index(lon, size).alias("x"))

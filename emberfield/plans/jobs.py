@@ -57,16 +57,25 @@ def load_hub_and_spoke(spark: SparkSession, source: str, target: str, order: str
     return report
 
 
-def unified_fire_history(fire_shapes: DataFrame, detections: DataFrame, cell_m: float = 5000.0) -> tuple[DataFrame, DataFrame]:
+def _origin(corner: tuple[float, float], cell_m: float) -> tuple[float, float]:
+    """The grid's corner: the boundary's, snapped down to the cell size."""
+    return (corner[0] // cell_m) * cell_m, (corner[1] // cell_m) * cell_m
+
+
+def unified_fire_history(
+    fire_shapes: DataFrame, detections: DataFrame, corner: tuple[float, float], cell_m: float = 5000.0
+) -> tuple[DataFrame, DataFrame]:
     """Fires with their satellite-derived life cycle, and the detections inside fire extents per cell and day.
 
     ``fire_shapes``: fire_id, ignition_date, area_ha, size_class, ..., rings in degrees.
-    ``detections``: the finished satellite table with longitude, latitude and datetime.
+    ``detections``: the finished satellite table with cell_x, cell_y and datetime, its cells
+    counted from ``corner`` in Web-Mercator metres; a detection stands for its whole cell.
     """
-    half = F.lit(cell_m / 111320.0 / 2)
+    x0, y0 = _origin(corner, cell_m)
+    cx, cy = F.col("cell_x"), F.col("cell_y")
     boxed = detections.withColumns({
-        "_w": F.col("longitude") - half, "_e": F.col("longitude") + half,
-        "_s": F.col("latitude") - half, "_n": F.col("latitude") + half,
+        "_w": grid.mercator_lon(cx * cell_m + x0), "_e": grid.mercator_lon((cx + 1) * cell_m + x0),
+        "_s": grid.mercator_lat(cy * cell_m + y0), "_n": grid.mercator_lat((cy + 1) * cell_m + y0),
     })
     box = ("_w", "_s", "_e", "_n")
     matched = polygons.boxes_intersect_polygons(
@@ -83,16 +92,20 @@ def unified_fire_history(fire_shapes: DataFrame, detections: DataFrame, cell_m:
 def satellite_history(detections: DataFrame, boundary: DataFrame, corner: tuple[float, float], cell_m: float = 5000.0) -> DataFrame:
     """Raw detections inside the boundary to the gridded table with neighbours and targets.
 
-    ``boundary``: rings in degrees; ``corner``: its smallest Web-Mercator x and y.
+    ``boundary``: rings in degrees; ``corner``: its smallest Web-Mercator x and y. A cell's
+    place is the centre of the part of its square that lies inside the boundary.
     """
     inside = polygons.points_in_polygons(detections, boundary.select("rings"), "longitude", "latitude", "rings", 0.25, "left_semi")
     celled = satellite.with_metric_cells(inside, "latitude", "longitude", cell_m, *corner)
-    table = satellite.gridded_satellite_table(celled)
-    x0, y0 = (corner[0] // cell_m) * cell_m, (corner[1] // cell_m) * cell_m
-    return table.withColumns({
-        "longitude": grid.mercator_lon((F.col("cell_x") + 0.5) * cell_m + x0),
-        "latitude": grid.mercator_lat((F.col("cell_y") + 0.5) * cell_m + y0),
-    })
+    table = durable(satellite.gridded_satellite_table(celled))
+    x0, y0 = _origin(corner, cell_m)
+    squares = table.select("cell_x", "cell_y").distinct().select("*", *[
+        ((F.col(c) + k) * cell_m + o).alias(n) for n, c, k, o in (("w", "cell_x", 0, x0), ("s", "cell_y", 0, y0), ("e", "cell_x", 1, x0), ("n", "cell_y", 1, y0))
+    ])
+    metric = boundary.select(geometry.map_points(F.col("rings"), lambda lon, lat: (grid.mercator_x(lon), grid.mercator_y(lat))).alias("rings"))
+    clipped = polygons.clip_cells(squares, metric, ("w", "s", "e", "n"), "rings", cell_m * 4)
+    centres = clipped.select("cell_x", "cell_y", grid.mercator_lon(F.col("centroid_x")).alias("longitude"), grid.mercator_lat(F.col("centroid_y")).alias("latitude"))
+    return table.join(centres, ["cell_x", "cell_y"])
 
 
 def forecast_risk_map(

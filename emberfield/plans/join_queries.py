@@ -53,10 +53,10 @@ def risk_inputs(t: Tables):
 
 
 @query("fire_event_full_v2", ALIGNED + """
-, we AS (SELECT incident_id AS weather_id, location_id, time_id, lat, lon FROM fi WHERE incident_id % 3 = 0),
-ve AS (SELECT incident_id AS veg_condition_id, location_id, time_id, lat, lon FROM fi WHERE incident_id % 5 = 0),
-tp AS (SELECT min(incident_id) AS topo_id, location_id, min(lat) AS lat, min(lon) AS lon FROM fi WHERE incident_id % 2 = 0 GROUP BY location_id),
-ia AS (SELECT incident_id AS asset_id, location_id, lat, lon FROM fi WHERE incident_id % 40 = 0)
+, we AS (SELECT min(incident_id) AS weather_id, location_id, time_id, arg_min(lat, incident_id) AS lat, arg_min(lon, incident_id) AS lon FROM fi WHERE incident_id % 3 = 0 GROUP BY location_id, time_id),
+ve AS (SELECT min(incident_id) AS veg_condition_id, location_id, time_id FROM fi WHERE incident_id % 5 = 0 GROUP BY location_id, time_id),
+tp AS (SELECT min(incident_id) AS topo_id, location_id FROM fi WHERE incident_id % 2 = 0 GROUP BY location_id),
+ia AS (SELECT min(incident_id) AS asset_id, location_id, arg_min(lat, incident_id) AS lat FROM fi WHERE incident_id % 40 = 0 GROUP BY location_id)
 SELECT incident_id, location_id, time_id, fi.lat AS fire_original_latitude, season, weather_id, veg_condition_id, topo_id, asset_id,
        we.lon AS weather_original_longitude, ia.lat AS infrastructure_original_latitude
 FROM fi LEFT JOIN we USING (location_id, time_id) LEFT JOIN ve USING (location_id, time_id) LEFT JOIN tp USING (location_id)
@@ -66,13 +66,13 @@ def fire_event_full_v2(t: Tables):
     fi = aligned(t)
     i = F.col("incident_id")
 
-    def spoke(name: str, every: int):
-        return fi.where(i % every == 0).withColumnRenamed("incident_id", name)
+    def spoke(name: str, every: int, *keys: str):
+        rows = fi.where(i % every == 0).select("location_id", "time_id", "original_latitude", "original_longitude", i.alias(name))
+        return relational.one_per_key(rows, list(keys), name)
 
-    topo = fi.where(i % 2 == 0).groupBy("location_id").agg(
-        F.min("incident_id").alias("topo_id"), F.min("original_latitude").alias("original_latitude"),
-        F.min("original_longitude").alias("original_longitude"))
-    full = relational.fire_event_full(fi, loc, tim, spoke("weather_id", 3), spoke("veg_condition_id", 5), topo, spoke("asset_id", 40))
+    both = ("location_id", "time_id")
+    full = relational.fire_event_full(
+        fi, loc, tim, spoke("weather_id", 3, *both), spoke("veg_condition_id", 5, *both), spoke("topo_id", 2, "location_id"), spoke("asset_id", 40, "location_id"))
     return full.select("incident_id", "location_id", "time_id", "fire_original_latitude", "season", "weather_id", "veg_condition_id",
                        "topo_id", "asset_id", "weather_original_longitude", "infrastructure_original_latitude")
 

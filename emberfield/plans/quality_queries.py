@@ -119,9 +119,9 @@ def grid_ids_multi_geometry(t: Tables):
 
 @query("grid_alignment_summary", """
 , a AS (SELECT cell AS g, cell % 50 AS i, ts FROM obs), b AS (SELECT l_suppkey AS g, l_suppkey AS i, l_shipdate AS ts FROM lineitem WHERE l_quantity < 45)
-SELECT 'same_geometries' AS "check", (SELECT count(DISTINCT g) FROM a) = (SELECT count(DISTINCT g) FROM b) AS passed
-UNION ALL SELECT 'same_times', (SELECT count(DISTINCT ts) FROM a) = (SELECT count(DISTINCT ts) FROM b)
-UNION ALL SELECT 'same_geometry_times', (SELECT count(*) FROM (SELECT DISTINCT g, ts FROM a)) = (SELECT count(*) FROM (SELECT DISTINCT g, ts FROM b))
+SELECT 'same_geometries' AS "check", NOT EXISTS ((SELECT g FROM a EXCEPT SELECT g FROM b) UNION ALL (SELECT g FROM b EXCEPT SELECT g FROM a)) AS passed
+UNION ALL SELECT 'same_times', NOT EXISTS ((SELECT ts FROM a EXCEPT SELECT ts FROM b) UNION ALL (SELECT ts FROM b EXCEPT SELECT ts FROM a))
+UNION ALL SELECT 'same_geometry_times', NOT EXISTS ((SELECT g, ts FROM a EXCEPT SELECT g, ts FROM b) UNION ALL (SELECT g, ts FROM b EXCEPT SELECT g, ts FROM a))
 UNION ALL SELECT 'left_grid_id_unique', NOT EXISTS (SELECT 1 FROM a GROUP BY i HAVING count(DISTINCT g) > 1)
 UNION ALL SELECT 'right_grid_id_unique', NOT EXISTS (SELECT 1 FROM b GROUP BY i HAVING count(DISTINCT g) > 1)""", "obs")
 def grid_alignment_summary(t: Tables):

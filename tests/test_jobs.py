@@ -39,7 +39,7 @@ def test_satellite_to_fire_history(spark):
     assert table.count() == 3 and abs(table.first().latitude + 37.0) < 0.05
     shapes = spark.createDataFrame([(1, dt.datetime(2020, 1, 1), 50.0)], "fire_id int, ignition_date timestamp_ntz, area_ha double").select(
         "*", fire.size_class(F.col("area_ha")).alias("size_class"), bindings.diamond(F.lit(145.0), F.lit(-37.0), F.lit(0.05)).alias("rings"))
-    unified, daily = jobs.unified_fire_history(shapes, table)
+    unified, daily = jobs.unified_fire_history(shapes, table, (15600000.0, -4900000.0))
     r = unified.first()
     assert r.viirs_detection_count == 3 and r.detection_status == "detected" and r.extinguish_date == dt.datetime(2020, 1, 3, 1, 30)
     assert daily.count() == 3

@@ -95,7 +95,14 @@ def ancestors(directory: Column) -> Column:
 
 
 def scan_licences(
-    files: DataFrame, path: Column, text: Column, templates: dict[str, str] | None = None, threshold: float = 0.8, file_words: int = 50, file_names: str = r"(?i)^(licen[cs]e|copying)\b"
+    files: DataFrame,
+    path: Column,
+    text: Column,
+    templates: dict[str, str] | None = None,
+    threshold: float = 0.8,
+    file_words: int = 50,
+    file_names: str = r"(?i)^(licen[cs]e|copying)\b",
+    keep: list[str] | None = None,
 ) -> DataFrame:
     """Licence of every file: its own statement, or that of the nearest directory above.
 
@@ -107,14 +114,14 @@ def scan_licences(
     among themselves, by joins on their paths, before their files are: a directory
     is one row there, however many files it holds.
 
-    Returns the other columns of ``files`` plus ``path``, ``licence``, ``similarity``, ``origin`` (own,
+    Returns the columns ``keep`` of ``files`` (all by default) plus ``path``, ``licence``, ``similarity``, ``origin`` (own,
     inherited or null) and ``from_directory``. Null texts have no statement, null paths lie at the top under an empty name; empty tables and
     repeated rows are kept as they are. Input columns with these names are replaced.
     """
     weights = Weights(templates or TEMPLATES)
     trigger = r"(?i)(?<![a-z0-9])(" + "|".join(re.escape(t) for t in weights.triggers(threshold)) + r")(?![a-z0-9])"
     outs = ("path", "licence", "similarity", "origin", "from_directory", "directory")
-    read = files.select(*[c for c in files.columns if c not in outs], F.coalesce(path, F.lit("")).alias("path"), F.coalesce(text, F.lit("")).alias("_text"))
+    read = files.select(*[c for c in (files.columns if keep is None else keep) if c not in outs], F.coalesce(path, F.lit("")).alias("path"), F.coalesce(text, F.lit("")).alias("_text"))
     named = F.element_at(F.split("path", "/"), -1).rlike(file_names)
     short = F.size(F.filter(F.split("_text", r"[\x20\x09-\x0D]+"), lambda w: w != "")) <= file_words
     hit = F.col("_text").rlike(trigger)

@@ -149,7 +149,8 @@ SELECT cell_x, cell_y, bright_t31, (SELECT count(*) FROM hot) - (SELECT count(*)
 def clean_report(t: Tables):
     src = t.hot.select(F.col("cell_x").cast("string").alias("cell_x"), F.col("cell_y").cast("string").alias("cell_y"), "bright_t31")
     out, report = cleaning.clean(src, {"cell_x": "int", "cell_y": "int"})
-    removed = int(report.splitlines()[0].rsplit("(", 1)[1].split(" ")[0])
+    first, last = (int(part.split(": ")[1].split(" ")[0]) for part in report.splitlines()[0].split(", ")[:2])
+    removed = first - last
     return out.withColumn("rows_removed", F.lit(removed).cast("bigint"))
 
 

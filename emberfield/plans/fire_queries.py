@@ -345,10 +345,12 @@ def describe(t: Tables):
 
 
 @query("soil_moisture_by_time", """
-SELECT ts, round(avg(discount),6) AS surface_mean, round(avg(tax),6) AS rootzone_mean, min(discount) AS surface_min, max(discount) AS surface_max,
+SELECT ts, round(avg(discount)+1e-9,6) AS surface_mean, round(avg(tax)+1e-9,6) AS rootzone_mean, min(discount) AS surface_min, max(discount) AS surface_max,
  min(tax) AS rootzone_min, max(tax) AS rootzone_max FROM obs GROUP BY 1""", "obs")
 def soil_moisture_by_time(t: Tables):
-    return rounded(environment.soil_moisture_by_time(t.obs, "ts", "discount", "tax"), "surface_mean", "rootzone_mean")
+    out = environment.soil_moisture_by_time(t.obs, "ts", "discount", "tax")
+    means = {c: F.col(c) + 1e-9 for c in ("surface_mean", "rootzone_mean")}  # sums in another order must not flip a tie
+    return rounded(out.withColumns(means), *means)
 
 
 @query("postcode_weather", "SELECT c_nationkey AS postcode, round(avg(c_acctbal),6) AS c_acctbal FROM customer GROUP BY 1")

@@ -10,35 +10,33 @@ from emberfield.plans.bindings import Tables, lat_of, lon_of
 from emberfield.plans.registry import query, r6
 from emberfield.plans.sqlviews import _lat, _lon, euclid, equirect, haversine, season
 
-LAT, LON = F.col("lat"), F.col("lon")
-
 
 @query("snap_round", "SELECT event_id, round_even(lat/0.1,0)::BIGINT AS lat_idx, round_even(lon/0.1,0)::BIGINT AS lon_idx, "
        "round(round_even(lat/0.1,0)*0.1::DOUBLE,6) AS grid_lat, round(round_even(lon/0.1,0)*0.1::DOUBLE,6) AS grid_lon FROM hot", "hot")
 def snap_round(t: Tables):
     return t.hot.select(
-        "event_id", grid.cell_index(LAT, 0.1).alias("lat_idx"), grid.cell_index(LON, 0.1).alias("lon_idx"),
-        r6(grid.snap_round(LAT)).alias("grid_lat"), r6(grid.snap_round(LON)).alias("grid_lon"),
+        "event_id", grid.cell_index(F.col("lat"), 0.1).alias("lat_idx"), grid.cell_index(F.col("lon"), 0.1).alias("lon_idx"),
+        r6(grid.snap_round(F.col("lat"))).alias("grid_lat"), r6(grid.snap_round(F.col("lon"))).alias("grid_lon"),
     )
 
 
 @query("snap_round4", "SELECT round(round_even(lat/0.1,0)*0.1::DOUBLE,4) AS grid_lat, round(round_even(lon/0.1,0)*0.1::DOUBLE,4) AS grid_lon, "
        "count(*) AS n FROM hot GROUP BY 1,2", "hot")
 def snap_round4(t: Tables):
-    return t.hot.groupBy(grid.snap_round4(LAT).alias("grid_lat"), grid.snap_round4(LON).alias("grid_lon")).agg(
+    return t.hot.groupBy(grid.snap_round4(F.col("lat")).alias("grid_lat"), grid.snap_round4(F.col("lon")).alias("grid_lon")).agg(
         F.count(F.lit(1)).alias("n"))
 
 
 @query("snap_floor_center", "SELECT event_id, round(floor(lat/0.05)*0.05::DOUBLE+0.025,5) AS grid_lat, "
        "round(floor(lon/0.05)*0.05::DOUBLE+0.025,5) AS grid_lon FROM hot", "hot")
 def snap_floor_center(t: Tables):
-    return t.hot.select("event_id", grid.snap_floor_center(LAT).alias("grid_lat"), grid.snap_floor_center(LON).alias("grid_lon"))
+    return t.hot.select("event_id", grid.snap_floor_center(F.col("lat")).alias("grid_lat"), grid.snap_floor_center(F.col("lon")).alias("grid_lon"))
 
 
 @query("snap_2dp", "SELECT round_even(lat*100.0::DOUBLE,0)/100.0::DOUBLE AS lat2, round_even(lon*100.0::DOUBLE,0)/100.0::DOUBLE AS lon2, "
        "count(*) AS n FROM hot GROUP BY 1,2", "hot")
 def snap_2dp(t: Tables):
-    return t.hot.groupBy(grid.snap_2dp(LAT).alias("lat2"), grid.snap_2dp(LON).alias("lon2")).agg(F.count(F.lit(1)).alias("n"))
+    return t.hot.groupBy(grid.snap_2dp(F.col("lat")).alias("lat2"), grid.snap_2dp(F.col("lon")).alias("lon2")).agg(F.count(F.lit(1)).alias("n"))
 
 
 _MX = "radians({0})*6378137.0"
@@ -60,8 +58,8 @@ def cell_index_3857(t: Tables):
        "count(*) FILTER (lat BETWEEN -39.2 AND -34.0 AND lon BETWEEN 140.96 AND 150.0) AS registry_box, count(*) AS n FROM hot GROUP BY 1", "hot")
 def in_bounds(t: Tables):
     return t.hot.groupBy("satellite").agg(
-        F.count_if(grid.in_bounds(LAT, LON)).alias("state_box"),
-        F.count_if(grid.in_bounds(LAT, LON, grid.REGISTRY_BOX)).alias("registry_box"), F.count(F.lit(1)).alias("n"))
+        F.count_if(grid.in_bounds(F.col("lat"), F.col("lon"))).alias("state_box"),
+        F.count_if(grid.in_bounds(F.col("lat"), F.col("lon"), grid.REGISTRY_BOX)).alias("registry_box"), F.count(F.lit(1)).alias("n"))
 
 
 def _places(rows) -> str:
@@ -127,26 +125,26 @@ def get_or_create_location(t: Tables):
 @query("region_nearest_euclid", _nearest_sql(grid.REGION_CENTRES, euclid("lat", "lon", "pla", "plo"), "hot", "event_id") + """
 SELECT name AS region, count(*) AS n FROM rk WHERE rn = 1 GROUP BY 1""", "hot")
 def region_nearest_euclid(t: Tables):
-    return t.hot.groupBy(grid.region_nearest_euclid(LAT, LON).alias("region")).agg(F.count(F.lit(1)).alias("n"))
+    return t.hot.groupBy(grid.region_nearest_euclid(F.col("lat"), F.col("lon")).alias("region")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("region_nearest_haversine", _nearest_sql(grid.LOCALITIES, haversine("lat", "lon", "pla", "plo"), "hot", "event_id") + """
 SELECT event_id, name AS region FROM rk WHERE rn = 1""", "hot")
 def region_nearest_haversine(t: Tables):
-    return t.hot.select("event_id", grid.region_nearest_haversine(LAT, LON).alias("region"))
+    return t.hot.select("event_id", grid.region_nearest_haversine(F.col("lat"), F.col("lon")).alias("region"))
 
 
 @query("haversine_km", f"SELECT event_id, round({haversine('lat','lon','(-37.81)','144.96')},6) AS km, "
        f"round({haversine('lat','lon','(-37.81)','144.96','6371000.0')},3) AS metres FROM hot", "hot")
 def haversine_km(t: Tables):
     a, b = F.lit(-37.81), F.lit(144.96)
-    return t.hot.select("event_id", r6(grid.haversine_km(LAT, LON, a, b)).alias("km"),
-                        F.round(grid.haversine_km(LAT, LON, a, b, 6371000.0), 3).alias("metres"))
+    return t.hot.select("event_id", r6(grid.haversine_km(F.col("lat"), F.col("lon"), a, b)).alias("km"),
+                        F.round(grid.haversine_km(F.col("lat"), F.col("lon"), a, b, 6371000.0), 3).alias("metres"))
 
 
 @query("equirect_km", f"SELECT event_id, round({equirect('lat','lon','(-37.81)','144.96')},6) AS km FROM hot", "hot")
 def equirect_km(t: Tables):
-    return t.hot.select("event_id", r6(grid.equirect_km(LAT, LON, F.lit(-37.81), F.lit(144.96))).alias("km"))
+    return t.hot.select("event_id", r6(grid.equirect_km(F.col("lat"), F.col("lon"), F.lit(-37.81), F.lit(144.96))).alias("km"))
 
 
 @query("season", f"SELECT {season('CASE WHEN o_orderkey % 11 <> 0 THEN o_orderdate END')} AS season, "
@@ -184,7 +182,7 @@ SELECT event_id, location_id, time_id, lat AS original_latitude, lon AS original
 FROM hot_in JOIN loc USING (lat_idx, lon_idx) JOIN tim ON datetime_record = date_trunc('hour', ts)""", "loc tim")
 def align_observation(t: Tables):
     loc, tim = t.hubs
-    obs = t.hot.select("event_id", LAT.alias("original_latitude"), LON.alias("original_longitude"),
+    obs = t.hot.select("event_id", F.col("lat").alias("original_latitude"), F.col("lon").alias("original_longitude"),
                        F.col("k").alias("confidence_score"), F.col("ts").alias("datetime_record"))
     return hubs.align_observation(obs, loc, tim, "event_id", ["original_latitude", "original_longitude", "confidence_score"])
 
@@ -331,11 +329,11 @@ SELECT event_id, round({_MX.format('lon')},3) AS merc_x, round({_MY.format('lat'
   round(2500000.0 + rho0 - af*pow({_t('lat')},n)*cos(n*radians(lon-145.0)),3) AS vic_y,
   round(lat,6) AS back_lat, round(lon,6) AS back_lon FROM hot, z""", "hot")
 def reproject(t: Tables):
-    x, y = grid.vicgrid(LAT, LON)
+    x, y = grid.vicgrid(F.col("lat"), F.col("lon"))
     moved = t.hot.select("event_id", "lat", "lon", x.alias("vx"), y.alias("vy"))
     blat, blon = grid.vicgrid_inverse(F.col("vx"), F.col("vy"))
     return moved.select(
-        "event_id", F.round(grid.mercator_x(LON), 3).alias("merc_x"), F.round(grid.mercator_y(LAT), 3).alias("merc_y"),
+        "event_id", F.round(grid.mercator_x(F.col("lon")), 3).alias("merc_x"), F.round(grid.mercator_y(F.col("lat")), 3).alias("merc_y"),
         F.round("vx", 3).alias("vic_x"), F.round("vy", 3).alias("vic_y"), r6(blat).alias("back_lat"), r6(blon).alias("back_lon"))
 
 

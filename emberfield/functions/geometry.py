@@ -75,15 +75,6 @@ def intersects_box(rings: Column, x0: Column, y0: Column, x1: Column, y1: Column
     return edges_intersect_box(all_edges(rings), x0, y0, x1, y1)
 
 
-def edges_beside_box(edge_list: Column, x0: Column, y0: Column, y1: Column) -> Column:
-    """The edges a ray to the right from inside the box could cross, or that touch the box."""
-    return F.filter(
-        edge_list,
-        lambda e: (F.greatest(e["y1"], e["y2"]) >= y0) & (F.least(e["y1"], e["y2"]) <= y1)
-        & (F.greatest(e["x1"], e["x2"]) >= x0),
-    )
-
-
 def bounds(rings: Column) -> Column:
     xs = F.transform(F.flatten(rings), lambda p: p["x"])
     ys = F.transform(F.flatten(rings), lambda p: p["y"])

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emberfield.functions import geometry, grid, time
+from emberfield.operators import polygons
 from emberfield.operators.ordering import number_rows
 from emberfield.session import sized_broadcast
 
@@ -134,28 +135,21 @@ def minute_registry(bounds: DataFrame, start: str = "start", stop: str = "stop")
 def generate_grid(boundaries: DataFrame, key: str, rings: str, cell: float) -> DataFrame:
     """Cells of side ``cell`` that intersect each boundary, rows and columns from the south-west.
 
-    The boundary is first cut to one strip per column (one cell wider on both sides,
-    so the cut itself never touches a tested cell); each cell then tests only the
-    edges near it.
+    The grid is the bucket grid of ``polygons.polygon_cells``: each edge finds the cells it
+    touches, and rows of the outline's crossings give those inside, so no task holds an outline.
     """
-    b = F.col("_b")
-    size = F.lit(float(cell))
-    base = boundaries.select(F.col(key), F.col(rings).alias("_r"), geometry.bounds(F.col(rings)).alias("_b"))
-    base = base.withColumns({
-        "x_origin": F.floor(b["x0"] / size) * size, "y_origin": F.floor(b["y0"] / size) * size,
-    })
-    ncol = F.ceil((b["x1"] - F.col("x_origin")) / size).cast("int")
-    strips = base.select("*", F.explode(F.sequence(F.lit(0), F.greatest(ncol - 1, F.lit(0)))).alias("col"))
-    x0 = F.col("x_origin") + F.col("col") * size
-    strips = strips.repartition(key, "col").withColumns({
-        "x0": x0,
-        "_r": geometry.clip_to_box(F.col("_r"), x0 - size, b["y0"] - size, x0 + size * 2, b["y1"] + size),
-    })
-    nrow = F.ceil((b["y1"] - F.col("y_origin")) / size).cast("int")
-    cells = strips.select("*", F.explode(F.sequence(F.lit(0), F.greatest(nrow - 1, F.lit(0)))).alias("row"))
-    cells = cells.withColumn("y0", F.col("y_origin") + F.col("row") * size)
-    hit = geometry.intersects_box(F.col("_r"), F.col("x0"), F.col("y0"), F.col("x0") + size, F.col("y0") + size)
-    return cells.where(hit).select(key, "row", "col", "x0", "y0")
+    b, size = F.col("c._b"), F.lit(float(cell))
+    cells = polygons.polygon_cells(boundaries.select(key, rings), rings, cell).alias("c")
+    west, south = F.floor(b["x0"] / size), F.floor(b["y0"] / size)
+    placed = cells.select(
+        "*", (F.col("bx") - west).cast("int").alias("col"), (F.col("by") - south).cast("int").alias("row"),
+        (west * size + (F.col("bx") - west) * size).alias("x0"), (south * size + (F.col("by") - south) * size).alias("y0"),
+        F.ceil((b["x1"] - west * size) / size).alias("_cols"), F.ceil((b["y1"] - south * size) / size).alias("_rows"),
+    ).alias("c")
+    within = (F.col("col") >= 0) & (F.col("row") >= 0) & (F.col("col") < F.greatest("_cols", F.lit(1))) & (F.col("row") < F.greatest("_rows", F.lit(1)))
+    x0, y0 = F.col("x0"), F.col("y0")
+    hit = geometry.edges_touch_box(F.col("_e"), x0, y0, x0 + size, y0 + size) | polygons.bucket_contains("c", x0 + size / 2, y0 + size / 2, cell)
+    return placed.where(within & hit).select(key, "row", "col", "x0", "y0")
 
 
 def cell_attributes(cells: DataFrame, cell: float, prefix: str = "VIC", to_latlon=grid.vicgrid_inverse) -> DataFrame:

@@ -87,7 +87,7 @@ def polygon_cells(polys: DataFrame, rings: str, size: float) -> DataFrame:
     return cells.select(*[F.col(f"_attrs.{c}").alias(c) for c in others], "_pid", "bx", "by", "_e", "_in", (F.col("_in") & (F.size("_e") == 0)).alias("inside"), "_b")
 
 
-def _contains(cell: str, px: Column, py: Column, size: float) -> Column:
+def bucket_contains(cell: str, px: Column, py: Column, size: float) -> Column:
     """Whether a place of the bucket is inside, from the bucket's corner and edges."""
     edges = F.col(f"{cell}._e")
     cx, cy = _corner(F.col(f"{cell}.bx"), F.col(f"{cell}.by"), size)
@@ -116,7 +116,7 @@ def points_in_polygons(
     p, c = pts.alias("p"), cells.alias("c")
     px, py, b = F.col(f"p.{x}"), F.col(f"p.{y}"), F.col("c._b")
     in_bounds = (px >= b["x0"]) & (px <= b["x1"]) & (py >= b["y0"]) & (py <= b["y1"])
-    on = (F.col("p.bx") == F.col("c.bx")) & (F.col("p.by") == F.col("c.by")) & in_bounds & _contains("c", px, py, size)
+    on = (F.col("p.bx") == F.col("c.bx")) & (F.col("p.by") == F.col("c.by")) & in_bounds & bucket_contains("c", px, py, size)
     joined = p.join(c, on, how)
     if how == "left_semi":
         return joined.drop("bx", "by")
@@ -140,7 +140,7 @@ def boxes_intersect_polygons(
     mx, my = (x0 + x1) / 2, (y0 + y1) / 2
     pb = F.col("c._b")
     overlap = (pb["x0"] <= x1) & (pb["x1"] >= x0) & (pb["y0"] <= y1) & (pb["y1"] >= y0)
-    centre = (_bucket(mx, size) == F.col("b.bx")) & (_bucket(my, size) == F.col("b.by")) & _contains("c", mx, my, size)
+    centre = (_bucket(mx, size) == F.col("b.bx")) & (_bucket(my, size) == F.col("b.by")) & bucket_contains("c", mx, my, size)
     hit = overlap & (centre | geometry.edges_touch_box(F.col("c._e"), x0, y0, x1, y1))
     found = b.join(c, (F.col("b.bx") == F.col("c.bx")) & (F.col("b.by") == F.col("c.by")) & hit)
     if how == "left_semi":

@@ -57,7 +57,7 @@ def mesh_to_grid(
 ) -> DataFrame:
     """Smooth fill from a regular mesh (columns mesh_row, mesh_col) by equal-key joins.
 
-    A cell without all its mesh neighbours gets NULL; callers fall back to the nearest.
+    A cell without all its mesh neighbours, or with a NULL among their values, gets NULL; callers fall back to the nearest.
     """
     if kind not in ("bilinear", "bicubic"):
         raise ValueError("kind must be 'bilinear' or 'bicubic'")
@@ -77,11 +77,10 @@ def mesh_to_grid(
         for i in offsets for j in offsets
     ])
     need = pos.select(*by, lat, lon, F.explode(around).alias("n")).select(*by, lat, lon, "n.*").where("w != 0")
-    per = need.groupBy(*by, lat, lon).agg(F.count(F.lit(1)).alias("_need"))
-    got = need.join(mesh.select(*by, "mesh_row", "mesh_col", *values), [*by, "mesh_row", "mesh_col"]).groupBy(
-        *by, lat, lon
-    ).agg(F.count(F.lit(1)).alias("_got"), *[F.sum(F.col("w") * F.col(v)).alias(v) for v in values])
-    full = per.join(got, [*by, lat, lon]).where(F.col("_got") == F.col("_need")).drop("_got", "_need")
+    all_of = F.count(F.lit(1))
+    full = need.join(mesh.select(*by, "mesh_row", "mesh_col", *values), [*by, "mesh_row", "mesh_col"], "left").groupBy(*by, lat, lon).agg(
+        *[F.when(F.count(v) == all_of, F.sum(F.col("w") * F.col(v))).alias(v) for v in values]
+    )
     return cells.join(full, [*by, lat, lon], "left")
 
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from emberfield.functions import geometry, grid
-from emberfield.operators import hubs, nearest, polygons
+from emberfield.operators import hubs, interpolation, nearest, polygons
 
 
 def _cloud(spark, seed):
@@ -185,6 +185,13 @@ def test_clip_cells_not_aligned_with_buckets(spark, shift, turn):
             assert abs(r.centroid_x - at[0]) < 1e-6 and abs(r.centroid_y - at[1]) < 1e-6
 
 
+def test_unknown_mesh_values_give_no_number(spark):
+    mesh = spark.createDataFrame([(0, 0, 10.0, 1.0), (0, 1, 10.0, 1.0), (1, 0, 10.0, 1.0), (1, 1, None, 1.0)], "mesh_row int, mesh_col int, v double, w2 double")
+    cells = spark.createDataFrame([(0.5, 0.5), (3.5, 0.5)], "la double, lo double")
+    out = {r.la: (r.v, r.w2) for r in interpolation.mesh_to_grid(mesh, cells, ("la", "lo"), (0.0, 0.0), (1.0, 1.0), ["v", "w2"]).collect()}
+    assert out == {0.5: (None, 1.0), 3.5: (None, None)}
+
+
 def test_equal_boxes_stay_separate(spark):
     ring = [{"x": float(x), "y": float(y)} for x, y in ((0, 0), (3, 0), (3, 3), (0, 3), (0, 0))]
     polys = spark.createDataFrame([([ring],)], f"rings {geometry.RINGS}")

@@ -28,6 +28,14 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The same rows in small pieces, so that what is made from them stays small too."""
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
+        pa.default_memory_pool().release_unused()
+
+
 def pack(values: np.ndarray) -> bytes:
     """Compress an integer array by byte planes."""
     planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T)
@@ -86,9 +94,7 @@ def id_bounds(sizes: DataFrame, target: int) -> np.ndarray:
 
 def _packed(docs: DataFrame, chunk_of: Callable[[pa.RecordBatch], np.ndarray], drop: int = 0) -> DataFrame:
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if not b.num_rows:
-                continue
+        for b in slices(batches, 4000):
             chunk = chunk_of(b)
             order = np.argsort(chunk, kind="stable")
             groups = np.split(order, np.flatnonzero(np.diff(chunk[order])) + 1)
@@ -145,6 +151,7 @@ def hash_entries(chunks: DataFrame, hashes_of: Callable[[pa.Table], np.ndarray],
         for b, part in to_buckets(hashes, buckets):
             parts.append((b, pack_sorted(part), pack(counts[at : at + len(part)])))
             at += len(part)
+        pa.default_memory_pool().release_unused()
         return pa.table({
             "bucket": pa.array([p[0] for p in parts], pa.int32()),
             "chunk": pa.array([chunk] * len(parts), pa.int32()),

@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from emberfield.llm.blocks import slices
+
 _LEAKS = "array<struct<item_id:long,distance:int,budget:int,start:long,stop:long>>"
 _KIND = pa.list_(pa.struct([("item_id", pa.int64()), ("distance", pa.int32()), ("budget", pa.int32()), ("start", pa.int64()), ("stop", pa.int64())]))
 
@@ -153,7 +155,7 @@ def _search(docs: DataFrame, items, text_col: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         searcher = Searcher(items.value)
-        for b in batches:
+        for b in slices(batches):
             leaks = [old + searcher.find(t) for t, old in zip(b.column(text_at).to_pylist(), b.column(leaks_at).to_pylist(), strict=True)]
             columns = list(b.columns)
             columns[leaks_at] = pa.array(leaks, _KIND)

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emberfield.llm.blocks import among, answers, bucket_count, by_hash, decode_rows, hash_entries, merged, merged_counts, pack, saved, unpack
+from emberfield.llm.blocks import among, answers, bucket_count, by_hash, decode_rows, hash_entries, merged, merged_counts, pack, saved, slices, unpack
 from emberfield.llm.components import components
 from emberfield.llm.words import Windows, WordHashes, split_words
 
@@ -201,7 +201,7 @@ def _join_units(units: DataFrame, percent: int) -> DataFrame:
         def out(edges):
             return pa.RecordBatch.from_arrays([pa.array([e[0] for e in edges], pa.int64()), pa.array([e[1] for e in edges], pa.int64())], ["a", "b"])
 
-        for batch in batches:
+        for batch in slices(batches, 200):
             edges = []
             columns = [batch.column(c).to_pylist() for c in range(8)]
             for t, i, j, *row in zip(*columns, strict=True):
@@ -316,8 +316,8 @@ def similar_groups(
     text_col: str = "text",
     size: int = 5,
     percent: int = 80,
-    chunk_bytes: int = 8 << 20,
-    bucket_words: int = 1_000_000,
+    chunk_bytes: int = 6 << 20,
+    bucket_words: int = 750_000,
     block: int = 256,
     unit_bytes: int = 4 << 20,
     few_labels: int = 64,

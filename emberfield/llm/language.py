@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emberfield.llm.blocks import saved
+from emberfield.llm.blocks import saved, slices
 
 UNDETERMINED = "und"
 _WORD = re.compile(r"[^\W\d_]+")
@@ -37,7 +37,7 @@ def word_counts(labelled: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(words, pa.string()), pa.array(counts, pa.int64())], ["lang", "word", "n"])
 
         seen: dict[str, Counter] = {}
-        for b in batches:
+        for b in slices(batches):
             for text, lang in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 seen.setdefault(lang, Counter()).update(letter_words(text))
             if sum(map(len, seen.values())) > 200_000:  # bounded memory
@@ -173,7 +173,7 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text", keep_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         scores = _Scores(model)
-        for b in batches:
+        for b in slices(batches):
             langs, values = [], []
             for text in b.column(text_at).to_pylist():
                 words = letter_words(text)

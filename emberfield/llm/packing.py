@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emberfield.llm.blocks import saved
+from emberfield.llm.blocks import saved, slices
 from emberfield.llm.tokens import ByteBpe
 
 
@@ -24,7 +24,7 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = ByteBpe(tokenizer)
-        for b in batches:
+        for b in slices(batches):
             out: list[tuple] = []
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 ids = bpe.ids(text) + end

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emberfield.llm.blocks import saved
+from emberfield.llm.blocks import saved, slices
 from emberfield.llm.words import Windows, WordHashes, split_words
 
 _BLANKS = " \t\n\v\f\r"
@@ -66,7 +66,7 @@ def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stats = TextStatistics()
-        for b in batches:
+        for b in slices(batches):
             rows = np.array([stats.of(t) for t in b.column(1).to_pylist()], np.int64).reshape(-1, len(names))
             yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(rows[:, i]) for i in range(len(names))]], ["id", *names])
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from emberfield.llm.blocks import among, answers, bucket_count, by_id_range, decode_rows, hash_entries, id_bounds, merged, saved
+from emberfield.llm.blocks import among, answers, bucket_count, by_id_range, decode_rows, hash_entries, id_bounds, merged, saved, slices
 from emberfield.llm.words import Windows, WordHashes, split_words
 
 _OUTPUTS = "n_words long, n_removed long, removed array<struct<start:long,stop:long>>, kept_sha256 string, kept_text string"
@@ -63,8 +63,8 @@ def remove_repeated(
     text_col: str = "text",
     size: int = 50,
     texts_out: bool = True,
-    chunk_bytes: int = 16 << 20,
-    bucket_words: int = 2_000_000,
+    chunk_bytes: int = 6 << 20,
+    bucket_words: int = 750_000,
 ) -> DataFrame:
     """Mark every word covered by a ``size``-word window that also starts in a text with a smaller id.
 
@@ -129,13 +129,14 @@ def remove_repeated(
         return rows
 
     def finish(key, left, right):
+        pa.default_memory_pool().release_unused()
         earlier = merged(right["hashes"].to_pylist())
         return judged(decode_rows(left["rows"].to_pylist()), earlier)
 
     done = chunks.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(finish, out_schema)
 
     def untouched(batches):
-        for b in batches:
+        for b in slices(batches):
             yield from judged(pa.Table.from_batches([b]), None).combine_chunks().to_batches()
 
     return done.unionByName(docs.where(F.col(id_col).isNull()).mapInArrow(untouched, out_schema))

@@ -12,6 +12,8 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from emberfield.llm.blocks import slices
+
 _SPACE = "▁"  # how the model writes a space
 
 
@@ -97,7 +99,7 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = TokenCounts(model, proved.value)
-        for b in batches:
+        for b in slices(batches):
             n = [counts.of(t) for t in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64())], ["id", "n_bytes", "n_tokens"])
 

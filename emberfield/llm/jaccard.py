@@ -216,14 +216,14 @@ def _join_units(units: DataFrame, percent: int) -> DataFrame:
     return ordered.mapInArrow(run, "a long, b long")
 
 
-def _first_wave(sets: DataFrame, block: int) -> DataFrame:
+def _first_wave(sets: DataFrame, block: int, unit_bytes: int) -> DataFrame:
     """Units by each set's rarest shared gram. A large group is dealt into blocks that share its smallest id.
 
     These links need not be complete; they join most groups of copies, in time proportional to their size.
     """
-    first = sets.select("id", F.col("prefix")[0].alias("t"))
-    groups = first.groupBy("t").agg(F.count(F.lit(1)).alias("c"), F.min("id").alias("pivot")).where("c > 1")
-    blocks = F.ceil(F.col("c") / F.lit(block)).cast("int")
+    first = sets.select("id", F.col("prefix")[0].alias("t"), F.octet_length("grams").alias("w"))
+    groups = first.groupBy("t").agg(F.count(F.lit(1)).alias("c"), F.min("id").alias("pivot"), F.sum("w").alias("all_w")).where("c > 1")
+    blocks = F.greatest(F.ceil(F.col("c") / F.lit(block)), F.ceil(F.col("all_w") / F.lit(unit_bytes))).cast("int")
     to = F.when((F.col("id") == F.col("pivot")) & (blocks > 1), F.sequence(F.lit(0), blocks - 1)).otherwise(
         F.array(F.pmod(F.xxhash64("id"), blocks).cast("int"))
     )
@@ -415,7 +415,7 @@ def similar_groups(
 
     sets = saved(packed.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(order, "id long, n long, grams binary, freqs binary, prefix array<long>"), "sets")
 
-    first = saved(_join_units(_first_wave(sets, block), percent), "links")
+    first = saved(_join_units(_first_wave(sets, block, unit_bytes), percent), "links")
     labels = saved(components(first), "labels")
     second = saved(_second_wave(sets, labels, percent, block, unit_bytes, few_labels), "links")
     links = labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(second)

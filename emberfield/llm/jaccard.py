@@ -254,7 +254,10 @@ def _met_groups(sets: DataFrame, posted: DataFrame, few: DataFrame, percent: int
         both = F.ceil((F.col("n") + n) * part / (100 + part))
         return both - F.greatest(F.ceil(F.col("n") * part / 100), F.ceil(n * part / 100)) + 1
 
-    met = saved(met.where((low <= high) & (F.col("meets") >= F.least(least(low), least(high)))).select("id", "to"), "met")
+    # Up to n least(m) is smallest at low. Above n it may rise by one from a size to the next, but from 50 % on never over
+    # two sizes, so high or the size before it has the smallest value; below 50 % no value is smaller than that of high by more than one.
+    end = F.least(least(high), least(F.greatest(low, high - 1))) if percent >= 50 else least(high) - 1
+    met = saved(met.where((low <= high) & (F.col("meets") >= F.least(least(low), end))).select("id", "to"), "met")
     weight = F.octet_length("grams") + 100
     probes = met.join(sets.select("id", weight.alias("w")), "id").groupBy("to").agg(F.sum("w").alias("w_out"))
     group = posted.select("id", F.col("label").alias("to")).distinct().join(met.select("to").distinct(), "to", "left_semi")

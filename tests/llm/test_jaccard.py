@@ -53,10 +53,38 @@ def near_copies(seed):
     return rows
 
 
+def at_the_edge():
+    """The smallest overlap a link allows, in a group whose sizes surround the linked set's."""
+    w = lambda letter, first, last: [f"{letter}{i}" for i in range(first, last + 1)]
+    texts = {
+        "a": w("p", 1, 48) + ["a1"], "b": w("p", 1, 48) + w("x", 1, 10), "c": w("p", 1, 48) + w("x", 1, 11), "d": w("p", 2, 48) + w("x", 1, 10),
+        "o1": w("p", 1, 47) + w("o", 1, 60), "o2": w("p", 1, 47) + w("o", 1, 59) + ["z"],
+    }
+    return [(i, " ".join(t), None, None, None) for i, t in enumerate(texts.values())]
+
+
+def mixed_sizes(seed):
+    """Groups of mixed sizes around texts that share just as many grams with one member as a link needs."""
+    rng = random.Random(seed)
+    rows = []
+    for g in range(25):
+        n = rng.randint(20, 60)
+        m = rng.randint(n, n * 5 // 4)
+        shared = -(-4 * (n + m) // 9)
+        core = [f"g{g}p{i}" for i in range(shared + 4)]
+        tail = [f"g{g}x{i}" for i in range(m - shared)]
+        texts = [core + [f"g{g}a{i}" for i in range(n - shared)], core + tail, core + tail + [f"g{g}y"], core[1:] + tail]
+        texts += [core[:-1] + [f"g{g}o{i}" for i in range(60 - j)] + [f"g{g}z{j}"] * j for j in (0, 1)]
+        rows += [(g * 10 + i, " ".join(t), None, None, None) for i, t in enumerate(texts)]
+    return rows
+
+
 @pytest.mark.parametrize("rows,options", [
     (documents(), {}),
     (near_copies(1), {"block": 4, "unit_bytes": 3000, "few_labels": 64, "chunk_bytes": 4000, "bucket_words": 300}),
     (near_copies(2), {"block": 3, "few_labels": 1}),
+    (at_the_edge(), {}),
+    (mixed_sizes(3), {}),
 ])
 def test_against_brute_force(spark, rows, options):
     got = similar_groups(table(spark, rows, extra=["id", "n", "grams", "component_id"]), **options)

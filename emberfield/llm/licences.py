@@ -1,4 +1,4 @@
-"""Licence scan: TF-IDF cosine to templates, then inheritance from the nearest directory above."""
+"""Licence scan: TF-IDF cosine of lines and windows to templates, then inheritance from the nearest directory above."""
 
 from __future__ import annotations
 
@@ -25,6 +25,47 @@ TEMPLATES = {
     "MPL-2.0": "This file is subject to the terms of the Mozilla Public License, version 2.0.",
     "proprietary": "All rights reserved.",
 }
+_GNU = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {}General Public License as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version."
+_CC = {"": "", "-NC": "-NonCommercial", "-SA": "-ShareAlike", "-ND": "-NoDerivatives", "-NC-SA": "-NonCommercial-ShareAlike", "-NC-ND": "-NonCommercial-NoDerivatives"}
+_TAGS = ("Apache-2.0", "BSD-3-Clause", "MIT", "MPL-2.0", *(f"{g}{e}" for g in ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0") for e in ("", "-only", "-or-later")), *(f"CC-BY{k}-4.0" for k in _CC))
+#: Longer statements, headers and passages of the whole texts that tell one licence from others. The licence is the key up to the first blank.
+PASSAGES = {
+    "Apache-2.0 header": 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0',
+    "Apache-2.0 text": "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION",
+    "BSD-3-Clause text": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    "AGPL-3.0 header": _GNU.format("Affero ", "3"),
+    "AGPL-3.0 text": "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007 Copyright (C) 2007 Free Software Foundation, Inc.",
+    "GPL-2.0 header": _GNU.format("", "2"),
+    "GPL-2.0 only": "it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation",
+    "GPL-2.0 text": "GNU GENERAL PUBLIC LICENSE Version 2, June 1991 Copyright (C) 1989, 1991 Free Software Foundation, Inc.",
+    "GPL-3.0 header": _GNU.format("", "3"),
+    "GPL-3.0 text": "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright (C) 2007 Free Software Foundation, Inc.",
+    "LGPL-2.1 header": _GNU.format("Lesser ", "2.1"),
+    "LGPL-2.1 text": "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999 Copyright (C) 1991, 1999 Free Software Foundation, Inc.",
+    "LGPL-3.0 header": _GNU.format("Lesser ", "3"),
+    "LGPL-3.0 text": "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright (C) 2007 Free Software Foundation, Inc.",
+    "MIT licensed": "licensed under the MIT License",
+    "MIT distributed": "distributed under the terms of the MIT License",
+    "MIT text": 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software',
+    "MPL-2.0 header": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+    **{f"CC-BY{k}-4.0 header": f"This work is licensed under a Creative Commons Attribution{long} 4.0 International License." for k, long in _CC.items()},
+    **{f"CC-BY{k}-4.0 text": f"By exercising the Licensed Rights, You accept and agree to be bound by the terms and conditions of this Creative Commons Attribution{long} 4.0 International Public License" for k, long in _CC.items()},
+    **{f"{tag.removesuffix('-only').removesuffix('-or-later')} tag {tag}": f"SPDX-License-Identifier: {tag}" for tag in _TAGS},
+}
+#: Too short for a cosine: they count where a line has these terms and no other.
+TITLES = {
+    "Apache-2.0": ("Apache License 2.0", "Apache License, Version 2.0"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The 3-Clause BSD License"),
+    "GPL-2.0": ("GNU General Public License v2.0", "GNU General Public License, version 2"),
+    "GPL-3.0": ("GNU General Public License v3.0", "GNU General Public License, version 3"),
+    "MIT": ("MIT License", "The MIT License", "MIT License (MIT)", "The MIT License (MIT)"),
+    "MPL-2.0": ("Mozilla Public License 2.0", "Mozilla Public License, version 2.0", "Mozilla Public License Version 2.0"),
+}
+#: Stands beside the text of other licences too, so it is the answer only where no other is found.
+LAST = "proprietary"
+#: Left out first when triggers are chosen: they are in most texts.
+COMMON = set("a an and any as at be by can for from in is it its may not of on or that the this to used was with without you work file use copy one if name names products person written specific prior under terms rights free charge".split())
+GONE = "0.0"  # in place of a line that is a statement by itself
 TERM = r"[a-z0-9]+(?:\.[0-9]+)*"
 
 
@@ -49,15 +90,16 @@ class Weights:
         The terms left out of a template weigh less than the threshold together, so
         by themselves they cannot reach it. Frequent terms are left out first.
         """
-        common = sorted(self.idf, key=lambda t: (self.idf[t], len(t), t))
-        chosen: set[str] = set()
-        for vector in self.vectors.values():
-            room = threshold * threshold * (1 - 1e-9)
-            for t in (t for t in common if t in vector):
-                room -= vector[t] ** 2
-                if room <= 0:
-                    chosen.add(t)
-        return sorted(chosen)
+        return sorted({t for vector in self.vectors.values() for t in self.anchors(vector, threshold)})
+
+    def anchors(self, vector: dict[str, float], threshold: float) -> list[str]:
+        """The triggers of one template."""
+        room, chosen = threshold * threshold * (1 - 1e-9), []
+        for t in sorted(vector, key=lambda t: (t not in COMMON, self.idf[t], len(t), t)):
+            room -= vector[t] ** 2
+            if room <= 0:
+                chosen.append(t)
+        return chosen
 
 
 def best_template(text: Column, weights: Weights) -> Column:
@@ -84,7 +126,64 @@ def best_template(text: Column, weights: Weights) -> Column:
 
 def _first_best(scores: Column) -> Column:
     none = F.struct(F.lit(-1.0).alias("similarity"), F.lit("").alias("name"))
-    return F.aggregate(scores, none, lambda best, x: F.when(x["similarity"] > best["similarity"], x).otherwise(best))
+    return F.aggregate(scores, none, lambda best, x: F.when((x["similarity"] > best["similarity"]) | ((x["similarity"] == best["similarity"]) & (x["name"] < best["name"])), x).otherwise(best))
+
+
+def _let(value: Column, then) -> Column:
+    """``then`` of a value that is computed once."""
+    return F.transform(F.array(value), then)[0]
+
+
+def _map(entries: dict[str, float]) -> Column:
+    return F.create_map(*[F.lit(x) for pair in entries.items() for x in pair])
+
+
+def window_scores(terms: Column, weights: Weights, sizes: dict[str, int], threshold: float) -> Column:
+    """Structs (similarity, name) of the templates that a window of their number of terms reaches ``threshold`` with, each with its best.
+
+    A template is looked for only if the text's distinct terms could reach the threshold, and only in windows that hold
+    one of its triggers, and at least half of its distinct terms: one repeated word is no statement. A window's length is first taken from its terms as if none was repeated, which is never too long.
+    """
+    zero, reach = F.lit(0.0), threshold * (1 - 1e-9)
+    idf = _map(weights.idf)
+    templates = F.array(*[
+        F.struct(F.lit(name).alias("name"), F.lit(sizes[name]).alias("size"), _map(v).alias("v"), F.array(*[F.lit(t) for t in weights.anchors(v, threshold)]).alias("anchors"))
+        for name, v in sorted(weights.vectors.items())
+    ])
+    total = lambda xs: F.aggregate(xs, zero, lambda acc, x: acc + x)
+    part = lambda x, t: F.coalesce(F.element_at(x["v"], t), zero)
+
+    def exact(x: Column, window: Column, w: Column, shared: Column) -> Column:
+        pairs = F.array_distinct(F.arrays_zip(window.alias("t"), w.alias("w"), shared.alias("s")))
+        squares = F.transform(pairs, lambda p: F.pow(F.size(F.filter(window, lambda u: u == p["t"])) * p["w"], F.lit(2.0)))
+        half = 2 * F.size(F.filter(pairs, lambda p: p["s"] > 0)) >= F.size(x["v"])
+        return F.when(half, F.round(total(shared) / F.sqrt(total(squares)), 9)).otherwise(zero)
+
+    def best(x: Column, terms: Column, w: Column) -> Column:
+        n, size = F.size(terms), x["size"]
+        at = F.filter(F.transform(terms, lambda t, i: F.when(F.array_contains(x["anchors"], t), i)), lambda i: i.isNotNull())
+        starts = F.array_distinct(F.flatten(F.transform(at, lambda a: F.sequence(F.greatest(F.lit(0), a - size + 1), F.least(a, F.greatest(F.lit(0), n - size))))))
+        shared = F.transform(terms, lambda t, i: F.get(w, i) * part(x, t))
+
+        def near(shared: Column) -> Column:
+            return F.filter(starts, lambda s: total(F.slice(shared, s + 1, size)) >= reach * F.sqrt(F.aggregate(F.slice(w, s + 1, size), zero, lambda acc, y: acc + y * y)))
+
+        return _let(shared, lambda sh: F.array_max(F.transform(near(sh), lambda s: exact(x, F.slice(terms, s + 1, size), F.slice(w, s + 1, size), F.slice(sh, s + 1, size)))))
+
+    def live(known: Column) -> Column:
+        return F.filter(templates, lambda x: F.aggregate(known, zero, lambda acc, t: acc + part(x, t) * part(x, t)) >= reach * reach)
+
+    def scored(live: Column, terms: Column) -> Column:
+        w = F.transform(terms, lambda t: F.coalesce(F.element_at(idf, t), F.lit(weights.other)))
+        found = _let(w, lambda w: F.transform(live, lambda x: F.struct(best(x, terms, w).alias("similarity"), x["name"].alias("name"))))
+        return F.when(F.size(live) > 0, F.filter(found, lambda x: x["similarity"] >= threshold)).otherwise(F.array().cast("array<struct<similarity:double,name:string>>"))
+
+    every = F.array(*[F.lit(t) for t in weights.idf])
+    return _let(terms, lambda ts: _let(live(F.array_intersect(ts, every)), lambda x: scored(x, ts)))
+
+
+def _title(text: str) -> str:
+    return r"(?im)^[^a-z0-9\n]*" + r"[^a-z0-9\n]+".join(re.escape(t) for t in re.findall(TERM, text.lower())) + r"[^a-z0-9\n]*$"
 
 
 def ancestors(directory: Column) -> Column:
@@ -103,12 +202,16 @@ def scan_licences(
     file_words: int = 50,
     file_names: str = r"(?i)^(licen[cs]e|copying)\b",
     keep: list[str] | None = None,
+    passages: dict[str, str] | None = None,
+    titles: dict[str, tuple[str, ...]] | None = None,
 ) -> DataFrame:
     """Licence of every file: its own statement, or that of the nearest directory above.
 
     Every line of every whole text that can reach ``threshold`` is compared with
-    all templates by the cosine of TF-IDF vectors, and so is a licence file as a whole; the best
-    one is the file's own. A licence file is one named like one, or of at most
+    all templates by the cosine of TF-IDF vectors, and so is a licence file as a whole. What is left besides the lines
+    that reach it is compared in windows: at every place as many terms as a template or passage has, across line breaks.
+    A line that is just a title counts 1. The best one is the file's own, ``LAST`` only without any other.
+    Templates given come without the standard passages and titles unless these are given too. A licence file is one named like one, or of at most
     ``file_words`` words; the best of a directory (largest cosine, then first name) holds for all files
     in it and below that have none of their own and no nearer one. Directories are resolved
     among themselves, by joins on their paths, before their files are: a directory
@@ -118,23 +221,39 @@ def scan_licences(
     inherited or null) and ``from_directory``. Null texts have no statement, null paths lie at the top under an empty name; empty tables and
     repeated rows are kept as they are. Input columns with these names are replaced.
     """
-    weights = Weights(templates or TEMPLATES)
-    trigger = r"(?i)(?<![a-z0-9])(" + "|".join(re.escape(t) for t in weights.triggers(threshold)) + r")(?![a-z0-9])"
+    passages = passages or ({} if templates else PASSAGES)
+    titles = titles or ({} if templates else TITLES)
+    templates = templates or TEMPLATES
+    weights = Weights(templates)
+    sets = [(weights, templates)] + ([(Weights(passages), passages)] if passages else [])
+    one_of = lambda terms: r"(?i)(?<![a-z0-9])(" + "|".join(re.escape(t) for t in terms) + r")(?![a-z0-9])"
+    trigger = one_of(weights.triggers(threshold))
+    any_trigger = one_of(sorted({t for w, _ in sets for t in w.triggers(threshold)} | {re.findall(TERM, t.lower())[0] for ts in titles.values() for t in ts if ts and not t.lower().startswith("the ")}))
     outs = ("path", "licence", "similarity", "origin", "from_directory", "directory")
     read = files.select(*[c for c in (files.columns if keep is None else keep) if c not in outs], F.coalesce(path, F.lit("")).alias("path"), F.coalesce(text, F.lit("")).alias("_text"))
     named = F.element_at(F.split("path", "/"), -1).rlike(file_names)
     short = F.size(F.filter(F.split("_text", r"[\x20\x09-\x0D]+"), lambda w: w != "")) <= file_words
-    hit = F.col("_text").rlike(trigger)
+    hit = F.col("_text").rlike(any_trigger)
     is_file = hit & (named | short)
-    lines = F.filter(F.split("_text", "\n"), lambda line: line.rlike(trigger))
-    spots = F.when(hit, F.concat(lines, F.when(is_file, F.array("_text")).otherwise(F.array().cast("array<string>"))))
-    best = _first_best(F.transform(F.coalesce("_spots", F.array().cast("array<string>")), lambda s: best_template(s, weights)))
+    none = F.array().cast("array<struct<similarity:double,name:string>>")
+    lines = F.transform(F.split("_text", "\n"), lambda line: F.struct(line.alias("line"), F.when(line.rlike(trigger), best_template(line, weights)).alias("best")))
+    reaches = lambda x: F.coalesce(x["best"]["similarity"] >= threshold, F.lit(False))
+    whole = F.transform(F.filter("_lines", reaches), lambda x: x["best"])
+    rest = F.array_join(F.transform("_lines", lambda x: F.when(reaches(x), F.lit(GONE)).otherwise(x["line"])), "\n")
+    terms = F.regexp_extract_all(F.lower(rest), F.lit(f"({TERM})"), F.lit(1))
+    counts = [{name: len(re.findall(TERM, t.lower())) for name, t in ts.items()} for _, ts in sets]
+    windows = _let(terms, lambda ts: F.concat(*[window_scores(ts, w, c, threshold) for (w, _), c in zip(sets, counts, strict=True)]))
+    windows = F.transform(windows, lambda x: F.struct(x["similarity"].alias("similarity"), F.when(x["name"].isin(list(passages)), F.substring_index(x["name"], " ", 1)).otherwise(x["name"]).alias("name")))
+    headed = [F.when(F.col("_text").rlike("|".join(_title(t) for t in ts)), F.array(F.struct(F.lit(1.0).alias("similarity"), F.lit(name).alias("name")))).otherwise(none) for name, ts in titles.items()]
+    as_file = F.when(F.col("_file") & F.col("_text").rlike(trigger), F.array(best_template(F.col("_text"), weights))).otherwise(none)
+    found = F.filter(F.concat(whole, as_file, windows, *headed), lambda x: x["similarity"] >= threshold)
+    best = _let(found, lambda xs: _let(_first_best(F.filter(xs, lambda x: x["name"] != LAST)), lambda x: F.when(x["similarity"] >= threshold, x).otherwise(_first_best(xs))))
     owned = (
-        read.withColumns({"_spots": spots, "_file": is_file})
-        .withColumn("_best", F.when(F.col("_spots").isNotNull(), best))
+        read.withColumns({"_lines": F.when(hit, lines), "_file": is_file})
+        .withColumn("_best", F.when(F.col("_lines").isNotNull(), best))
         .withColumn("_own", F.when(F.col("_best.similarity") >= threshold, F.col("_best")))
         .withColumn("_dir", F.regexp_replace("path", "(^|/)[^/]*$", ""))
-        .drop("_text", "_spots", "_best")
+        .drop("_text", "_lines", "_best")
     )
     owned = saved(owned, "licences")
     held = owned.where(F.col("_file") & F.col("_own").isNotNull()).groupBy("_dir", "_own.name").agg(F.max("_own.similarity").alias("s"))

@@ -64,6 +64,41 @@ def test_against_brute_force(spark):
         assert (a[2] is None and b[2] is None) or abs(a[2] - b[2]) < 1e-8
 
 
+PROSE = "the ring of stone under water lies over light and green " * 12
+GPL = """{p}This program is free software: you can redistribute it and/or modify
+{p}it under the terms of the GNU {k}General Public License as published by
+{p}the Free Software Foundation, either version {v} of the License, or
+{p}(at your option) any later version."""
+MIT = """Copyright (c) 2020 Jane Doe. All rights reserved.
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:"""
+BSD = """Copyright (c) 2020, Jane Doe. All rights reserved.
+Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+3. Neither the name of Jane Doe nor the names of its contributors may be
+   used to endorse or promote products derived from this software without
+   specific prior written permission."""
+PLANTED = [
+    ("Copyright (c) 2020 Jane Doe. All rights reserved.", "proprietary"), ("# Copyright 2019 Acme Inc. Licensed under the Apache License, Version 2.0.", "Apache-2.0"),
+    ("# MIT License", "MIT"), ("The MIT License (MIT)", "MIT"), (f"{PROSE} It is licensed under the MIT\nLicense. {PROSE}", "MIT"),
+    (f"{PROSE}Released under\n * the MIT License. {PROSE}", "MIT"), (f"{PROSE} Licensed under CC BY-NC 4.0. {PROSE}", "CC-BY-NC-4.0"),
+    (GPL.format(p="# ", k="", v=3), "GPL-3.0"), (GPL.format(p=" * ", k="", v=2), "GPL-2.0"), (GPL.format(p="", k="Lesser ", v=3), "LGPL-3.0"),
+    (f"{PROSE}\n{MIT}\n{PROSE}", "MIT"), (f"{BSD}\n{PROSE}", "BSD-3-Clause"), ("GNU GENERAL PUBLIC LICENSE\n   Version 3, 29 June 2007\n\n Copyright (C) 2007 Free Software Foundation, Inc.\n" + PROSE, "GPL-3.0"),
+    ("// SPDX-License-Identifier: GPL-2.0-only\n" + PROSE, "GPL-2.0"), (PROSE + "all rights of the license and reserved software under the general public", None), ("mit", None), (PROSE, None),
+]
+
+
+def test_prefixed_wrapped_and_embedded_statements(spark):
+    rows = [(f"{i}/LICENSE", text) for i, (text, _) in enumerate(PLANTED)]
+    got = scan_licences(spark.createDataFrame(rows, SCHEMA), F.col("path"), F.col("text")).select("path", "licence", "origin").collect()
+    want = [(f"{i}/LICENSE", licence, licence and "own") for i, (_, licence) in enumerate(PLANTED)]
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
 def test_triggers_are_needed():
     weights = Weights(TEMPLATES)
     triggers = weights.triggers(0.8)

@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberfield.llm import chat, decontaminate, jaccard, language, licences, packing, quality, sharding, substrings, token_counts
+from emberfield.llm import byte_bpe, chat, decontaminate, jaccard, language, licences, packing, quality, sharding, substrings, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -185,3 +185,14 @@ def op2_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "source", "text")
     path = F.concat_ws("/", F.coalesce("source", F.lit("unknown")), F.floor(F.col("doc_id") / 1000).cast("string"), F.col("doc_id").cast("string"))
     return licences.scan_licences(docs, path, F.col("text"), keep=["doc_id"]).select("doc_id", "path", "licence", "similarity", "origin", "from_directory")
+
+
+@query
+def op11_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    both = byte_bpe.decode(byte_bpe.encode(table(spark, folder, "documents"), keep=["doc_id"]))
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )

@@ -10,7 +10,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
+import pyarrow.compute as pc
 import public_tokenizers
 import regex
 import tiktoken
@@ -64,13 +64,13 @@ class PreTokens:
 
     def __init__(self, pattern: str = public_tokenizers.PATTERN):
         self._find = regex.compile(pattern)
-        self._odd = _stand_ins()
-        self._is_odd = re.compile("[" + "".join(map(re.escape, map(chr, sorted(self._odd)))) + "]") if self._odd else None
+        self._stand_ins = _stand_ins()
+        self._odd = frozenset(map(chr, self._stand_ins))
 
     def of(self, text: str) -> list[str]:
-        if text.isascii() or not self._is_odd or not self._is_odd.search(text):
+        if text.isascii() or self._odd.isdisjoint(text):
             return self._find.findall(text)
-        return [text[m.start() : m.end()] for m in self._find.finditer(text.translate(self._odd))]
+        return [text[m.start() : m.end()] for m in self._find.finditer(text.translate(self._stand_ins))]
 
     def __call__(self, text: str, units: Dictionary) -> np.ndarray:
         first, *rest = self._cut.split(text)
@@ -107,7 +107,7 @@ def encode(docs: DataFrame, text_col: str = "text", keep: list[str] | None = Non
         return rows.drop_columns(["_units"]).append_column("ids", ids)
 
     schema = T.StructType([T.StructField(f"k_{i}", docs.schema[c].dataType) for i, c in enumerate(keep)] + [T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    out = over_blocks(blocks, answer_units(blocks, ids_of, "array<int>"), put_together, schema)
+    out = over_blocks(blocks, answer_units(blocks, ids_of), put_together, pa.array([], pa.list_(pa.int32())), schema)
     return out.select(*[F.col(f"k_{i}").alias(c) for i, c in enumerate(keep)], "ids")
 
 
@@ -139,7 +139,7 @@ def decode(encoded: DataFrame, ids_col: str = "ids", vocabulary: str = "byte_bpe
             good = (unknown[1:] == unknown[:-1]) & np.asarray(ids.is_valid())
             places = np.frombuffer(tokens.buffers()[1], np.int32, len(tokens) + 1, tokens.offset * 4) if len(tokens) else np.zeros(1, np.int32)
             joined = pa.Array.from_buffers(pa.binary(), b.num_rows, [None, pa.py_buffer(np.ascontiguousarray(places[ends])), tokens.buffers()[2] if len(tokens) else pa.py_buffer(b"")])
-            decoded = pa.array(np.where(good, 1, 0) == 1)
-            yield b.append_column("decoded", pa.compute.if_else(decoded, joined, pa.scalar(None, pa.binary())))
+            decoded = pa.array(good)
+            yield b.append_column("decoded", pc.if_else(decoded, joined, pa.scalar(None, pa.binary())))
 
     return read.mapInArrow(run, T.StructType([*read.schema.fields, T.StructField("decoded", T.BinaryType())]))

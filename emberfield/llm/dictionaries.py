@@ -1,19 +1,22 @@
 """Documents cut into units (words, chunks), written as blocks that name each distinct unit once.
 
 A block holds whole documents of a bounded size: the dictionary of its units and, for
-every position, the unit's number. One row per block and distinct unit is then sent by
-the unit's bytes, so equal units of the whole table meet in one task, which works on each
-once; its answer goes back to the blocks that asked. However frequent a unit is, it is
-sent once per block, so no task gets more than one row per block for it.
+every position, the unit's number. Each block then sends its distinct units to buckets by a hash
+of their bytes, so equal units of the whole table meet in one bucket, which works on each
+once; the answers go back to the blocks that asked. However frequent a unit is, it is
+sent once per block.
 """
 
 from __future__ import annotations
 
+import itertools
 import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -107,33 +110,60 @@ def write_blocks(docs: DataFrame, text_col: str, keep: list[str], cut: Callable[
     return table
 
 
-def answer_units(blocks: DataFrame, answer: Callable[[list[bytes]], pa.Array], kind: str) -> DataFrame:
-    """(block, code, answer): ``answer`` of each distinct unit of the whole table, worked out once, for every block that has it."""
-    asked = blocks.select("block", F.posexplode("units").alias("code", "unit"))
-    parts = _tasks(blocks, "codes", 16 << 20)
+def answer_units(blocks: DataFrame, answer: Callable[[list[bytes]], pa.Array], per_bucket: int = 400_000) -> DataFrame:
+    """(block, codes, answers): ``answer`` of each distinct unit of the whole table, worked out once, for every block that has it.
 
-    def reply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple[bytes, pa.Array] | None = None  # a unit may go on in the next batch
-        for b in batches:
-            found = b.column(2).dictionary_encode()  # sorted, so each unit is one entry
-            units = found.dictionary.to_pylist()
-            if not units:
+    Units go to buckets by a hash of their bytes; a block's units for one bucket travel as one row.
+    """
+    spark = blocks.sparkSession
+    total = blocks.agg(F.sum(F.size("units"))).first()[0] or 0
+    buckets = max(shuffle_partitions(spark), -(-total // per_bucket))
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, 1):
+            units = b.column(1)[0].values
+            if units is None or not len(units):
                 continue
-            known = last is not None and units[0] == last[0]
-            fresh = answer(units[1:] if known else units)
-            answers = pa.concat_arrays([last[1], fresh]) if known else fresh
-            last = (units[-1], answers.slice(len(units) - 1))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), answers.take(found.indices)], ["block", "code", "answer"])
-
-    return asked.repartition(parts, "unit").sortWithinPartitions("unit").mapInArrow(reply, f"block long, code int, answer {kind}")
-
-
-def over_blocks(blocks: DataFrame, answers: DataFrame, work: Callable[[pa.Table, np.ndarray, pa.Array], pa.Table], schema) -> DataFrame:
-    """``work(rows, codes, answers)`` of each block: its rows, the numbers of all their units, and the answers by number."""
+            home = np.fromiter(map(xxhash.xxh3_64_intdigest, units.to_pylist()), np.uint64, len(units)) % np.uint64(buckets)
+            order = np.argsort(home, kind="stable")
+            out: list[tuple] = []
+            for codes in np.split(order, np.flatnonzero(np.diff(home[order])) + 1):
+                lengths, data = _bytes_of(units.take(pa.array(codes)))
+                out.append((int(home[codes[0]]), pack(np.diff(codes.astype(np.uint32), prepend=np.uint32(0))), pack(lengths), zstandard.compress(data, 1)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([o[0] for o in out], pa.int32()), pa.array([b.column(0)[0].as_py()] * len(out), pa.int64()), *[pa.array([o[i] for o in out], pa.binary()) for i in (1, 2, 3)]],
+                ["bucket", "block", "codes", "lengths", "data"],
+            )
+
+    def reply(asked: pa.Table) -> pa.Table:
+        lengths = [unpack(x, np.uint32) for x in asked["lengths"].to_pylist()]
+        ends = np.append(0, np.cumsum(np.concatenate(lengths), dtype=np.int64))
+        data = b"".join(map(zstandard.decompress, asked["data"].to_pylist()))
+        units = pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(data)]).dictionary_encode()
+        answers = answer(units.dictionary.to_pylist())
+        starts = np.append(0, np.cumsum([len(x) for x in lengths])).tolist()
+        sent = [encode_rows(pa.table({"answer": answers.take(units.indices.slice(i, j - i))})) for i, j in itertools.pairwise(starts)]
+        return pa.table({"block": asked["block"], "codes": asked["codes"], "answers": pa.array(sent, pa.binary())})
+
+    asked = blocks.select("block", "units").mapInArrow(ask, "bucket int, block long, codes binary, lengths binary, data binary")
+    return asked.groupBy("bucket").applyInArrow(reply, "block long, codes binary, answers binary")
+
+
+def _bytes_of(values: pa.Array) -> tuple[np.ndarray, bytes]:
+    """Lengths of a binary array's values, and all their bytes."""
+    ends = np.frombuffer(values.buffers()[1], np.int32, len(values) + 1, values.offset * 4)
+    data = values.buffers()[2]
+    return np.diff(ends).astype(np.uint32), data.slice(int(ends[0]), int(ends[-1] - ends[0])).to_pybytes() if data else b""
+
+
+def over_blocks(blocks: DataFrame, answers: DataFrame, work: Callable[[pa.Table, np.ndarray, pa.Array], pa.Table], empty: pa.Array, schema) -> DataFrame:
+    """``work(rows, codes, answers)`` of each block: its rows, the numbers of all their units, and the answers by number (``empty`` without any)."""
 
     def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        right = right.select(["code", "answer"]).sort_by("code").combine_chunks()
-        by_code = right["answer"].chunk(0) if right.num_rows else pa.array([], right.schema.field("answer").type)
+        by_code = empty
+        if right.num_rows:
+            asked = np.concatenate([np.cumsum(unpack(x, np.uint32), dtype=np.uint32) for x in right["codes"].to_pylist()])
+            by_code = decode_rows(right["answers"].to_pylist())["answer"].combine_chunks().take(pa.array(np.argsort(asked)))
         data = left["codes"][0].as_py()
         codes = unpack(data, np.uint32) if data else np.empty(0, np.uint32)
         out = work(decode_rows(left["rows"].to_pylist()), codes, by_code)

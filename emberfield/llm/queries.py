@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberfield.llm import byte_bpe, chat, decontaminate, jaccard, language, licences, packing, quality, sharding, substrings, token_counts
+from emberfield.llm import byte_bpe, chat, decontaminate, divergence, jaccard, language, licences, packing, periods, quality, sharding, substrings, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -196,3 +196,110 @@ def op11_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit_sources(table(spark, folder, "documents"))
+
+
+# every term of every document, the kept terms, and all their shares in all groups of the language
+SQL["op12_source_divergence"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+), t AS (
+  SELECT id, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+), k AS (
+  SELECT lang, term, count(*) AS n FROM t GROUP BY lang, term HAVING count(DISTINCT id) >= 3
+), l AS (
+  SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS total FROM k GROUP BY lang
+), g AS (
+  SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN k USING (lang, term) GROUP BY lang, source, term
+), groups AS (
+  SELECT DISTINCT lang, source FROM d
+), totals AS (
+  SELECT lang, source, sum(n)::HUGEINT AS total FROM g GROUP BY lang, source
+), p AS (
+  SELECT s.lang, s.source, k.term, coalesce(g.n, 0) AS n, 1 + (1000000000 * (coalesce(g.n, 0) + 1)::HUGEINT) // (coalesce(totals.total, 0) + l.v) AS p,
+    1 + (1000000000 * (k.n + 1)::HUGEINT) // (l.total + l.v) AS q
+  FROM groups s JOIN k ON k.lang = s.lang JOIN l ON l.lang = s.lang
+    LEFT JOIN g ON g.lang = s.lang AND g.source = s.source AND g.term = k.term LEFT JOIN totals ON totals.lang = s.lang AND totals.source = s.source
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(sum(((x.p - y.p) * (x.p - y.p)) // y.p), 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN p x ON x.lang = a.lang AND x.source = a.source LEFT JOIN p y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+  GROUP BY a.lang, a.source, b.source
+), parts AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pairs
+  UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q)) // q FROM p WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM parts
+)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = periods.periodic_runs(docs, fold_by="doc_id", texts_out=False)
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        "runs_sha256",
+        F.col("kept_sha256").alias("collapsed_sha256"),
+    )
+
+
+# a run repeats its words at three multiples of its period, which gives the few periods of a text that are compared at every word
+SQL["op13_periodic_runs"] = r"""
+WITH crc AS (
+  SELECT list_transform(range(256), lambda x: list_reduce([x, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS steps
+), d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words, xor(4294967295, list_reduce(
+      list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode(doc_id::VARCHAR)), '..'), lambda x: ('0x' || x)::BIGINT)),
+      lambda v, b: xor(v >> 8, steps[(xor(v, b) & 255) + 1]))) AS h
+  FROM documents, crc
+), f AS (
+  SELECT *, len(words) AS n, CASE WHEN h % 10 = 0 AND len(words) > 0 THEN (h // 10) % len(words) ELSE len(words) END AS a FROM d
+), taken AS (
+  SELECT doc_id, u.word, row_number() OVER (PARTITION BY doc_id ORDER BY u.i) - 1 AS i FROM d, unnest(words) WITH ORDINALITY AS u(word, i)
+), placed AS (
+  SELECT doc_id, i, CASE WHEN i >= a THEN a + (i - a) % (1 + (n - a) // (3 + (h // 10) % 8)) ELSE i END AS src FROM taken JOIN (SELECT doc_id, h, n, a FROM f) USING (doc_id)
+), w AS MATERIALIZED (
+  SELECT p.doc_id, p.i, taken.word FROM placed p JOIN taken ON taken.doc_id = p.doc_id AND taken.i = p.src
+), grid AS (
+  SELECT doc_id, q, unnest(range(n // q)) * q AS i FROM (SELECT doc_id, n, unnest(range(1, n // 4 + 1)) AS q FROM f)
+), one AS MATERIALIZED (
+  SELECT doc_id, q, i, word FROM grid JOIN w USING (doc_id, i)
+), two AS MATERIALIZED (
+  SELECT x.* FROM one x JOIN w y ON y.doc_id = x.doc_id AND y.i = x.i + x.q WHERE y.word = x.word
+), periods AS MATERIALIZED (
+  SELECT DISTINCT x.doc_id, q FROM two x JOIN w y ON y.doc_id = x.doc_id AND y.i = x.i + 2 * x.q WHERE y.word = x.word
+), wide AS MATERIALIZED (
+  SELECT doc_id, q, i, word FROM periods JOIN w USING (doc_id)
+), equal AS (
+  SELECT x.doc_id, q, x.i, x.i - row_number() OVER (PARTITION BY x.doc_id, q ORDER BY x.i) AS island
+  FROM wide x JOIN w y ON y.doc_id = x.doc_id AND y.i = x.i + x.q WHERE y.word = x.word
+), stretches AS (
+  SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM equal GROUP BY doc_id, q, island HAVING count(*) + q >= greatest(6, 4 * q)
+), runs AS MATERIALIZED (
+  SELECT doc_id, start, length, min(q) AS period FROM stretches GROUP BY doc_id, start, length
+), best AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY length / period DESC, start, period) AS place FROM runs
+), listed AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS t FROM runs GROUP BY doc_id
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS t FROM w
+  WHERE NOT EXISTS (SELECT 1 FROM runs r WHERE r.doc_id = w.doc_id AND w.i >= r.start + r.period AND w.i < r.start + r.length) GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+  sha256(coalesce(l.t, '')) AS runs_sha256, sha256(coalesce(k.t, '')) AS collapsed_sha256
+FROM d LEFT JOIN listed l ON l.doc_id = d.doc_id LEFT JOIN best b ON b.doc_id = d.doc_id AND place = 1 LEFT JOIN kept k ON k.doc_id = d.doc_id
+"""

@@ -184,7 +184,7 @@ FROM t GROUP BY conv_id
 def op2_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "source", "text")
     path = F.concat_ws("/", F.coalesce("source", F.lit("unknown")), F.floor(F.col("doc_id") / 1000).cast("string"), F.col("doc_id").cast("string"))
-    return licences.scan_licences(docs, path, F.col("text"), keep=["doc_id"]).select("doc_id", "path", "licence", "similarity", "origin", "from_directory")
+    return licences.scan_licences(docs, path, F.col("text"), keep=["doc_id"]).select("doc_id", "path", "licence", "licences", "similarity", "origin", "from_directory")
 
 
 @query

@@ -24,18 +24,20 @@ def _carried(summary: DataFrame, groups: list[str], cols: list[str], span: int =
 
     Blocks are taken ``span`` at a time: the blocks of a span in one window, then the spans
     in one of their own. Either holds at most ``span`` rows for a series of a hundred billion.
+    Where all series together have no more than ``span`` blocks, one window does.
+    Both directions are running values from the start of an order, in time linear in the rows.
     """
-    spans = summary.withColumn("_span", F.floor(F.col("_block") / span))
-
     def chained(rows: DataFrame, keys: list[str], step: str) -> DataFrame:
-        chain = Window.partitionBy(*keys).orderBy(step)
-        before, after = chain.rowsBetween(Window.unboundedPreceding, -1), chain.rowsBetween(1, Window.unboundedFollowing)
+        before, after = (Window.partitionBy(*keys).orderBy(o).rowsBetween(Window.unboundedPreceding, -1) for o in (F.asc(step), F.desc(step)))
         return rows.select(
             "*",
             *[F.last(f"_last_{c}", ignorenulls=True).over(before).alias(f"_b_{c}") for c in cols],
-            *[F.first(f"_first_{c}", ignorenulls=True).over(after).alias(f"_a_{c}") for c in cols],
+            *[F.last(f"_first_{c}", ignorenulls=True).over(after).alias(f"_a_{c}") for c in cols],
         )
 
+    if summary.limit(span + 1).count() <= span:
+        return chained(summary, groups, "_block").select(*groups, "_block", *[F.col(f"_{x}_{c}").alias(f"_c{x}_{c}") for c in cols for x in "ba"])
+    spans = summary.withColumn("_span", F.floor(F.col("_block") / span))
     inside = chained(spans, [*groups, "_span"], "_block")
     whole = spans.groupBy(*groups, "_span").agg(
         *[F.max(f"_last_{c}").alias(f"_last_{c}") for c in cols], *[F.min(f"_first_{c}").alias(f"_first_{c}") for c in cols]
@@ -59,7 +61,8 @@ def interpolate_time_series(
 
     'forward' leaves leading nulls and repeats the last value at the end, 'backward'
     the reverse, 'both' fills both ends. Series are cut into blocks of rows; only one
-    summary row per block takes part in the carry from block to block.
+    summary row per block takes part in the carry from block to block. The next known value
+    is the last one seen in falling order: a frame that reaches to the end would be gone through for every row.
     """
     if time_col not in df.columns:
         raise KeyError(f"time column '{time_col}' not found")
@@ -86,13 +89,12 @@ def interpolate_time_series(
     for k in keys:
         on = on & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
     joined = pos.join(renamed, on).drop(*[f"_k_{k}" for k in keys])
-    inside = Window.partitionBy(*keys).orderBy("_pos")
-    upto = inside.rowsBetween(Window.unboundedPreceding, 0)
-    onward = inside.rowsBetween(0, Window.unboundedFollowing)
+    inside = Window.partitionBy(*keys)
+    upto, onward = (inside.orderBy(o).rowsBetween(Window.unboundedPreceding, 0) for o in (F.asc("_pos"), F.desc("_pos")))
     filled = {}
     for c in cols:
         a = F.coalesce(F.last(known(c), ignorenulls=True).over(upto), F.col(f"_cb_{c}"))
-        b = F.coalesce(F.first(known(c), ignorenulls=True).over(onward), F.col(f"_ca_{c}"))
+        b = F.coalesce(F.last(known(c), ignorenulls=True).over(onward), F.col(f"_ca_{c}"))
         span = (b["p"] - a["p"]).cast("double")
         line = a["v"] + (b["v"] - a["v"]) * (F.col("_pos") - a["p"]) / span
         lead = b["v"] if direction in ("backward", "both") else F.lit(None).cast("double")

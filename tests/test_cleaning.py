@@ -79,3 +79,23 @@ def test_scaling(spark):
     assert sorted(r.n_minmax for r in out.collect()) == [0.0, 0.5, 1.0] and params.first()["n_max"] == 1.0
     with pytest.raises(ValueError, match="method must"):
         scaling.scale_features(df, ["t"], "robust")
+
+
+def test_one_series_of_200_000_rows_in_linear_time(spark):
+    import time
+
+    df = spark.range(200_000).select("id", F.when(F.col("id") % 1000 == 7, F.col("id").cast("double")).alias("v"))
+    began = time.time()
+    for direction, least, most in (("forward", 7.0, 199_007.0), ("backward", 7.0, 199_007.0)):
+        out = sequences.interpolate_time_series(df, "id", ["v"], [], direction)
+        r = out.agg(F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"), F.count_if((F.col("v") - F.col("id")).between(-1e-6, 1e-6)).alias("on_line")).first()
+        assert (r.low, r.high, r.on_line) == (least, most, 199_001)
+        assert r.n == (200_000 - 7 if direction == "forward" else 199_008)
+    assert time.time() - began < 60
+
+
+def test_spans_of_blocks(spark):
+    df = spark.range(3_000).select("id", F.when(F.col("id").isin(5, 2_900), F.col("id").cast("double")).alias("v"))
+    out = sequences.interpolate_time_series(df, "id", ["v"], [], "both", block=2)  # 1500 blocks: more than a span
+    assert out.where(F.abs(F.col("v") - F.greatest(F.lit(5.0), F.least(F.lit(2900.0), F.col("id")))) > 1e-6).count() == 0
+    assert out.where("v is null").count() == 0

@@ -29,6 +29,7 @@ class Item:
     item_id: int
     text: str
     budget: int
+    bordered: bool = False  # found only between word borders
 
     def pieces(self) -> Iterator[tuple[int, str]]:
         """``budget`` + 1 pieces of nearly equal length: with at most ``budget`` errors one is intact."""
@@ -64,6 +65,11 @@ def nearest_end(masks: dict[str, int], size: int, text: str) -> tuple[int, int]:
     return best, end
 
 
+def _joins(a: str, b: str) -> bool:
+    """Whether two neighbours are of one word: both letters or digits, of scripts that part words by spaces."""
+    return a.isalnum() and b.isalnum() and max(a, b) < "\u2e80"
+
+
 class Searcher:
     """All items at once: an automaton of their pieces, and the verification of what it finds."""
 
@@ -95,7 +101,11 @@ class Searcher:
         starts: dict[int, set[int]] = defaultdict(set)
         for end, where in self.automaton.iter(text):
             for n, last in where:
-                starts[n].add(end - last)
+                item = self.items[n]
+                begin, stop = end - last, end - last + len(item.text)
+                if item.bordered and (begin and _joins(text[begin - 1], item.text[0]) or stop < len(text) and _joins(item.text[-1], text[stop])):
+                    continue
+                starts[n].add(begin)
         found = []
         for n in sorted(starts):
             item = self.items[n]
@@ -124,6 +134,7 @@ def find_leaks(
     item_text: str = "text",
     error_rate: float = 0.08,
     least_chars: int = 16,
+    least_exact: int = 6,
     block_chars: int = 4 << 20,
     keep_text: bool = True,
 ) -> DataFrame:
@@ -135,8 +146,9 @@ def find_leaks(
     the item's length) and ``stop`` are places in the normalised text of the best match.
 
     Items are sent to the tasks in blocks of about ``block_chars`` characters, one pass over the documents for
-    each block. Null items and those shorter than ``least_chars`` are no evidence and not searched; items with a null id
-    are reported with a null id. Null and empty texts have no leaks. No row is dropped; ``leaks`` replaces a column of that name.
+    each block. Items shorter than ``least_chars`` must stand in the text without an error and between
+    word borders (scripts without spaces have none). Null items and those shorter than ``least_exact`` are no evidence and not
+    searched; ``unsearched`` returns them. Items with a null id are reported with a null id. Null and empty texts have no leaks. No row is dropped; ``leaks`` replaces a column of that name.
     """
     spark = docs.sparkSession
     items = items.select(F.col(item_id).cast("long").alias("i"), F.col(item_text).alias("t")).where("t is not null")
@@ -145,11 +157,22 @@ def find_leaks(
     for block in range(blocks):
         mine = items if blocks == 1 else items.where(F.pmod(F.xxhash64("t"), F.lit(blocks)) == block)
         texts = sorted({(i if i is not None else -1, i is None, normalise(t)) for i, t in mine.collect()})  # a block at a time
-        block_items = [Item(None if unknown else i, t, int(error_rate * len(t))) for i, unknown, t in texts if len(t) >= least_chars]
+        block_items = [Item(None if unknown else i, t, 0 if len(t) < least_chars else int(error_rate * len(t)), len(t) < least_chars) for i, unknown, t in texts if len(t) >= least_exact]
         out = _search(out, spark.sparkContext.broadcast(block_items), text_col)
     return out if keep_text else out.drop(text_col)
 
 
+def unsearched(items: DataFrame, item_id: str = "item_id", item_text: str = "text", least_exact: int = 6) -> DataFrame:
+    """The rows of ``items`` that ``find_leaks`` does not look for: null, or shorter than ``least_exact`` after normalising."""
+
+    def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array([len(normalise(t)) < least_exact for t in b.column(1).to_pylist()], pa.bool_()))
+
+    read = items.select(item_id, item_text)
+    return read.mapInArrow(short, read.schema)
+
+
 def _search(docs: DataFrame, items, text_col: str) -> DataFrame:
     text_at, leaks_at = docs.columns.index(text_col), docs.columns.index("leaks")
 

@@ -70,31 +70,33 @@ class LanguageModel:
         return [len(self.scores) - 1]
 
 
-def train(labelled: DataFrame, max_words: int = 30_000, max_grams: int = 10_000, max_length: int = 4) -> LanguageModel:
-    """Count words and their n-grams over all labelled rows (text, lang; null langs are left out).
+def training_rows(labelled: DataFrame, lang_chars: int) -> DataFrame:
+    """A sample of about ``lang_chars`` characters of each language's rows (text, lang), all of a language that has fewer.
 
-    The model keeps, per language, the ``max_words`` most frequent words and the ``max_grams``
-    most frequent n-grams of each length up to ``max_length``, equally frequent ones all or none: these
-    bound what is broadcast; rarer words fall back to n-grams. The counts themselves cover all rows.
+    Rows are taken by a hash of their text, so the sample does not depend on how the table is divided. Null langs are left out.
     """
-    counts = saved(word_counts(labelled.where("lang is not null")), "words")
+    known = labelled.select("text", "lang").where("lang is not null")
+    chars = dict(known.groupBy("lang").agg(F.sum(F.length("text"))).collect())  # one row per language
+    shares = {lang: lang_chars / n for lang, n in chars.items() if n and n > lang_chars}
+    if not shares:
+        return known
+    share = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for pair in shares.items() for x in pair]), F.col("lang")), F.lit(1.0))
+    return known.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share * (1 << 20))
+
+
+def train(labelled: DataFrame, lang_chars: int = 4 << 20, max_length: int = 4) -> LanguageModel:
+    """Count words and their n-grams up to ``max_length`` over a sample of the labelled rows (text, lang).
+
+    The only bound is that of the sample, ``training_rows``: the model keeps every word and n-gram in it, so
+    its size does not grow with the corpus and no entry is left out for being rare.
+    """
+    counts = saved(word_counts(training_rows(labelled, lang_chars)), "words")
     totals = dict(counts.groupBy("lang").agg(F.sum("n")).orderBy("lang").collect())
     langs = list(totals)
     k = len(langs)
 
-    def best(df: DataFrame, key: str, limit: int) -> tuple[list, list, np.ndarray]:
-        least: dict[str, int] = {}
-        kept: Counter = Counter()
-        how_often = df.groupBy("lang", "n").count().collect()  # one row per distinct count
-        for lang, n, keys in sorted(how_often, key=lambda r: (r[0], -r[1])):
-            if lang not in least or kept[lang] + keys <= limit:
-                kept[lang] += keys
-                least[lang] = n if kept[lang] <= limit else n + 1
-            else:
-                kept[lang] = limit + 1  # no rarer ones
-        floor = F.create_map(*[F.lit(x) for pair in least.items() for x in pair])
-        top = df.where(F.col("n") >= floor[F.col("lang")]).select(key).distinct()
-        rows = df.join(top, key, "left_semi").select("lang", key, "n").toArrow()  # at most limit * languages**2 rows
+    def best(df: DataFrame, key: str) -> tuple[list, list, np.ndarray]:
+        rows = df.select("lang", key, "n").orderBy(key, "lang").toArrow()  # bounded by the sample
         return rows["lang"].to_pylist(), rows[key].to_pylist(), rows["n"].to_numpy()
 
     number = {lang: i for i, lang in enumerate(langs)}
@@ -112,7 +114,7 @@ def train(labelled: DataFrame, max_words: int = 30_000, max_grams: int = 10_000,
 
     if not k:
         return LanguageModel([], {}, [], np.empty((0, 0), np.float32))
-    words = scored(best(counts, "word", max_words), totals, 0)
+    words = scored(best(counts, "word"), totals, 0)
     grams, first = [], len(words)
     padded = F.concat(F.lit(" "), F.col("word"), F.lit(" "))
     for size in range(max_length, 0, -1):
@@ -120,7 +122,7 @@ def train(labelled: DataFrame, max_words: int = 30_000, max_grams: int = 10_000,
         exploded = counts.where(F.length("word") + 2 >= size).select("lang", "n", F.explode(spots).alias("gram"))
         per_gram = saved(exploded.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
         sums = dict(per_gram.groupBy("lang").agg(F.sum("n")).collect())
-        known = scored(best(per_gram, "gram", max_grams), sums, first)
+        known = scored(best(per_gram, "gram"), sums, first)
         grams.append(known)
         first += len(known)
     return LanguageModel(langs, words, grams, np.concatenate([*blocks, np.zeros((1, k), np.float32)]))

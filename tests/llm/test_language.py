@@ -5,7 +5,7 @@ from collections import Counter
 import numpy as np
 from helpers import SCHEMA, documents, table
 
-from emberfield.llm.language import LanguageModel, _Scores, held_out, identify, letter_words, predict, train, word_counts
+from emberfield.llm.language import LanguageModel, _Scores, held_out, identify, letter_words, predict, train, training_rows, word_counts
 
 SYLLABLES = {"en": "the ing th er on and sh ble".split(), "de": "ei sch ung lich ß ä er".split(), "fr": "eau é tre ou ai ê".split()}
 
@@ -52,11 +52,27 @@ def test_falls_back_to_shorter_grams():
     assert _Scores(model).total(["abcdz", "zz", "abcdz"]).tolist() == [2 * 3 + 10, 2 * 4 + 11]
 
 
-def test_frequent_entries_are_kept_and_ties_all_or_none(spark):
-    rows = [("aa aa aa bb bb cc dd", "x"), ("ee ee ff", "y")]
-    model = train(spark.createDataFrame(rows, "text string, lang string"), max_words=3, max_grams=2)
-    assert set(model.words) == {"aa", "bb", "ee", "ff"}  # cc and dd would make four of x
-    assert all(len(known) <= 4 for known in model.grams)
+def test_a_sample_bounds_each_language_and_accuracy_holds(spark):
+    rng = random.Random(6)
+    rows = [(i, prose(rng, lang, 40), lang, "s", 1) for i in range(900) for lang in [["en", "de"][i % 2] if i % 10 else "fr"]]
+    docs = table(spark, rows)
+    labelled = docs.where(~held_out()).select("text", "lang")
+    chars = dict(labelled.groupBy("lang").agg({"text": "count"}).collect())
+    sample = dict(training_rows(labelled, 20_000).groupBy("lang").agg({"text": "count"}).collect())
+    assert sample["fr"] == chars["fr"] and 40 < sample["en"] < chars["en"] / 2
+    right = {}
+    for bound in (20_000, 1 << 30):
+        got = [r for r in identify(docs, lang_chars=bound).collect() if r.held_out]
+        right[bound] = sum(r.lang == r.lang_pred for r in got) / len(got)
+    assert right[20_000] >= right[1 << 30] - 0.02 and right[20_000] >= 0.97
+    model = train(labelled, 20_000)
+    assert set(model.words) == {w for r in training_rows(labelled, 20_000).collect() for w in letter_words(r.text)}
+
+
+def test_very_long_texts_and_words(spark):
+    rows = corpus(60)[:60] + [(9000, "sch ei " * 500_000, None, None, 1), (9001, "the" * 1_000_000, None, None, 1), (9002, " ".join(["ungsch"] * 100) + "\n" * 1_000_000, None, None, 1)]
+    got = {r.doc_id: r.lang_pred for r in identify(table(spark, rows)).collect()}
+    assert (got[9000], got[9001], got[9002]) == ("de", "en", "de")
 
 
 def test_without_training_rows_all_are_undetermined(spark):

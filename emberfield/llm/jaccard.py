@@ -341,17 +341,18 @@ def similar_groups(
        ``few_labels`` groups share are joined in blocks instead.
     5. The links found join all groups; links inside a joined group are not listed.
 
-    Returns (id, n_shingles, component_id): one row per input row; the component is
-    the smallest id reachable. Words are lower-cased in A-Z only; a text with
+    Returns (id, n_shingles, component_id, text_hash, group): one row per input row; the component is
+    the smallest id reachable. ``text_hash`` is xxhash64 of the text, which tells rows of one id apart, and
+    ``group`` names the group itself (null for a text that can't link), which two groups with one smallest id don't share. Words are lower-cased in A-Z only; a text with
     fewer than ``size`` words is one gram; null, empty or blank texts have none and link with nothing.
     Rows with a null id get a null component and link with nothing. Repeated rows
     are all returned, and rows with one id but different texts are judged each by its own
     text. Other columns are ignored, whatever their names.
     """
     spark = docs.sparkSession
-    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    chunks = by_hash(docs, F.coalesce("id", F.xxhash64("text")), max(1, -(-total // chunk_bytes)))
+    chunks = by_hash(docs, F.struct("id", "text_hash"), max(1, -(-total // chunk_bytes)))
     buckets = bucket_count(spark, total, bucket_words * 6)
 
     def coarse(rows: pa.Table) -> np.ndarray:
@@ -376,9 +377,9 @@ def similar_groups(
             candidate = known and len(s) and len(mine) >= _required(len(s), percent)
             prints.append(_signed(xxhash.xxh3_64_intdigest(s.tobytes())) if candidate else None)
             grams.append(mine.tobytes() if candidate else None)
-        return pa.table({"id": rows["id"], "n": pa.array([len(s) for s in sets], pa.int64()), "print": pa.array(prints, pa.int64()), "grams": pa.array(grams, pa.binary())})
+        return pa.table({"id": rows["id"], "text_hash": rows["text_hash"], "n": pa.array([len(s) for s in sets], pa.int64()), "print": pa.array(prints, pa.int64()), "grams": pa.array(grams, pa.binary())})
 
-    screened = saved(chunks.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(screen, "id long, n long, print long, grams binary"), "screened")
+    screened = saved(chunks.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(screen, "id long, text_hash long, n long, print long, grams binary"), "screened")
     candidates = screened.where("print is not null")
     held = saved(candidates.groupBy("print").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("grams").alias("grams")), "held")
     classes = held.select("print", "rep")
@@ -424,7 +425,7 @@ def similar_groups(
     links = labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(second)
     named = saved(classes.join(components(links).withColumnRenamed("node", "print"), "print", "left").select("print", "rep", F.coalesce("component", "print").alias("c")), "named")
     smallest = named.groupBy("c").agg(F.min("rep").alias("component"))
-    groups = saved(named.join(smallest, "c").select("print", "component"), "groups")
-    return screened.select("id", "n", "print").join(groups, "print", "left").select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id")
+    groups = saved(named.join(smallest, "c").select("print", "c", "component"), "groups")
+    return screened.select("id", "text_hash", "n", "print").join(groups, "print", "left").select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"), "text_hash", F.col("c").alias("group")
     )

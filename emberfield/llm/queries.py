@@ -67,7 +67,7 @@ FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id
 
 @query
 def op6_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
-    return jaccard.similar_groups(table(spark, folder, "documents"))
+    return jaccard.similar_groups(table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 # all linked pairs through the inverted index of 5-word shingles, then the smallest reachable id

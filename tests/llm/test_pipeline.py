@@ -4,6 +4,7 @@ from pathlib import Path
 import duckdb
 import pytest
 from helpers import documents, sentence, split, table
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from emberfield.llm import queries
@@ -58,10 +59,43 @@ def test_stages_one_by_one(spark, folder):
         docs = after_df
 
 
+CLASHING = ["n_words", "leaks", "lang_pred", "score", "component_id", "text_hash", "group", "kept_text", "_text", "_hash", "n_shingles", "removed", "id"]
+
+
+def test_columns_with_the_operators_names_keep_their_values(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").limit(25)
+    for c in CLASHING:
+        docs = docs.withColumn(c, F.lit(f"keep {c}"))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, folder)
+        assert out.columns == docs.columns
+        assert out.select(CLASHING).distinct().collect() == [tuple(f"keep {c}" for c in CLASHING)]
+
+
+def test_rows_that_share_an_id_are_judged_by_their_texts(spark, folder):
+    import random
+
+    rng = random.Random(2)
+    a, b = sentence(rng, 60), sentence(rng, 60)
+    near = " ".join(b.split(" ")[:-1] + ["other"])
+    rows = [(5, a, "en", "s", 1), (5, b, "en", "s", 1), (3, b, "en", "s", 1), (3, near, "en", "s", 1), (3, a + " and more", "en", "t", 1), (None, b, "en", "s", 1), (9, "", "en", "s", 1), (9, "", "en", "s", 1)]
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_duplicates(spark, table(spark, rows), folder).collect()]
+    of_b = [r for r in got if r[0] == 3 and r[1] in (b, near)]
+    assert len(of_b) == 1 and (5, a) not in got and (5, b) not in got
+    assert sorted((r[0] is None, r[0] or 0, r[1]) for r in got if r not in of_b) == sorted([(False, 3, a + " and more"), (True, 0, b), (False, 9, "")])
+
+
+def test_short_clean_texts_stay(spark, folder):
+    texts = ["the ring", "water and stone", "le la", "¿ñandú?", "ok"]
+    docs = spark.read.parquet(f"{folder}/documents.parquet").unionByName(table(spark, [(90_000 + i, t, ["en", None][i % 2], "s", 1) for i, t in enumerate(texts)]))
+    kept = {r.text for r in corpus_pipeline.identify_language(spark, docs, folder).where("doc_id >= 90000").collect()}
+    assert kept == set(texts)
+
+
 def test_run_and_registration(spark, folder):
     assert corpus_pipeline.run(spark, folder).count() > 0
     numbers = {int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES}
-    assert numbers == set(range(1, 11))
+    assert numbers == set(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(queries.SQL))

@@ -9,42 +9,50 @@ from emberfield.llm import decontaminate, jaccard, language, packing, substrings
 from emberfield.llm.blocks import saved
 from emberfield.llm.queries import python_path
 
-#: Least probability of the predicted language for a document to stay.
-LEAST_SCORE = 0.5
+def _apart(docs: DataFrame, *used: str):
+    """``docs`` with all columns but those used under names no operator has, and what gives the result the input's columns again."""
+    names = {c: f"column_{i}__" for i, c in enumerate(docs.columns) if c not in used}
+    return docs.withColumnsRenamed(names), lambda df: df.select([names.get(c, c) for c in docs.columns]).withColumnsRenamed({v: k for k, v in names.items()})
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is clear; those without a letter or with an unclear language go. A missing ``lang`` is filled in."""
+    """Documents with a letter; those without go, as no language was found. A missing ``lang`` is filled in. Input columns keep their values, whatever their names."""
     python_path(spark)
-    model = language.train(docs.where(~language.held_out()))
-    found = language.predict(docs, model).where((F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LEAST_SCORE))
-    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(docs.columns)
+    renamed, back = _apart(docs, "doc_id", "text", "lang")
+    model = language.train(renamed.where(~language.held_out()))
+    found = language.predict(renamed, model).where(F.col("lang_pred") != language.UNDETERMINED)
+    return back(found.withColumn("lang", F.coalesce("lang", "lang_pred")))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of similar texts, once; documents without an id stay."""
+    """The row with the smallest id of each group of similar texts, once; rows without an id stay. Rows that share an id are judged each by its own text; of similar ones the one with the smallest text hash stays."""
     python_path(spark)
-    groups = jaccard.similar_groups(docs)
-    stay = groups.where("doc_id = component_id").select("doc_id").distinct()
-    known = docs.where("doc_id is not null").join(stay, "doc_id", "left_semi").withColumn("_text", F.xxhash64("text"))
-    return known.dropDuplicates(["doc_id", "_text"]).select(docs.columns).unionByName(docs.where("doc_id is null"))
+    renamed, back = _apart(docs, "doc_id", "text")
+    groups = jaccard.similar_groups(renamed).where("doc_id = component_id")
+    stay = groups.groupBy("doc_id", F.coalesce("group", "text_hash").alias("_g")).agg(F.min("text_hash").alias("_hash")).select("doc_id", "_hash").distinct()
+    known = renamed.where("doc_id is not null").withColumn("_hash", F.xxhash64("text"))
+    kept = known.join(stay, ["doc_id", "_hash"], "left_semi").dropDuplicates(["doc_id", "_hash"]).drop("_hash")
+    return back(kept.unionByName(renamed.where("doc_id is null")))
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the passages a document with a smaller id has too; a text of which nothing is left goes."""
+    """Texts without the passages a document with a smaller id has too; a text of which nothing is left goes. Only ``text`` and ``n_chars`` change, whatever the other columns are called."""
     python_path(spark)
-    cut = substrings.remove_repeated(docs).where("n_removed = 0 or n_removed < n_words")
+    renamed, back = _apart(docs, "doc_id", "text", "n_chars")
+    cut = substrings.remove_repeated(renamed).where("n_removed = 0 or n_removed < n_words")
     changed = F.col("n_removed") > 0
-    return cut.withColumn("text", F.when(changed, F.col("kept_text")).otherwise(F.col("text"))).withColumn(
-        "n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    ).select(docs.columns)
+    cut = cut.withColumn("text", F.when(changed, F.col("kept_text")).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        cut = cut.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return back(cut)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item within its error budget."""
+    """Documents that hold no benchmark item within its error budget. Input columns keep their values, whatever their names."""
     python_path(spark)
+    renamed, back = _apart(docs, "doc_id", "text")
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return decontaminate.find_leaks(docs, items).where(F.size("leaks") == 0).select(docs.columns)
+    return back(decontaminate.find_leaks(renamed, items).where(F.size("leaks") == 0))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

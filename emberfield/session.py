@@ -90,5 +90,6 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def data_partitions(df: DataFrame, per_task: int = 64 << 20) -> int:
     """Partitions for all of ``df``: about ``per_task`` bytes of its input files each, the session's number at least."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    read = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    read = sum(s for s in sizes if s < 1 << 60)  # Spark's mark for rows given by the driver, whose size it doesn't know
     return max(shuffle_partitions(df.sparkSession), min(read // per_task, 100_000))

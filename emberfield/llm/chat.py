@@ -9,7 +9,9 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from emberfield.llm.blocks import saved
+from emberfield.operators.ordering import running_sums
 
 START, END = "<|im_start|>", "<|im_end|>"
 _TURN = re.compile(re.escape(START) + r"([^\n]*)\n(?s:(.*))" + re.escape(END) + r"\n")
@@ -40,57 +42,47 @@ def format_conversations(turns: DataFrame, trainable: str = "assistant") -> Data
 
     Turns are ordered by turn, then role and text for ties; null turns come first, null roles
     and texts are empty, null ids are one conversation. Repeated rows are turns of
-    their own; other columns are ignored. A conversation is streamed in order through one task, with bounded
-    memory whatever its length.
+    their own; other columns are ignored. Places are running sums over ranges of that
+    order less the conversation's first, so a conversation of any size is placed by many tasks.
     """
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
     head = F.concat(F.lit(START), F.replace(escape(role), F.lit("\n"), F.lit("\\n")), F.lit("\n"))
     body = escape(text)
     parts = turns.select(
         F.col("conv_id").cast("long").alias("conv_id"), "turn", role.alias("role"), text.alias("text"),
-        F.concat(head, body, F.lit(f"{END}\n")).alias("segment"), F.length(head).alias("head"), F.length(body).alias("body"),
+        F.concat(head, body, F.lit(f"{END}\n")).alias("segment"), F.length(head).cast("long").alias("head"), F.length(body).cast("long").alias("body"), F.lit(1).cast("long").alias("one"),
+    ).withColumn("size", F.length("segment").cast("long"))
+    summed = running_sums(parts, ["conv_id", "turn", "role", "text"], {"chars": "size", "count": "one"}).drop("text", "turn", "one")
+    summed = saved(summed, "placed")
+    first = summed.groupBy(F.col("conv_id").alias("_conv")).agg(F.min(F.col("chars") - F.col("size")).alias("_chars"), F.min(F.col("count") - 1).alias("_count"))
+    start = F.col("chars") - F.col("size") - F.col("_chars")
+    loss = F.when(F.col("role") == trainable, start + F.col("head"))
+    return summed.join(first, F.col("conv_id").eqNullSafe(F.col("_conv"))).select(
+        "conv_id", (F.col("count") - 1 - F.col("_count")).alias("number"), "role", "segment", start.alias("start"),
+        (F.col("chars") - F.col("_chars")).alias("stop"), loss.alias("loss_start"), (loss + F.col("body")).alias("loss_stop"),
     )
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        conv, number, at = object(), 0, 0
-        for b in batches:
-            out = []
-            for c, r, s, head, body in zip(*[b.column(i).to_pylist() for i in range(5)], strict=True):
-                if c != conv:
-                    conv, number, at = c, 0, 0
-                loss = (at + head, at + head + body) if r == trainable else (None, None)
-                out.append((c, number, r, s, at, at + len(s), *loss))
-                number, at = number + 1, at + len(s)
-            kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), *[pa.int64()] * 4)
-            columns = zip(*out, strict=True) if out else [[]] * 8
-            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds, strict=True)], _FORMATTED)
-
-    ordered = _by_conversation(parts, "turn", "role", "text").select("conv_id", "role", "segment", "head", "body")
-    return ordered.mapInArrow(place, "conv_id long, number long, role string, segment string, start long, stop long, loss_start long, loss_stop long")
-
-
-_FORMATTED = ["conv_id", "number", "role", "segment", "start", "stop", "loss_start", "loss_stop"]
-
 
 def examples(formatted: DataFrame) -> DataFrame:
     """One row per trainable turn: context is 0..loss_start of the formatted text, the target loss_start..loss_stop."""
     return formatted.where("loss_start is not null").select("conv_id", F.col("number").alias("target"), "loss_start", "loss_stop", "stop")
 
 
-def example_texts(formatted: DataFrame, max_chars: int = 1 << 20) -> DataFrame:
-    """``examples`` written out with their whole text; it is null where it would be longer than ``max_chars``.
+def example_texts(formatted: DataFrame) -> DataFrame:
+    """``examples`` written out: a row (conv_id, target, loss_start, loss_stop, stop, part, text) for each turn up to the target.
 
-    Written out, a conversation of n turns takes about n / 2 times its size; the places stay complete for all.
+    The parts of an example, joined in order, are its whole text, however long. Written out, a conversation
+    of n turns takes about n / 2 times its size; the places of ``examples`` say the same in its own size.
     """
-    before = Window.partitionBy("conv_id").orderBy("number").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    short = F.when(F.col("stop") <= max_chars, F.col("segment"))
-    joined = formatted.withColumn("text", F.when(F.col("stop") <= max_chars, F.array_join(F.collect_list(short).over(before), "")))
-    return joined.where("loss_start is not null").select("conv_id", F.col("number").alias("target"), "loss_start", "loss_stop", "stop", "text")
+    parts = formatted.select(F.col("conv_id").alias("_conv"), F.col("number").alias("part"), F.col("segment").alias("text"))
+    wanted = examples(formatted)
+    return wanted.join(parts, F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("part") <= F.col("target"))).select(*wanted.columns, "part", "text")
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """Turns and trained text of each conversation, parsed from its formatted text alone.
+    """Turns and trained text of each conversation, parsed from its formatted text and its ``examples`` alone.
 
+    What is trained is read from the examples: each is joined to its target turn, and its mask cuts the reply out of it.
     Returns conv_id, n_turns, turns_sha256 (role, line feed, text, line feed per turn), loss_chars,
     loss_sha256 (all text under the loss mask, unescaped) and formatted_chars (of the conversation's text, stored once).
     """
@@ -123,7 +115,9 @@ def read_back(formatted: DataFrame) -> DataFrame:
             yield out(rows)
         yield out(row())
 
-    ordered = _by_conversation(formatted.select("conv_id", "segment", "start", "loss_start", "loss_stop"), "start")
+    targets = examples(formatted).select(F.col("conv_id").alias("_conv"), "target", "loss_start", "loss_stop")
+    masked = formatted.drop("loss_start", "loss_stop").join(targets, F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("number") == F.col("target")), "left")
+    ordered = _by_conversation(masked.select("conv_id", "segment", "start", "loss_start", "loss_stop"), "start")
     return ordered.mapInArrow(parse, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 

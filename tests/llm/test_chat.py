@@ -43,15 +43,25 @@ def test_round_trip(spark):
 def test_each_reply_is_one_example_with_all_before_it(spark):
     rows = conversations()
     formatted = format_conversations(spark.createDataFrame(rows, SCHEMA))
-    texts = example_texts(formatted).collect()
+    rows_out = example_texts(formatted).collect()
+    texts = {}
+    for r in sorted(rows_out, key=lambda r: r.part):
+        texts.setdefault((r.conv_id, r.target, r.loss_start, r.loss_stop, r.stop), []).append(r.text)
     assert len(texts) == examples(formatted).count() == sum(r[2] == "assistant" for r in rows)
     turns = ordered(rows)
-    for r in texts:
-        role, reply = turns[r.conv_id][r.target]
-        assert role == "assistant" and unescape(r.text[r.loss_start : r.loss_stop]) == reply
-        assert r.text.count(START) == r.text.count(END) == r.target + 1 and len(r.text) == r.stop
-    short = example_texts(formatted, 100).collect()
-    assert len(short) == len(texts) and all((r.text is None) == (r.stop > 100) for r in short)
+    for (conv, target, low, high, stop), parts in texts.items():
+        role, reply = turns[conv][target]
+        text = "".join(parts)
+        assert role == "assistant" and unescape(text[low:high]) == reply
+        assert text.count(START) == text.count(END) == target + 1 == len(parts) and len(text) == stop
+
+
+def test_a_long_conversation_keeps_all_examples(spark):
+    rows = [(1, t, ["user", "assistant"][t % 2], f"{t} " + "x" * 400_000) for t in range(8)]
+    formatted = format_conversations(spark.createDataFrame(rows, SCHEMA)).cache()
+    got = example_texts(formatted).groupBy("target").agg(F.sum(F.length("text")).alias("n"), F.first("stop").alias("stop")).collect()
+    assert sorted(r.target for r in got) == [1, 3, 5, 7] and all(r.n == r.stop for r in got)
+    assert read_back(formatted).first().loss_chars == sum(len(r[3]) for r in rows if r[2] == "assistant")
 
 
 def test_empty_table(spark):

@@ -107,3 +107,58 @@ def exact_quantiles(df: DataFrame, col: str, probabilities: list[float]) -> Data
         "probability",
         (F.col("low") + (F.col("high") - F.col("low")) * (F.col("h") - F.floor("h"))).alias("quantile"),
     )
+
+
+def first_rows(df: DataFrame, order: list[Column], ties: list[str], wanted: dict, group: str | None = None, sorted_rows: int = 20_000) -> tuple[DataFrame, DataFrame]:
+    """``df`` in two parts: the first ``wanted[g]`` rows of each group in ``order``, and the others.
+
+    The place of the last wanted row is found by counting, not sorting: the leading order column, an integer, is counted in up
+    to 1024 ranges, the range that holds the place is counted again in finer ones, until few rows or one value
+    are left. Only the rows of that last range are numbered, by all of ``order`` and ``ties``. All groups go through the
+    rounds together; at most 1024 counts a group reach the driver, so groups must be few. Null keys come first.
+    """
+    least = -(1 << 63)
+    of = F.col(group) if group else F.lit(0)
+    named = df.withColumns({"_g": of, **{f"_o{i}": c for i, c in enumerate(order)}})
+    key = F.coalesce(F.col("_o0").cast("bigint"), F.lit(least))
+    keys = named.select("_g", key.alias("_key"))
+    state = {}  # group -> (lowest key, bits left, rows still wanted); ranges are lowest .. lowest + 2**bits - 1
+    for g, low, high, n in keys.groupBy("_g").agg(F.min("_key"), F.max("_key"), F.count(F.lit(1))).collect():
+        bits = 64 if low < 0 <= high else (low ^ high).bit_length()
+        state[g] = [low >> bits << bits if bits < 64 else least, bits, min(wanted.get(g, 0), n), n]
+
+    def in_range(g, value: Column) -> Column:
+        low, bits, _, _ = state[g]
+        return F.col("_g").eqNullSafe(F.lit(g)) & value.between(low, min(low + (1 << bits), 1 << 63) - 1)
+
+    def any_of(conditions: list[Column]) -> Column:
+        out = F.lit(False)
+        for c in conditions:
+            out = out | c
+        return out
+
+    while open_ := [g for g, (_, bits, k, n) in state.items() if 0 < k < n and bits and n > sorted_rows]:
+        step = F.lit(None)
+        for g in open_:
+            step = F.when(F.col("_g").eqNullSafe(F.lit(g)), F.shiftright("_key", max(0, state[g][1] - 10))).otherwise(step)
+        counted = keys.where(any_of([in_range(g, F.col("_key")) for g in open_])).groupBy("_g", step.alias("_bin")).count().collect()
+        for g in open_:
+            finer = max(0, state[g][1] - 10)
+            for bin_, n in sorted((b, n) for of_g, b, n in counted if of_g == g):
+                if n >= state[g][2]:
+                    state[g] = [bin_ << finer, finer, state[g][2], n]
+                    break
+                state[g][2] -= n
+    before = any_of([F.col("_g").eqNullSafe(F.lit(g)) & (key < s[0]) for g, s in state.items()])
+    between = any_of([in_range(g, key) for g in state])
+    near = number_rows(named.where(between), ["_g", *[f"_o{i}" for i in range(len(order))], *ties], "_i", start=0)
+    starts = near.groupBy("_g").agg(F.min("_i").alias("_s"))
+    near = near.join(F.broadcast(starts.withColumnRenamed("_g", "_gs")), F.col("_g").eqNullSafe(F.col("_gs")))  # one row a group
+    rank = F.lit(0).cast("bigint")
+    for g, s in state.items():
+        rank = F.when(F.col("_g").eqNullSafe(F.lit(g)), F.lit(s[2]).cast("bigint")).otherwise(rank)
+    inside = near.withColumn("_in", F.col("_i") - F.col("_s") < rank)
+    plain = df.columns
+    first = named.where(before).select(plain).unionByName(inside.where("_in").select(plain))
+    rest = named.where(~before & ~between).select(plain).unionByName(inside.where(~F.col("_in")).select(plain))
+    return first, rest

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emberfield.functions import time
-from emberfield.operators.ordering import number_rows
+from emberfield.operators.ordering import first_rows, number_rows
 from emberfield.session import sized_broadcast
 
 # Validation starts, training period ends, test starts.
@@ -44,15 +44,27 @@ def sequence_split_ratio(samples: DataFrame, order: list[str], train_val: float
     return out.withColumn("split", split).drop("_i", "_n", "_tv")
 
 
+_INTEGERS = ("byte", "short", "integer", "long")
+
+
+def _leads_with_integer(df: DataFrame, order: list[Column]) -> bool:
+    return df.select(order[0].alias("o")).schema["o"].dataType.typeName() in _INTEGERS
+
+
 def negative_subsample(
     df: DataFrame, label: str, key: list[str], ratio: int = 20, seed: int = 42, order: list[Column] | None = None
 ) -> DataFrame:
-    """All positives and exactly ``ratio`` negatives per positive, the first by ``order``, else by hashed key."""
-    positives = df.where(F.col(label) == 1)
-    wanted = positives.agg(F.count(F.lit(1)) * ratio).scalar()
-    shuffled = df.where(F.col(label) == 0).withColumn("_h", F.struct(*order) if order else F.xxhash64(F.lit(seed), *key))
-    ranked = number_rows(shuffled, ["_h", *key], "_i")
-    return positives.unionByName(ranked.withColumn("_w", wanted).where(F.col("_i") <= F.col("_w")).drop("_h", "_i", "_w"))
+    """All positives and exactly ``ratio`` negatives per positive, the first by ``order``, else by hashed key.
+
+    The last negative taken is found by counting ranges of the order; the negatives are not sorted.
+    """
+    positives, negatives = df.where(F.col(label) == 1), df.where(F.col(label) == 0)
+    order = order or [F.xxhash64(F.lit(seed), *key)]
+    wanted = positives.count() * ratio
+    if _leads_with_integer(df, order):
+        return positives.unionByName(first_rows(negatives, order, key, {0: wanted})[0])
+    ranked = number_rows(negatives.withColumn("_h", F.struct(*order)), ["_h", *key], "_i")
+    return positives.unionByName(ranked.where(F.col("_i") <= wanted).drop("_h", "_i"))
 
 
 def stratified_split(
@@ -60,19 +72,19 @@ def stratified_split(
 ) -> DataFrame:
     """Validation share per label by hashed key: the first floor(fraction x rows) of each label.
 
-    One global numbering by (label, hash) replaces a window per label: labels are few
-    and each may hold most of the table.
+    Labels are few and each may hold most of the table: the border of each is found by counting ranges of
+    the order, all labels at once, and only the rows at a border are numbered.
     """
     rank = order or [F.xxhash64(F.lit(seed), *key)]
+    groups = df.groupBy(label).agg(F.floor(F.count(F.lit(1)) * F.lit(fraction)).alias("n")).collect()
+    if _leads_with_integer(df, rank):
+        val, train = first_rows(df, rank, key, {r[0]: r["n"] for r in groups}, label)
+        return val.withColumn("split", F.lit("val")).unionByName(train.withColumn("split", F.lit("train")))
     named = df.withColumns({f"_h{i}": c for i, c in enumerate(rank)})
     ranked = number_rows(named, [label, *[f"_h{i}" for i in range(len(rank))], *key], "_i", start=0)
-    groups = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    starts = ranked.groupBy(label).agg(F.min("_i").alias("_s"))
-    sized = ranked.join(sized_broadcast(groups.join(starts, label)), label)
-    val = (F.col("_i") - F.col("_s")) < F.floor(F.col("_n") * F.lit(fraction))
-    return sized.withColumn("split", F.when(val, "val").otherwise("train")).drop(
-        "_i", "_n", "_s", *[f"_h{i}" for i in range(len(rank))]
-    )
+    starts = ranked.groupBy(label).agg(F.min("_i").alias("_s"), F.floor(F.count(F.lit(1)) * F.lit(fraction)).alias("_n"))
+    sized = ranked.join(sized_broadcast(starts.withColumnRenamed(label, "_l")), F.col(label).eqNullSafe(F.col("_l")))
+    return sized.withColumn("split", F.when(F.col("_i") - F.col("_s") < F.col("_n"), "val").otherwise("train")).select(*df.columns, "split")
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:

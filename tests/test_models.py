@@ -86,3 +86,31 @@ def test_global_order_with_one_hot_key(spark):
     assert prev[5] is None and prev[6] == 0 and prev[4999] == 4993
     q = {r.probability: r.quantile for r in ordering.exact_quantiles(df.select((F.col("id") * 1.0).alias("v")), "v", [0.0, 0.25, 1.0]).collect()}
     assert q == {0.0: 0.0, 0.25: 1249.75, 1.0: 4999.0}
+
+
+@pytest.mark.parametrize("sorted_rows", [1, 50, 20_000])
+def test_first_rows_by_counting(spark, sorted_rows):
+    import random
+
+    rng = random.Random(sorted_rows)
+    rows = [(i, rng.choice(["a", "b", None]), rng.choice([rng.randint(-(1 << 63), (1 << 63) - 1), rng.randint(-3, 3), 7, None])) for i in range(2_000)]
+    df = spark.createDataFrame(rows, "id long, g string, o long").repartition(4)
+    wanted = {"a": 300, "b": 0, None: 100_000}
+    first, rest = ordering.first_rows(df, [F.col("o")], ["id"], wanted, "g", sorted_rows)
+    key = lambda r: (r[2] is not None, r[2] or 0, r[0])
+    want = {r[0] for g, n in wanted.items() for r in sorted((r for r in rows if r[1] == g), key=key)[:n]}
+    assert sorted(r.id for r in first.collect()) == sorted(want)
+    assert sorted(r.id for r in rest.collect()) == sorted({r[0] for r in rows} - want)
+
+
+def test_negatives_are_not_sorted(spark):
+    df = spark.range(300_000).select("id", (F.col("id") % 10_000 == 5).cast("int").alias("y"))
+    out = splits.negative_subsample(df, "y", ["id"], ratio=3)
+    assert out.groupBy("y").count().orderBy("y").collect() == [(0, 90), (1, 30)]
+    h = F.xxhash64(F.lit(42), "id")
+    want = {r.id for r in df.where("y = 0").orderBy(h).limit(90).collect()}
+    assert {r.id for r in out.where("y = 0").collect()} == want
+    split = splits.stratified_split(df, "y", ["id"])
+    assert sorted(map(tuple, split.groupBy("y", "split").count().collect())) == [(0, "train", 269_973), (0, "val", 29_997), (1, "train", 27), (1, "val", 3)]
+    empty = splits.negative_subsample(df.limit(0), "y", ["id"])
+    assert empty.count() == 0 and splits.stratified_split(df.limit(0), "y", ["id"]).count() == 0

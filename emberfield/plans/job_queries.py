@@ -13,19 +13,27 @@ from emberfield.sources import sinks
 
 
 @query("job_hub_and_spoke", """
-SELECT 'input' AS kind, 'fire' AS name, count(*) AS rows FROM hot UNION ALL SELECT 'input', 'weather', count(*) FROM hot
-UNION ALL SELECT 'input', x, 0 FROM (VALUES ('vegetation'), ('topography'), ('infrastructure')) v(x)
-UNION ALL SELECT 'output', 'fire', count(*) FROM hot_in UNION ALL SELECT 'output', 'weather', count(*) FROM hot_in
-UNION ALL SELECT 'output', x, 0 FROM (VALUES ('vegetation'), ('topography'), ('infrastructure')) v(x)
+, spokes AS (SELECT unnest(['fire', 'weather', 'vegetation', 'topography', 'infrastructure']) AS name),
+all_of AS (SELECT name, k, satellite FROM hot, spokes), inside AS (SELECT name, k, satellite FROM hot_in, spokes)
+SELECT 'input' AS kind, name, count(*) AS rows FROM all_of WHERE CASE name WHEN 'vegetation' THEN k % 2 = 0 WHEN 'infrastructure' THEN satellite = 'click' ELSE true END GROUP BY name
+UNION ALL SELECT 'output', name, count(*) FROM inside WHERE CASE name WHEN 'vegetation' THEN k % 2 = 0 WHEN 'infrastructure' THEN satellite = 'click' ELSE true END GROUP BY name
 UNION ALL SELECT 'registry', 'location_ids', count(*) FROM loc UNION ALL SELECT 'registry', 'time_ids', count(*) FROM tim""", "loc tim")
 def job_hub_and_spoke(t: Tables):
-    """Two spokes from the detections; the files of the other three are missing and load as empty."""
+    """All five spokes, each a file derived from the detections: three with times, two without."""
     source, target = scratch_path(t.spark, "job-in"), scratch_path(t.spark, "job-out")
     place = [F.col("lat").alias("original_latitude"), F.col("lon").alias("original_longitude")]
-    k, stamp = F.col("k").cast("double"), F.col("ts").alias("datetime_record")
-    sinks.write_csv(t.hot.select(F.col("event_id").alias("incident_id"), *place, k.alias("confidence_score"), F.col("satellite").alias("source_system"), stamp), f"{source}/fire_sample.csv")
-    sinks.write_csv(t.hot.select(F.col("event_id").alias("weather_id"), *place, k.alias("temperature_c"), k.alias("wind_speed_kmh"), k.alias("relative_humidity"),
-                                 F.col("satellite").alias("source_system"), stamp), f"{source}/weather_sample.csv")
+    k, stamp, origin = F.col("k").cast("double"), F.col("ts").alias("datetime_record"), F.col("satellite").alias("source_system")
+    spokes = {
+        "fire": t.hot.select(F.col("event_id").alias("incident_id"), *place, k.alias("confidence_score"), origin, stamp),
+        "weather": t.hot.select(F.col("event_id").alias("weather_id"), *place, k.alias("temperature_c"), k.alias("wind_speed_kmh"), k.alias("relative_humidity"), origin, stamp),
+        "vegetation": t.hot.where("k % 2 = 0").select(
+            F.col("event_id").alias("veg_condition_id"), *place, (k / 10).alias("dryness_index"), (k / 100).alias("soil_moisture"), F.col("band").alias("vegetation_class"), origin, stamp),
+        "topography": t.hot.select(F.col("event_id").alias("topo_id"), *place, (k * 10).alias("elevation_m"), k.alias("slope_angle")),
+        "infrastructure": t.hot.where("satellite = 'click'").select(
+            F.col("event_id").alias("asset_id"), *place, F.concat(F.lit("asset "), F.col("event_id")).alias("facility_name"), F.col("band").alias("risk_category")),
+    }
+    for name, rows in spokes.items():
+        sinks.write_csv(rows, f"{source}/{name}_sample.csv")
     return jobs.load_hub_and_spoke(t.spark, source, target).withColumn("rows", F.col("rows").cast("bigint"))
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from emberfield import schemas
 from emberfield.functions import geometry, grid, time
-from emberfield.operators import ordering
+from emberfield.operators import hubs, ordering
 from emberfield.plans.bindings import Tables
 from emberfield.plans.registry import query, r6, rounded
 from emberfield.session import scratch_path
@@ -66,14 +66,16 @@ def read_combined_satellites(t: Tables):
     return out.groupBy("satellite", "confidence").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("read_firms_daily", "SELECT acq_date, satellite, count(*) AS n FROM hot WHERE acq_date >= DATE '2024-01-03' AND acq_date <= DATE '2024-01-20' GROUP BY 1,2", "hot")
+@query("read_firms_daily", "SELECT acq_date, satellite, count(*) AS n FROM hot GROUP BY 1,2", "hot")
 def read_firms_daily(t: Tables):
-    """One file per day of the year; the last day asked for has none and is passed over."""
+    """One file for every day there is, each year read whole; days without a file are passed over."""
     base = scratch_path(t.spark, "daily")
     rows = _archive_rows(t).drop("k")
-    for day in range(1, 21):
-        sinks.write_csv(rows.where(F.col("acq_date") == F.lit(dt.date(2024, 1, day))), f"{base}/2024/{day:03d}.csv")
-    return readers.read_firms_daily(t.spark, base, 2024, 3, 21).groupBy("acq_date", "satellite").agg(F.count(F.lit(1)).alias("n"))
+    days = [r[0] for r in rows.select("acq_date").distinct().collect()]  # one per day of the archive
+    for day in days:
+        sinks.write_csv(rows.where(F.col("acq_date") == F.lit(day)), f"{base}/{day.year}/{day.timetuple().tm_yday:03d}.csv")
+    years = [readers.read_firms_daily(t.spark, base, year, 1, 366) for year in sorted({d.year for d in days})]
+    return hubs.union_all(years).groupBy("acq_date", "satellite").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("read_year_chunks", "SELECT year(o_orderdate)::INT AS year, count(*) AS n, sum(o_orderkey)::BIGINT AS keys FROM orders GROUP BY 1")

@@ -24,6 +24,11 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def delete_table(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def _previous(path: str) -> str:
     return f"{path.rstrip('/')}.previous"
 
@@ -131,14 +136,17 @@ def append_new_by_key(
 def insert_new_incidents(batch: DataFrame, path: str, locate=None) -> dict[str, int]:
     """Append incidents whose id is unknown; ``locate`` adds ``location_id`` to the new ones only.
 
-    Ids alone decide, whatever their dates, so the ids of the whole table are compared.
+    Ids alone decide, whatever their dates. They are looked up in the table's ``IdIndex``: a load reads the buckets of its own
+    ids, not all that were ever stored.
     """
+    from emberfield.sources.idindex import IdIndex
+
     spark = batch.sparkSession
     schema = batch.schema if "location_id" in batch.columns else StructType([*batch.schema.fields, StructField("location_id", LongType())])
     batch = batch.persist()
     try:
         fetched = batch.count()
-        fresh = durable(new_by_key(batch, read_table(spark, path, schema), ["id"], ["updated"]))
+        fresh = durable(new_by_key(batch, IdIndex(spark, path).seen(batch), ["id"], ["updated"]))
     finally:
         batch.unpersist()
     located = locate(fresh) if locate else fresh.withColumn("location_id", F.lit(None).cast("bigint"))

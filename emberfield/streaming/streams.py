@@ -34,7 +34,7 @@ def _run(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], No
 def incident_stream(features: DataFrame, registry: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
     """Incident feed files: fire incidents, once per id, with the nearest registry cell, appended.
 
-    Ids are compared with all stored ones, so an incident is loaded however old it is.
+    Ids are looked up in the table's index, so an incident is loaded however old it is and a batch reads only its own buckets.
     """
     incidents = cleaning.fire_incident_filter(readers.flatten_features(features))
 
@@ -85,40 +85,53 @@ def hotspot_stream(
 
 
 def env_12h_stream(
-    rows: DataFrame, keys: list[str], ts: str, values: list[str], table: str, checkpoint: str, delay: dt.timedelta = dt.timedelta(hours=1)
+    rows: DataFrame, keys: list[str], ts: str, values: list[str], table: str, checkpoint: str, delay: dt.timedelta = dt.timedelta(hours=1),
+    latest: dt.datetime | None = None,
 ) -> StreamingQuery:
     """Half-day means, written when complete and written again when late rows come.
 
-    Each batch stores its sums and counts per key and half day, under its own number, so a
-    replay replaces them. A half day is complete once a row ``delay`` past its end has been
-    seen. The days a batch touches, and those that complete by it, are made again from
-    all stored sums, so no row is lost however late it is. ``table`` is partitioned by ``day``.
+    State is one row of sums and counts per key and half day, in partitions by day. A batch is merged into the
+    days it touches and reads no others; each day remembers the last batch merged into it, so a replay changes
+    nothing. A half day is complete once a row ``delay`` past its end has been seen; the last time seen is one stored row. The
+    days a batch touches, and those that complete by it, are written from their state, so no row is lost however
+    late it is. Rows after ``latest`` are summed but do not move that clock. ``table`` is partitioned by ``day``.
     """
-    sums = f"{table.rstrip('/')}-sums"
+    base = table.rstrip("/")
+    state_path, clock_path = f"{base}-state", f"{base}-clock"
     span = F.window(F.col(ts).cast("timestamp"), "12 hours")
+    group = [*keys, "interval_start", "interval_end", "day"]
 
     def each(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        known = F.col(ts) if latest is None else F.when(F.col(ts) <= F.lit(latest).cast(time.NTZ), F.col(ts))
         part = batch.groupBy(*keys, span.alias("_w")).agg(
-            F.max(ts).alias("last"), *[F.sum(v).alias(f"sum_{v}") for v in values], *[F.count(v).alias(f"n_{v}") for v in values]
+            F.max(known).alias("last"), *[F.sum(v).alias(f"sum_{v}") for v in values], *[F.count(v).alias(f"n_{v}") for v in values]
         ).select(
             "*", F.col("_w.start").cast(time.NTZ).alias("interval_start"), F.col("_w.end").cast(time.NTZ).alias("interval_end")
-        ).drop("_w").withColumns({"day": F.to_date("interval_start"), "batch": F.lit(batch_id)})
-        (part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch", "day").parquet(sums))
-        stored = spark.read.schema(part.schema).parquet(sums)
-        seen = stored.groupBy((F.col("batch") == batch_id).alias("now")).agg(F.max("last").alias("last")).collect()
-        newest = max((r["last"] for r in seen if r["last"]), default=None)
+        ).drop("_w").withColumns({"day": F.to_date("interval_start"), "batch": F.lit(batch_id).cast("bigint")})
+        part = durable(part)
+        newest = part.agg(F.max("last")).first()[0]
+        clock = sinks.read_table(spark, clock_path, "batch BIGINT, newest TIMESTAMP_NTZ, before TIMESTAMP_NTZ").first()
+        before = None if clock is None else clock.before if clock.batch == batch_id else clock.newest
+        newest = max((t for t in (newest, before) if t), default=None)
+        touched = sinks.present_values(part, "day")
+        schema = part.drop("last").schema
+        old = sinks.read_table(spark, state_path, schema).where(touched)
+        merged = old.groupBy("day").agg(F.max("batch").alias("_upto")).where(F.col("_upto") >= batch_id)
+        fresh = part.drop("last").join(merged, "day", "left_anti")
+        sums = old.unionByName(fresh).groupBy(*group).agg(
+            *[F.sum(c).alias(c) for v in values for c in (f"sum_{v}", f"n_{v}")], F.lit(batch_id).cast("bigint").alias("batch")
+        )
+        sinks.replace_partitions(durable(sums.select(*schema.names)), state_path, "day")
+        sinks.replace_table(spark.createDataFrame([(batch_id, newest, before)], "batch BIGINT, newest TIMESTAMP_NTZ, before TIMESTAMP_NTZ").coalesce(1), clock_path)
         if newest is None:
             return
-        before = max((r["last"] for r in seen if r["last"] and not r["now"]), default=None)
-        touched = [r[0] for r in stored.where(F.col("batch") == batch_id).select("day").distinct().collect()]
-        due = F.col("day").isin(touched)
+        due = touched
         if before is not None:
             due = due | F.col("day").between((before - delay - dt.timedelta(hours=12)).date(), newest.date())
-        whole = stored.where(due & (F.col("interval_end") <= F.lit(newest - delay).cast(time.NTZ))).groupBy(*keys, "interval_start", "interval_end", "day").agg(
-            *[(F.sum(f"sum_{v}") / F.sum(f"n_{v}")).alias(v) for v in values]
-        )
-        sinks.replace_partitions(whole.select(*keys, "interval_start", "interval_end", *values, "day"), table, "day")
+        whole = sinks.read_table(spark, state_path, schema).where(due & (F.col("interval_end") <= F.lit(newest - delay).cast(time.NTZ)))
+        means = [F.try_divide(F.col(f"sum_{v}"), F.col(f"n_{v}")).alias(v) for v in values]
+        sinks.replace_partitions(whole.select(*keys, "interval_start", "interval_end", *means, "day"), table, "day")
 
     return _run(rows, checkpoint, each)
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from emberfield import schemas
 from emberfield.operators import narratives, quality
 from emberfield.sources import readers, sinks
+from emberfield.sources.idindex import IdIndex
 from emberfield.streaming import streams
 
 
@@ -191,6 +192,60 @@ def test_half_day_means_take_late_rows(spark, tmp_path):
     assert got == {("a", "2024-01-01 00:00:00"): 2.0, ("b", "2023-12-01 00:00:00"): 9.0, ("a", "2024-01-02 12:00:00"): 5.0}
 
 
+def test_half_day_state_touches_its_days_only_and_survives_a_replay(spark, tmp_path):
+    head = "k,ts,v"
+    files = [f"{head}\na,2024-01-01 01:00:00,1\na,2024-01-02 13:30:00,5\n", f"{head}\na,2024-01-02 14:00:00,7\na,2099-01-01 00:00:00,1\n", f"{head}\na,2024-01-03 13:00:00,1\n"]
+    table, state = tmp_path / "means", tmp_path / "means-state"
+
+    def run():
+        stream = _stream_two(spark, tmp_path / "in", "k STRING, ts TIMESTAMP_NTZ, v DOUBLE", header="true")
+        streams.env_12h_stream(stream, ["k"], "ts", ["v"], str(table), str(tmp_path / "c"), latest=dt.datetime(2025, 1, 1)).awaitTermination()
+        return {(r.k, str(r.interval_start)): r.v for r in spark.read.parquet(str(table)).collect()}
+
+    def parts(day):
+        return sorted(p.name for p in (state / f"day={day}").glob("*.parquet"))
+
+    seen = []
+    for i, text in enumerate(files):
+        _in_order(tmp_path / "in", *files[: i + 1]) if not i else (tmp_path / "in" / f"9{i}.csv").write_text(text)
+        got = run()
+        seen.append((parts("2024-01-01"), parts("2024-01-02")))
+    assert seen[0][0] == seen[1][0] == seen[2][0] and seen[0][1] != seen[1][1] == seen[2][1]
+    # the far-off row is summed but ends no half day
+    want = {("a", "2024-01-01 00:00:00"): 1.0, ("a", "2024-01-02 12:00:00"): 6.0}
+    assert got == want
+    last = max(int(p.name) for p in (tmp_path / "c" / "commits").iterdir() if p.name.isdigit())
+    for p in (tmp_path / "c" / "commits").glob(f"*{last}*"):
+        p.unlink()
+    assert run() == want
+    assert spark.read.parquet(str(state)).where("day = '2024-01-03'").first().sum_v == 1.0
+
+
+def test_ids_are_looked_up_in_their_buckets(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = lambda ids, u="2024": spark.createDataFrame([(i, u) for i in ids], "id string, updated string")
+    first = sinks.insert_new_incidents(rows([str(i) for i in range(500)] + [None]), path)
+    assert (first["inserted"], first["skipped"]) == (501, 0)
+    index = IdIndex(spark, path)
+    seen = index.seen(rows(["7", "900"]))
+    assert [r.id for r in seen.collect()] == ["7"]
+    plan = seen._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan or "PartitionFilters: [bucket" in plan
+    assert "PushedFilters: [In(id, [7,900])]" in plan or "PushedFilters: [Or(EqualTo(id,7),EqualTo(id,900))]" in plan or "In(id" in plan
+    # without the ids themselves the buckets still bound what is read
+    all_of = index.seen(rows(["7", "900"]), most=0).select("id", F.input_file_name().alias("f")).collect()
+    assert "7" in {r.id for r in all_of} and len({r.f for r in all_of}) <= 2 and len(all_of) < 60
+    again = sinks.insert_new_incidents(rows(["7", "900", "900"], "2020"), path)
+    assert (again["inserted"], again["skipped"]) == (1, 2)
+    # a load that broke off before the index was written is made up for
+    rows(["1000"]).withColumn("location_id", F.lit(None).cast("long")).write.mode("append").parquet(path)
+    assert sinks.insert_new_incidents(rows(["1000", "1001"]), path)["inserted"] == 1
+    # a replaced table has its index built anew
+    sinks.replace_table(spark.read.parquet(path).where("id = '7'"), path)
+    assert sinks.insert_new_incidents(rows(["7", "8"]), path)["inserted"] == 1
+    assert sinks.insert_new_incidents(rows([]), path)["inserted"] == 0
+
+
 def test_snapshot_is_not_replaced_by_an_older_one(spark, tmp_path):
     src = tmp_path / "in"
     _in_order(src, json.dumps({"n": 2, "payload": _collection(4)}), json.dumps({"n": 1, "payload": _collection(2)}), suffix="json")

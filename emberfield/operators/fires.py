@@ -150,14 +150,14 @@ def cell_fire_stats(pairs: DataFrame, cell: str = "cell_id") -> DataFrame:
     return stats
 
 
-def stats_onto_grid(grid_cells: DataFrame, stats: DataFrame, cell: str = "cell_id") -> DataFrame:
-    """Every grid cell with its statistics; numbers cut to integers, no fire gives 0 and 'None'."""
+def stats_onto_grid(grid_cells: DataFrame, stats: DataFrame, cell: str = "cell_id", cut: bool = True) -> DataFrame:
+    """Every grid cell with its statistics; no fire gives 0 and 'None'. Numbers are cut to integers, unless ``cut`` is off."""
     numbers = [
         "fire_count", "total_area_burned_ha", "max_peak_frp", "total_cumulative_frp", "fires_detected", "fires_undetected",
     ]
     joined = grid_cells.join(stats, cell, "left")
     return joined.withColumns({
-        **{c: F.coalesce(F.col(c).cast("bigint"), F.lit(0).cast("bigint")) for c in numbers},
+        **{c: F.coalesce(F.col(c).cast("bigint") if cut else F.col(c), F.lit(0).cast("bigint" if cut else stats.schema[c].dataType)) for c in numbers},
         "dominant_season": F.coalesce("dominant_season", F.lit("None")),
         "avg_duration_days": F.round(F.coalesce("avg_duration_days", F.lit(0.0)), 2),
     })

@@ -49,10 +49,15 @@ def pass_datetime(cells: DataFrame) -> DataFrame:
     return dated.join(passes, keys)
 
 
-def time_since_prev_pass(cells: DataFrame) -> DataFrame:
-    """Seconds since the previous pass of any satellite, 0 for the first; ties follow the satellite."""
+def time_since_prev_pass(cells: DataFrame, per_satellite: bool = False) -> DataFrame:
+    """Seconds since the previous pass of any satellite, or of the same one, 0 for the first; ties follow the satellite."""
     passes = cells.select("pass_datetime", "satellite").distinct()
-    prev = previous_row(passes, ["pass_datetime", "satellite"], {"prev_pass_datetime": "pass_datetime"})
+    if per_satellite:
+        prev = previous_row(passes, ["satellite", "pass_datetime"], {"prev_pass_datetime": "pass_datetime", "_of": "satellite"})
+        same = F.col("_of").eqNullSafe(F.col("satellite"))
+        prev = prev.withColumn("prev_pass_datetime", F.when(same, F.col("prev_pass_datetime"))).drop("_of")
+    else:
+        prev = previous_row(passes, ["pass_datetime", "satellite"], {"prev_pass_datetime": "pass_datetime"})
     gap = time.seconds_between(F.col("prev_pass_datetime"), F.col("pass_datetime"))
     return cells.join(prev, ["pass_datetime", "satellite"], "left").withColumn(
         "time_since_prev_pass", F.coalesce(gap, F.lit(0.0))

@@ -162,6 +162,20 @@ f AS (SELECT *, row_number() OVER (PARTITION BY n, a, s ORDER BY src, line) AS r
 SELECT row_number() OVER (ORDER BY src, line) AS _id, trim(n) AS facility_name, a AS facility_address, s AS suburb, trim(l) AS lga
 FROM f WHERE rn = 1""")
 def dedupe_facilities(t: Tables):
+    return facilities.dedupe_facilities(_registers(t), ["line"]).select("_id", "facility_name", "facility_address", "suburb", "lga")
+
+
+@query("dedupe_facilities_trimmed", """
+, u AS (SELECT 0 AS src, c_custkey AS line, 'Hall ' || (c_custkey % 400)::VARCHAR AS n, 'Road ' || (c_custkey % 40)::VARCHAR AS a, 'Town ' || (c_custkey % 20)::VARCHAR AS s, c_mktsegment AS l FROM customer
+        UNION ALL SELECT 1, s_suppkey, 'Hall ' || (s_suppkey % 400)::VARCHAR, 'Road ' || (s_suppkey % 40)::VARCHAR, 'Town ' || (s_suppkey % 20)::VARCHAR, s_name FROM supplier),
+f AS (SELECT *, row_number() OVER (PARTITION BY n, a, s ORDER BY src, line) AS rn FROM u)
+SELECT row_number() OVER (ORDER BY src, line) AS _id, n AS facility_name, a AS facility_address, s AS suburb, l AS lga FROM f WHERE rn = 1""")
+def dedupe_facilities_trimmed(t: Tables):
+    """Copies that differ in blanks only are one facility."""
+    return facilities.dedupe_facilities(_registers(t), ["line"], trim_first=True).select("_id", "facility_name", "facility_address", "suburb", "lga")
+
+
+def _registers(t: Tables):
     def reg(df, k: str, extra, lga):
         key = F.col(k)
         return df.select(
@@ -171,7 +185,7 @@ def dedupe_facilities(t: Tables):
 
     a = reg(t.table("customer"), "c_custkey", lambda k: F.when(k % 2 == 0, " ").otherwise(""), F.concat("c_mktsegment", F.lit(" ")))
     b = reg(t.table("supplier"), "s_suppkey", lambda k: F.lit(""), F.col("s_name"))
-    return facilities.dedupe_facilities([a, b], ["line"]).select("_id", "facility_name", "facility_address", "suburb", "lga")
+    return [a, b]
 
 
 @query("env_coalesce_numeric", "SELECT event_id, k::DOUBLE AS k, bright_t31 FROM hot WHERE k % 10 <> 0 AND bright_t31 IS NOT NULL", "hot")

@@ -168,6 +168,17 @@ def stats_onto_grid(t: Tables):
     return _grid(t)
 
 
+@query("stats_onto_grid_uncut", _PAIRS + """
+SELECT gr.cell_id, coalesce(st.total_area_burned_ha, 0) AS total_area_burned_ha, coalesce(st.max_peak_frp, 0) AS max_peak_frp,
+  coalesce(st.total_cumulative_frp, 0) AS total_cumulative_frp FROM gr LEFT JOIN st ON st.cell_id = gr.cell_id""", "fire_det fires hot")
+def stats_onto_grid_uncut(t: Tables):
+    from emberfield.plans.join_queries import cells_of
+
+    cells = cells_of(t).select(F.concat_ws("_", F.col("x").cast("string"), F.col("y").cast("string")).alias("cell_id"))
+    whole = fires.stats_onto_grid(cells, fires.cell_fire_stats(_pairs(t)), cut=False)
+    return whole.select("cell_id", "total_area_burned_ha", "max_peak_frp", "total_cumulative_frp")
+
+
 @query("grid_fire_summary", _PAIRS + """
 SELECT count(*) AS cells, count(*) FILTER (fire_count > 0) AS cells_with_fires, sum(fire_count)::BIGINT AS total_fires,
  sum(total_area_burned_ha)::BIGINT AS total_area_ha, round(sum(fire_count)/count(*) FILTER (fire_count > 0),6) AS fires_per_burnt_cell,
@@ -240,6 +251,13 @@ def time_since_prev_pass(t: Tables):
     return satellite.time_since_prev_pass(_passes(t)).select("cell_x", "cell_y", "satellite", "pass_datetime", "time_since_prev_pass")
 
 
+@query("time_since_prev_pass_per_satellite", _SAT + """
+, own AS (SELECT pass_datetime, satellite, lag(pass_datetime) OVER (PARTITION BY satellite ORDER BY pass_datetime) AS mine FROM ps)
+SELECT cell_x, cell_y, satellite, pass_datetime, coalesce(epoch(pass_datetime - mine),0)::DOUBLE AS time_since_prev_pass FROM p JOIN own USING (pass_datetime, satellite)""", "hot")
+def time_since_prev_pass_per_satellite(t: Tables):
+    return satellite.time_since_prev_pass(_passes(t), per_satellite=True).select("cell_x", "cell_y", "satellite", "pass_datetime", "time_since_prev_pass")
+
+
 def _neigh(alias: str, table: str, r: int) -> str:
     return (f"(SELECT count(*) FROM p {alias} WHERE {alias}.pass_datetime = {table} AND abs({alias}.cell_x-p.cell_x) <= {r} "
             f"AND abs({alias}.cell_y-p.cell_y) <= {r})")

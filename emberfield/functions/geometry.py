@@ -50,7 +50,7 @@ def contains_point(rings: Column, x: Column, y: Column) -> Column:
     return edges_contain(all_edges(rings), x, y)
 
 
-def _edge_hits_box(e: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
+def edge_hits_box(e: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
     """Segment against closed box: the extents overlap and the box does not lie on one side of the line."""
     overlap = (
         (F.greatest(e["x1"], e["x2"]) >= x0) & (F.least(e["x1"], e["x2"]) <= x1)
@@ -63,7 +63,7 @@ def _edge_hits_box(e: Column, x0: Column, y0: Column, x1: Column, y1: Column) ->
 
 
 def edges_touch_box(edge_list: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
-    return F.coalesce(F.exists(edge_list, lambda e: _edge_hits_box(e, x0, y0, x1, y1)), F.lit(False))
+    return F.coalesce(F.exists(edge_list, lambda e: edge_hits_box(e, x0, y0, x1, y1)), F.lit(False))
 
 
 def edges_intersect_box(edge_list: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:

@@ -148,7 +148,7 @@ def generate_grid(boundaries: DataFrame, key: str, rings: str, cell: float) -> D
     ).alias("c")
     within = (F.col("col") >= 0) & (F.col("row") >= 0) & (F.col("col") < F.greatest("_cols", F.lit(1))) & (F.col("row") < F.greatest("_rows", F.lit(1)))
     x0, y0 = F.col("x0"), F.col("y0")
-    hit = geometry.edges_touch_box(F.col("_e"), x0, y0, x0 + size, y0 + size) | polygons.bucket_contains("c", x0 + size / 2, y0 + size / 2, cell)
+    hit = geometry.edges_touch_box(F.col("_e"), x0, y0, x0 + size, y0 + size) | polygons.bucket_contains("c", x0 + size / 2, y0 + size / 2)
     return placed.where(within & hit).select(key, "row", "col", "x0", "y0")
 
 

@@ -1,12 +1,12 @@
 """Joins between points, grid cells and polygons.
 
-A polygon is taken apart into its edges before anything else, so one outline of
-many edges is spread like many small ones. Each edge goes to the square buckets it
-touches and to the bucket rows whose lower line it crosses. From these crossings
-every bucket knows whether its lower right corner is inside; any other place in it
-is then settled by the edges of that bucket alone: walk from the corner up to the
-place's height, then left to the place, and count the edges crossed on the way.
-Candidate pairs come only from equal bucket keys.
+Shapes are stored once with a number each. One of few edges in few square buckets goes to these buckets as it is. Any
+other is taken apart into its edges, and only numbers and edges are shuffled: each edge goes to the buckets it touches and
+to the bucket rows whose lower line it crosses. From these crossings every bucket knows whether its lower right corner is
+inside; any other place in it is then settled by the edges of that bucket alone: walk from the corner up to the place's
+height, then left to the place, and count the edges crossed on the way. A bucket where the edges of one polygon crowd is
+divided into smaller ones, for all polygons and places in it alike, until few are left in each. Candidate pairs come only
+from equal bucket keys.
 """
 
 from __future__ import annotations
@@ -15,7 +15,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emberfield.functions import geometry
+from emberfield.session import durable, sized_broadcast
 
+_FEW_EDGES, _FEW_BUCKETS = 64, 16  # a shape within both goes to its buckets whole
+_CROWDED = 256  # edges of one polygon, beyond which a bucket is divided
+_PARTS = 8  # parts of a divided bucket along each side
+_LEVELS = 6  # divisions at most: edges that meet in one point can't be parted
+_EDGE = "struct<x1:double,y1:double,x2:double,y2:double>"
 _MARGIN = 0.9272952e-9  # of a bucket: puts corners where coordinates of data do not lie
 
 
@@ -32,12 +38,50 @@ def _corner(bx: Column, by: Column, size: float) -> tuple[Column, Column]:
     return (bx + 1) * F.lit(size) + _margin(size), by * F.lit(size) - _margin(size)
 
 
-def _edge_table(polys: DataFrame, rings: str) -> DataFrame:
-    """One row per edge: ``_pid`` of its polygon, the polygon's other columns ``_attrs``, its bounds ``_b`` and the edge ``_e``."""
+def _shapes(polys: DataFrame, rings: str) -> DataFrame:
+    """The polygons stored once: number ``_pid``, bounds ``_b``, rings ``_r`` and the other columns."""
     others = [c for c in polys.columns if c != rings]
-    attrs = F.struct(*others) if others else F.struct(F.lit(0).alias("_none"))
-    whole = polys.select(F.monotonically_increasing_id().alias("_pid"), attrs.alias("_attrs"), geometry.bounds(F.col(rings)).alias("_b"), F.col(rings).alias("_r"))
-    return whole.select("_pid", "_attrs", "_b", F.explode(geometry.all_edges(F.col("_r"))).alias("_e"))
+    return durable(polys.select(F.monotonically_increasing_id().alias("_pid"), geometry.bounds(F.col(rings)).alias("_b"), F.col(rings).alias("_r"), *others))
+
+
+def _attrs(shapes: DataFrame) -> Column:
+    return F.struct(F.lit(0).alias("_none"), *[c for c in shapes.columns if c not in ("_pid", "_b", "_r")]).alias("_attrs")
+
+
+def _edge_table(shapes: DataFrame) -> DataFrame:
+    """One row per edge ``_e`` with the number of its polygon."""
+    return shapes.select("_pid", F.explode(geometry.all_edges(F.col("_r"))).alias("_e"))
+
+
+def _few(size: float) -> Column:
+    """Whether a shape has few edges within few buckets."""
+    b, m = F.col("_b"), _margin(size) * 2
+    across, up = (_bucket(b[f"{c}1"] + m, size) - _bucket(b[f"{c}0"] - m, size) + 1 for c in "xy")
+    edges = F.aggregate("_r", F.lit(0), lambda n, ring: n + F.size(ring))
+    return F.coalesce((edges <= _FEW_EDGES) & (across * up <= _FEW_BUCKETS), F.lit(False))
+
+
+def _touching(edges: Column, bx: Column, by: Column, size: float) -> Column:
+    """The edges that touch a bucket, a margin included."""
+    m = _margin(size) * 2
+    x0, y0, x1, y1 = bx * F.lit(size) - m, by * F.lit(size) - m, (bx + 1) * F.lit(size) + m, (by + 1) * F.lit(size) + m
+    return F.filter(edges, lambda e: geometry.edge_hits_box(e, x0, y0, x1, y1))
+
+
+def _buckets_of(shapes: DataFrame, size: float) -> DataFrame:
+    """Shapes of few edges, all of them in ``_all``, in each bucket of their bounds."""
+    b, m = F.col("_b"), _margin(size) * 2
+    span = lambda c: F.explode(F.sequence(_bucket(b[f"{c}0"] - m, size), _bucket(b[f"{c}1"] + m, size)))
+    rows = shapes.select("_pid", "_b", _attrs(shapes), geometry.all_edges(F.col("_r")).alias("_all"))
+    return rows.select("*", span("x").alias("bx")).select("*", span("y").alias("by"))
+
+
+def _few_cells(shapes: DataFrame, size: float) -> DataFrame:
+    bx, by = F.col("bx"), F.col("by")
+    cx, cy = _corner(bx, by, size)
+    cells = _buckets_of(shapes, size).select(
+        "_pid", "bx", "by", _touching(F.col("_all"), bx, by, size).alias("_e"), geometry.edges_contain(F.col("_all"), cx, cy).alias("_in"), "_b", "_attrs")
+    return cells.where((F.size("_e") > 0) | F.col("_in"))
 
 
 def _local_edges(edges: DataFrame, size: float) -> DataFrame:
@@ -60,9 +104,9 @@ def _inner_buckets(edges: DataFrame, size: float) -> DataFrame:
     rows = edges.select("*", F.explode(F.sequence(_bucket(low + m, size), _bucket(high + m, size) + 1)).alias("by"))
     y = F.col("by") * F.lit(size) - m
     crossed = rows.where((e["y1"] > y) != (e["y2"] > y)).select(
-        "_pid", "_attrs", "_b", "by", (F.try_divide((e["x2"] - e["x1"]) * (y - e["y1"]), e["y2"] - e["y1"]) + e["x1"]).alias("_x")
+        "_pid", "by", (F.try_divide((e["x2"] - e["x1"]) * (y - e["y1"]), e["y2"] - e["y1"]) + e["x1"]).alias("_x")
     )
-    line = crossed.groupBy("_pid", "by").agg(F.sort_array(F.collect_list("_x")).alias("_xs"), F.first("_attrs").alias("_attrs"), F.first("_b").alias("_b"))
+    line = crossed.groupBy("_pid", "by").agg(F.sort_array(F.collect_list("_x")).alias("_xs"))
     pairs = line.select("*", F.explode(F.sequence(F.lit(0), F.floor(F.size("_xs") / 2).cast("int") - 1)).alias("_i"))
     span = pairs.select("*", F.get("_xs", F.col("_i") * 2).alias("_x0"), F.get("_xs", F.col("_i") * 2 + 1).alias("_x1"))
     cells = span.select("*", F.explode(F.sequence(_bucket(F.col("_x0"), size) - 2, _bucket(F.col("_x1"), size) + 1)).alias("bx"))
@@ -70,57 +114,162 @@ def _inner_buckets(edges: DataFrame, size: float) -> DataFrame:
     return cells.where((right >= F.col("_x0")) & (right < F.col("_x1")))
 
 
+def _gathered(edges: DataFrame, corners: DataFrame) -> DataFrame:
+    """A row per polygon and bucket from its edges there and from the buckets whose corner is inside."""
+    both = edges.select("_pid", "bx", "by", "_e", F.lit(False).alias("_in")).unionByName(
+        corners.select("_pid", "bx", "by", F.lit(None).cast(_EDGE).alias("_e"), F.lit(True).alias("_in")))
+    return both.groupBy("_pid", "bx", "by").agg(F.collect_list("_e").alias("_e"), F.max("_in").alias("_in"))
+
+
+def _described(cells: DataFrame, shapes: DataFrame) -> DataFrame:
+    return cells.join(shapes.select("_pid", "_b", _attrs(shapes)), "_pid")
+
+
+def _with_corner(cells: DataFrame, size: float) -> DataFrame:
+    cx, cy = _corner(F.col("bx"), F.col("by"), size)
+    return cells.withColumns({"_cx": cx, "_cy": cy})
+
+
 def polygon_cells(polys: DataFrame, rings: str, size: float) -> DataFrame:
     """A row per bucket the polygon touches or covers, with its columns except ``rings``.
 
     ``bx``, ``by``; ``_e`` the edges that touch the bucket; ``_in`` whether its lower right
-    corner is inside; ``inside`` if the polygon covers the whole bucket; ``_b`` the polygon's bounds.
+    corner (``_cx``, ``_cy``) is inside; ``inside`` if the polygon covers the whole bucket; ``_b`` the polygon's bounds.
     """
-    edges = _edge_table(polys, rings)
-    keys = ["_pid", "bx", "by", "_attrs", "_b"]
-    touched = _local_edges(edges, size).select(*keys, F.col("_e"), F.lit(False).alias("_in"))
-    covered = _inner_buckets(edges, size).select(*keys, F.lit(None).cast(touched.schema["_e"].dataType).alias("_e"), F.lit(True).alias("_in"))
-    cells = touched.unionByName(covered).groupBy("_pid", "bx", "by").agg(
-        F.collect_list("_e").alias("_e"), F.max("_in").alias("_in"), F.first("_attrs").alias("_attrs"), F.first("_b").alias("_b")
-    )
+    shapes = _shapes(polys, rings)
+    cells = _few_cells(shapes.where(_few(size)), size)
+    many = shapes.where(~_few(size))
+    if not many.isEmpty():
+        edges = _edge_table(many)
+        cells = cells.unionByName(_described(_gathered(_local_edges(edges, size), _inner_buckets(edges, size)), shapes))
     others = [c for c in polys.columns if c != rings]
-    return cells.select(*[F.col(f"_attrs.{c}").alias(c) for c in others], "_pid", "bx", "by", "_e", "_in", (F.col("_in") & (F.size("_e") == 0)).alias("inside"), "_b")
+    whole = (F.col("_in") & (F.size("_e") == 0)).alias("inside")
+    return _with_corner(cells, size).select(*[F.col("_attrs")[c].alias(c) for c in others], "_pid", "bx", "by", "_e", "_in", whole, "_b", "_cx", "_cy")
+
+
+def _crossings(e: Column, px: Column, py: Column, cx: Column, cy: Column) -> Column:
+    """How often the way from a corner up and then left to a place crosses the edge."""
+    x = F.try_divide((e["x2"] - e["x1"]) * (py - e["y1"]), e["y2"] - e["y1"]) + e["x1"]
+    y = F.try_divide((e["y2"] - e["y1"]) * (cx - e["x1"]), e["x2"] - e["x1"]) + e["y1"]
+    left = ((e["y1"] > py) != (e["y2"] > py)) & (x > px) & (x <= cx)
+    up = ((e["x1"] > cx) != (e["x2"] > cx)) & (y > cy) & (y <= py)
+    return F.when(left, 1).otherwise(0) + F.when(up, 1).otherwise(0)
+
 
+def _contains(edges: Column, corner_in: Column, px: Column, py: Column, cx: Column, cy: Column) -> Column:
+    count = F.aggregate(edges, F.lit(0), lambda n, e: n + _crossings(e, px, py, cx, cy))
+    return F.when(F.size(edges) == 0, corner_in).otherwise((corner_in.cast("int") + count) % 2 == 1)
 
-def bucket_contains(cell: str, px: Column, py: Column, size: float) -> Column:
+
+def bucket_contains(cell: str, px: Column, py: Column) -> Column:
     """Whether a place of the bucket is inside, from the bucket's corner and edges."""
-    edges = F.col(f"{cell}._e")
-    cx, cy = _corner(F.col(f"{cell}.bx"), F.col(f"{cell}.by"), size)
+    c = {n: F.col(f"{cell}.{n}") for n in ("_e", "_in", "_cx", "_cy")}
+    return _contains(c["_e"], c["_in"], px, py, c["_cx"], c["_cy"])
+
+
+def _children(rows: DataFrame) -> DataFrame:
+    """Each row in all parts of its bucket; the bucket itself stays as ``_px``, ``_py``."""
+    parts = [F.explode(F.sequence(F.lit(0), F.lit(_PARTS - 1))).alias(c) for c in ("_i", "_j")]
+    named = rows.withColumnsRenamed({"bx": "_px", "by": "_py"}).select("*", parts[0]).select("*", parts[1])
+    return named.withColumns({"bx": F.col("_px") * _PARTS + F.col("_i"), "by": F.col("_py") * _PARTS + F.col("_j")}).drop("_i", "_j")
+
 
-    def crossed(e: Column) -> Column:
-        x = F.try_divide((e["x2"] - e["x1"]) * (py - e["y1"]), e["y2"] - e["y1"]) + e["x1"]
-        y = F.try_divide((e["y2"] - e["y1"]) * (cx - e["x1"]), e["x2"] - e["x1"]) + e["y1"]
-        left = ((e["y1"] > py) != (e["y2"] > py)) & (x > px) & (x <= cx)
-        up = ((e["x1"] > cx) != (e["x2"] > cx)) & (y > cy) & (y <= py)
-        return F.when(left, 1).otherwise(0) + F.when(up, 1).otherwise(0)
+def _divided_cells(cells: DataFrame, size: float) -> DataFrame:
+    """Cells of few edges, one row each, in the parts of their bucket."""
+    part, bx, by = size / _PARTS, F.col("bx"), F.col("by")
+    kids = _children(cells)
+    inside = _contains(F.col("_e"), F.col("_in"), *_corner(bx, by, part), *_corner(F.col("_px"), F.col("_py"), size))
+    out = kids.select("_pid", "bx", "by", _touching(F.col("_e"), bx, by, part).alias("_e"), inside.alias("_in"), "_b", "_attrs")
+    return out.where((F.size("_e") > 0) | F.col("_in"))
 
-    count = F.aggregate(edges, F.lit(0), lambda acc, e: acc + crossed(e))
-    return F.when(F.size(edges) == 0, F.col(f"{cell}._in")).otherwise((F.col(f"{cell}._in").cast("int") + count) % 2 == 1)
 
+def _divided_edges(edges: DataFrame, corners: DataFrame, size: float) -> tuple[DataFrame, DataFrame]:
+    """Edges in the parts of their bucket that they touch, and the parts whose corner is inside."""
+    part, bx, by = size / _PARTS, F.col("bx"), F.col("by")
+    spread = _local_edges(edges.withColumnsRenamed({"bx": "_px", "by": "_py"}), part)
+    own = (F.floor(bx / _PARTS) == F.col("_px")) & (F.floor(by / _PARTS) == F.col("_py"))
+    kids = _children(edges)
+    odd = _crossings(F.col("_e"), *_corner(bx, by, part), *_corner(F.col("_px"), F.col("_py"), size)) == 1
+    turns = kids.where(odd).select("_pid", "bx", "by").unionByName(_children(corners).select("_pid", "bx", "by"))
+    inside = turns.groupBy("_pid", "bx", "by").count().where("count % 2 = 1")
+    return spread.where(own).select("_pid", "bx", "by", "_e"), inside.select("_pid", "bx", "by")
 
-def with_bucket(points: DataFrame, x: str, y: str, size: float) -> DataFrame:
-    return points.withColumns({"bx": _bucket(F.col(x), size), "by": _bucket(F.col(y), size)})
+
+def _leaves(shapes: DataFrame, size: float) -> tuple[DataFrame, list[DataFrame]]:
+    """Cells of all polygons with their level ``lv``, and per level the buckets that were divided.
+
+    No cell holds more than ``_CROWDED`` edges, unless they can't be parted by ``_LEVELS`` divisions.
+    """
+    few = _few_cells(shapes.where(_few(size)), size)
+    many = shapes.where(~_few(size))
+    done, divided = [], []
+    if many.isEmpty():
+        return _with_corner(few, size).withColumn("lv", F.lit(0)), divided
+    whole = _edge_table(many)
+    edges, corners = durable(_local_edges(whole, size).select("_pid", "bx", "by", "_e")), durable(_inner_buckets(whole, size).select("_pid", "bx", "by"))
+
+    def finish(cells: DataFrame) -> None:
+        done.append(_with_corner(cells, size).withColumn("lv", F.lit(len(divided))))
+
+    while len(divided) < _LEVELS:
+        crowded = durable(edges.groupBy("_pid", "bx", "by").count().where(F.col("count") > _CROWDED).select("bx", "by").distinct())
+        if crowded.isEmpty():
+            break
+        here = sized_broadcast(crowded)
+        apart = lambda df, how: df.join(here, ["bx", "by"], how)  # noqa: B023, E731
+        finish(_described(_gathered(apart(edges, "left_anti"), apart(corners, "left_anti")), shapes))
+        finish(apart(few, "left_anti"))
+        few = _divided_cells(apart(few, "left_semi"), size)
+        edges, corners = (durable(df) for df in _divided_edges(apart(edges, "left_semi"), apart(corners, "left_semi"), size))
+        divided.append(crowded)
+        size = size / _PARTS
+    finish(_described(_gathered(edges, corners), shapes))
+    finish(few)
+    cells = done[0]
+    for more in done[1:]:
+        cells = cells.unionByName(more)
+    return cells, divided
+
+
+def _to_leaves(rows: DataFrame, divided: list[DataFrame], size: float, box: tuple[Column, Column, Column, Column]) -> DataFrame:
+    """Rows with a bucket ``_bx``, ``_by`` in the parts of it that their box meets, level by level; ``_lv``."""
+    x0, y0, x1, y1 = box
+    out = rows.withColumn("_lv", F.lit(0))
+    for level, crowded in enumerate(divided):
+        size = size / _PARTS
+        mark = sized_broadcast(crowded.select(F.lit(level).alias("_lv"), F.col("bx").alias("_bx"), F.col("by").alias("_by"), F.lit(True).alias("_split")))
+
+        def parts(c: str, low: Column, high: Column) -> Column:
+            first, last = F.col(c) * _PARTS, F.col(c) * _PARTS + (_PARTS - 1)
+            met = F.sequence(F.greatest(_bucket(low, size), first), F.least(_bucket(high, size), last))  # noqa: B023
+            return F.explode(F.when(F.col("_split"), met).otherwise(F.array(c))).alias(c)
+
+        marked = out.join(mark, ["_lv", "_bx", "_by"], "left")
+        keep = [F.col(f"`{c}`") for c in out.columns if c not in ("_lv", "_bx", "_by")]
+        over = marked.select(*keep, "_lv", "_split", "_by", parts("_bx", x0, x1)).select(*keep, "_lv", "_split", "_bx", parts("_by", y0, y1))
+        out = over.select(*keep, "_bx", "_by", F.when(F.col("_split"), level + 1).otherwise(F.col("_lv")).alias("_lv"))
+    return out
+
+
+def _meets(row: str, cell: str) -> Column:
+    return (F.col(f"{row}._lv") == F.col(f"{cell}.lv")) & (F.col(f"{row}._bx") == F.col(f"{cell}.bx")) & (F.col(f"{row}._by") == F.col(f"{cell}.by"))
 
 
 def points_in_polygons(
     points: DataFrame, polys: DataFrame, x: str, y: str, rings: str, size: float, how: str = "inner"
 ) -> DataFrame:
     """Point rows with the columns of every polygon holding them; ``how`` inner, left, left_semi."""
-    cells = polygon_cells(polys, rings, size)
-    pts = with_bucket(points, x, y, size)
+    cells, divided = _leaves(_shapes(polys, rings), size)
+    at = F.col(x), F.col(y)
+    pts = _to_leaves(points.withColumns({"_bx": _bucket(at[0], size), "_by": _bucket(at[1], size)}), divided, size, (*at, *at))
     p, c = pts.alias("p"), cells.alias("c")
     px, py, b = F.col(f"p.{x}"), F.col(f"p.{y}"), F.col("c._b")
     in_bounds = (px >= b["x0"]) & (px <= b["x1"]) & (py >= b["y0"]) & (py <= b["y1"])
-    on = (F.col("p.bx") == F.col("c.bx")) & (F.col("p.by") == F.col("c.by")) & in_bounds & bucket_contains("c", px, py, size)
-    joined = p.join(c, on, how)
+    joined = p.join(c, _meets("p", "c") & in_bounds & bucket_contains("c", px, py), how)
+    own = [F.col(f"p.{n}") for n in points.columns]
     if how == "left_semi":
-        return joined.drop("bx", "by")
-    return joined.select("p.*", *[F.col(f"c.{n}") for n in polys.columns if n != rings]).drop("bx", "by")
+        return joined.select(*own)
+    return joined.select(*own, *[F.col("c._attrs")[n].alias(n) for n in polys.columns if n != rings])
 
 
 def boxes_intersect_polygons(
@@ -128,26 +277,36 @@ def boxes_intersect_polygons(
 ) -> DataFrame:
     """Boxes (west, south, east, north) against polygons, sharing at least one point.
 
-    A pair meets in every bucket where an edge crosses the box, and where the box's
-    centre lies; it is returned once. Equal boxes stay separate rows.
+    With a shape of few edges a pair is settled in one bucket, where the overlap of their
+    bounds begins. With any other it meets in every bucket where an edge crosses the box, and
+    where the box's centre lies; it is returned once. Equal boxes stay separate rows.
     """
-    w, s, e, n = box_cols
-    b = boxes.select(F.monotonically_increasing_id().alias("_bid"), F.struct(*boxes.columns).alias("_box"))
+    shapes = _shapes(polys, rings)
+    few, many = shapes.where(_few(size)), shapes.where(~_few(size))
     x0, y0, x1, y1 = (F.col(f"_box.{c}") for c in box_cols)
-    b = b.select("*", F.explode(F.sequence(_bucket(x0, size), _bucket(x1, size))).alias("bx"))
-    b = b.select("*", F.explode(F.sequence(_bucket(y0, size), _bucket(y1, size))).alias("by")).alias("b")
-    c = polygon_cells(polys, rings, size).alias("c")
-    mx, my = (x0 + x1) / 2, (y0 + y1) / 2
+    numbered = boxes.select(F.monotonically_increasing_id().alias("_bid"), F.struct(*boxes.columns).alias("_box"))
+    large = not many.isEmpty()
+    numbered = durable(numbered) if large else numbered
+    b = numbered.select("*", F.explode(F.sequence(_bucket(x0, size), _bucket(x1, size))).alias("_bx"))
+    b = b.select("*", F.explode(F.sequence(_bucket(y0, size), _bucket(y1, size))).alias("_by"))
     pb = F.col("c._b")
     overlap = (pb["x0"] <= x1) & (pb["x1"] >= x0) & (pb["y0"] <= y1) & (pb["y1"] >= y0)
-    centre = (_bucket(mx, size) == F.col("b.bx")) & (_bucket(my, size) == F.col("b.by")) & bucket_contains("c", mx, my, size)
-    hit = overlap & (centre | geometry.edges_touch_box(F.col("c._e"), x0, y0, x1, y1))
-    found = b.join(c, (F.col("b.bx") == F.col("c.bx")) & (F.col("b.by") == F.col("c.by")) & hit)
+    first = (F.col("_bx") == _bucket(F.greatest(x0, pb["x0"]), size)) & (F.col("_by") == _bucket(F.greatest(y0, pb["y0"]), size))
+    hit = overlap & first & geometry.edges_intersect_box(F.col("c._all"), x0, y0, x1, y1)
+    found = b.alias("b").join(_buckets_of(few, size).alias("c"), (F.col("_bx") == F.col("bx")) & (F.col("_by") == F.col("by")) & hit)
+    pairs = found.select("b._bid", "b._box", "c._attrs")
+    if large:
+        cells, divided = _leaves(many, size)
+        leaf = _to_leaves(b, divided, size, (x0, y0, x1, y1))
+        mx, my = (x0 + x1) / 2, (y0 + y1) / 2
+        side = F.lit(size) / F.pow(F.lit(float(_PARTS)), F.col("lv"))
+        centre = (F.floor(mx / side) == F.col("bx")) & (F.floor(my / side) == F.col("by")) & bucket_contains("c", mx, my)
+        hit = overlap & (centre | geometry.edges_touch_box(F.col("c._e"), x0, y0, x1, y1))
+        once = leaf.alias("b").join(cells.alias("c"), _meets("b", "c") & hit).select("_bid", "_pid").distinct()
+        pairs = pairs.unionByName(once.join(numbered, "_bid").join(shapes.select("_pid", _attrs(shapes)), "_pid").select("_bid", "_box", "_attrs"))
     if how == "left_semi":
-        return found.groupBy("b._bid").agg(F.first("b._box").alias("_box")).select("_box.*")
-    others = [x for x in polys.columns if x != rings]
-    one = found.groupBy("b._bid", "c._pid").agg(F.first("b._box").alias("_box"), F.first(F.struct(F.lit(0).alias("_none"), *[F.col(f"c.{x}") for x in others])).alias("_p"))
-    return one.select("_box.*", *[F.col(f"_p.{x}") for x in others])
+        return pairs.groupBy("_bid").agg(F.first("_box").alias("_box")).select("_box.*")
+    return pairs.select("_box.*", *[F.col("_attrs")[x].alias(x) for x in polys.columns if x != rings])
 
 
 def centroid_in_cell(df: DataFrame, rings: str, size: float, origin: tuple[float, float] = (0.0, 0.0)) -> DataFrame:
@@ -189,7 +348,7 @@ def clip_cells(
     edge that crosses the top changes it. So every edge counts where it is, and no
     outline is held as a whole.
     """
-    edges = _edge_table(boundary, rings)
+    edges = _edge_table(_shapes(boundary, rings))
     area2 = lambda e: e["x1"] * e["y2"] - e["x2"] * e["y1"]
     turn = edges.groupBy("_pid").agg(F.signum(F.sum(area2(F.col("_e")))).alias("_turn"))  # one row per boundary piece
     oriented = edges.join(turn, "_pid").withColumn("_e", F.when(F.col("_turn") < 0, F.struct(

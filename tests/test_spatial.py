@@ -110,6 +110,62 @@ def test_point_in_polygon_matches_brute_force(spark):
     assert left.where("pid is null").count() == len(pts) - len({i for i, _ in want})
 
 
+def _wavy(n, cx, cy, radius, seed):
+    """A closed outline of n short edges, star-shaped around a centre: its angles and radii, and the ring."""
+    angle = np.linspace(0, 2 * np.pi, n, endpoint=False)
+    r = radius * (1 + 0.2 * np.sin(7 * angle)) + np.random.default_rng(seed).uniform(0, radius * 1e-4, n)
+    x, y = cx + r * np.cos(angle), cy + r * np.sin(angle)
+    ring = [(float(a), float(b)) for a, b in zip(x, y)]
+    return x, y, [*ring, ring[0]]
+
+
+def _inside_star(x, y, cx, cy, px, py):
+    """The edge in a place's direction tells whether it is inside."""
+    n = len(x)
+    i = (np.floor(np.arctan2(py - cy, px - cx) % (2 * np.pi) / (2 * np.pi) * n).astype(int)) % n
+    j = (i + 1) % n
+    return (x[j] - x[i]) * (py - y[i]) - (y[j] - y[i]) * (px - x[i]) > 0
+
+
+def test_crowded_bucket_is_divided(spark):
+    """200,000 edges and 100,000 points in one bucket, small shapes beside them and a wide one over it."""
+    x, y, ring = _wavy(200_000, 0.5, 0.5, 0.3, 7)
+    small = [[(0.1 * i, 0.1 * i), (0.1 * i + 0.05, 0.1 * i), (0.1 * i + 0.05, 0.1 * i + 0.05), (0.1 * i, 0.1 * i)] for i in range(8)]
+    wide = [(-9.0, -9.0), (9.0, -9.0), (9.0, 0.55), (-9.0, 0.55), (-9.0, -9.0)]
+    polys = spark.createDataFrame([(i, [r]) for i, r in enumerate([ring, wide, *small])], f"pid int, rings {geometry.RINGS}")
+    rng = np.random.default_rng(8)
+    near = rng.integers(0, len(x), 50_000)
+    px = np.r_[rng.uniform(0, 1, 50_000), x[near] + rng.normal(0, 1e-3, 50_000)]
+    py = np.r_[rng.uniform(0, 1, 50_000), y[near] + rng.normal(0, 1e-3, 50_000)]
+    points = spark.createDataFrame(pd.DataFrame({"id": np.arange(len(px)), "x": px, "y": py})).repartition(8)
+    cells, divided = polygons._leaves(polygons._shapes(polys, "rings"), 1.0)
+    assert divided and cells.agg(F.max(F.size("_e"))).first()[0] <= 256
+    got = polygons.points_in_polygons(points, polys, "x", "y", "rings", 1.0).select("id", "pid").toPandas()
+    assert not got.duplicated().any()
+    want = {0: np.flatnonzero(_inside_star(x, y, 0.5, 0.5, px, py)), 1: np.flatnonzero(py < 0.55)}
+    want |= {i + 2: np.flatnonzero(_inside([{"x": a, "y": b} for a, b in r], px, py)) for i, r in enumerate(small)}
+    for pid, ids in want.items():
+        assert np.array_equal(np.sort(got.id[got.pid == pid]), ids), pid
+    left = polygons.points_in_polygons(points, polys.where("pid = 0"), "x", "y", "rings", 1.0, "left")
+    assert left.agg(F.count("*"), F.count("pid")).first() == (len(px), len(want[0]))
+    assert polygons.points_in_polygons(points, polys.where("pid = 0"), "x", "y", "rings", 1.0, "left_semi").count() == len(want[0])
+
+
+def test_boxes_in_a_crowded_bucket(spark):
+    """Boxes of several sizes against an outline of 3,000 edges and small shapes, by brute force."""
+    x, y, ring = _wavy(3_000, 0.5, 0.5, 0.3, 9)
+    small = [[(0.2 * i, 0.0), (0.2 * i + 0.1, 0.0), (0.2 * i + 0.1, 0.2), (0.2 * i, 0.2), (0.2 * i, 0.0)] for i in range(5)]
+    polys = spark.createDataFrame([(i, [r]) for i, r in enumerate([ring, *small])], f"pid int, rings {geometry.RINGS}")
+    rng = np.random.default_rng(10)
+    corner, side = rng.uniform(-0.5, 1.2, (300, 2)), rng.choice([0.001, 0.02, 0.3, 2.5], (300, 2))
+    boxes = pd.DataFrame({"id": np.arange(300), "w": corner[:, 0], "s": corner[:, 1], "e": corner[:, 0] + side[:, 0], "n": corner[:, 1] + side[:, 1]})
+    got = polygons.boxes_intersect_polygons(spark.createDataFrame(boxes), polys, ("w", "s", "e", "n"), "rings", 1.0).select("id", "pid").toPandas()
+    assert not got.duplicated().any()
+    table = spark.createDataFrame(boxes).crossJoin(polys).where(geometry.intersects_box(F.col("rings"), F.col("w"), F.col("s"), F.col("e"), F.col("n")))
+    want = {(r.id, r.pid) for r in table.select("id", "pid").collect()}
+    assert {(int(a), int(b)) for a, b in got.to_numpy()} == want
+
+
 def test_clip_cells(spark):
     ring = [{"x": 0.5, "y": 0.5}, {"x": 2.5, "y": 0.5}, {"x": 2.5, "y": 1.5}, {"x": 0.5, "y": 1.5}, {"x": 0.5, "y": 0.5}]
     boundary = spark.createDataFrame([([ring],)], f"rings {geometry.RINGS}")

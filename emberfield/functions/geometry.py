@@ -76,8 +76,8 @@ def intersects_box(rings: Column, x0: Column, y0: Column, x1: Column, y1: Column
 
 
 def bounds(rings: Column) -> Column:
-    xs = F.transform(F.flatten(rings), lambda p: p["x"])
-    ys = F.transform(F.flatten(rings), lambda p: p["y"])
+    points = F.flatten(rings)
+    xs, ys = points["x"], points["y"]
     return F.struct(
         F.array_min(xs).alias("x0"), F.array_min(ys).alias("y0"),
         F.array_max(xs).alias("x1"), F.array_max(ys).alias("y1"),

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emberfield.functions import geometry
-from emberfield.session import durable, sized_broadcast
+from emberfield.session import data_partitions, durable, sized_broadcast
 
 _FEW_EDGES, _FEW_BUCKETS = 64, 16  # a shape within both goes to its buckets whole
 _CROWDED = 256  # edges of one polygon, beyond which a bucket is divided
@@ -38,10 +38,18 @@ def _corner(bx: Column, by: Column, size: float) -> tuple[Column, Column]:
     return (bx + 1) * F.lit(size) + _margin(size), by * F.lit(size) - _margin(size)
 
 
-def _shapes(polys: DataFrame, rings: str) -> DataFrame:
-    """The polygons stored once: number ``_pid``, bounds ``_b``, rings ``_r`` and the other columns."""
+def _shapes(polys: DataFrame, rings: str, size: float) -> tuple[DataFrame, DataFrame | None]:
+    """Shapes of few edges in few buckets, and the others, if any: number ``_pid``, bounds ``_b``, rings ``_r`` and the other columns.
+
+    Only the others are stored: what is made of their edges meets again by the number.
+    """
+    dealt = polys.repartition(data_partitions(polys))  # one file of many shapes is not one task
     others = [c for c in polys.columns if c != rings]
-    return durable(polys.select(F.monotonically_increasing_id().alias("_pid"), geometry.bounds(F.col(rings)).alias("_b"), F.col(rings).alias("_r"), *others))
+    shapes = dealt.select(F.monotonically_increasing_id().alias("_pid"), geometry.bounds(F.col(rings)).alias("_b"), F.col(rings).alias("_r"), *others)
+    shapes, few = shapes.where(F.col("_b.x0").isNotNull()), _few(size)
+    if shapes.agg(F.every(few).alias("all")).first()["all"] is not False:
+        return shapes.where(few), None
+    return shapes.where(few), durable(shapes.where(~few))
 
 
 def _attrs(shapes: DataFrame) -> Column:
@@ -57,8 +65,7 @@ def _few(size: float) -> Column:
     """Whether a shape has few edges within few buckets."""
     b, m = F.col("_b"), _margin(size) * 2
     across, up = (_bucket(b[f"{c}1"] + m, size) - _bucket(b[f"{c}0"] - m, size) + 1 for c in "xy")
-    edges = F.aggregate("_r", F.lit(0), lambda n, ring: n + F.size(ring))
-    return F.coalesce((edges <= _FEW_EDGES) & (across * up <= _FEW_BUCKETS), F.lit(False))
+    return (F.size(F.flatten("_r")) <= _FEW_EDGES) & (across * up <= _FEW_BUCKETS)
 
 
 def _touching(edges: Column, bx: Column, by: Column, size: float) -> Column:
@@ -136,12 +143,11 @@ def polygon_cells(polys: DataFrame, rings: str, size: float) -> DataFrame:
     ``bx``, ``by``; ``_e`` the edges that touch the bucket; ``_in`` whether its lower right
     corner (``_cx``, ``_cy``) is inside; ``inside`` if the polygon covers the whole bucket; ``_b`` the polygon's bounds.
     """
-    shapes = _shapes(polys, rings)
-    cells = _few_cells(shapes.where(_few(size)), size)
-    many = shapes.where(~_few(size))
-    if not many.isEmpty():
+    few, many = _shapes(polys, rings, size)
+    cells = _few_cells(few, size)
+    if many:
         edges = _edge_table(many)
-        cells = cells.unionByName(_described(_gathered(_local_edges(edges, size), _inner_buckets(edges, size)), shapes))
+        cells = cells.unionByName(_described(_gathered(_local_edges(edges, size), _inner_buckets(edges, size)), many))
     others = [c for c in polys.columns if c != rings]
     whole = (F.col("_in") & (F.size("_e") == 0)).alias("inside")
     return _with_corner(cells, size).select(*[F.col("_attrs")[c].alias(c) for c in others], "_pid", "bx", "by", "_e", "_in", whole, "_b", "_cx", "_cy")
@@ -174,15 +180,6 @@ def _children(rows: DataFrame) -> DataFrame:
     return named.withColumns({"bx": F.col("_px") * _PARTS + F.col("_i"), "by": F.col("_py") * _PARTS + F.col("_j")}).drop("_i", "_j")
 
 
-def _divided_cells(cells: DataFrame, size: float) -> DataFrame:
-    """Cells of few edges, one row each, in the parts of their bucket."""
-    part, bx, by = size / _PARTS, F.col("bx"), F.col("by")
-    kids = _children(cells)
-    inside = _contains(F.col("_e"), F.col("_in"), *_corner(bx, by, part), *_corner(F.col("_px"), F.col("_py"), size))
-    out = kids.select("_pid", "bx", "by", _touching(F.col("_e"), bx, by, part).alias("_e"), inside.alias("_in"), "_b", "_attrs")
-    return out.where((F.size("_e") > 0) | F.col("_in"))
-
-
 def _divided_edges(edges: DataFrame, corners: DataFrame, size: float) -> tuple[DataFrame, DataFrame]:
     """Edges in the parts of their bucket that they touch, and the parts whose corner is inside."""
     part, bx, by = size / _PARTS, F.col("bx"), F.col("by")
@@ -195,38 +192,37 @@ def _divided_edges(edges: DataFrame, corners: DataFrame, size: float) -> tuple[D
     return spread.where(own).select("_pid", "bx", "by", "_e"), inside.select("_pid", "bx", "by")
 
 
-def _leaves(shapes: DataFrame, size: float) -> tuple[DataFrame, list[DataFrame]]:
+def _leaves(few: DataFrame, many: DataFrame | None, size: float) -> tuple[DataFrame, list[DataFrame]]:
     """Cells of all polygons with their level ``lv``, and per level the buckets that were divided.
 
-    No cell holds more than ``_CROWDED`` edges, unless they can't be parted by ``_LEVELS`` divisions.
+    A shape of few edges stands whole in its cells, with ``_in`` unknown. No other cell holds more
+    than ``_CROWDED`` edges, unless they can't be parted by ``_LEVELS`` divisions.
     """
-    few = _few_cells(shapes.where(_few(size)), size)
-    many = shapes.where(~_few(size))
-    done, divided = [], []
-    if many.isEmpty():
-        return _with_corner(few, size).withColumn("lv", F.lit(0)), divided
-    whole = _edge_table(many)
-    edges, corners = durable(_local_edges(whole, size).select("_pid", "bx", "by", "_e")), durable(_inner_buckets(whole, size).select("_pid", "bx", "by"))
-
-    def finish(cells: DataFrame) -> None:
-        done.append(_with_corner(cells, size).withColumn("lv", F.lit(len(divided))))
-
-    while len(divided) < _LEVELS:
-        crowded = durable(edges.groupBy("_pid", "bx", "by").count().where(F.col("count") > _CROWDED).select("bx", "by").distinct())
-        if crowded.isEmpty():
-            break
-        here = sized_broadcast(crowded)
-        apart = lambda df, how: df.join(here, ["bx", "by"], how)  # noqa: B023, E731
-        finish(_described(_gathered(apart(edges, "left_anti"), apart(corners, "left_anti")), shapes))
-        finish(apart(few, "left_anti"))
-        few = _divided_cells(apart(few, "left_semi"), size)
-        edges, corners = (durable(df) for df in _divided_edges(apart(edges, "left_semi"), apart(corners, "left_semi"), size))
-        divided.append(crowded)
-        size = size / _PARTS
-    finish(_described(_gathered(edges, corners), shapes))
-    finish(few)
-    cells = done[0]
-    for more in done[1:]:
+    done, divided, whole_size = [], [], size
+    if many:
+        outline = _edge_table(many)
+        edges, corners = durable(_local_edges(outline, size).select("_pid", "bx", "by", "_e")), durable(_inner_buckets(outline, size).select("_pid", "bx", "by"))
+
+        def finish(e: DataFrame, c: DataFrame) -> None:
+            done.append(_with_corner(_described(_gathered(e, c), many), size).withColumn("lv", F.lit(len(divided))))
+
+        while len(divided) < _LEVELS:
+            crowded = durable(edges.groupBy("_pid", "bx", "by").count().where(F.col("count") > _CROWDED).select("bx", "by").distinct())
+            if crowded.isEmpty():
+                break
+            here = sized_broadcast(crowded)
+            apart = lambda df, how: df.join(here, ["bx", "by"], how)  # noqa: B023, E731
+            finish(apart(edges, "left_anti"), apart(corners, "left_anti"))
+            edges, corners = (durable(df) for df in _divided_edges(apart(edges, "left_semi"), apart(corners, "left_semi"), size))
+            divided.append(crowded)
+            size = size / _PARTS
+        finish(edges, corners)
+    b, m = F.col("_b"), _margin(whole_size) * 2
+    placed = _buckets_of(few, whole_size).withColumnsRenamed({"bx": "_bx", "by": "_by"})
+    cells = _to_leaves(placed, divided, whole_size, (b["x0"] - m, b["y0"] - m, b["x1"] + m, b["y1"] + m)).select(
+        "_pid", F.col("_bx").alias("bx"), F.col("_by").alias("by"), F.col("_all").alias("_e"), F.lit(None).cast("boolean").alias("_in"), "_b", "_attrs",
+        F.lit(None).cast("double").alias("_cx"), F.lit(None).cast("double").alias("_cy"), F.col("_lv").alias("lv"))
+    for more in done:
         cells = cells.unionByName(more)
     return cells, divided
 
@@ -259,13 +255,14 @@ def points_in_polygons(
     points: DataFrame, polys: DataFrame, x: str, y: str, rings: str, size: float, how: str = "inner"
 ) -> DataFrame:
     """Point rows with the columns of every polygon holding them; ``how`` inner, left, left_semi."""
-    cells, divided = _leaves(_shapes(polys, rings), size)
+    cells, divided = _leaves(*_shapes(polys, rings, size), size)
     at = F.col(x), F.col(y)
     pts = _to_leaves(points.withColumns({"_bx": _bucket(at[0], size), "_by": _bucket(at[1], size)}), divided, size, (*at, *at))
     p, c = pts.alias("p"), cells.alias("c")
     px, py, b = F.col(f"p.{x}"), F.col(f"p.{y}"), F.col("c._b")
     in_bounds = (px >= b["x0"]) & (px <= b["x1"]) & (py >= b["y0"]) & (py <= b["y1"])
-    joined = p.join(c, _meets("p", "c") & in_bounds & bucket_contains("c", px, py), how)
+    inside = F.when(F.col("c._in").isNull(), geometry.edges_contain(F.col("c._e"), px, py)).otherwise(bucket_contains("c", px, py))
+    joined = p.join(c, _meets("p", "c") & in_bounds & inside, how)
     own = [F.col(f"p.{n}") for n in points.columns]
     if how == "left_semi":
         return joined.select(*own)
@@ -281,12 +278,10 @@ def boxes_intersect_polygons(
     bounds begins. With any other it meets in every bucket where an edge crosses the box, and
     where the box's centre lies; it is returned once. Equal boxes stay separate rows.
     """
-    shapes = _shapes(polys, rings)
-    few, many = shapes.where(_few(size)), shapes.where(~_few(size))
+    few, many = _shapes(polys, rings, size)
     x0, y0, x1, y1 = (F.col(f"_box.{c}") for c in box_cols)
     numbered = boxes.select(F.monotonically_increasing_id().alias("_bid"), F.struct(*boxes.columns).alias("_box"))
-    large = not many.isEmpty()
-    numbered = durable(numbered) if large else numbered
+    numbered = durable(numbered) if many else numbered
     b = numbered.select("*", F.explode(F.sequence(_bucket(x0, size), _bucket(x1, size))).alias("_bx"))
     b = b.select("*", F.explode(F.sequence(_bucket(y0, size), _bucket(y1, size))).alias("_by"))
     pb = F.col("c._b")
@@ -295,15 +290,15 @@ def boxes_intersect_polygons(
     hit = overlap & first & geometry.edges_intersect_box(F.col("c._all"), x0, y0, x1, y1)
     found = b.alias("b").join(_buckets_of(few, size).alias("c"), (F.col("_bx") == F.col("bx")) & (F.col("_by") == F.col("by")) & hit)
     pairs = found.select("b._bid", "b._box", "c._attrs")
-    if large:
-        cells, divided = _leaves(many, size)
+    if many:
+        cells, divided = _leaves(few.limit(0), many, size)
         leaf = _to_leaves(b, divided, size, (x0, y0, x1, y1))
         mx, my = (x0 + x1) / 2, (y0 + y1) / 2
         side = F.lit(size) / F.pow(F.lit(float(_PARTS)), F.col("lv"))
         centre = (F.floor(mx / side) == F.col("bx")) & (F.floor(my / side) == F.col("by")) & bucket_contains("c", mx, my)
         hit = overlap & (centre | geometry.edges_touch_box(F.col("c._e"), x0, y0, x1, y1))
         once = leaf.alias("b").join(cells.alias("c"), _meets("b", "c") & hit).select("_bid", "_pid").distinct()
-        pairs = pairs.unionByName(once.join(numbered, "_bid").join(shapes.select("_pid", _attrs(shapes)), "_pid").select("_bid", "_box", "_attrs"))
+        pairs = pairs.unionByName(once.join(numbered, "_bid").join(many.select("_pid", _attrs(many)), "_pid").select("_bid", "_box", "_attrs"))
     if how == "left_semi":
         return pairs.groupBy("_bid").agg(F.first("_box").alias("_box")).select("_box.*")
     return pairs.select("_box.*", *[F.col("_attrs")[x].alias(x) for x in polys.columns if x != rings])
@@ -348,7 +343,7 @@ def clip_cells(
     edge that crosses the top changes it. So every edge counts where it is, and no
     outline is held as a whole.
     """
-    edges = _edge_table(_shapes(boundary, rings))
+    edges = _edge_table(durable(boundary.select(F.monotonically_increasing_id().alias("_pid"), F.col(rings).alias("_r"))))
     area2 = lambda e: e["x1"] * e["y2"] - e["x2"] * e["y1"]
     turn = edges.groupBy("_pid").agg(F.signum(F.sum(area2(F.col("_e")))).alias("_turn"))  # one row per boundary piece
     oriented = edges.join(turn, "_pid").withColumn("_e", F.when(F.col("_turn") < 0, F.struct(

@@ -138,7 +138,7 @@ def test_crowded_bucket_is_divided(spark):
     px = np.r_[rng.uniform(0, 1, 50_000), x[near] + rng.normal(0, 1e-3, 50_000)]
     py = np.r_[rng.uniform(0, 1, 50_000), y[near] + rng.normal(0, 1e-3, 50_000)]
     points = spark.createDataFrame(pd.DataFrame({"id": np.arange(len(px)), "x": px, "y": py})).repartition(8)
-    cells, divided = polygons._leaves(polygons._shapes(polys, "rings"), 1.0)
+    cells, divided = polygons._leaves(*polygons._shapes(polys, "rings", 1.0), 1.0)
     assert divided and cells.agg(F.max(F.size("_e"))).first()[0] <= 256
     got = polygons.points_in_polygons(points, polys, "x", "y", "rings", 1.0).select("id", "pid").toPandas()
     assert not got.duplicated().any()

@@ -52,19 +52,27 @@ def _leads_with_integer(df: DataFrame, order: list[Column]) -> bool:
 
 
 def negative_subsample(
-    df: DataFrame, label: str, key: list[str], ratio: int = 20, seed: int = 42, order: list[Column] | None = None
+    df: DataFrame, label: str, key: list[str], ratio: int = 20, seed: int = 42, order: list[Column] | None = None, by: str | None = None
 ) -> DataFrame:
     """All positives and exactly ``ratio`` negatives per positive, the first by ``order``, else by hashed key.
 
-    The last negative taken is found by counting ranges of the order; the negatives are not sorted.
+    The last negative taken is found by counting ranges of the order; the negatives are not sorted. ``by`` names a column of few
+    values (e.g. the split), each with a sample of its own.
     """
     positives, negatives = df.where(F.col(label) == 1), df.where(F.col(label) == 0)
     order = order or [F.xxhash64(F.lit(seed), *key)]
-    wanted = positives.count() * ratio
     if _leads_with_integer(df, order):
-        return positives.unionByName(first_rows(negatives, order, key, {0: wanted})[0])
-    ranked = number_rows(negatives.withColumn("_h", F.struct(*order)), ["_h", *key], "_i")
-    return positives.unionByName(ranked.where(F.col("_i") <= wanted).drop("_h", "_i"))
+        if by:
+            wanted = {g: n * ratio for g, n in positives.groupBy(by).count().collect()}
+            return positives.unionByName(first_rows(negatives, order, key, wanted, by)[0])
+        return positives.unionByName(first_rows(negatives, order, key, {0: positives.count() * ratio})[0])
+    group = F.col(by) if by else F.lit(0)
+    ranked = number_rows(negatives.withColumns({"_g": group, "_h": F.struct(*order)}), ["_g", "_h", *key], "_i")
+    starts = ranked.groupBy("_g").agg(F.min("_i").alias("_s")).withColumnRenamed("_g", "_l")
+    wanted = positives.groupBy(group.alias("_w")).agg((F.count(F.lit(1)) * ratio).alias("_n"))
+    limits = sized_broadcast(starts.join(wanted, F.col("_l").eqNullSafe(F.col("_w"))))
+    kept = ranked.join(limits, F.col("_g").eqNullSafe(F.col("_l"))).where(F.col("_i") - F.col("_s") < F.col("_n"))
+    return positives.unionByName(kept.select(*df.columns))
 
 
 def stratified_split(

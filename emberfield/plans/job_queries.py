@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from emberfield.functions import time
 from emberfield.operators import scaling
 from emberfield.plans import jobs
 from emberfield.plans.bindings import Tables, diamond
-from emberfield.plans.registry import query
+from emberfield.plans.registry import query, rounded
 from emberfield.session import scratch_path
 from emberfield.sources import sinks
 
@@ -88,3 +89,55 @@ def job_risk_map(t: Tables):
     jobs.forecast_risk_map(weather, t.registry, times, ["quantity"], scaling.fit_scaler(t.obs, ["quantity"]), lambda block: block.mean(axis=1), 30, target)
     written = t.spark.read.parquet(target)
     return written.agg(F.count(F.lit(1)).alias("cells"), F.count_if(F.col("risk_factor").isNull()).alias("unknown"))
+
+
+_SPLIT = "CASE WHEN s.dt < TIMESTAMP '1999-01-01' THEN 'train' WHEN s.dt <= TIMESTAMP '1999-06-30' THEN 'val' WHEN s.dt >= TIMESTAMP '1999-07-01' THEN 'test' END"
+
+
+@query("job_training_samples", f"""
+, e AS (SELECT 1 + cell % 20 AS cx, (cell // 20) % 12 AS cy, ts + to_hours((cell % 2 * 12)::INT) AS dt, quantity AS q, price AS pr FROM obs WHERE cell % 19 <> 0),
+s AS (SELECT cx, cy, dt, q, min(pr) AS pr FROM e JOIN (SELECT cx, cy, dt, min(q) AS q FROM e GROUP BY 1, 2, 3) USING (cx, cy, dt, q) GROUP BY 1, 2, 3, 4),
+f AS (SELECT DISTINCT floor((lon-139.9997)/0.5)::BIGINT AS cx, floor((lat+40.0003)/0.5)::BIGINT AS cy, ignition_date + to_hours((fire_id % 2 * 12)::INT) AS dt FROM fires WHERE fire_type <> 'Unknown'),
+l AS (SELECT s.*, CASE WHEN f.cx IS NULL THEN 0 ELSE 1 END AS y, {_SPLIT} AS split FROM s LEFT JOIN f ON f.cx = s.cx AND f.cy = s.cy AND f.dt = s.dt),
+r AS (SELECT *, row_number() OVER w - 1 AS idx, count(*) OVER (PARTITION BY split, cx, cy) AS n,
+  sum(q) OVER (w ROWS BETWEEN 60 PRECEDING AND 1 PRECEDING) AS sq, lag(pr) OVER w AS last_pr FROM l WHERE split IS NOT NULL WINDOW w AS (PARTITION BY split, cx, cy ORDER BY dt)),
+k AS (SELECT avg(q) AS mq, stddev_pop(q) AS dq, avg(pr) AS mp, stddev_pop(pr) AS dp FROM r WHERE split = 'train' AND n > 60),
+a AS (SELECT *, row_number() OVER (PARTITION BY split, y ORDER BY (datediff('day', DATE '1970-01-01', dt::DATE)*7919 + cx*31 + cy*17) % 1000003, cx, cy, dt) AS rn,
+  sum(y) OVER (PARTITION BY split) AS pos FROM r WHERE idx >= 60)
+SELECT split, cx AS cell_x, cy AS cell_y, idx AS anchor, y AS is_burning, round((sq-60*mq)/dq,4) AS sum_q, round((last_pr-mp)/dp,4) AS last_price FROM a, k WHERE y = 1 OR rn <= 20*pos""", "obs fires")
+def job_training_samples(t: Tables):
+    """Sequences for a classifier: cells of suppliers, outlines of fires; every 19th supplier lacks a feature, several may report one cell."""
+    c = F.col("cell")
+    env = t.obs.select((1 + c % 20).alias("cell_x"), (F.floor(c / 20) % 12).alias("cell_y"), time.half_day(F.col("ts"), c % 2).alias("datetime"),
+                       "quantity", F.when(c % 19 != 0, F.col("price")).alias("price"))
+    burnt = t.fire_shapes.where("fire_type <> 'Unknown'").select("rings", F.col("ignition_date").alias("date"), (F.col("fire_id") % 2).alias("daynight"), F.lit(1).alias("is_burning"))
+    day = F.datediff(F.to_date("datetime"), F.lit("1970-01-01").cast("date")).cast("bigint")
+    samples, _ = jobs.training_samples(
+        env, burnt, ["quantity", "price"], (0.5, (139.9997, -40.0003)), scratch_path(t.spark, "samples"), 60, 20, ("1999-01-01", "1999-06-30", "1999-07-01"),
+        order=[(day * 7919 + F.col("cell_x") * 31 + F.col("cell_y") * 17) % 1000003])
+    total = F.aggregate(F.transform("x", lambda o: o[0]), F.lit(0.0), lambda a, v: a + v)
+    return samples.select("split", "cell_x", "cell_y", F.col("anchor").cast("bigint").alias("anchor"), "is_burning", F.round(total, 4).alias("sum_q"),
+                          F.round(F.get(F.get("x", F.lit(59)), F.lit(1)), 4).alias("last_price"))
+
+
+@query("job_evaluation", """
+, a AS (SELECT ts, row_number() OVER (ORDER BY ts) - 1 AS t_idx, count(*) OVER () AS n FROM (SELECT DISTINCT ts FROM obs)),
+d AS (SELECT is_burning AS y, quantity/51.0::DOUBLE AS p, CASE WHEN t_idx < floor(floor(n*0.9::DOUBLE)*0.85::DOUBLE) THEN 'train' WHEN t_idx < floor(n*0.9::DOUBLE) THEN 'val' ELSE 'test' END AS split
+  FROM obs JOIN a USING (ts) WHERE cell % 7 <> 0),
+s AS (SELECT split, p, count(*) AS n, sum(y) AS pos FROM d GROUP BY 1,2),
+c AS (SELECT *, sum(n) OVER (PARTITION BY split ORDER BY p DESC) AS cn, sum(pos) OVER (PARTITION BY split ORDER BY p DESC) AS cp, sum(n) OVER (PARTITION BY split) AS tn, sum(pos) OVER (PARTITION BY split) AS tp FROM s),
+th AS (SELECT arg_max(p, (5*(cp/cn)*(cp/tp)/(4*(cp/cn)+(cp/tp)+1e-12), -p)) AS t FROM c WHERE split = 'val'),
+r AS (SELECT sum(pos/tp*(cp/cn)) AS ap, sum((n-pos)*(cp-pos/2.0::DOUBLE)/tp/(tn-tp)) AS auc FROM c WHERE split = 'test'),
+k AS (SELECT count(*) AS n, sum(y)::BIGINT AS np, count(*) FILTER (p>=t AND y=1) AS tp, count(*) FILTER (p>=t AND y=0) AS fp, count(*) FILTER (p<t AND y=1) AS fn, count(*) FILTER (p<t AND y=0) AS tn,
+  avg((p-y)*(p-y)) AS brier, max(t) AS t FROM d, th WHERE split = 'test'),
+m AS (SELECT *, tp/(tp+fp) AS pr, tp/(tp+fn) AS rc, np/n AS b FROM k)
+SELECT n AS n_cells, np AS n_positive, round(t,6) AS threshold, tp, fp, fn, tn, round(brier,6) AS brier, round(pr,6) AS precision, round(rc,6) AS recall, round(5*pr*rc/(4*pr+rc),6) AS f2,
+  round(ap,6) AS pr_auc, round(auc,6) AS roc_auc, round(b,6) AS base_rate, round(5*b/(4*b+1+1e-12),6) AS always_positive_f2 FROM m, r""", "obs")
+def job_evaluation(t: Tables):
+    """A forecast of all cells and times against its labels; every seventh cell has no input and does not count."""
+    cell = [(F.col("cell") % 10).alias("cell_x"), F.floor(F.col("cell") / 10).alias("cell_y")]
+    out = jobs.evaluate_forecast(
+        t.obs.select(*cell, "ts", (F.col("quantity") / 51.0).alias("p")), t.obs.select(*cell, "ts", "is_burning"),
+        t.obs.select(*cell, F.when(F.col("cell") % 7 != 0, F.col("price")).alias("price")), "ts", ["cell_x", "cell_y"], ["price"])
+    scores = ["threshold", "brier", "precision", "recall", "f2", "pr_auc", "roc_auc", "base_rate", "always_positive_f2"]
+    return rounded(out, *scores).select("n_cells", "n_positive", "tp", "fp", "fn", "tn", *scores)

@@ -1,15 +1,15 @@
-"""Whole jobs: the hub-and-spoke load, the unified fire history, the risk map."""
+"""Whole jobs: the hub-and-spoke load, the unified fire history, training samples, the evaluation of a forecast, the risk map."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emberfield import schemas
-from emberfield.functions import fire, geometry, grid
-from emberfield.operators import fires, hubs, polygons, quality, relational, satellite, scaling, scoring, sequences
+from emberfield.functions import fire, geometry, grid, time
+from emberfield.operators import fires, hubs, metrics, polygons, quality, relational, satellite, scaling, scoring, sequences, splits
 from emberfield.session import durable
 from emberfield.sources import readers, sinks
 
@@ -108,6 +108,54 @@ def satellite_history(detections: DataFrame, boundary: DataFrame, corner: tuple[
     return table.join(centres, ["cell_x", "cell_y"])
 
 
+def training_samples(
+    env: DataFrame, detections: DataFrame, features: list[str], cell: tuple[float, tuple[float, float]], target: str, lookback: int = 60,
+    ratio: int = 20, dates: tuple[str, str, str] = splits.SPLIT_DATES, until: str | None = None, order: list[Column] | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Labelled sequences of a classifier from environment rows and fire outlines; returns (samples, scaler parameters) as written to ``target``.
+
+    ``env``: cell_x, cell_y, datetime and the features; rows after ``until`` or with a missing feature are left out, and of rows
+    with one cell and time the one with the smallest features stays. ``detections``: rings, date, daynight (0 or 1) and
+    is_burning; an outline burns in the cell (of size ``cell[0]``, counted from ``cell[1]``) that holds its centroid.
+    A series is a cell within one split, so no sequence reaches into another split. The scaler is fitted on the training
+    series that are longer than ``lookback``; each split keeps all burning anchors and ``ratio`` others for each, the first by
+    ``order`` over cell_x, cell_y and datetime, else by hash. Only the kept anchors get their sequence ``x``, scaled.
+    """
+    place = ["cell_x", "cell_y", "datetime"]
+    known = env if until is None else env.where(F.col("datetime") <= F.lit(until).cast(time.NTZ))
+    spine = known.dropna(subset=[*place, *features]).groupBy(*place).agg(F.min(F.struct(*features)).alias("_f")).select(*place, "_f.*")
+    burning = polygons.centroid_in_cell(detections, "rings", *cell).select(
+        "cell_x", "cell_y", time.half_day(F.col("date"), F.col("daynight")).alias("datetime"), "is_burning")
+    labelled = relational.label_spine_left(spine, burning, place).withColumn("split", splits.time_split_dates(F.col("datetime"), dates))
+    rows = durable(labelled.where("split is not null").withColumn("series", F.struct("split", "cell_x", "cell_y")))
+    anchors = durable(sequences.lookback_index(rows, "series", "datetime", "is_burning", lookback).select("*", "series.*"))
+    sampled = rows.where("split = 'train'").join(anchors.where("split = 'train'").select("series").distinct(), "series", "left_semi")
+    sinks.replace_table(scaling.fit_scaler(sampled, features), f"{target}/scaler")
+    params = env.sparkSession.read.parquet(f"{target}/scaler")
+    chosen = durable(splits.negative_subsample(anchors, "is_burning", place, ratio, order=order, by="split"))
+    samples = sequences.materialize_samples(chosen, scaling.apply_scaler(rows, params, features), "series", "datetime", features, "is_burning", lookback)
+    sinks.replace_table(samples.select("series.*", "anchor", "is_burning", "x"), f"{target}/samples")
+    return env.sparkSession.read.parquet(f"{target}/samples"), params
+
+
+def evaluate_forecast(
+    predictions: DataFrame, labels: DataFrame, inputs: DataFrame, ts: str, cell: list[str], features: list[str], prob: str = "p",
+    label: str = "is_burning", beta: float = 2.0,
+) -> DataFrame:
+    """One row: how a forecast does on the last times, at the threshold that is best on the times before them.
+
+    ``predictions`` and ``labels`` hold each valid cell and time; a cell is valid if ``inputs`` knows any feature of it.
+    The splits are those of ``time_split_ratio`` over the times of ``labels``; the scores without skill stand beside.
+    """
+    mask = durable(sequences.valid_cell_mask(inputs, cell, features))
+    placed = splits.time_split_ratio(labels, ts)
+    flat = metrics.flatten_valid(predictions, placed, mask, [ts, *cell], cell)
+    test = flat.where("split = 'test'")
+    threshold = metrics.find_best_threshold(flat.where("split = 'val'"), label, prob, beta).first()["threshold"]
+    base = metrics.climatology_baseline(test, label, beta).select(F.struct("*")).scalar()
+    return metrics.compute_metrics(test, label, prob, threshold, beta).withColumn("_b", base).select("*", "_b.*").drop("_b")
+
+
 def forecast_risk_map(
     weather: DataFrame, locations: DataFrame, times: DataFrame, features: list[str], scaler_params: DataFrame,
     scorer: Callable, steps: int = 30, target: str | None = None,

@@ -55,3 +55,32 @@ def test_risk_map(spark, tmp_path):
                                  lambda batch: [[0.9 if seq[-1][0] > 1 else 0.1] for seq in batch], 3, str(tmp_path / "map"))
     assert {r.location_id: r.risk_factor for r in out.collect()} == {1: 5, 2: 1}
     assert spark.read.parquet(str(tmp_path / "map")).count() == 2
+
+
+def test_training_samples_stay_within_their_split(spark, tmp_path):
+    t0 = dt.datetime(2020, 12, 29)
+    env = [(x, 0, t0 + dt.timedelta(hours=12 * i), float(i)) for x in (0, 1) for i in range(12)]
+    env += [(0, 0, t0, 99.0), (0, 0, t0 + dt.timedelta(days=60), None), (7, 7, t0, 5.0)]  # an overlapping export, a gap, a short series
+    table = spark.createDataFrame(env, "cell_x long, cell_y long, datetime timestamp_ntz, v double")
+    days = [(dt.datetime(2020, 12, 30), 1), (dt.datetime(2021, 1, 2), 0), (dt.datetime(2021, 1, 2), 0)]
+    outlines = spark.createDataFrame([(*d, 1) for d in days], "date timestamp_ntz, daynight int, is_burning int").select(
+        "*", bindings.diamond(F.lit(0.5), F.lit(0.5), F.lit(0.1)).alias("rings"))
+    samples, scaler = jobs.training_samples(table, outlines, ["v"], (1.0, (0.0, 0.0)), str(tmp_path), lookback=2, ratio=2)
+    got = {(r.split, r.cell_x, r.anchor, r.is_burning): [s[0] for s in r.x] for r in samples.collect()}
+    # six half days of 2020 train, six of 2021 validate; a window starts anew in each split
+    mean, spread = 2.5, (35 / 12) ** 0.5
+    p = scaler.first()
+    assert abs(p.v_mean - mean) < 1e-12 and abs(p.v_std - spread) < 1e-12
+    assert got[("train", 0, 3, 1)] == [(1 - mean) / spread, (2 - mean) / spread]
+    assert got[("val", 0, 2, 1)] == [(6 - mean) / spread, (7 - mean) / spread]
+    assert sorted((s, y) for s, _, _, y in got) == [("train", 0), ("train", 0), ("train", 1), ("val", 0), ("val", 0), ("val", 1)]
+
+
+def test_evaluation_uses_the_threshold_of_validation(spark):
+    # 20 times: 15 train, 3 validate, 2 test; cell 2 has no input
+    rows = [(t, c, 0.8 if (t + c) % 2 else (0.6 if t == 17 else 0.2), (t + c) % 2) for t in range(20) for c in (0, 1, 2)]
+    table = spark.createDataFrame(rows, "t long, c long, p double, is_burning int")
+    inputs = spark.createDataFrame([(0, 1.0), (1, 1.0), (2, None)], "c long, v double")
+    r = jobs.evaluate_forecast(table.select("t", "c", "p"), table.select("t", "c", "is_burning"), inputs, "t", ["c"], ["v"]).first()
+    assert r.threshold == 0.8 and (r.n_cells, r.tp, r.fp, r.fn, r.tn) == (4, 2, 0, 0, 2)
+    assert r.pr_auc == 1.0 and r.base_rate == 0.5 and abs(r.always_positive_f2 - 2.5 / 3) < 1e-9

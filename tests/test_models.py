@@ -114,3 +114,13 @@ def test_negatives_are_not_sorted(spark):
     assert sorted(map(tuple, split.groupBy("y", "split").count().collect())) == [(0, "train", 269_973), (0, "val", 29_997), (1, "train", 27), (1, "val", 3)]
     empty = splits.negative_subsample(df.limit(0), "y", ["id"])
     assert empty.count() == 0 and splits.stratified_split(df.limit(0), "y", ["id"]).count() == 0
+
+
+@pytest.mark.parametrize("order", [None, "w"])
+def test_subsample_per_group(spark, order):
+    df = spark.range(300).select("id", (F.col("id") % 3).alias("g"), F.when((F.col("id") < 12) & (F.col("id") % 3 > 0), 1).otherwise(0).alias("y"), (-F.col("id") / 7.0).alias("w"))
+    out = splits.negative_subsample(df, "y", ["id"], 5, order=order and [F.col(order)], by="g").collect()
+    assert {g: sum(r.g == g and r.y == 0 for r in out) for g in (0, 1, 2)} == {0: 0, 1: 20, 2: 20}
+    assert sum(r.y for r in out) == 8
+    if order:
+        assert min(r.id for r in out if r.y == 0 and r.g == 1) == 298 - 19 * 3

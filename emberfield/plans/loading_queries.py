@@ -273,23 +273,40 @@ def append_new_by_key(t: Tables):
         "skipped", F.lit(first["skipped"] + again["inserted"]).cast("bigint"))
 
 
-def _upserted(t: Tables):
+def _regions(t: Tables):
     target = t.registry.select("location_id", F.round("grid_latitude", 1).alias("grid_latitude"), F.round("grid_longitude", 1).alias("grid_longitude"), "region_name")
     known = target.groupBy("grid_latitude", "grid_longitude").agg(F.min("location_id").alias("location_id"), F.min("region_name").alias("region_name"))
     region = F.when(F.col("event_id") % 4 > 0, F.col("satellite"))
     batch = t.hot.select(F.round("lat", 1).alias("grid_latitude"), F.round("lon", 1).alias("grid_longitude"), region.alias("region_name"), "event_id")
-    return sinks.upsert_location(known.select("location_id", "grid_latitude", "grid_longitude", "region_name"), batch, "event_id")
+    return known.select("location_id", "grid_latitude", "grid_longitude", "region_name"), batch
+
+
+def _upserted(t: Tables):
+    return sinks.upsert_location(*_regions(t), "event_id")
 
 
-@query("upsert_location", """
+_UPSERTED = """
 , k AS (SELECT round(grid_latitude,1) AS la, round(grid_longitude,1) AS lo, min(location_id) AS location_id, min(region_name) AS r FROM registry GROUP BY 1,2),
 b AS (SELECT round(lat,1) AS la, round(lon,1) AS lo, arg_max(event_id, event_id) AS e, arg_max({'s': CASE WHEN event_id % 4 > 0 THEN satellite END}, event_id).s AS r FROM hot GROUP BY 1,2)
-SELECT coalesce(k.la,b.la) AS grid_latitude, coalesce(k.lo,b.lo) AS grid_longitude, location_id, CASE WHEN e IS NOT NULL THEN b.r ELSE k.r END AS region_name FROM k FULL JOIN b ON k.la = b.la AND k.lo = b.lo""", "hot registry")
+SELECT coalesce(k.la,b.la) AS grid_latitude, coalesce(k.lo,b.lo) AS grid_longitude, location_id, CASE WHEN e IS NOT NULL THEN b.r ELSE k.r END AS region_name FROM k FULL JOIN b ON k.la = b.la AND k.lo = b.lo"""
+
+
+@query("upsert_location", _UPSERTED, "hot registry")
 def upsert_location(t: Tables):
     """The last value wins, also where it is NULL."""
     return _upserted(t)
 
 
+@query("upsert_table", _UPSERTED, "hot registry")
+def upsert_table(t: Tables):
+    """The same on a stored table in hash buckets, of which a load replaces those of its own keys."""
+    known, batch = _regions(t)
+    path, keys = scratch_path(t.spark, "regions"), ["grid_latitude", "grid_longitude"]
+    sinks.store_in_buckets(known, path, keys)
+    sinks.upsert_table(batch, path, known.schema, keys, "region_name", "event_id")
+    return sinks.read_buckets(t.spark, path, known.schema).drop("bucket")
+
+
 @query("upsert_time", """
 , b AS (SELECT date_trunc('hour', ts) AS h, arg_max(satellite, event_id) AS s FROM hot WHERE event_id % 3 = 0 GROUP BY 1)
 SELECT datetime_record, coalesce(b.s, season) AS season FROM tim LEFT JOIN b ON b.h = datetime_record""", "tim")

@@ -10,9 +10,9 @@ import datetime as dt
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType, _parse_datatype_string
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType, _parse_datatype_string
 
 from emberfield import schemas
 from emberfield.functions import geometry
@@ -110,26 +110,28 @@ def new_by_key(
     return keyed.join(seen, keys, "left_anti").select(*batch.columns)
 
 
+def stored_and_counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """``df`` written to the shared folder, and its rows, counted while it was written."""
+    seen = Observation()
+    stored = durable(df.observe(seen, F.count(F.lit(1)).alias("rows")))
+    return stored, seen.get["rows"]
+
+
 def append_new_by_key(
     batch: DataFrame, path: str, keys: list[str], order: list[str] | None = None, partition: str | None = None
 ) -> dict[str, int]:
     """Idempotent append; returns rows fetched, inserted and skipped.
 
     With ``partition`` (a key column) the table is partitioned by it and only the
-    partitions the batch touches are compared. The batch is computed once.
+    partitions the batch touches are compared. The batch is computed once, and rows are counted while they are written.
     """
-    batch = batch.persist()
-    try:
-        fetched = batch.count()
-        target = read_table(batch.sparkSession, path, batch.schema)
-        if partition:
-            target = target.where(present_values(batch, partition))
-        fresh = durable(new_by_key(batch, target, keys, order))
-        inserted = fresh.count()
-        writer = fresh.write.mode("append")
-        (writer.partitionBy(partition) if partition else writer).parquet(path)
-    finally:
-        batch.unpersist()
+    batch, fetched = stored_and_counted(batch)
+    target = read_table(batch.sparkSession, path, batch.schema)
+    if partition:
+        target = target.where(present_values(batch, partition))
+    fresh, inserted = stored_and_counted(new_by_key(batch, target, keys, order))
+    writer = fresh.write.mode("append")
+    (writer.partitionBy(partition) if partition else writer).parquet(path)
     return {"fetched": fetched, "inserted": inserted, "skipped": fetched - inserted}
 
 
@@ -143,12 +145,8 @@ def insert_new_incidents(batch: DataFrame, path: str, locate=None) -> dict[str,
 
     spark = batch.sparkSession
     schema = batch.schema if "location_id" in batch.columns else StructType([*batch.schema.fields, StructField("location_id", LongType())])
-    batch = batch.persist()
-    try:
-        fetched = batch.count()
-        fresh = durable(new_by_key(batch, IdIndex(spark, path).seen(batch), ["id"], ["updated"]))
-    finally:
-        batch.unpersist()
+    batch, fetched = stored_and_counted(batch)
+    fresh = durable(new_by_key(batch, IdIndex(spark, path).seen(batch), ["id"], ["updated"]))
     located = locate(fresh) if locate else fresh.withColumn("location_id", F.lit(None).cast("bigint"))
     located = durable(located.select(*schema.names))
     inserted, matched = located.agg(F.count(F.lit(1)), F.count("location_id")).first()
@@ -187,6 +185,63 @@ def upsert_time(target: DataFrame, batch: DataFrame, order: str) -> DataFrame:
     return upsert(target, batch, ["datetime_record"], "season", order)
 
 
+def _in_buckets(df: DataFrame, keys: list[str], buckets: int) -> DataFrame:
+    return df.withColumn("bucket", F.pmod(F.xxhash64(*[_key(df, k) for k in keys]), F.lit(buckets)).cast("int"))
+
+
+def _write_buckets(df: DataFrame, path: str) -> None:
+    """One folder per bucket; a large bucket is written by several tasks."""
+    df.hint("rebalance", F.col("bucket")).write.mode("overwrite").partitionBy("bucket").parquet(path)
+
+
+def store_in_buckets(df: DataFrame, path: str, keys: list[str], buckets: int = 64) -> None:
+    """First load of a table for ``upsert_table``; its number of buckets stays as it is."""
+    _write_buckets(_in_buckets(df, keys, buckets), path)
+
+
+def _switch_buckets(spark: SparkSession, path: str) -> None:
+    """Put the complete buckets of a finished merge in the place of the old ones.
+
+    If the driver ends in between, the buckets still to be moved are found and moved before the next merge.
+    """
+    jvm, conf = spark.sparkContext._jvm.org.apache.hadoop.fs, spark.sparkContext._jsc.hadoopConfiguration()
+    staged, table = jvm.Path(f"{path}.merging"), jvm.Path(path)
+    fs = table.getFileSystem(conf)
+    if fs.exists(jvm.Path(staged, "_SUCCESS")):
+        fs.mkdirs(table)
+        for part in fs.listStatus(staged):
+            name = part.getPath().getName()
+            if name.startswith("bucket="):
+                fs.delete(jvm.Path(table, name), True)
+                if not fs.rename(part.getPath(), jvm.Path(table, name)):
+                    raise OSError(f"could not put {name} in its place in {path}")
+    fs.delete(staged, True)
+
+
+def read_buckets(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
+    """The table of ``store_in_buckets`` with its column ``bucket``; empty before the first load."""
+    st = schema if isinstance(schema, StructType) else _parse_datatype_string(schema)
+    whole = StructType([*st.fields, StructField("bucket", IntegerType())])
+    return spark.read.schema(whole).parquet(path) if table_exists(spark, path) else spark.createDataFrame([], whole)
+
+
+def upsert_table(batch: DataFrame, path: str, schema: str | StructType, keys: list[str], value: str, order: str, buckets: int = 64) -> list[int]:
+    """``upsert`` on a stored table: only the hash buckets that hold a key of the batch are read and written; returns them.
+
+    The merged buckets are written beside the table, whole, and take their places one after the other, so a reader may
+    see some of them before and some after the batch. Loads must not run at the same time; one that broke off is finished by the next.
+    """
+    spark, path = batch.sparkSession, path.rstrip("/")
+    _switch_buckets(spark, path)
+    batch = durable(_in_buckets(batch, keys, buckets))
+    touched = sorted(r[0] for r in batch.select("bucket").distinct().collect())
+    if touched:
+        target = read_buckets(spark, path, schema).where(F.col("bucket").isin(touched)).drop("bucket")
+        _write_buckets(_in_buckets(upsert(target, batch, keys, value, order), keys, buckets), f"{path}.merging")
+        _switch_buckets(spark, path)
+    return touched
+
+
 def insert_ignore_time(batch: DataFrame, path: str) -> dict[str, int]:
     return append_new_by_key(batch, path, ["datetime_record"])
 

@@ -38,6 +38,51 @@ def test_upsert_takes_the_last(spark):
     assert out == {1.0: "y", 3.0: "kept", 5.0: "new"}
 
 
+def test_upsert_replaces_only_the_buckets_of_its_keys(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), "k long, v string"
+    whole = spark.range(2000).select(F.col("id").alias("k"), F.lit("old").alias("v"))
+    sinks.store_in_buckets(whole, path, ["k"], 16)
+
+    def files():
+        return {f for f in spark.read.parquet(path).inputFiles()}
+
+    before = files()
+    batch = spark.createDataFrame([(3, "a", 1), (3, None, 2), (2500, "new", 1)], "k long, v string, n int")
+    touched = sinks.upsert_table(batch, path, schema, ["k"], "v", "n", 16)
+    changed = {f.split("bucket=")[1].split("/")[0] for f in before ^ files()}
+    assert changed == {str(b) for b in touched} and len(touched) <= 2
+    got = {r.k: r.v for r in sinks.read_buckets(spark, path, schema).collect()}
+    assert got == {**{k: "old" for k in range(2000)}, 3: None, 2500: "new"}
+    assert sinks.upsert_table(batch.limit(0), path, schema, ["k"], "v", "n", 16) == [] and files() ^ before
+
+
+def test_broken_off_upsert_is_finished_by_the_next(spark, tmp_path):
+    path, schema = tmp_path / "t", "k long, v string"
+    rows = lambda v: spark.range(100).select(F.col("id").alias("k"), F.lit(v).alias("v"))
+    sinks.store_in_buckets(rows("old"), str(path), ["k"], 4)
+    sinks.store_in_buckets(rows("new"), f"{path}.merging", ["k"], 4)  # as after the last write, before any bucket is moved
+    next((path / "..").resolve().glob("t/bucket=2")).rename(tmp_path / "gone")  # and one deleted, not yet replaced
+    sinks.upsert_table(spark.createDataFrame([(5, "x", 1)], "k long, v string, n int"), str(path), schema, ["k"], "v", "n", 4)
+    got = {r.k: r.v for r in sinks.read_buckets(spark, str(path), schema).collect()}
+    assert got == {**{k: "new" for k in range(100)}, 5: "x"} and not (tmp_path / "t.merging").exists()
+
+
+def test_append_counts_while_it_writes(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def once(rows):
+        for b in rows:
+            seen.add(b.num_rows)
+            yield b
+
+    batch = spark.range(50, numPartitions=2).mapInArrow(once, "id long")
+    assert sinks.append_new_by_key(batch, str(tmp_path / "a"), ["id"]) == {"fetched": 50, "inserted": 50, "skipped": 0}
+    assert seen.value == 50  # the input was evaluated once
+    assert sinks.append_new_by_key(batch.where("id < 0"), str(tmp_path / "a"), ["id"]) == {"fetched": 0, "inserted": 0, "skipped": 0}
+    empty = spark.createDataFrame([], "id long")
+    assert sinks.append_new_by_key(empty, str(tmp_path / "a"), ["id"]) == {"fetched": 0, "inserted": 0, "skipped": 0}
+
+
 def test_replace_table_can_read_itself(spark, tmp_path):
     path = str(tmp_path / "r")
     sinks.append(spark.range(10), path)

@@ -134,12 +134,18 @@ def _cents(c: Column) -> Column:
     return F.round(F.round(c, 6), 2)
 
 
-def cell_fire_stats(pairs: DataFrame, cell: str = "cell_id") -> DataFrame:
-    """Statistics per cell over its (fire, cell) pairs; areas are whole-fire areas per touched cell."""
+def cell_fire_stats(pairs: DataFrame, cell: str = "cell_id", area: str = "whole") -> DataFrame:
+    """Statistics per cell over its (fire, cell) pairs; areas are whole-fire areas per touched cell.
+
+    With ``area="share"`` each fire counts with the part of it that lies in the cell: ``overlap_share`` of ``polygons.overlay_areas``.
+    """
+    if area not in ("whole", "share"):
+        raise ValueError("area must be 'whole' or 'share'")
+    burned = F.col("area_ha") * F.col("overlap_share") if area == "share" else F.col("area_ha")
     status = F.col("detection_status")
     stats = pairs.where(F.col(cell).isNotNull()).groupBy(cell).agg(
         F.countDistinct("fire_id").alias("fire_count"),
-        _cents(F.coalesce(F.sum("area_ha"), F.lit(0.0))).alias("total_area_burned_ha"),
+        _cents(F.coalesce(F.sum(burned), F.lit(0.0))).alias("total_area_burned_ha"),
         _cents(F.max("peak_frp")).alias("max_peak_frp"),
         _cents(F.coalesce(F.sum("cumulative_frp"), F.lit(0.0))).alias("total_cumulative_frp"),
         _cents(F.avg("duration_days")).alias("avg_duration_days"),

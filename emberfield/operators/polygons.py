@@ -315,7 +315,7 @@ def centroid_in_cell(df: DataFrame, rings: str, size: float, origin: tuple[float
 
 
 def _cut_edges(edges: DataFrame, size: float) -> DataFrame:
-    """Each edge cut at the bucket lines: pieces x1, y1, x2, y2 that each lie in one bucket."""
+    """Each edge cut at the bucket lines: pieces x1, y1, x2, y2 of polygon ``_pid`` that each lie in one bucket."""
     e = F.col("_e")
     dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
 
@@ -325,34 +325,29 @@ def _cut_edges(edges: DataFrame, size: float) -> DataFrame:
         return F.transform(inside, lambda k: F.try_divide(k * F.lit(size) - a, d))
 
     places = F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0.0), F.lit(1.0)), cuts(e["x1"], e["x2"], dx), cuts(e["y1"], e["y2"], dy))))
-    at = edges.select("_e", places.alias("_t")).select("_e", "_t", F.explode(F.sequence(F.lit(0), F.size("_t") - 2)).alias("_i"))
+    at = edges.select("_pid", "_e", places.alias("_t")).select("_pid", "_e", "_t", F.explode(F.sequence(F.lit(0), F.size("_t") - 2)).alias("_i"))
     t0, t1 = F.get("_t", F.col("_i")), F.get("_t", F.col("_i") + 1)
-    pieces = at.select(*[(e[f"{c}1"] + t * d).alias(f"{c}{k}") for k, t in ((1, t0), (2, t1)) for c, d in (("x", dx), ("y", dy))])
+    pieces = at.select("_pid", *[(e[f"{c}1"] + t * d).alias(f"{c}{k}") for k, t in ((1, t0), (2, t1)) for c, d in (("x", dx), ("y", dy))])
     return pieces.withColumns({"bx": _bucket((F.col("x1") + F.col("x2")) / 2, size), "by": _bucket((F.col("y1") + F.col("y2")) / 2, size)})
 
 
-def clip_cells(
-    cells: DataFrame, boundary: DataFrame, box_cols: tuple[str, str, str, str], rings: str, size: float
-) -> DataFrame:
-    """Cells cut to the boundary: clipped area and centroid; cells outside are dropped.
-
-    ``boundary`` pieces must not overlap; outer rings run one way and holes the other. Cells and
-    buckets of side ``size`` need not be aligned. Area and first moments are sums
-    over the pieces of edges that lie in a cell below its top, plus the stretches of its top
-    that are inside: the cell's upper right corner tells where that starts, and each
-    edge that crosses the top changes it. So every edge counts where it is, and no
-    outline is held as a whole.
-    """
-    edges = _edge_table(durable(boundary.select(F.monotonically_increasing_id().alias("_pid"), F.col(rings).alias("_r"))))
+def _outline_pieces(shapes: DataFrame, size: float) -> DataFrame:
+    """Pieces of the edges of numbered shapes, each outline turned so that its area is positive."""
+    edges = _edge_table(shapes)
     area2 = lambda e: e["x1"] * e["y2"] - e["x2"] * e["y1"]
     turn = edges.groupBy("_pid").agg(F.signum(F.sum(area2(F.col("_e")))).alias("_turn"))  # one row per boundary piece
     oriented = edges.join(turn, "_pid").withColumn("_e", F.when(F.col("_turn") < 0, F.struct(
         F.col("_e.x2").alias("x1"), F.col("_e.y2").alias("y1"), F.col("_e.x1").alias("x2"), F.col("_e.y1").alias("y2"))).otherwise(F.col("_e")))
-    pieces = _cut_edges(oriented, size)
-    boxes = cells.select(F.monotonically_increasing_id().alias("_cid"), F.struct(*cells.columns).alias("_cell"))
+    return _cut_edges(oriented, size)
+
+
+def _sums_in_cells(boxes: DataFrame, pieces: DataFrame, box_cols: tuple[str, str, str, str], size: float, by: list[str]) -> DataFrame:
+    """Area and first moments below each cell's top of the pieces in it (``a``, ``mx``, ``my``), and how its top is covered (``w``, ``wx``), by ``by``."""
     x0, y0, x1, y1 = (F.col(f"_cell.{c}") for c in box_cols)
-    spread = boxes.select("*", F.explode(F.sequence(_bucket(x0, size), _bucket(x1, size))).alias("bx"))
-    spread = spread.select("*", F.explode(F.sequence(_bucket(y0, size), _bucket(y1, size))).alias("by"))
+    # with a margin: a line of a cell that is also one of the buckets may, rounded, lie on either side of it
+    m = _margin(size) * 2
+    spread = boxes.select("*", F.explode(F.sequence(_bucket(x0 - m, size), _bucket(x1 + m, size))).alias("bx"))
+    spread = spread.select("*", F.explode(F.sequence(_bucket(y0 - m, size), _bucket(y1 + m, size))).alias("by"))
     met = spread.join(pieces, ["bx", "by"])
     dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
     # stretch of the piece within the cell, as parameters from 0 to 1; a piece on the cell's left line counts, on its right line not
@@ -376,13 +371,36 @@ def clip_cells(
     top = crosses & (xc > x0) & (xc <= x1)
     sign = F.when(dy > 0, 1.0).otherwise(-1.0)
     zero = F.lit(0.0)
-    sums = met.groupBy("_cid").agg(
+    return met.where(has | top).groupBy(*by).agg(
         F.sum(F.when(has, -run * (ya + yb) / 2).otherwise(zero)).alias("a"),
         F.sum(F.when(has, -run * ((xa * 2 + xb) * ya + (xa + xb * 2) * yb) / 6).otherwise(zero)).alias("mx"),
         F.sum(F.when(has, -run * (ya * ya + ya * yb + yb * yb) / 6).otherwise(zero)).alias("my"),
         F.sum(F.when(top, sign * (xc - x0)).otherwise(zero)).alias("w"),
         F.sum(F.when(top, sign * (xc * xc - x0 * x0) / 2).otherwise(zero)).alias("wx"),
     )
+
+
+def _numbered_cells(cells: DataFrame) -> DataFrame:
+    return cells.select(F.monotonically_increasing_id().alias("_cid"), F.struct(*cells.columns).alias("_cell"))
+
+
+def clip_cells(
+    cells: DataFrame, boundary: DataFrame, box_cols: tuple[str, str, str, str], rings: str, size: float
+) -> DataFrame:
+    """Cells cut to the boundary: clipped area and centroid; cells outside are dropped.
+
+    ``boundary`` pieces must not overlap; outer rings run one way and holes the other. Cells and
+    buckets of side ``size`` need not be aligned. Area and first moments are sums
+    over the pieces of edges that lie in a cell below its top, plus the stretches of its top
+    that are inside: the cell's upper right corner tells where that starts, and each
+    edge that crosses the top changes it. So every edge counts where it is, and no
+    outline is held as a whole.
+    """
+    shapes = durable(boundary.select(F.monotonically_increasing_id().alias("_pid"), F.col(rings).alias("_r")))
+    boxes = _numbered_cells(cells)
+    x0, y0, x1, y1 = (F.col(f"_cell.{c}") for c in box_cols)
+    zero = F.lit(0.0)
+    sums = _sums_in_cells(boxes, _outline_pieces(shapes, size), box_cols, size, ["_cid"])
     corner = points_in_polygons(boxes.select("_cid", x1.alias("_px"), y1.alias("_py")), boundary.select(rings), "_px", "_py", rings, size, "left_semi").select("_cid").distinct()
     joined = boxes.join(sums, "_cid", "left").join(corner.withColumn("_in", F.lit(1.0)), "_cid", "left")
     known = {c: F.coalesce(F.col(c), zero) for c in ("a", "mx", "my", "w", "wx")}
@@ -393,3 +411,27 @@ def clip_cells(
     out = joined.select("_cell", (known["a"] + h * width).alias("_a"), (known["mx"] + h * first).alias("_mx"), (known["my"] + h * h / 2 * width + y0 * (known["a"] + h * width)).alias("_my"), (h * (x1 - x0)).alias("_full"))
     # what rounding leaves of a cell outside is no area
     return out.where(F.col("_a") > F.col("_full") * 1e-12).select("_cell.*", F.col("_a").alias("clipped_area"), (F.col("_mx") / F.col("_a")).alias("centroid_x"), (F.col("_my") / F.col("_a")).alias("centroid_y"))
+
+
+def overlay_areas(
+    cells: DataFrame, polys: DataFrame, box_cols: tuple[str, str, str, str], rings: str, size: float
+) -> DataFrame:
+    """Every pair of a cell and a polygon that share an area, with ``overlap_area`` and, of the polygon's own area, ``overlap_share``.
+
+    Polygons may overlap each other; outer rings of one run one way and its holes the other. Exact by the sums of
+    ``clip_cells``, kept apart by polygon: edges count in the cells where they are, a cell without any is covered if its
+    corner is. Equal cells and equal polygons stay separate rows; other columns of both are kept.
+    """
+    others = [c for c in polys.columns if c != rings]
+    shapes = durable(polys.repartition(data_partitions(polys)).select(F.monotonically_increasing_id().alias("_pid"), F.col(rings).alias("_r"), F.struct(F.lit(0).alias("_none"), *others).alias("_attrs")))
+    boxes = durable(_numbered_cells(cells))
+    x0, y0, x1, y1 = (F.col(f"_cell.{c}") for c in box_cols)
+    zero = F.lit(0.0)
+    sums = _sums_in_cells(boxes, _outline_pieces(shapes, size), box_cols, size, ["_cid", "_pid"]).select("_cid", "_pid", "a", "w")
+    corner = points_in_polygons(boxes.select("_cid", x1.alias("_px"), y1.alias("_py")), shapes.select(F.col("_pid").alias("_holder"), F.col("_r").alias("_rings")), "_px", "_py", "_rings", size)
+    both = sums.unionByName(corner.select("_cid", F.col("_holder").alias("_pid"), zero.alias("a"), F.lit(None).cast("double").alias("w")))
+    pairs = both.groupBy("_cid", "_pid").agg(F.sum("a").alias("_a"), F.sum("w").alias("_w"), F.count_if(F.col("w").isNull()).alias("_in"))
+    width = F.when(F.col("_in") > 0, x1 - x0).otherwise(zero) + F.coalesce("_w", zero)
+    found = pairs.join(boxes, "_cid").withColumn("_a", F.col("_a") + (y1 - y0) * width).where(F.col("_a") > (x1 - x0) * (y1 - y0) * 1e-12)
+    described = found.join(shapes.select("_pid", "_attrs", geometry.area(F.col("_r")).alias("_of")), "_pid")
+    return described.select("_cell.*", *[F.col("_attrs")[c].alias(c) for c in others], F.col("_a").alias("overlap_area"), (F.col("_a") / F.col("_of")).alias("overlap_share"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from emberfield.functions import fire, time
 from emberfield.operators import environment, fires, satellite
 from emberfield.plans.bindings import Tables
-from emberfield.plans.join_queries import CELLS_SQL, _HIT, fires_x_grid
+from emberfield.plans.join_queries import CELLS_SQL, OVERLAY_SQL, _HIT, fires_x_grid, overlays
 from emberfield.plans.registry import query, r6, rounded
 
 # -- scalar rules -----------------------------------------------------------
@@ -163,6 +163,16 @@ def cell_fire_stats(t: Tables):
     return fires.cell_fire_stats(_pairs(t))
 
 
+@query("cell_fire_stats_share", UNIFIED + OVERLAY_SQL.replace("WITH", "") + """
+SELECT x::VARCHAR || '_' || y::VARCHAR AS cell_id, count(DISTINCT fire_id) AS fire_count, round(round(sum(area_ha*area/of_area),6),2) AS total_area_burned_ha, round(max(peak_frp),2) AS max_peak_frp
+FROM ov JOIN uni USING (fire_id) GROUP BY 1""", "fire_det fires hot")
+def cell_fire_stats_share(t: Tables):
+    """Each fire counts with the part of its area in the cell."""
+    pairs = overlays(t).withColumn("cell_id", F.concat_ws("_", F.col("x").cast("string"), F.col("y").cast("string")))
+    stats = fires.cell_fire_stats(pairs.join(fires.unify_fires(t.fires, t.fire_det), "fire_id"), area="share")
+    return stats.select("cell_id", "fire_count", "total_area_burned_ha", "max_peak_frp")
+
+
 @query("stats_onto_grid", _PAIRS + "SELECT * FROM gr", "fire_det fires hot")
 def stats_onto_grid(t: Tables):
     return _grid(t)

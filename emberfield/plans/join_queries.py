@@ -227,6 +227,29 @@ def fires_x_grid(t: Tables):
         cells_of(t), t.fire_shapes.select("fire_id", "rings"), ("w", "s", "e", "n"), "rings", SIZE).select("fire_id", "x", "y")
 
 
+# area of a diamond of half diagonal h left of u and below v, both counted from its centre, in closed form; four corners give a cell's part
+def _strip(w: str) -> str:
+    return f"CASE WHEN v < 0 THEN greatest({w}+v, 0)*greatest({w}+v, 0)/2 WHEN {w} <= v THEN ({w})*({w}) ELSE v*v + v*({w}-v) + (({w})*({w})-v*v)/2 END"
+
+
+OVERLAY_SQL = CELLS_SQL + f"""
+, cn AS (SELECT x, y, fire_id, half AS h, sx*sy AS sign, least(greatest((CASE sx WHEN 1 THEN e ELSE w END)-f.lon, -half), half) AS u,
+  least(greatest((CASE sy WHEN 1 THEN n ELSE s END)-f.lat, -half), half) AS v FROM cb JOIN fires f ON {_HIT}, (VALUES (1),(-1)) a(sx), (VALUES (1),(-1)) b(sy)),
+ov AS (SELECT fire_id, x, y, sum(sign * CASE WHEN u <= 0 THEN {_strip('(h+u)')} ELSE 2*({_strip('h')}) - ({_strip('(h-u)')}) END) AS area, 2*max(h)*max(h) AS of_area
+  FROM cn GROUP BY 1, 2, 3 HAVING area > 0.0025*1e-9)"""
+
+
+def overlays(t: Tables):
+    """Cells and fires with the area they share, without slivers of less than a billionth of a cell."""
+    pairs = polygons.overlay_areas(cells_of(t), t.fire_shapes.select("fire_id", "rings"), ("w", "s", "e", "n"), "rings", SIZE)
+    return pairs.where("overlap_area > 0.0025*1e-9D").select("fire_id", "x", "y", "overlap_area", "overlap_share")
+
+
+@query("overlay_areas", OVERLAY_SQL + "SELECT fire_id, x, y, round(area,9) AS overlap_area, round(area/of_area,5) AS overlap_share FROM ov", "hot fires")
+def overlay_areas(t: Tables):
+    return overlays(t).withColumns({"overlap_area": F.round("overlap_area", 9), "overlap_share": F.round("overlap_share", 5)})
+
+
 @query("detections_x_fires", CELLS_SQL + f"""
 , d AS (SELECT event_id, frp, ts, floor(lon/0.05)::BIGINT AS x, floor(lat/0.05)::BIGINT AS y FROM hot)
 SELECT event_id, fire_id, ts AS datetime, ignition_date FROM d JOIN cb USING (x, y) JOIN fires f ON {_HIT}""", "hot fires")

@@ -281,3 +281,34 @@ def test_wkt_and_geojson(spark):
 def test_grid_row_col(spark):
     df = spark.createDataFrame([(-1.0, 5.0), (-1.0, 6.0), (2.0, 5.0), (None, 5.0)], "lat double, lon double")
     assert {(r.lat, r.lon): (r.row, r.col) for r in hubs.grid_row_col(df, "lat", "lon").collect()} == {(-1.0, 5.0): (0, 0), (-1.0, 6.0): (0, 1), (2.0, 5.0): (1, 0)}
+
+
+@pytest.mark.parametrize("edges", [40, 90])
+def test_overlay_areas(spark, edges):
+    # overlapping outlines, one with a hole, few and many edges; cells not aligned with the buckets
+    outlines = {k: [_star(edges, 1.0 + 0.7 * k, 1.2, 0.5, 1.1, k)[:: 1 - 2 * (k % 2)]] for k in range(3)}
+    outlines[3] = [_star(8, 2.0, 2.0, 1.5, 1.5, 3), _star(8, 2.0, 2.0, 0.6, 0.6, 3)[::-1]]
+    polys = spark.createDataFrame([(k, r) for k, r in outlines.items()], f"pid int, rings {geometry.RINGS}")
+    boxes = [(i, x * 0.4 + 0.07, y * 0.3 + 0.11, x * 0.4 + 0.47, y * 0.3 + 0.41) for i, (x, y) in enumerate((x, y) for x in range(-2, 10) for y in range(-2, 13))]
+    cells = spark.createDataFrame(boxes, "id int, w double, s double, e double, n double")
+    got = {(r.id, r.pid): r for r in polygons.overlay_areas(cells, polys, ("w", "s", "e", "n"), "rings", 0.25).collect()}
+    for pid, rings in outlines.items():
+        whole = abs(sum(_clipped(r, -9, -9, 9, 9)[0] * (1 if i == 0 else -1) for i, r in enumerate(rings)))
+        for i, *box in boxes:
+            area = sum(_clipped(r, *box)[0] * (1 if k == 0 else -1) for k, r in enumerate(rings))
+            r = got.pop((i, pid), None)
+            assert abs((r.overlap_area if r else 0.0) - area) < 1e-9 and (not r or abs(r.overlap_share - area / whole) < 1e-9)
+    assert not got
+
+
+def test_cells_on_bucket_lines_below_zero(spark):
+    # -768 * 0.05 is a hair below the bucket line -38.4: the edges that cross it belong to the next bucket
+    boxes = [(x, y, x * 0.05, y * 0.05, (x + 1) * 0.05, (y + 1) * 0.05) for x in range(2948, 2955) for y in range(-775, -764)]
+    cells = spark.createDataFrame(boxes, "x int, y int, w double, s double, e double, n double")
+    ring = [{"x": 147.57 + a, "y": -38.402 + b} for a, b in ((-0.06, 0.0), (0.0, -0.06), (0.06, 0.0), (0.0, 0.06), (-0.06, 0.0))]
+    shape = spark.createDataFrame([([ring],)], f"rings {geometry.RINGS}")
+    pairs = polygons.overlay_areas(cells, shape, ("w", "s", "e", "n"), "rings", 0.05).collect()
+    clipped = polygons.clip_cells(cells, shape, ("w", "s", "e", "n"), "rings", 0.05).collect()
+    for got in ({(r.x, r.y): r.overlap_area for r in pairs}, {(r.x, r.y): r.clipped_area for r in clipped}):
+        for x, y, *box in boxes:
+            assert abs(got.get((x, y), 0.0) - _clipped(ring, *box)[0]) < 1e-10

@@ -14,9 +14,11 @@ from pyspark.sql.window import Window
 from emberfield.functions import grid
 from emberfield.operators.ordering import number_rows
 from emberfield.operators.quality import require_no_rows
-from emberfield.session import durable, sized_broadcast
+from emberfield.session import data_partitions, dealt, durable, sized_broadcast
 
 _BLOCK = 100_000
+_SAMPLE_BLOCK = 256  # positions of a series that are gathered in one row for their anchors
+_PER_TASK = 16 << 20  # bytes of input files a task
 
 
 def _carried(summary: DataFrame, groups: list[str], cols: list[str], span: int = 1000) -> DataFrame:
@@ -188,20 +190,29 @@ def lookback_index(df: DataFrame, key: str, ts: str, label: str, lookback: int =
 def materialize_samples(
     anchors: DataFrame, df: DataFrame, key: str, ts: str, features: list[str], label: str, lookback: int = 60
 ) -> DataFrame:
-    """Sequences of the chosen anchors only: each anchor asks for its rows by position."""
+    """Sequences of the chosen anchors only; an anchor with no row before it has none.
+
+    Series are cut into blocks of positions, each with the ``lookback`` rows before it as well, so an anchor finds its whole
+    sequence in the row of its block and nothing is copied per anchor before that. Block and anchors meet in one grouping,
+    dealt by the size of the input: no join whose side could be broadcast.
+    """
+    block = max(lookback, _SAMPLE_BLOCK)  # a row serves two blocks at most
     order = Window.partitionBy(key).orderBy(ts)
-    rows = df.select(
-        key, (F.row_number().over(order) - 1).alias("idx"),
-        F.array(*[F.col(f).cast("double") for f in features]).alias("x"),
-    )
-    wanted = anchors.select(
-        key, F.col("idx").alias("anchor"), label,
-        F.explode(F.sequence(F.col("idx") - lookback, F.col("idx") - 1)).alias("idx"),
-    )
-    step = F.struct("idx", "x")
-    return wanted.join(rows, [key, "idx"]).groupBy(key, "anchor", label).agg(
-        F.transform(F.array_sort(F.collect_list(step)), lambda s: s["x"]).alias("x")
-    )
+    values = F.array(*[F.col(f).cast("double") for f in features])
+    rows = dealt(df, key).where(F.col(key).isNotNull()).select(key, (F.row_number().over(order) - 1).cast("bigint").alias("idx"), values.alias("x"))
+    served = F.explode(F.sequence(F.floor(F.col("idx") / block), F.floor((F.col("idx") + lookback) / block))).alias("_block")
+    steps = rows.select(key, served, F.struct("idx", "x").alias("_step"))
+    asked = anchors.where(F.col(key).isNotNull() & F.col("idx").isNotNull()).select(
+        key, F.floor(F.col("idx") / block).alias("_block"), F.struct(F.col("idx").alias("anchor"), label).alias("_anchor"))
+    both = steps.unionByName(asked, allowMissingColumns=True)
+    met = both.repartition(data_partitions(both, _PER_TASK), key, "_block").groupBy(key, "_block").agg(
+        F.array_sort(F.collect_list("_step")).alias("_steps"), F.collect_set("_anchor").alias("_anchors"))
+    each = met.where((F.size("_anchors") > 0) & (F.size("_steps") > 0)).select(key, F.explode("_anchors").alias("_a"), "_steps")
+    first, anchor = F.get("_steps", F.lit(0))["idx"], F.col("_a.anchor")
+    start = F.greatest(anchor - lookback, first)
+    sequence = F.slice("_steps", (start - first + 1).cast("int"), F.greatest(anchor - start, F.lit(0)).cast("int"))
+    out = each.select(key, "_a.anchor", F.col(f"_a.{label}").alias(label), F.transform(sequence, lambda s: s["x"]).alias("x"))
+    return out.where(F.size("x") > 0)
 
 
 def label_grid(detections: DataFrame, times: DataFrame, height: int, width: int) -> tuple[DataFrame, DataFrame]:

@@ -124,3 +124,15 @@ def test_subsample_per_group(spark, order):
     assert sum(r.y for r in out) == 8
     if order:
         assert min(r.id for r in out if r.y == 0 and r.g == 1) == 298 - 19 * 3
+
+
+def test_samples_meet_their_rows_without_a_join(spark):
+    """A join of the copied anchors was broadcast, whatever they came to once copied; an anchor asked for twice got each step twice."""
+    rows = spark.range(1400).select((F.col("id") % 2).alias("c"), F.floor(F.col("id") / 2).alias("t"), F.col("id").alias("v"))
+    wanted = [(0, 1), (0, 255), (0, 256), (0, 300), (0, 300), (0, 512), (0, 700), (1, 0), (1, 60), (2, 60), (None, 60)]
+    anchors = spark.createDataFrame([(c, i, 1) for c, i in wanted], "c long, idx long, y int")
+    out = sequences.materialize_samples(anchors, rows, "c", "t", ["v"], "y", 60)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+    got = {(r.c, r.anchor): [s[0] for s in r.x] for r in out.collect()}
+    assert got == {(c, i): [2.0 * k + c for k in range(max(0, i - 60), i)] for c, i in wanted if c in (0, 1) and i}

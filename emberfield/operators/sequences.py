@@ -19,6 +19,7 @@ from emberfield.session import data_partitions, dealt, durable, sized_broadcast
 _BLOCK = 100_000
 _SAMPLE_BLOCK = 256  # positions of a series that are gathered in one row for their anchors
 _PER_TASK = 16 << 20  # bytes of input files a task
+_BLOCKS_PER_TASK = 4 << 20  # the same for rows written in order, which are packed closely and sorted three times
 
 
 def _carried(summary: DataFrame, groups: list[str], cols: list[str], span: int = 1000) -> DataFrame:
@@ -84,14 +85,11 @@ def interpolate_time_series(
     summary = pos.groupBy(*groups, "_block").agg(
         *[F.max(known(c)).alias(f"_last_{c}") for c in cols], *[F.min(known(c)).alias(f"_first_{c}") for c in cols]
     )
+    key = F.struct(*groups, "_block").alias("_key")  # one value, so that rows of a null group meet too
     carry = _carried(durable(summary), groups, cols)
-    keys = [*groups, "_block"]
-    renamed = carry.withColumnsRenamed({k: f"_k_{k}" for k in keys})
-    on = F.lit(True)
-    for k in keys:
-        on = on & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    joined = pos.join(renamed, on).drop(*[f"_k_{k}" for k in keys])
-    inside = Window.partitionBy(*keys)
+    joined = dealt(pos.select("*", key), "_key", per_task=_BLOCKS_PER_TASK).join(
+        carry.select(key, *[f"_c{x}_{c}" for c in cols for x in "ba"]), "_key")
+    inside = Window.partitionBy("_key")
     upto, onward = (inside.orderBy(o).rowsBetween(Window.unboundedPreceding, 0) for o in (F.asc("_pos"), F.desc("_pos")))
     filled = {}
     for c in cols:

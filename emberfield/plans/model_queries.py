@@ -460,5 +460,5 @@ def baseline_scorer(t: Tables):
     scored = scoring.apply_baseline(scoring.train_baseline(train, FEATURES, "is_burning", w), src)
     ranks = scored.where("p is not null").groupBy("split").agg(
         (F.avg(F.when(F.col("is_burning") == 1, F.col("p"))) >= F.avg(F.when(F.col("is_burning") == 0, F.col("p"))) - 0.01).alias("split_ranks_better_than_chance"))
-    return scored.join(ranks, "split").select(
+    return scored.join(F.broadcast(ranks), "split").select(
         "cell", "ts", "is_burning", "split", F.col("p").isNotNull().alias("scored"), F.col("p").between(0, 1).alias("is_probability"), "split_ranks_better_than_chance")

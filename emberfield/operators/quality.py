@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from emberfield.session import dealt, durable
+
 
 class QualityError(ValueError):
     """A strict gate failed."""
@@ -97,9 +99,9 @@ def unique_keys(df: DataFrame, keys: list[str], strict: bool = False) -> DataFra
 def coverage_diff(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Distinct keys found on one side only, and whether both sets are equal."""
     def tagged(df: DataFrame, side: str) -> DataFrame:
-        return df.select(*keys).distinct().withColumn("_side", F.lit(side))
+        return df.select(*keys).withColumn("_side", F.lit(side))
 
-    both = tagged(left, "l").unionByName(tagged(right, "r")).groupBy(*keys).agg(
+    both = dealt(tagged(left, "l").unionByName(tagged(right, "r")), *keys).groupBy(*keys).agg(
         F.count_if(F.col("_side") == "l").alias("_l"), F.count_if(F.col("_side") == "r").alias("_r")
     )
     only_l, only_r = F.count_if(F.col("_r") == 0), F.count_if(F.col("_l") == 0)

@@ -202,22 +202,25 @@ def grid_alignment_summary(left: DataFrame, right: DataFrame, geometry_id: str,
     and its grid id, and every check is a count over these keys.
     """
     side = lambda df, n: df.select(F.lit(n).alias("_side"), F.col(geometry_id).alias("_g"), F.col(grid_id).alias("_i"), F.col(ts).alias("_t"))
-    text = lambda *c: F.to_json(F.struct(*c), {"ignoreNullFields": "false"})
-    kinds = [("same_geometries", text("_g"), F.lit(None)), ("same_times", text("_t"), F.lit(None)), ("same_geometry_times", text("_g", "_t"), F.lit(None)), ("grid_id", text("_i"), text("_g"))]
-    keys = F.array(*[F.struct(F.lit(k).alias("check"), key.alias("key"), value.cast("string").alias("value")) for k, key, value in kinds])
-    rows = side(left, "left").unionByName(side(right, "right")).select("_side", F.explode(keys).alias("k")).select("_side", "k.*")
-    per_key = rows.groupBy("check", "key").agg(
-        F.count_if(F.col("_side") == "left").alias("l"), F.count_if(F.col("_side") == "right").alias("r"),
-        *[f(F.when(F.col("_side") == s, F.col("value"))).alias(f"{n}_{s}") for s in ("left", "right") for n, f in (("min", F.min), ("max", F.max))],
-    )
-    several = lambda s: F.count_if(F.col(f"min_{s}") < F.col(f"max_{s}")) == 0
-    done = per_key.groupBy("check").agg(
-        (F.count_if((F.col("l") == 0) | (F.col("r") == 0)) == 0).alias("equal"), several("left").alias("left"), several("right").alias("right")
-    )
-    named = F.when(F.col("check") == "grid_id", F.array(
-        F.struct(F.lit("left_grid_id_unique").alias("check"), F.col("left").alias("passed")), F.struct(F.lit("right_grid_id_unique").alias("check"), F.col("right").alias("passed"))
-    )).otherwise(F.array(F.struct("check", F.col("equal").alias("passed"))))
-    return done.select(F.explode(named).alias("c")).select("c.*")
+    rows = side(left, "left").unionByName(side(right, "right"))
+    here = [F.max(F.col("_side") == n).alias(n) for n in ("left", "right")]
+    # a row per geometry and time, and one per side, grid id and geometry; all checks are counts over these
+    whole = F.struct(F.lit(None).cast("string").alias("side"), F.lit(None).cast(rows.schema["_i"].dataType).alias("i"), F.col("_g").alias("g"), F.col("_t").alias("t"), F.lit(True).alias("timed"))
+    placed = F.struct(F.col("_side").alias("side"), F.col("_i").alias("i"), F.col("_g").alias("g"), F.lit(None).cast(rows.schema["_t"].dataType).alias("t"), F.lit(False).alias("timed"))
+    keyed = rows.select("_side", F.explode(F.array(whole, placed)).alias("k")).select("_side", "k.*")
+    seen = durable(keyed.groupBy("timed", "side", "i", "g", "t").agg(*here))
+    timed = seen.where("timed")
+    both = lambda *keys: timed.groupBy(*keys).agg(F.max("left").alias("left"), F.max("right").alias("right"))
+    equal = (F.count_if(~F.col("left") | ~F.col("right")) == 0).alias("passed")
+    sets = [both("g").select(F.lit("same_geometries").alias("check"), "left", "right"), both("t").select(F.lit("same_times").alias("check"), "left", "right"),
+            timed.select(F.lit("same_geometry_times").alias("check"), "left", "right")]
+    done = sets[0].unionByName(sets[1]).unionByName(sets[2]).groupBy("check").agg(equal)
+    many = seen.where(~F.col("timed")).groupBy("side", "i").agg((F.count(F.lit(1)) > 1).alias("_many"))
+    unique = many.groupBy("side").agg((F.count_if("_many") == 0).alias("passed"))
+    named = F.explode(F.array(*[F.concat(F.lit(n), F.lit("_grid_id_unique")) for n in ("left", "right")])).alias("check")
+    any_row = seen.limit(1).select(named)
+    found = unique.select(F.concat("side", F.lit("_grid_id_unique")).alias("check"), "passed")
+    return done.unionByName(any_row.join(F.broadcast(found), "check", "left").select("check", F.coalesce("passed", F.lit(True)).alias("passed")))
 
 
 def temporal_structure(df: DataFrame, ts: str, expected_per_year: int, hours: list[int]) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from emberfield.functions import grid
-from emberfield.session import durable
+from emberfield.session import dealt, durable
 
 _SIZES = [16.0 / 4.0**level for level in range(26)]  # the last is about the spacing of doubles at these coordinates
 _FIRST_LEVELS = 9  # built for all targets; below, only crowded cells are divided
@@ -32,6 +32,7 @@ _LEAF_TARGETS = 64
 _ROOT_CELLS = 32
 _BROADCAST_ROWS = 200_000
 _SLACK = 1e-9
+_POINTS_PER_TASK = 1 << 20  # bytes of input files: each point starts with all root cells
 
 
 @dataclass(frozen=True)
@@ -214,9 +215,8 @@ def nearest_join(
     """
     by = list(by or [])
     here = [*by, "plat", "plon"]
-    pts = points.select(
-        *by, F.col(point_latlon[0]).alias("plat"), F.col(point_latlon[1]).alias("plon")
-    ).dropna().distinct()
+    places = points.select(*by, F.col(point_latlon[0]).alias("plat"), F.col(point_latlon[1]).alias("plon")).dropna()
+    pts = dealt(places, *here, per_task=_POINTS_PER_TASK).distinct()
     raw = targets.select(
         *by, F.col(target_latlon[0]).alias("lat"), F.col(target_latlon[1]).alias("lon"), F.col(target_id).alias("id")
     ).dropna()

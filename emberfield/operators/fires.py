@@ -8,6 +8,9 @@ from pyspark.sql.window import Window
 
 from emberfield.functions import time
 from emberfield.operators.ordering import number_rows
+from emberfield.session import data_partitions, shuffle_partitions
+
+_PER_TASK = 16 << 20  # bytes of input files a task
 
 
 def synthetic_fire_ids(fires: DataFrame, order: list[str], fire_id: str = "fire_id") -> DataFrame:
@@ -108,6 +111,9 @@ def unify_fires(fires: DataFrame, matched: DataFrame) -> DataFrame:
         F.coalesce(F.sum("frp_cumulative"), F.lit(0.0)).alias("cumulative_frp"),
         F.count("datetime").alias("viirs_detection_count"),
     )
+    parts = max(data_partitions(fires, _PER_TASK), data_partitions(matched, _PER_TASK))
+    if parts > shuffle_partitions(fires.sparkSession):
+        fires = fires.repartition(parts, "fire_id")  # the joins below, and those with the result, follow it
     out = fires.join(measures, "fire_id", "left").join(ends, "fire_id", "left")
     n = F.coalesce("viirs_detection_count", F.lit(0).cast("bigint"))
     end = late_ignition(F.col("ignition_date"), F.col("extinguish_date"))

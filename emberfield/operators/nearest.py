@@ -10,8 +10,14 @@ further, as deep as it takes until their distinct coordinates separate. So nothi
 pairs a whole group with a whole group, and a crowded place costs depth only there.
 
 All joins are equi-joins on a cell key. The tree is written once, its levels counted,
-and only levels counted to be small are broadcast; larger ones are shuffled. While
-levels are broadcast the walk stays partitioned by point, so it shuffles once.
+and only levels counted to be small are broadcast. While levels are broadcast the walk
+stays partitioned by point, so it shuffles once.
+
+Where the tree is too large for that, a walk would shuffle every point with its candidate
+cells once per level. Instead a point meets the targets of its own leaf, which bounds its
+distance, and then those of the few other cells within that distance: two shuffles, however
+deep the tree is. Only points that this leaves open (no target in their leaf's place, or a
+more crowded cell within their distance) walk down, over shuffled levels.
 """
 
 from __future__ import annotations
@@ -24,14 +30,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from emberfield.functions import grid
-from emberfield.session import dealt, durable
+from emberfield.session import dealt, durable, sized_broadcast
 
 _SIZES = [16.0 / 4.0**level for level in range(26)]  # the last is about the spacing of doubles at these coordinates
 _FIRST_LEVELS = 9  # built for all targets; below, only crowded cells are divided
+_FIRST_LEVELS_LARGE = 5  # the same for targets beyond _BROADCAST_ROWS: most of them lie in no crowded cell below
 _LEAF_TARGETS = 64
 _ROOT_CELLS = 32
 _BROADCAST_ROWS = 200_000
 _SLACK = 1e-9
+_REACH_CELLS = 8  # along each side: more are not listed for a point, it walks
 _POINTS_PER_TASK = 1 << 20  # bytes of input files: each point starts with all root cells
 
 
@@ -48,6 +56,7 @@ class Metric:
     low: Callable[[Column, Column], Column]
     high: Callable[[Column, Column], Column]
     exact: Callable[[Column, Column], Column]
+    window: Callable[[Column, Column], tuple[Column, Column]] | None = None  # degrees of lat and lon that hold all within a distance
 
 
 def _gap(p: Column, lo: Column, hi: Column) -> Column:
@@ -71,6 +80,9 @@ _LATLON = {"lat": lambda lat, lon: lat, "lon": lambda lat, lon: lon}
 
 
 def _flat(scale_lat: Callable[[Column], Column], scale_lon: Callable[[Column], Column], exact) -> Metric:
+    def window(p: Column, d: Column) -> tuple[Column, Column]:
+        return d / scale_lat(p), F.try_divide(d, scale_lon(p))
+
     def bound(side):
         def f(p: Column, c: Column) -> Column:
             dy = side(p["lat"], c["lat_lo"], c["lat_hi"]) * scale_lat(p)
@@ -78,7 +90,7 @@ def _flat(scale_lat: Callable[[Column], Column], scale_lon: Callable[[Column], C
             return F.sqrt(dy * dy + dx * dx)
         return f
 
-    return Metric(_LATLON, _shrink(bound(_gap)), _widen(bound(_reach)), exact)
+    return Metric(_LATLON, _shrink(bound(_gap)), _widen(bound(_reach)), exact, window)
 
 
 EUCLID_DEGREES = _flat(
@@ -155,6 +167,7 @@ class _Tree:
     cells: dict[int, int]
     leaves: dict[int, int]
     targets: int
+    first: int
 
     def step(self, by: list[str], level: int) -> tuple[DataFrame, int]:
         """What each cell above ``level`` becomes there: its parts, or itself if it is not crowded."""
@@ -166,9 +179,40 @@ class _Tree:
         return parts.unionByName(kept), self.cells.get(level, 0) + sum(n for lv, n in self.leaves.items() if lv < level)
 
 
+    def large(self) -> bool:
+        """Whether levels or targets can't be broadcast."""
+        return max(self.targets, *self.cells.values(), 0) > _BROADCAST_ROWS
+
+    def leaf_levels(self, by: list[str]) -> DataFrame:
+        """``levels`` that have leaves, for each group."""
+        return self.roots.unionByName(self.below).where("leaf").groupBy(*by).agg(F.collect_set("level").alias("levels"))
+
+    def contents(self, targets: DataFrame, by: list[str]) -> DataFrame:
+        """Targets with the leaf that holds each: ``clv``, ``cy``, ``cx``, place ``t`` and ``id``."""
+        whole = self.roots.unionByName(self.below)
+        leaves = whole.where("leaf").select(*by, F.col("level").alias("clv"), F.col("ky").alias("cy"), F.col("kx").alias("cx"))
+        placed = _at_own_levels(targets, self, by, "lat", "lon").select(*by, "clv", "cy", "cx", F.struct("lat", "lon").alias("t"), "id")
+        return placed.join(_sized(leaves, sum(self.leaves.values())), [*by, "clv", "cy", "cx"], "left_semi")
+
+
+def _side(level: str) -> Column:
+    return F.get(F.array(*[F.lit(x) for x in _SIZES]), F.col(level))
+
+
+def _at_own_levels(rows: DataFrame, tree: _Tree, by: list[str], lat: str, lon: str) -> DataFrame:
+    """Rows with their cells ``clv``, ``cy``, ``cx`` at all levels where their group has leaves, which are in ``levels``."""
+    if by:
+        known = rows.join(sized_broadcast(tree.leaf_levels(by)), by)
+    else:
+        known = rows.withColumn("levels", F.array(*[F.lit(lv) for lv, n in sorted(tree.leaves.items()) if n]).cast("array<int>"))
+    at = known.select("*", F.explode("levels").alias("clv"))
+    return at.withColumns({c: F.floor(F.col(v) / _side("clv")).cast("bigint") for c, v in (("cy", lat), ("cx", lon))})
+
+
 def _tree(targets: DataFrame, by: list[str], metric: Metric) -> _Tree:
-    whole = _cells(targets, by, metric, range(_FIRST_LEVELS))
-    last, rows, newest = _FIRST_LEVELS - 1, targets, whole
+    first = _FIRST_LEVELS if targets.count() <= _BROADCAST_ROWS else _FIRST_LEVELS_LARGE
+    whole = _cells(targets, by, metric, range(first))
+    last, rows, newest = first - 1, targets, whole
     while last < _DEEPEST:
         crowded = newest.where((F.col("level") == last) & (F.col("n") > _LEAF_TARGETS)).select(*by, "ky", "kx")
         if not crowded.limit(1).count():
@@ -178,7 +222,7 @@ def _tree(targets: DataFrame, by: list[str], metric: Metric) -> _Tree:
         newest = _cells(rows, by, metric, levels)
         whole, last = whole.unionByName(newest), levels[-1]
     per_level = {r["level"]: r["cells"] for r in whole.groupBy("level").agg(F.count(F.lit(1)).alias("cells")).collect()}
-    start = max((lv for lv, n in per_level.items() if n <= _ROOT_CELLS and lv < _FIRST_LEVELS), default=0)  # levels that hold all targets
+    start = max((lv for lv, n in per_level.items() if n <= _ROOT_CELLS and lv < first), default=0)  # levels that hold all targets
     marked = whole.withColumn("leaf", (F.col("n") <= _LEAF_TARGETS) | (F.col("level") == _DEEPEST))
     up = [*by, "level", "py", "px"]
     above = whole.where(F.col("n") > _LEAF_TARGETS).select(*by, (F.col("level") + 1).alias("level"), F.col("ky").alias("py"), F.col("kx").alias("px"))
@@ -188,7 +232,7 @@ def _tree(targets: DataFrame, by: list[str], metric: Metric) -> _Tree:
     counts = roots.unionByName(below).groupBy("level").agg(F.count(F.lit(1)).alias("c"), F.count_if("leaf").alias("l"), F.sum("n").alias("n")).collect()
     cells, leaves = {r["level"]: r["c"] for r in counts}, {r["level"]: r["l"] for r in counts}
     total = sum(r["n"] for r in counts if r["level"] == start)
-    return _Tree(roots, below, start, max(cells, default=start), cells, leaves, total)
+    return _Tree(roots, below, start, max(cells, default=start), cells, leaves, total, first)
 
 
 def _sized(df: DataFrame, rows: int) -> DataFrame:
@@ -196,39 +240,9 @@ def _sized(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= _BROADCAST_ROWS else df
 
 
-def nearest_join(
-    points: DataFrame,
-    targets: DataFrame,
-    point_latlon: tuple[str, str],
-    target_latlon: tuple[str, str],
-    target_id: str,
-    metric: Metric = EUCLID_DEGREES,
-    by: list[str] | None = None,
-    k: int = 1,
-    out: tuple[str, str] = ("target_id", "distance"),
-) -> DataFrame:
-    """The ``k`` nearest targets of every distinct point coordinate.
-
-    Returns one row per (``by`` values, point coordinates, rank): the columns of
-    ``by``, ``point_latlon``, ``rank`` (1 = nearest; ties by lowest id) and ``out``.
-    ``by`` columns must be equal on both sides, e.g. the calendar day.
-    """
-    by = list(by or [])
+def _walk(pts: DataFrame, leaves: DataFrame, tree: _Tree, by: list[str], metric: Metric, k: int) -> DataFrame:
+    """Every place walks down from the roots, level by level, to the leaves: the ``k`` nearest as ``m`` with their ``rank``."""
     here = [*by, "plat", "plon"]
-    places = points.select(*by, F.col(point_latlon[0]).alias("plat"), F.col(point_latlon[1]).alias("plon")).dropna()
-    pts = dealt(places, *here, per_task=_POINTS_PER_TASK).distinct()
-    raw = targets.select(
-        *by, F.col(target_latlon[0]).alias("lat"), F.col(target_latlon[1]).alias("lon"), F.col(target_id).alias("id")
-    ).dropna()
-    if k == 1:
-        tgt = raw.groupBy(*by, "lat", "lon").agg(F.min("id").alias("id"))
-    else:
-        # co-located targets beyond the k lowest ids can never be among the k nearest
-        first_k = Window.partitionBy(*by, "lat", "lon").orderBy("id")
-        tgt = raw.withColumn("_r", F.row_number().over(first_k)).where(F.col("_r") <= k).drop("_r")
-
-    tgt = durable(tgt)
-    tree = _tree(tgt, by, metric)
     p = {"lat": F.col("plat"), "lon": F.col("plon")}
     same_point = Window.partitionBy(*here)
     at = ["clv", "cy", "cx"]
@@ -261,25 +275,108 @@ def nearest_join(
     for level in range(tree.start + 1, tree.deepest + 1):
         step, rows = tree.step(by, level)
         walk = pruned(walk.drop("leaf").join(_sized(step, rows), [*by, *at]))
-        if level >= _FIRST_LEVELS - 1 and level < tree.deepest and (level - _FIRST_LEVELS + 1) % 4 == 0:
+        if level >= tree.first - 1 and level < tree.deepest and (level - tree.first + 1) % 4 == 0:
             # points with nothing left to divide stay here, whatever the depth elsewhere
             walk = durable(walk.withColumn("busy", F.max(~F.col("leaf")).over(same_point)))
             stay = walk.where(~F.col("busy")).drop("busy")
             done = stay if done is None else done.unionByName(stay)
             walk = walk.where("busy").drop("busy")
     walk = walk if done is None else walk.unionByName(done)
-    leaf_cells = tree.roots.unionByName(tree.below).where("leaf").select(*by, "level", "ky", "kx")
-    placed = tgt.select(*by, _at_levels(range(tree.start, tree.deepest + 1)), "lat", "lon", "id").select(*by, "at.*", "lat", "lon", "id")
-    leaves = placed.join(_sized(leaf_cells, sum(tree.leaves.values())), [*by, "level", "ky", "kx"], "left_semi").select(
-        *by, F.col("level").alias("clv"), F.col("ky").alias("cy"), F.col("kx").alias("cx"), F.struct("lat", "lon").alias("t"), "id"
-    )
     ranked = walk.join(_sized(leaves, tree.targets), [*by, *at]).select(
         *here, F.struct(metric.exact(p, F.col("t")).alias("d"), F.col("id")).alias("m")
     )
     if k == 1:
-        best = ranked.groupBy(*here).agg(F.min("m").alias("m")).withColumn("rank", F.lit(1))
+        return ranked.groupBy(*here).agg(F.min("m").alias("m")).withColumn("rank", F.lit(1))
+    return ranked.withColumn("rank", F.row_number().over(same_point.orderBy("m"))).where(F.col("rank") <= k)
+
+
+def _direct(pts: DataFrame, leaves: DataFrame, tree: _Tree, by: list[str], metric: Metric) -> tuple[DataFrame, DataFrame]:
+    """Nearest target ``m`` of the places that their own leaf and the cells within its distance settle, and the other places.
+
+    A place in a leaf lists the cells within its distance at the leaf's level and at those above. A target there is in a
+    leaf of these levels or below a divided cell at the leaf's own; a place with such a cell in reach is left open.
+    """
+    here, at = [*by, "plat", "plon"], ["clv", "cy", "cx"]
+    p = {"lat": F.col("plat"), "lon": F.col("plon")}
+    ranked = F.struct(metric.exact(p, F.col("t")).alias("d"), F.col("id"))
+    own = _at_own_levels(pts, tree, by, "plat", "plon").join(leaves, [*by, *at])
+    own = durable(own.select(*here, "levels", *at, ranked.alias("m")).groupBy(*here, "levels", *at).agg(F.min("m").alias("m")))
+
+    wy, wx = metric.window(p, F.col("m.d") * F.lit(1 + _SLACK) + F.lit(_SLACK))
+    reach = own.select("*", wy.alias("wy"), wx.alias("wx"))
+    ends = {f"{c}{i}": (F.col(v) + sign * F.col(w)) for c, v, w in (("y", "plat", "wy"), ("x", "plon", "wx")) for i, sign in ((0, -1), (1, 1))}
+    spans = {c: F.floor(v / _side("clv")).cast("bigint") for c, v in ends.items()}  # at its own level, where they are the longest
+    listed = F.col("y1").between(F.col("y0"), F.col("y0") + _REACH_CELLS) & F.col("x1").between(F.col("x0"), F.col("x0") + _REACH_CELLS)
+    reach = reach.withColumns(spans).withColumn("listed", F.coalesce(listed, F.lit(False)))
+    others = reach.where("listed").select(
+        *here, F.col("m.d").alias("d"), F.struct(*at).alias("own"), *[v.alias(f"_{c}") for c, v in ends.items()],
+        F.explode(F.filter("levels", lambda lv: lv <= F.col("clv"))).alias("clv"))
+    for c in "yx":
+        span = F.sequence(*[F.floor(F.col(f"_{c}{i}") / _side("clv")).cast("bigint") for i in (0, 1)])
+        others = others.select("*", F.explode(span).alias(f"c{c}"))
+    others = others.where(F.struct(*at) != F.col("own")).select(*here, "d", *at, (F.col("clv") == F.col("own.clv")).alias("deepest"))
+
+    whole = tree.roots.unionByName(tree.below)
+    divided = whole.where(~F.col("leaf")).select(*by, F.col("level").alias("clv"), F.col("ky").alias("cy"), F.col("kx").alias("cx"), "cell")
+    blank = lambda df, c: F.lit(None).cast(df.schema[c].dataType).alias(c)
+    there = leaves.select(*by, *at, "t", "id", blank(divided, "cell")).unionByName(divided.select(*by, *at, blank(leaves, "t"), blank(leaves, "id"), "cell"))
+    met = others.join(there, [*by, *at])
+    open_ = F.col("t").isNull() & F.col("deepest") & (metric.low(p, F.col("cell")) <= F.col("d"))
+    second = met.select(*here, F.when(F.col("t").isNotNull(), ranked).alias("m"), open_.alias("open"), "d").where(F.col("open") | (F.col("m.d") <= F.col("d")))
+
+    no_target = F.lit(None).cast(own.schema["m"].dataType).alias("m")
+    parts = pts.select(*here, no_target, F.lit(False).alias("open"))
+    parts = parts.unionByName(own.select(*here, "m", F.lit(False).alias("open")))
+    parts = parts.unionByName(reach.where("not listed").select(*here, no_target, F.lit(True).alias("open")))
+    parts = parts.unionByName(second.select(*here, "m", "open"))
+    found = durable(dealt(parts, *here).groupBy(*here).agg(F.min("m").alias("m"), F.max("open").alias("open")))
+    settled = F.col("m").isNotNull() & ~F.col("open")
+    return found.where(settled).select(*here, "m", F.lit(1).alias("rank")), found.where(~settled).select(*here)
+
+
+def nearest_join(
+    points: DataFrame,
+    targets: DataFrame,
+    point_latlon: tuple[str, str],
+    target_latlon: tuple[str, str],
+    target_id: str,
+    metric: Metric = EUCLID_DEGREES,
+    by: list[str] | None = None,
+    k: int = 1,
+    out: tuple[str, str] = ("target_id", "distance"),
+) -> DataFrame:
+    """The ``k`` nearest targets of every distinct point coordinate.
+
+    Returns one row per (``by`` values, point coordinates, rank): the columns of
+    ``by``, ``point_latlon``, ``rank`` (1 = nearest; ties by lowest id) and ``out``.
+    ``by`` columns must be equal on both sides, e.g. the calendar day.
+    """
+    by = list(by or [])
+    here = [*by, "plat", "plon"]
+    places = points.select(*by, F.col(point_latlon[0]).alias("plat"), F.col(point_latlon[1]).alias("plon")).dropna()
+    raw = targets.select(
+        *by, F.col(target_latlon[0]).alias("lat"), F.col(target_latlon[1]).alias("lon"), F.col(target_id).alias("id")
+    ).dropna()
+    if k == 1:
+        tgt = dealt(raw, *by, "lat", "lon").groupBy(*by, "lat", "lon").agg(F.min("id").alias("id"))
+    else:
+        # co-located targets beyond the k lowest ids can never be among the k nearest
+        first_k = Window.partitionBy(*by, "lat", "lon").orderBy("id")
+        tgt = raw.withColumn("_r", F.row_number().over(first_k)).where(F.col("_r") <= k).drop("_r")
+
+    tgt = durable(tgt)
+    tree = _tree(tgt, by, metric)
+    leaves = tree.contents(tgt, by)
+    if k == 1 and metric.window and tree.large():
+        pts = dealt(places, *here).distinct()
+        if by:  # a place whose group has no target finds none
+            pts = pts.join(sized_broadcast(tree.leaf_levels(by).select(*by)), by, "left_semi")
+        leaves = durable(leaves)
+        best, rest = _direct(pts, leaves, tree, by, metric)
+        if not rest.isEmpty():
+            best = best.unionByName(_walk(dealt(rest, *here, per_task=_POINTS_PER_TASK), leaves, tree, by, metric, k))
     else:
-        best = ranked.withColumn("rank", F.row_number().over(same_point.orderBy("m"))).where(F.col("rank") <= k)
+        best = _walk(dealt(places, *here, per_task=_POINTS_PER_TASK).distinct(), leaves, tree, by, metric, k)
     return best.select(
         *by, F.col("plat").alias(point_latlon[0]), F.col("plon").alias(point_latlon[1]), "rank",
         F.col("m.id").alias(out[0]), F.col("m.d").alias(out[1]),

@@ -2,6 +2,7 @@
 
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -105,3 +106,34 @@ def test_fires_are_dealt_by_id(spark, monkeypatch):
     seen = some.select("fire_id", "ignition_date", day.alias("datetime"), F.lit(2.0).alias("frp_peak"), F.lit(3.0).alias("frp_cumulative"))
     out = fires.unify_fires(some, seen)
     assert "hashpartitioning(fire_id" in _plan(out) and ", 41)" in _plan(out) and out.count() == 20
+
+
+def test_nearest_does_not_shuffle_its_points_per_level(spark, monkeypatch, no_automatic_broadcast):
+    monkeypatch.setattr(nearest, "_BROADCAST_ROWS", 20)  # as for a tree too large to be sent
+    rows = spark.range(4000).select((F.col("id") % 2).alias("day"), (F.col("id") % 61 * 0.1 - 39).alias("a"), (F.floor(F.col("id") / 61) * 0.13 + 141).alias("o"), "id")
+    out = nearest.nearest_join(rows.where("id % 7 = 0"), rows, ("a", "o"), ("a", "o"), "id", by=["day"])
+    assert "Join" not in _plan(out)  # all settled by their own leaf and its neighbours
+    assert out.where("distance = 0").count() == out.count() == rows.where("id % 7 = 0").count()
+
+
+@pytest.mark.parametrize("metric", [nearest.EUCLID_DEGREES, nearest.EQUIRECT_KM])
+def test_nearest_over_large_trees_is_exact(spark, monkeypatch, metric):
+    monkeypatch.setattr(nearest, "_BROADCAST_ROWS", 20)
+    rng = np.random.default_rng(5)
+    crowd, wide = rng.normal([-37, 145], 0.003, (900, 2)).round(4), rng.uniform([-39, 141], [-34, 150], (400, 2)).round(2)
+    t = np.r_[crowd, wide, wide[:50]]  # co-located targets: the lowest id wins
+    p = np.r_[rng.uniform([-39.5, 140], [-33, 151], (150, 2)).round(2), rng.normal([-37, 145], 0.02, (100, 2)).round(4), wide[:30]]
+    day = lambda n, of: np.arange(n) % of
+    targets = [(int(d), float(a), float(o), i) for i, (d, (a, o)) in enumerate(zip(day(len(t), 2), t))] + [(None, -37.0, 145.0, -1), (0, None, 145.0, -2)]
+    points = [(int(d), float(a), float(o)) for d, (a, o) in zip(day(len(p), 3), p)] + [(None, -37.0, 145.0)]  # day 2 has no target
+    out = nearest.nearest_join(spark.createDataFrame(points, "day long, a double, o double"), spark.createDataFrame(targets, "day long, a double, o double, id long"),
+                               ("a", "o"), ("a", "o"), "id", metric, by=["day"]).collect()
+    got = {(r.day, r.a, r.o): (r.target_id, r.distance) for r in out}
+    assert set(got) == {x for x in points if x[0] in (0, 1)}
+    km = 111.32 if metric is nearest.EQUIRECT_KM else 1.0
+    for (d, a, o), (i, dist) in got.items():
+        mine = [x for x in targets if x[0] == d and x[1] is not None]
+        at = np.array([x[1:3] for x in mine])
+        far = np.hypot((at[:, 0] - a) * km, (at[:, 1] - o) * km * (np.cos(np.radians(a)) if km > 1 else 1))
+        assert abs(dist - far.min()) < 1e-9 and i in {x[3] for x, f in zip(mine, far) if f <= far.min() + 1e-9}
+        assert i == min(x[3] for x in mine if x[1:3] == targets[i][1:3])

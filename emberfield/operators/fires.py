@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from emberfield.functions import time
 from emberfield.operators.ordering import number_rows
-from emberfield.session import data_partitions, shuffle_partitions
+from emberfield.session import data_partitions, dealt, durable, shuffle_partitions
 
 _PER_TASK = 16 << 20  # bytes of input files a task
 
@@ -98,19 +98,62 @@ def impute_undetected(fires: DataFrame) -> DataFrame:
     })
 
 
-def unify_fires(fires: DataFrame, matched: DataFrame) -> DataFrame:
+def life_by_place(
+    touched: DataFrame, detections: DataFrame, place: list[str], before_days: int = 1, after_days: int = 120,
+    first_within_days: int = 4, gap_days: float = 4,
+) -> tuple[DataFrame, DataFrame]:
+    """Measures and end dates as of ``temporal_window_filter`` and ``estimate_extinguish``, without a row per fire and detection.
+
+    ``touched``: a row per fire and place (fire_id, ignition_date, ``place``), which stands for all detections of that place.
+    What a place saw in the window of an ignition is settled once for all fires that ignited then. Of times no further
+    apart than the gap only the first and the last in the window are kept; such spans of several places make a fire's own.
+    """
+    t, ign = F.col("datetime"), F.col("ignition_date")
+    apart = lambda a, b: time.seconds_between(a, b) / 86400 > gap_days
+    days = before_days + after_days + 6  # spans at most two blocks of days, a day more on both sides for hours and zones
+    block = lambda day, more: F.floor((F.datediff(F.to_date(day), F.lit("1970-01-01").cast("date")) + more) / days)
+    seen = detections.where(t.isNotNull()).groupBy(*place, "datetime").agg(
+        F.max("frp_peak").alias("_peak"), F.sum("frp_cumulative").alias("_power"), F.count(F.lit(1)).alias("_n"))
+    line = Window.partitionBy(*place).orderBy("datetime")
+    jumps = seen.withColumn("_jump", F.when(apart(F.lag("datetime").over(line), t), 1).otherwise(0))
+    series = jumps.withColumn("_run", F.sum("_jump").over(line.rowsBetween(Window.unboundedPreceding, 0))).withColumn("_block", block("datetime", 0))
+    touched = dealt(touched.select("fire_id", "ignition_date", *place), *place, "ignition_date")
+    starts = touched.select(*place, "ignition_date").distinct()
+    spread = starts.select("*", F.explode(F.sequence(block("ignition_date", -before_days - 1), block("ignition_date", after_days + 1))).alias("_block"))
+    hits = spread.join(series, [*place, "_block"]).where((t >= time.plus_days(ign, -before_days)) & (t <= time.plus_days(ign, after_days)))
+    runs = hits.groupBy(*place, "ignition_date", "_run").agg(
+        F.min("datetime").alias("_from"), F.max("datetime").alias("_to"), F.max("_peak").alias("_peak"), F.sum("_power").alias("_power"), F.sum("_n").alias("_n"))
+    sums = [F.max("_peak").alias("_peak"), F.sum("_power").alias("_power"), F.sum("_n").alias("_n")]
+    spans = runs.groupBy(*place, "ignition_date").agg(F.min("_from").alias("_first"), *sums, F.collect_list(F.struct("_from", "_to")).alias("_runs"))
+    met = dealt(durable(touched.join(spans, [*place, "ignition_date"]).drop(*place)), "fire_id")
+    first = met.groupBy("fire_id").agg(F.min("_first").alias("first_detection"))
+    kept = met.join(first, "fire_id").where(F.col("first_detection") <= time.plus_days(ign, first_within_days))
+    measures = kept.groupBy("fire_id").agg(*sums).select(
+        "fire_id", F.col("_peak").alias("peak_frp"), F.coalesce("_power", F.lit(0.0)).alias("cumulative_frp"), F.col("_n").alias("viirs_detection_count"))
+    own = kept.select("fire_id", F.explode("_runs").alias("_r")).select("fire_id", "_r.*").distinct()
+    before = F.max("_to").over(Window.partitionBy("fire_id").orderBy("_from").rowsBetween(Window.unboundedPreceding, -1))
+    ended = own.withColumn("_before", before).groupBy("fire_id").agg(
+        F.min(F.when(apart(F.col("_before"), F.col("_from")), F.col("_before"))).alias("_end"), F.max("_to").alias("_to"))
+    return measures, ended.select("fire_id", F.coalesce("_end", "_to").alias("extinguish_date"))
+
+
+def unify_fires(fires: DataFrame, matched: DataFrame, detections: DataFrame | None = None, place: list[str] | None = None) -> DataFrame:
     """Fires with end date, duration, severity and status from their matched detections.
 
+    ``matched`` has a row per fire and detection; or, with ``detections``, one per fire and ``place``, for all detections there.
     All per-fire measures come from one aggregate and the end dates from one window,
     then two left joins on the fire id.
     """
-    kept = temporal_window_filter(matched)
-    ends = estimate_extinguish(kept)
-    measures = kept.groupBy("fire_id").agg(
-        F.max("frp_peak").alias("peak_frp"),
-        F.coalesce(F.sum("frp_cumulative"), F.lit(0.0)).alias("cumulative_frp"),
-        F.count("datetime").alias("viirs_detection_count"),
-    )
+    if detections is None:
+        kept = temporal_window_filter(matched)
+        ends = estimate_extinguish(kept)
+        measures = kept.groupBy("fire_id").agg(
+            F.max("frp_peak").alias("peak_frp"),
+            F.coalesce(F.sum("frp_cumulative"), F.lit(0.0)).alias("cumulative_frp"),
+            F.count("datetime").alias("viirs_detection_count"),
+        )
+    else:
+        measures, ends = life_by_place(matched, detections, place)
     parts = max(data_partitions(fires, _PER_TASK), data_partitions(matched, _PER_TASK))
     if parts > shuffle_partitions(fires.sparkSession):
         fires = fires.repartition(parts, "fire_id")  # the joins below, and those with the result, follow it

@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from emberfield.functions import fire, grid, time
 from emberfield.operators.ordering import previous_row
+from emberfield.session import durable
 
 PASS_KEYS = ["grid_id", "cell_x", "cell_y", "acq_date", "daynight", "satellite"]
 
@@ -125,7 +126,7 @@ def cell_lag_lead(cells: DataFrame) -> DataFrame:
 
 
 def gridded_satellite_table(detections: DataFrame) -> DataFrame:
-    """Detections with cells to the finished training table."""
-    cells = pass_datetime(grid_pass_agg(detections)).withColumn("is_burning", F.lit(1))
-    cells = cell_lag_lead(burning_neighbors(time_since_prev_pass(cells)))
+    """Detections with cells to the finished training table. They are read once: later steps meet only their rows by cell and pass, stored."""
+    cells = pass_datetime(durable(grid_pass_agg(detections))).withColumn("is_burning", F.lit(1))
+    cells = cell_lag_lead(burning_neighbors(durable(time_since_prev_pass(cells))))
     return cells.withColumn("daynight", fire.daynight_code(F.col("daynight")))

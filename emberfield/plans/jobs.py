@@ -69,7 +69,8 @@ def unified_fire_history(
 
     ``fire_shapes``: fire_id, ignition_date, area_ha, size_class, ..., rings in degrees.
     ``detections``: the finished satellite table with cell_x, cell_y and datetime, its cells
-    counted from ``corner`` in Web-Mercator metres; a detection stands for its whole cell.
+    counted from ``corner`` in Web-Mercator metres; a detection stands for its whole cell,
+    so cells meet fires, and what a cell saw is settled once for all fires in it.
     """
     x0, y0 = _origin(corner, cell_m)
     cx, cy = F.col("cell_x"), F.col("cell_y")
@@ -78,14 +79,17 @@ def unified_fire_history(
         "_s": grid.mercator_lat(cy * cell_m + y0), "_n": grid.mercator_lat((cy + 1) * cell_m + y0),
     })
     box = ("_w", "_s", "_e", "_n")
-    matched = polygons.boxes_intersect_polygons(
-        boxed, fire_shapes.select("fire_id", "ignition_date", "rings"), box, "rings", cell_m / 111320.0
+    place = ["cell_x", "cell_y"]
+    cells = durable(boxed.select(*place, *box).distinct())
+    touched = polygons.boxes_intersect_polygons(
+        cells, fire_shapes.select("fire_id", "ignition_date", "rings"), box, "rings", cell_m / 111320.0
     ).drop(*box)
-    unified = fires.unify_fires(fire_shapes, durable(matched))
-    inside = polygons.boxes_intersect_polygons(boxed, fire_shapes.select("rings"), box, "rings", cell_m / 111320.0, "left_semi")
+    unified = fires.unify_fires(fire_shapes, durable(touched), detections, place)
+    burnt = polygons.boxes_intersect_polygons(cells, fire_shapes.select("rings"), box, "rings", cell_m / 111320.0, "left_semi")
+    inside = detections.join(burnt.select(*place), place, "left_semi")
     maxima = [c for c in ("confidence", "is_burning", "burning_neighbors_r1", "burning_neighbors_r2", "is_burning_prev", "is_burning_next",
                           "brightness", "bright_t31", "frp_peak", "frp_cumulative", "frp_prev", "frp_next") if c in inside.columns]
-    daily = fires.detections_daily_cell(inside.drop(*box), maxima, ["longitude", "latitude"], ["datetime", "satellite"])
+    daily = fires.detections_daily_cell(inside, maxima, ["longitude", "latitude"], ["datetime", "satellite"])
     return unified, daily
 
 

@@ -63,3 +63,53 @@ def test_time_rules(spark):
     assert r[0].t == dt.datetime(2024, 5, 1, 10, 20, 30, 123456) and r[1].t is None and r[2].t is None
     assert [x.p.strftime("%H%M") for x in r] == ["0930", "0005", "0000"]
     assert df.select(time.season(F.lit(None).cast("timestamp_ntz"))).first()[0] == "Spring"
+
+
+def _visits(spark, seed, n):
+    """Fires, which of them touch which cells, and what the cells saw; ids and times that repeat or are null."""
+    rng = np.random.default_rng(seed)
+    d = dt.datetime(2020, 1, 1)
+    ids = [None if i % 19 == 0 else int(i % (n - 6)) for i in range(n)]
+    lit = [None if i % 23 == 0 else d + dt.timedelta(days=int(x)) for i, x in enumerate(rng.integers(0, 400, n))]
+    kinds = ["small", "large", None]
+    burnt = [(i, f, day, kinds[i % 3]) for i, (f, day) in enumerate(zip(ids, lit))]
+    touched = [(f, day, int(x), int(y)) for _, f, day, _ in burnt for x, y in rng.integers(0, 3, (int(rng.integers(0, 4)), 2))]
+    seen = [(int(x), int(y), None if i % 41 == 0 else d + dt.timedelta(hours=12 * int(h)), None if i % 7 == 0 else float(i), None if i % 5 == 0 else float(i % 64))
+            for i, (x, y, h) in enumerate(zip(rng.integers(0, 4, 300), rng.integers(0, 3, 300), rng.integers(0, 1100, 300)))]
+    seen += seen[:40]
+    make = spark.createDataFrame
+    return (make(burnt, "i int, fire_id int, ignition_date timestamp_ntz, size_class string"),
+            make(touched, "fire_id int, ignition_date timestamp_ntz, cell_x long, cell_y long"),
+            make(seen, "cell_x long, cell_y long, datetime timestamp_ntz, frp_peak double, frp_cumulative double"))
+
+
+def test_life_by_place_equals_a_row_per_fire_and_detection(spark):
+    for seed in (1, 2):
+        burnt, touched, seen = _visits(spark, seed, 90)
+        pairs = touched.join(seen, ["cell_x", "cell_y"])
+        want = sorted(map(str, fires.unify_fires(burnt, pairs).collect()))
+        got = fires.unify_fires(burnt, touched, seen, ["cell_x", "cell_y"])
+        assert sorted(map(str, got.collect())) == want and any("'detected'" in r for r in want)
+
+
+def test_spans_of_places_meet_across_cells(spark):
+    d = dt.datetime(2020, 1, 1)
+    day = lambda x: d + dt.timedelta(days=x)
+    burnt = spark.createDataFrame([(1, d, "small"), (2, day(1), "small"), (3, day(200), "large")], "fire_id int, ignition_date timestamp_ntz, size_class string")
+    touched = spark.createDataFrame([(f, x) for f in (1, 2, 3) for x in (0, 1)], "fire_id int, cell_x long").join(burnt.select("fire_id", "ignition_date"), "fire_id")
+    # one cell sees days 0 and 8, the other bridges them at 4; day 121 is past the first fire's window and within the second's
+    seen = spark.createDataFrame([(0, day(0)), (0, day(8)), (1, day(4)), (0, day(121)), (1, day(205))], "cell_x long, datetime timestamp_ntz")
+    seen = seen.select("*", F.lit(2.0).alias("frp_peak"), F.lit(3.0).alias("frp_cumulative"))
+    out = {r.fire_id: r for r in fires.unify_fires(burnt, touched, seen, ["cell_x"]).collect()}
+    assert out[1].extinguish_date == day(8) and out[1].viirs_detection_count == 3 and out[1].cumulative_frp == 9.0
+    assert out[2].extinguish_date == day(8) and out[2].viirs_detection_count == 4
+    assert out[3].detection_status == "coverage_gap" and out[3].peak_frp is None
+
+
+def test_detections_are_read_once(spark):
+    d = dt.datetime(2020, 1, 1)
+    rows = [(i % 4, i % 3, 1, d.date(), "D" if i % 2 else "N", "s", "h", 300.0, 290.0, float(i), "0130") for i in range(24)]
+    raw = spark.createDataFrame(rows, "cell_x long, cell_y long, grid_id long, acq_date date, daynight string, satellite string, confidence string, brightness double, bright_t31 double, frp double, acq_time string")
+    out = satellite.gridded_satellite_table(raw)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "ExistingRDD" not in plan and "LocalTableScan" not in plan and out.count() == 24 / 2

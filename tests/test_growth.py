@@ -182,3 +182,16 @@ def test_many_to_many_expands_gathered_rows(spark):
     assert "collect_list" in _plan(out) and out.count() == 701 * 30
     most = max(len(r.rows) for r in copies.gathered(left, ["k"], ["id"], "rows")[0].collect())
     assert most < 350  # a key of many rows is parted
+
+
+def test_many_to_many_makes_and_deals_its_right_side_once(spark, monkeypatch, no_automatic_broadcast):
+    monkeypatch.setattr(copies, "sized_broadcast", lambda df, rows=0: df)
+    made = spark.sparkContext.accumulator(0)
+    seen = F.udf(lambda k: made.add(1) or k, "long")
+    left = spark.range(40).select((F.col("id") % 4).alias("k"), F.col("id").alias("event"))
+    right = spark.range(200).select(seen(F.col("id") % 5).alias("k"), F.col("id").alias("fire"), F.lit(None).cast("string").alias("event_"))
+    out = copies.many_to_many(left, right, ["k"])
+    plan = _plan(out)
+    assert made.value == 0 and plan.count("collect_list") <= 2  # partial and final of the left side alone
+    got = sorted((r.event, r.fire) for r in out.collect())
+    assert got == [(e, f) for e in range(40) for f in range(200) if e % 4 == f % 5] and out.columns == ["k", "event", "fire", "event_"]
